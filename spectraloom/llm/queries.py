@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language_id, quality_classifier, quality_rules, secret_ledger
 from .common import load
+from .packing import pack_documents
+from .sharding import shard_rows
 from .simhash import simhash_components
 from .substrings import remove_repeats
 
@@ -24,12 +27,59 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.apply_policy(quality_rules.rule_ledger(load(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secret_ledger.scan_secrets(load(spark, sf_dir, "documents"))
+    s = F.col("spans")
+    counts = {f"n_{kind}": secret_ledger.count_kind(s, i) for i, kind in enumerate(("assign", "access", "hex"))}
+    return found.select("doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(secret_ledger.span_text(s, secret_ledger.BASE_KINDS), 256).alias("base_sha256"), secret_ledger.span_text(s).alias("spans"))
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    held = language_id.held_out("doc_id", 5, 0)
+    model = quality_classifier.train(docs, load(spark, sf_dir, "labels").where(~held))
+    scored = quality_classifier.score_quality(docs, model, ["doc_id", held.alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    held = language_id.held_out("doc_id", 4, 2)
+    model = language_id.train(docs.where(~held))
+    return language_id.identify(docs, model, ["doc_id", held.alias("held_out")])
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(load(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"))
 
 
+REGISTERED = (
+    op1_suffix_array_dedup, op3_quality_rules, op5_secret_scan, op6_packing, op7_quality_classifier, op8_language_id, op9_sharding,
+    op10_simhash_near_dedup,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_array_dedup, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in REGISTERED}
 
 
 def oracle_sql() -> dict[str, str]:
