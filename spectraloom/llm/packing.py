@@ -10,6 +10,7 @@ patterns' slots are joined back to the pieces by their rank among pieces of the
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -22,42 +23,62 @@ from .common import NULL_ID, ranked, row_id, slices, staged, text_buffers
 
 PIECE_SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words whose ids a worker keeps, in each of two generations.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
+#: Texts of these characters only (ASCII and Latin letters) are split here as the tokenizer's own pattern splits them; others go to it whole.
+PLAIN = re.compile(r"[\t\n\r !-~À-ÖØ-öø-įı-ſ]*")
+#: The tokenizer's split pattern for such characters in lower case (fixed values).
+SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\sa-z0-9ß-öø-ſ]+")
 
 
 class WordEncoder:
-    """Ids of texts by their words: this tokenizer's pieces never span ASCII white space, so a word's ids don't depend on its neighbours."""
+    """Ids of texts by a tokenizer that lowers case, splits at white space, letters and digits, and ends words by `</w>`.
+
+    The ids of a split word depend on that word alone, so each distinct one that a worker meets goes to the
+    tokenizer once, many in a call, and the word-end tokens tell which ids are whose.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def learn(self, words: set[bytes]) -> None:
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: set[str]) -> None:
         unknown = []
         for w in words:
             if (ids := self.old.get(w)) is None:
                 unknown.append(w)
             else:
                 self.young[w] = ids
-        for a in range(0, len(unknown), 10_000):
-            some = unknown[a : a + 10_000]
-            for w, e in zip(some, self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.young[w] = np.array(e.ids, "<u4").tobytes()
+        for a in range(0, len(unknown), 2000):
+            some = unknown[a : a + 2000]
+            ids = self.ids(["\n".join(some)])[0]
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and (not len(ids) or cuts[-1] == len(ids)):
+                flat, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                self.young.update(zip(some, [flat[x:y] for x, y in zip(at[:-1], at[1:], strict=True)], strict=True))
+            else:
+                self.young.update(zip(some, [x.tobytes() for x in self.ids(some)], strict=True))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {}
-        parts = [t.split() for t in texts]
+        parts = [SPLIT.findall(t.lower()) if PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
+        missing: set[str] = set()
         for p in parts:
-            if missing := set(p).difference(self.young):
-                self.learn(missing)
+            missing.update(p or ())
+        self.learn(missing.difference(self.young))
         get = self.young.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        return [self.ids([t])[0].tobytes() if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -86,9 +107,9 @@ def cut_pieces(path: str, end_id: int, size: int, grain: int) -> Callable:
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             ids = batch.column("id").to_pylist()
-            for a, b in slices(offsets, 1 << 20):
+            for a, b in slices(offsets, 4 << 20):
                 cols: list[list[int]] = [[], [], [], [], []]
-                texts = [raw[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)]
+                texts = [raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in range(a, b)]
                 for id_, tokens in zip(ids[a:b], encoder(path).encode(texts), strict=True):
                     tokens += end
                     at, n = 0, len(tokens) // 4
@@ -158,7 +179,7 @@ def slots_of(patterns: list[tuple[int, list[int]]]) -> list[tuple[int, int, int,
 def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", id_col: str = "doc_id", size: int = 2048, grain: int = 256, end_id: int = 1, buckets: int = 64) -> DataFrame:
     """Packs all tokens of docs into sequences of at most `size` ids.
 
-    `tokenizer` is the path of a tokenizer file whose pieces don't span white space. Returns per piece: the id,
+    `tokenizer` is the path of a tokenizer file as `WordEncoder` describes. Returns per piece: the id,
     start (its document's ids before it), length, ids_crc32, doc_tokens, sequence_id (from 0) and offset in it.
     A null or empty text is its end id alone. Null ids keep null; repeated ids and repeated rows are packed each
     for itself. An empty table gives no piece.

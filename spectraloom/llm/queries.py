@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from . import language_id, quality_classifier, quality_rules, secret_ledger
 from .common import load
+from .embedding_pq import near_vectors
 from .packing import pack_documents
+from .sentence_pieces import decode_pieces, encode_pieces
 from .sharding import shard_rows
 from .simhash import simhash_components
 from .substrings import remove_repeats
@@ -27,11 +29,26 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.apply_policy(quality_rules.rule_ledger(load(spark, sf_dir, "documents")))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids per text, and what they decode to: doc_id, n_tokens, ids_hash (of the id array), n_chars and round_trip."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    encoded = encode_pieces(load(spark, sf_dir, "documents"), model)
+    decoded = decode_pieces(encoded, model, ["doc_id", "text"], keep_ids=True)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), F.length("decoded").cast("long").alias("n_chars"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secret_ledger.scan_secrets(load(spark, sf_dir, "documents"))
     s = F.col("spans")
@@ -73,7 +90,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = (
-    op1_suffix_array_dedup, op3_quality_rules, op5_secret_scan, op6_packing, op7_quality_classifier, op8_language_id, op9_sharding,
+    op1_suffix_array_dedup, op2_embedding_near_dedup, op3_quality_rules, op4_sentencepiece, op5_secret_scan, op6_packing, op7_quality_classifier, op8_language_id, op9_sharding,
     op10_simhash_near_dedup,
 )
 

@@ -23,7 +23,7 @@ from .common import row_id, slices, text_buffers
 MARK = "▁"
 CHUNK = re.compile(r"▁+[^▁\n]*|[^▁\n]+|\n")
 #: Characters indexed at once; chunks a worker keeps in each of two generations.
-BATCH_CHARS, CACHE_CHUNKS = 300_000, 150_000
+BATCH_CHARS, CACHE_CHUNKS = 500_000, 300_000
 
 
 class PieceTable:
@@ -68,8 +68,9 @@ class PieceTable:
     @staticmethod
     def keys(letters: np.ndarray) -> np.ndarray:
         """Rows of letters as byte strings in the same order (two bytes a letter, neither of them zero)."""
-        pairs = np.stack([letters // 255 + 1, letters % 255 + 1], axis=-1).astype(np.uint8)
-        flat = np.ascontiguousarray(pairs.reshape(len(letters), -1))
+        pairs = np.empty((*letters.shape, 2), np.uint8)
+        pairs[..., 0], pairs[..., 1] = letters // 255 + 1, letters % 255 + 1
+        flat = pairs.reshape(len(letters), -1)
         return flat.view(f"S{flat.shape[1]}").reshape(-1)
 
     def suffix_array(self, letters: np.ndarray) -> np.ndarray:
@@ -91,8 +92,8 @@ class PieceTable:
         """start, end, id and score of every occurrence of every piece of two or more letters, by start."""
         order = self.suffix_array(letters)
         padded = np.concatenate([letters, np.zeros(self.longest, np.int64)])
-        rows = self.keys(np.lib.stride_tricks.sliding_window_view(padded, self.longest)[: len(letters)][order])
-        raw = rows.view(np.uint8).reshape(len(rows), -1)
+        pairs = self.keys(padded[:, None]).view(np.uint8)
+        raw = np.lib.stride_tricks.sliding_window_view(pairs, 2 * self.longest)[::2][order]
         out: list[list[np.ndarray]] = [[], [], [], []]
         for n, pieces, ids, scores in self.by_length:
             own = np.ascontiguousarray(raw[:, : 2 * n]).view(f"S{2 * n}").reshape(-1)
@@ -229,15 +230,19 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", id_col: str =
     return out.select(F.when(F.col("id") != F.lit(-(1 << 63)), F.col("id")).alias(id_col), "text", "ids")
 
 
-def decode_pieces(encoded: DataFrame, model: str, keep: list[str]) -> DataFrame:
-    """The `keep` columns with `decoded`, the text that `ids` stand for (null ids: null). Bytes that are no UTF-8 become the replacement character."""
+def decode_pieces(encoded: DataFrame, model: str, keep: list[str], keep_ids: bool = False) -> DataFrame:
+    """The `keep` columns (and `ids`) with `decoded`, the text that `ids` stand for (null ids: null). Bytes that are no UTF-8 become the replacement character."""
+    names = [*keep, *["ids"] * keep_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("ids")
-            out = [encoder(model).table.decode(np.asarray(ids[i].values)) if ids[i].is_valid else None for i in range(len(ids))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.string())], names=[*keep, "decoded"])
+            ids, table = batch.column("ids"), encoder(model).table
+            known = ids.is_valid().to_pylist()
+            sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat, cuts = ids.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(sizes)]
+            out = [table.decode(flat[a:b]) if k else None for a, b, k in zip(cuts[:-1].tolist(), cuts[1:].tolist(), known, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, pa.string())], names=[*names, "decoded"])
 
     own = encoded.select(*keep, "ids")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "ids")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name in names)
     return own.mapInArrow(run, f"{fields}, decoded string")
