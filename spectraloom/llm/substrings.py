@@ -5,7 +5,8 @@ windows have equal sync points at equal distances, so only suffixes at sync poin
 a hundred positions. Sync points whose k-gram is unique drop out. The rest are sorted with their k-gram's
 others by the bytes that follow and by the bytes that precede (deep-shallow: a multikey quicksort on 8-byte
 words to a shallow depth, then blind tries for the groups that still agree), and the common-prefix lengths of
-sorted neighbours tell for every distance whether the window at that distance occurs again.
+sorted neighbours tell for every distance whether the window at that distance occurs again. Windows in a run
+of one short period are settled inside their text first.
 """
 
 from __future__ import annotations
@@ -89,6 +90,36 @@ def anchors_of(data: np.ndarray, bounds: np.ndarray, length: int, k: int) -> tup
     return p[first], h[a[first]].view(np.int64), a[first], a[first] - j[last], a[first] - j[first]
 
 
+def thin_periods(data: np.ndarray, bounds: np.ndarray, anchors: tuple[np.ndarray, ...], length: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Where a text repeats itself at a short period its windows repeat too: which sync points to keep, and (part, start, end) repeated.
+
+    A window that equals the one a period before it needs no sorting: it is known to occur twice, and what it equals
+    elsewhere equals the kept one as well. So a run keeps about its first period.
+    """
+    part, key, pos, dlo, dhi = anchors
+    keep = np.ones(len(pos), bool)
+    spans = []
+    same = np.flatnonzero((part[1:] == part[:-1]) & (key[1:] == key[:-1])) + 1
+    done = -1  # end of the last run looked at, with its period's sync points
+    for i in same.tolist():
+        p = int(pos[i] - pos[i - 1])
+        if i <= done or not 0 < p < length:
+            continue
+        lo, hi = int(bounds[part[i]]), int(bounds[part[i] + 1])
+        differs = np.flatnonzero(data[lo : hi - p] != data[lo + p : hi])
+        at = int(np.searchsorted(differs, pos[i - 1] - lo))
+        left = lo + (int(differs[at - 1]) + 1 if at else 0)
+        right = lo + (int(differs[at]) if at < len(differs) else hi - p - lo) + p
+        if right - left < length + p:
+            continue
+        spans.append((int(part[i]), left, right))
+        run = np.arange(i, int(np.searchsorted(pos, right)))
+        run = run[(pos[run] - dhi[run] >= left + p) & (pos[run] - dlo[run] + length <= right)]
+        keep[run] = False
+        done = int(run[-1]) if len(run) else i
+    return keep, spans
+
+
 def find_anchors(length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "th", "key", "pos", "dlo", "dhi"]
@@ -102,7 +133,12 @@ def find_anchors(length: int, k: int):
                 some = parts[a:b]
                 data = np.concatenate([raw[s:e] for _, s, e in some])
                 bounds = ends[a : b + 1] - ends[a]
-                part, key, pos, dlo, dhi = anchors_of(data, bounds, length, k)
+                found = anchors_of(data, bounds, length, k)
+                keep, spans = thin_periods(data, bounds, found, length)
+                part, key, pos, dlo, dhi = (x[keep] for x in found)
+                if spans:  # as rows with dlo -1 and the span's length in dhi
+                    of, left, right = (np.array(c) for c in zip(*spans, strict=True))
+                    part, key, pos, dlo, dhi = (np.r_[a, b] for a, b in ((part, of), (key, 0 * of), (pos, left), (dlo, 0 * of - 1), (dhi, right - left)))
                 row = np.array([x[0] for x in some])[part] if len(part) else part
                 shift = np.array([s - int(offsets[i]) for i, s, _ in some])
                 pos = pos - bounds[part] + shift[part] if len(part) else pos
@@ -116,33 +152,29 @@ def cut_contexts(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "id", "th", "base", "ctx", "pos", "dlo", "dhi"]
-        types = [pa.int64()] * 4 + [pa.binary()] + [pa.list_(pa.int32())] * 3
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
-            found = batch.column("found").to_pylist()
-            ids, ths = batch.column("id").to_pylist(), batch.column("th").to_pylist()
-            out: list[list] = [[] for _ in names]
-            size = 0
-            for i, anchors in enumerate(found):
-                text = raw[offsets[i] : offsets[i + 1]].tobytes()
-                anchors.sort(key=lambda x: (x["key"], x["pos"], x["dlo"]))
-                j = 0
-                while j < len(anchors):
-                    m = j + 1
-                    while m < len(anchors) and anchors[m]["key"] == anchors[j]["key"] and anchors[m]["pos"] - anchors[m - 1]["pos"] <= length and anchors[m]["pos"] - anchors[j]["pos"] < BLOCK:
-                        m += 1
-                    run_ = anchors[j:m]
-                    base = min(x["pos"] - x["dhi"] for x in run_)
-                    stop = max(x["pos"] - x["dlo"] + length for x in run_)
-                    for column, v in zip(out, (anchors[j]["key"], ids[i], ths[i], base, text[base:stop], [x["pos"] - base for x in run_], [x["dlo"] for x in run_], [x["dhi"] for x in run_]), strict=True):
-                        column.append(v)
-                    size += stop - base
-                    j = m
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
-                    out, size = [[] for _ in names], 0
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
+            found = batch.column("found")
+            rows = np.repeat(np.arange(batch.num_rows), found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            key, pos, dlo, dhi = (found.flatten().field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "pos", "dlo", "dhi"))
+            order = np.lexsort((dlo, pos, key, rows))
+            rows, key, pos, dlo, dhi = (x[order] for x in (rows, key, pos, dlo, dhi))
+            ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
+            # a run: sync points of one text with one k-gram whose windows touch, of a bounded reach
+            apart = (rows[1:] != rows[:-1]) | (key[1:] != key[:-1]) | (pos[1:] - pos[:-1] > length) | (pos[1:] // BLOCK != pos[:-1] // BLOCK)
+            starts = np.flatnonzero(np.r_[True, apart]) if len(rows) else np.zeros(0, np.int64)
+            base = np.minimum.reduceat(pos - dhi, starts) if len(starts) else starts
+            stop = np.maximum.reduceat(pos - dlo + length, starts) if len(starts) else starts
+            edges = np.r_[starts, len(rows)]
+            reach = np.r_[0, np.cumsum(stop - base)]
+            for a, b in slices(reach, 4 << 20):
+                x, y = edges[a], edges[b]
+                own = rows[starts[a:b]]
+                at = offsets[own]
+                ctx = [raw[o + s : o + e].tobytes() for o, s, e in zip(at.tolist(), base[a:b].tolist(), stop[a:b].tolist(), strict=True)]
+                cuts = pa.array((edges[a : b + 1] - x).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(v.astype(np.int32))) for v in (pos[x:y] - np.repeat(base[a:b], np.diff(edges[a : b + 1])), dlo[x:y], dhi[x:y])]
+                yield pa.RecordBatch.from_arrays([pa.array(key[starts[a:b]]), pa.array(ids[own]), pa.array(ths[own]), pa.array(base[a:b]), pa.array(ctx, pa.binary()), *lists], names=names)
 
     return run
 
@@ -387,7 +419,7 @@ def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in rest), pa.array(kept, pa.binary()), pa.array(removed, removed_type)], names=[*rest, "kept", "removed"])
 
 
-def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 128, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 64, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Spans (id, th, s, e) of bytes in a repeated string of `length` bytes, and the keyed texts they belong to."""
     keyed = docs.select(row_id(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     long_enough = keyed.where(F.octet_length("text") >= length)
@@ -396,9 +428,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     copied = ids.join(copies, "digest").select("id", "th", "nb", "rep")
     whole = copied.select("id", "th", F.lit(0).cast("long").alias("s"), F.col("nb").alias("e"))
     spare = copied.where((F.col("id") != F.col("rep.id")) | (F.col("th") != F.col("rep.th"))).select("id", "th")
-    anchors = staged(long_enough.select("id", "th", "text").mapInArrow(find_anchors(length, k), ANCHOR_SCHEMA).join(spare, ["id", "th"], "left_anti"), "substr-anchors")
-    counts = anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    found = anchors.join(counts, "key")
+    anchors = staged(long_enough.select("id", "th", "text").mapInArrow(find_anchors(length, k), ANCHOR_SCHEMA), "substr-anchors")
+    # a k-gram counts if it stands at two places of different texts or of one; copies have the same places
+    place = F.xxhash64("th", "pos")
+    points = anchors.where("dlo >= 0")
+    counts = staged(points.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("key", "n"), "substr-keys")
+    found = points.join(counts.hint("merge"), "key").join(spare.hint("merge"), ["id", "th"], "left_anti")
     texts = keyed.select("id", "th", "text").repartition("id", "th")
 
     def contexts(some: DataFrame) -> DataFrame:
@@ -406,7 +441,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         return texts.join(per_text.hint("shuffle_hash"), ["id", "th"]).select("id", "th", "text", "found").mapInArrow(cut_contexts(length), CONTEXT_SCHEMA)
 
     sorted_rows = contexts(found.where(F.col("n") <= hot)).repartition("key").sortWithinPartitions("key")
-    spans = sorted_rows.mapInArrow(sort_groups(length, k), SPAN_SCHEMA).union(whole)
+    periods = anchors.where("dlo < 0").select("id", "th", F.col("pos").alias("s"), (F.col("pos") + F.col("dhi")).alias("e"))
+    spans = sorted_rows.mapInArrow(sort_groups(length, k), SPAN_SCHEMA).union(whole).union(periods)
     if not counts.where(F.col("n") > hot).isEmpty():
         windows = staged(contexts(found.where(F.col("n") > hot)).mapInArrow(hot_windows(length), WINDOW_SCHEMA), "substr-hot")
         twice = windows.groupBy("key", "d", "wh").agg(F.count("*").alias("n")).where("n > 1").drop("n")
@@ -414,7 +450,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     return spans, texts
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 128, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 64, hot: int = HOT) -> DataFrame:
     """Removes every byte covered by a string of `length` bytes that starts anywhere else too.
 
     Returns per row of docs: the id column, `text` as given, `kept` (binary, the bytes left) and `removed`

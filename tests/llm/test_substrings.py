@@ -32,7 +32,7 @@ def texts(seed: int) -> list[str | None]:
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 6)))
     prose = lambda n: " ".join(word() for _ in range(n))
     passage = [prose(12) for _ in range(4)]
-    out: list[str | None] = [None, "", "short", "a" * 300, "ab" * 90, "aaaa" * 10]
+    out: list[str | None] = [None, "", "short", "a" * 300, "ab" * 90, "aaaa" * 10, "the " * 50, "x the " + "the " * 30 + "end", prose(9) + "abcabcd" * 30 + prose(3), "q" + "abcabcd" * 9, "abcabcd" * 5 + "abc", "the " * 11, "a" * 39 + "b" + "a" * 45]
     for _ in range(25):
         t = prose(rng.randint(5, 60))
         for _ in range(rng.randint(0, 3)):
