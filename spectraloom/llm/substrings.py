@@ -450,14 +450,15 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     return spans, texts
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 64, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 64, hot: int = HOT, keep: tuple[str, ...] = ()) -> DataFrame:
     """Removes every byte covered by a string of `length` bytes that starts anywhere else too.
 
     Returns per row of docs: the id column, `text` as given, `kept` (binary, the bytes left) and `removed`
     (array of start, stop: maximal runs in bytes). A null text counts as empty: kept is empty and nothing is
     removed. Texts shorter than `length` stay whole. Exact copies (also repeated rows) of at least `length`
     bytes lose every byte. Null and repeated ids are rows of their own; other columns are ignored. An empty
-    table gives an empty table. `k` sets the k-gram inside each window by which windows meet (any 1..length-1
+    table gives an empty table. `keep` names further columns to return, as one struct `kept_columns` (rows alike
+    in id and text get those of one of them). `k` sets the k-gram inside each window by which windows meet (any 1..length-1
     gives the same result); a k-gram with more than `hot` sync points is counted window by window with
     partial aggregates instead of being sorted in one task.
     """
@@ -465,14 +466,25 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     per_text = spans.groupBy("id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     rows = texts.join(per_text.hint("shuffle_hash"), ["id", "th"], "left").select("id", "th", "text", "spans")
     schema = "row long, text string, kept binary, removed array<struct<start:long,stop:long>>"
-    cut = rows.select(F.col("id").alias("row"), "id", "th", "text", "spans").mapInArrow(_with_text, schema)
-    return cut.select(F.when(F.col("row") != F.lit(-(1 << 63)), F.col("row")).alias(id_col), "text", "kept", "removed")
+    fields, names = [F.col("id").alias("row")], ["row"]
+    if keep:  # keyed like the texts, so this join shuffles the further columns only
+        own = docs.select(row_id(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.struct(*keep).alias("kept_columns"))
+        rows = rows.join(own.groupBy("id", "th").agg(F.first("kept_columns").alias("kept_columns")).hint("shuffle_hash"), ["id", "th"])
+        schema += f", kept_columns {own.schema['kept_columns'].dataType.simpleString()}"
+        fields, names = [*fields, "kept_columns"], [*names, "kept_columns"]
+    cut = rows.select(*fields, "id", "th", "text", "spans").mapInArrow(_with_text(names), schema)
+    return cut.select(F.when(F.col("row") != F.lit(-(1 << 63)), F.col("row")).alias(id_col), "text", "kept", "removed", *names[1:])
 
 
-def _with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = 0
-        for out in cut_texts(iter([batch])):
-            part = batch.slice(at, out.num_rows)
-            at += out.num_rows
-            yield pa.RecordBatch.from_arrays([out.column("row"), part.column("text"), out.column("kept"), out.column("removed")], names=["row", "text", "kept", "removed"])
+def _with_text(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for out in cut_texts(iter([batch])):
+                part = batch.slice(at, out.num_rows)
+                at += out.num_rows
+                columns = {"text": part.column("text")} | {n: out.column(n) for n in ("kept", "removed", *names)}
+                order = [names[0], "text", "kept", "removed", *names[1:]]
+                yield pa.RecordBatch.from_arrays([columns[n] for n in order], names=order)
+
+    return run
