@@ -1,6 +1,7 @@
 """Quality classifier: naive Bayes support vectors (operator 7).
 
-A text is the set of its hashed byte n-grams. Each indicator is scaled by the class log-count ratio that
+A text is the set of its hashed byte n-grams and of indicators of how many of its word pairs double a word and how
+many of its lines repeat. Each indicator is scaled by the class log-count ratio that
 naive Bayes gives the n-gram, and a linear hinge-loss model on the scaled indicators is fitted by dual coordinate
 descent. A logistic curve on the margin gives the score.
 """
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +24,19 @@ GRAMS = (1, 2, 3, 4)
 #: Labelled rows of each class that are fitted on, at most, drawn by hashed id.
 PER_CLASS = 2500
 BLOCK = 1 << 20
+#: Shares, in thousandths, of doubled words and of repeated lines from which an indicator each is set.
+STEPS = (5, 10, 20, 50, 100, 200, 300, 500, 700)
+FEATURES = (1 << BITS) + 2 * len(STEPS)
 
 
 def gram_set(raw: np.ndarray) -> np.ndarray:
     """Sorted distinct feature numbers of a text's bytes."""
-    seen = np.zeros(1 << BITS, bool)
+    seen = np.zeros(FEATURES, bool)
+    text = raw.tobytes()
+    words, lines = text.split(), [x for x in text.split(b"\n") if x.strip()]
+    for place, n, total in ((0, sum(map(eq, words, words[1:])), len(words)), (len(STEPS), len(lines) - len(set(lines)), len(lines))):
+        for i, step in enumerate(STEPS):
+            seen[(1 << BITS) + place + i] = 1000 * n >= step * max(total, 1)
     for lo in range(0, max(len(raw), 1), BLOCK):
         x = raw[lo : lo + BLOCK + max(GRAMS) - 1].astype(np.uint32)
         h = np.zeros(len(x), np.uint32)
@@ -55,13 +65,13 @@ class Model:
 
 def fit(sets: list[np.ndarray], labels: np.ndarray, prior: float, smooth: float = 1.0, cost: float = 1.0, epochs: int = 30, beta: float = 0.75) -> Model:
     y = np.where(labels == 1, 1.0, -1.0)
-    totals = np.full((2, 1 << BITS), smooth)
+    totals = np.full((2, FEATURES), smooth)
     for s, v in zip(sets, labels, strict=True):
         totals[int(v == 1), s] += 1
     ratio = np.log(totals[1] / totals[1].sum()) - np.log(totals[0] / totals[0].sum())
     rows = [ratio[s] / max(1.0, np.sqrt(len(s))) for s in sets]
     square = np.array([r @ r for r in rows]) + 1.0  # the 1 is the bias's feature
-    w, b, alpha = np.zeros(1 << BITS), 0.0, np.zeros(len(sets))
+    w, b, alpha = np.zeros(FEATURES), 0.0, np.zeros(len(sets))
     rng = np.random.default_rng(7)
     bound = cost * len(sets) / 2 / np.maximum(1, np.where(y > 0, (y > 0).sum(), (y < 0).sum()))  # classes weigh the same
     for _ in range(epochs):
@@ -107,7 +117,7 @@ def logistic(margins: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, f
 def _sample_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, offsets = text_buffers(batch.column("text"))
-        sets = [gram_set(raw[a:b]).astype("<u2").tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        sets = [gram_set(raw[a:b]).astype("<u4").tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(sets, pa.binary())], names=["label", "features"])
 
 
@@ -124,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     if rows.empty:
         return None
     rows = rows.sort_values(["label", "features"], kind="stable")
-    sets = [np.frombuffer(b, "<u2").astype(np.int64) for b in rows["features"]]
+    sets = [np.frombuffer(b, "<u4").astype(np.int64) for b in rows["features"]]
     return fit(sets, rows["label"].to_numpy(), counts.get(1, 0) / sum(counts.values()))
 
 
