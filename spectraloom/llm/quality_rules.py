@@ -26,7 +26,7 @@ RULES: list[tuple[str, str]] = [
     ("exclamations", "10 * n_exclaims > n_words"),
     ("digits", "5 * n_digits > word_chars"),
     ("capitals", "2 * n_capital_words > n_words"),
-    ("dup_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("dup_lines", "2 * n_dup_lines > n_lines"),
     ("dup_line_chars", "5 * dup_line_chars > text_chars"),
     ("repeat_words", "100 * n_repeat_words > 50 * n_words"),
     ("some_repeat_words", "100 * n_repeat_words > 30 * n_words"),
@@ -100,12 +100,16 @@ def measures(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
         return let(F.array_distinct(lines), made)
 
+    def capital(word: Column) -> Column:
+        w = F.replace(word, F.lit("ß"), F.lit("s"))  # it has no capital of its own
+        return (w == F.upper(w)) & (w != F.lower(w))
+
     def per_word(words: Column) -> Column:
         return F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             repeat_words(words).cast("long").alias("n_repeat_words"),
-            F.size(F.filter(words, lambda w: (w == F.upper(w)) & (w != F.lower(w)))).cast("long").alias("n_capital_words"),
+            F.size(F.filter(words, capital)).cast("long").alias("n_capital_words"),
             F.size(F.array_distinct(words)).cast("long").alias("n_distinct_words"),
         )
 

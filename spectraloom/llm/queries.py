@@ -99,5 +99,48 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in REGISTERED}
 
 
+QUALITY_SQL = """WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+ s AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words, list_filter(str_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM t),
+ g AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1))::INT AS i FROM s)),
+ c AS (SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
+ r AS (SELECT doc_id, count(DISTINCT i) AS n_repeat_words FROM c GROUP BY doc_id),
+ m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars, COUNT_SYMBOLS AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  (length(t) - length(replace(t, '!', '')))::BIGINT AS n_exclaims, (length(t) - length(regexp_replace(t, '[0-9]', '', 'g')))::BIGINT AS n_digits,
+  len(list_filter(list_transform(words, lambda w: replace(w, 'ß', 's')), lambda w: w = upper(w) AND w <> lower(w)))::BIGINT AS n_capital_words, len(lines)::BIGINT AS n_lines,
+  (length(array_to_string(lines, '')) - length(array_to_string(list_distinct(lines), '')))::BIGINT AS dup_line_chars, length(t)::BIGINT AS text_chars, len(list_distinct(words))::BIGINT AS n_distinct_words,
+  len(list_filter(lines, lambda x: ends_with(x, '...') OR ends_with(x, '…')))::BIGINT AS n_ellipses, len(list_filter(lines, lambda x: starts_with(x, '- ') OR starts_with(x, '* ') OR starts_with(x, '• ')))::BIGINT AS n_bullets
+  FROM s LEFT JOIN r USING (doc_id)),
+ b AS (SELECT *, (BITS)::BIGINT AS fail_bits FROM m)
+ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & BASE) <> 0 AS base_failed, (fail_bits & ALL_RULES) = 0 AS kept, fail_bits FROM b"""
+
+
+def quality_sql() -> str:
+    bits = " + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, (_, rule) in enumerate(quality_rules.RULES))
+    all_rules = quality_rules.mask_of(quality_rules.POLICIES["v2"] + quality_rules.BASE_RULES)
+    out = QUALITY_SQL.replace("COUNT_SYMBOLS", "(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT")
+    return out.replace("(BITS)", f"({bits})").replace("& BASE)", f"& {quality_rules.mask_of(quality_rules.BASE_RULES)})").replace("ALL_RULES", str(all_rules))
+
+
+def secrets_sql() -> str:
+    """Spans from what each pattern matches and the pieces between its matches."""
+    words = ("password", "passwd", "secret", "token")
+    either = "|".join("".join(f"[{c.upper()}{c}]" for c in w) for w in words) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+    selects = []
+    for i, (kind, pattern, group, least) in enumerate(secret_ledger.RULES):
+        p = pattern.replace("(?i:password|passwd|secret|token|api_?key)", either).replace("'", "''")
+        selects.append(
+            f"SELECT doc_id, {i} AS k, '{kind}' AS kind, m[i] AS whole, g[i] AS part, (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s, {least} AS least FROM "
+            f"(SELECT *, unnest(range(1, len(m) + 1))::INT AS i FROM (SELECT doc_id, regexp_extract_all(t, '{p}', 0) AS m, regexp_extract_all(t, '{p}', {group}) AS g, regexp_split_to_array(t, '{p}') AS p FROM d WHERE regexp_matches(t, '{p}')))"
+        )
+    spans = " UNION ALL ".join(selects)
+    text = "kind || ':' || s || ':' || (s + length(whole))"
+    count = lambda k: f"count(*) FILTER (k = {k})"
+    return (
+        f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), a AS (SELECT * FROM ({spans}) WHERE length(part) >= least), "
+        f"f AS (SELECT doc_id, {count(0)} AS n_assign, {count(1)} AS n_access, {count(2)} AS n_hex, coalesce(string_agg({text}, ',' ORDER BY s, k) FILTER (k < {secret_ledger.BASE_KINDS}), '') AS base, string_agg({text}, ',' ORDER BY s, k) AS spans FROM a GROUP BY doc_id) "
+        "SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN f USING (doc_id)"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": quality_sql(), "op5_secret_scan": secrets_sql()}

@@ -17,14 +17,14 @@ def measured(text: str | None) -> dict[str, int]:
     return {
         "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in t), "n_dup_lines": len(lines) - len(set(lines)),
         "n_repeat_words": len(covered), "n_exclaims": t.count("!"), "n_digits": sum(c in "0123456789" for c in t),
-        "n_capital_words": sum(w == w.upper() and w != w.lower() for w in words), "n_lines": len(lines), "dup_line_chars": sum(map(len, lines)) - sum(map(len, set(lines))),
+        "n_capital_words": sum(w == w.upper() and w != w.lower() for w in (w.replace("ß", "s") for w in words)), "n_lines": len(lines), "dup_line_chars": sum(map(len, lines)) - sum(map(len, set(lines))),
         "text_chars": len(t), "n_distinct_words": len(set(words)), "n_ellipses": sum(x.endswith(("...", "…")) for x in lines), "n_bullets": sum(x.startswith(("- ", "* ", "• ")) for x in lines),
     }
 
 
 def texts() -> list[str | None]:
     rng = random.Random(2)
-    out: list[str | None] = [None, "", " \n\t ", "one", "a b c", "a b c a b c a", "x\x0by\x1cz\x85w", "🤔 é\n🤔 é\n", "- a\n* b\n• c\nd...", "A!! B!!\n" * 30]
+    out: list[str | None] = [None, "", " \n\t ", "one", "Äß ß GROSS aß", "a b c", "a b c a b c a", "x\x0by\x1cz\x85w", "🤔 é\n🤔 é\n", "- a\n* b\n• c\nd...", "A!! B!!\n" * 30]
     for _ in range(60):
         out.append("".join(rng.choice(["ab", "C", "é", "1", "#", "!"]) + rng.choice([" ", "  ", "\n", "\t", " \n"]) for _ in range(rng.randint(0, 200))))
     return out + ["word " * 20_000, " ".join(f"w{i}" for i in range(30_000))]
