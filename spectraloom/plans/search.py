@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
@@ -65,8 +65,9 @@ def search(proteins: DataFrame, spectra: DataFrame, config: SearchConfig | None
     left, right = binned(peptides.select("sequence", "matching_mass"), measured, config)
     grouped = left.groupBy("lane", "salt").cogroup(right.groupBy("lane", "salt"))
     scored = grouped.applyInPandas(sc.score_groups(config.ppm), sc.MATCH_SCHEMA).where(F.col("xcorr") > config.score_floor)
-    best = ag.top_matches(scored, "spectrum_id", "xcorr", "sequence", config.top).drop("rank")
-    kept = best.join(scored.groupBy("spectrum_id", "sequence").agg(F.max("matched_ions").alias("matched_ions"), F.max("mass_diff").alias("mass_diff")), ["spectrum_id", "sequence"])
+    # a pair meets in one bin and one salt only, so its row is the pair's only one
+    order = Window.partitionBy("spectrum_id").orderBy(F.desc("xcorr"), "sequence")
+    kept = scored.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= config.top).drop("_r")
     return wn.hit_ranks(kept, "spectrum_id", "xcorr", "sequence").join(peptides.select("sequence", "proteins"), "sequence")
 
 
