@@ -73,7 +73,7 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, text: str = "
         known = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "rule_version", "spans")
         unseen = unseen.join(known.select("blob"), "blob", "left_anti")
     texts = versions.select("_row", "blob", "text").join(unseen, ["_row", "blob"], "left_semi").select("blob", "text")
-    added = staged(scan(texts), "secret-ledger").dropDuplicates(["blob"])
+    added = staged(scan(texts).dropDuplicates(["blob"]), "secret-ledger")
     ledger_now = added if known is None else known.unionByName(added)
     return paths.join(ledger_now.select("blob", "spans"), "blob").select(id_col, "blob", "spans"), added
 
