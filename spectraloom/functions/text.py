@@ -25,9 +25,7 @@ def similarity(a: Column, b: Column) -> Column:
 
 def fixed_substrings(text: Column, size: int) -> Column:
     """Every substring of `size` letters of the cleaned text."""
-    clean = clean_word(text)
-    count = F.length(clean) - size + 1
-    return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(clean, i, size))).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(clean_word(text), F.lit(f"(?=(.{{{size}}}))"), 1)
 
 
 def case_variations(word: Column, size: int) -> Column:

@@ -105,7 +105,7 @@ def check_expected(scored: DataFrame, expected: DataFrame, keys: Sequence[str],
 
 def containing(proteins: DataFrame, peptides: DataFrame, sequence: str, peptide: str, k: int = 4) -> DataFrame:
     """Proteins with each wanted peptide they contain (of at least k letters): joined on the peptide's first k letters, then verified."""
-    seeds = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(sequence) - k + 1), lambda i: F.substring(F.col(sequence), i, k)))
+    seeds = F.array_distinct(F.regexp_extract_all(F.col(sequence), F.lit(f"(?=(.{{{k}}}))"), 1))  # one pass, where substrings by position would start anew each time
     left = proteins.where(F.length(sequence) >= k).withColumn("_seed", F.explode(seeds))
     right = peptides.where(F.length(peptide) >= k).withColumn("_seed", F.substring(peptide, 1, k))
     return left.join(right, "_seed").where(F.contains(F.col(sequence), F.col(peptide))).drop("_seed")

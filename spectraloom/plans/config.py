@@ -27,7 +27,7 @@ class SearchConfig:
     top: int = 4
     max_proteins: int | None = None
     hot_bin: int = 30
-    lanes: int = 64
+    group_rows: int = 5000
 
 
 #: Keys of parameter files and the option each sets (fixed values).

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
 from spectraloom.functions.masses import matching_mass, precursor_mass, sequence_mass
+from spectraloom.functions.staging import staged
 from spectraloom.operators import aggregates as ag
 from spectraloom.operators import digest as dg
 from spectraloom.operators import scoring as sc
@@ -38,19 +39,25 @@ def scorable_spectra(spectra: DataFrame, config: SearchConfig) -> DataFrame:
 
 
 def binned(peptides: DataFrame, spectra: DataFrame, config: SearchConfig) -> tuple[DataFrame, DataFrame]:
-    """Both sides keyed by (lane, salt) with their mass bin: a peptide in one bin, a spectrum in three.
+    """Both sides keyed by (lane, salt, section) with their mass bin: a peptide in one bin, a spectrum in three.
 
-    A lane holds the bins that hash to it, so that a Python group is worth its overhead; a bin of many spectra is
-    split and its peptides copied, so that no group grows with a hot bin. Peptides of unused bins go here.
+    Bins hash to lanes, as many as hold about `group_rows` peptides each, so that a Python group is worth its overhead.
+    A bin of many spectra is split by salt and its peptides copied; a bin of many peptides is split by section and its
+    spectra copied. So no group grows with a hot bin, nor with the table. Peptides of unused bins go here.
     """
     own = ratio_bin(F.col("precursor_mass"), config.ppm)
     right = spectra.withColumn("bin", F.explode(F.sequence(own - 1, own + 1)))
-    splits = right.groupBy("bin").agg((1 + F.floor(F.count("*") / config.hot_bin)).cast("int").alias("_n"))
-    right = right.join(splits, "bin").withColumn("salt", F.pmod(F.xxhash64("spectrum_id"), F.col("_n")).cast("int")).drop("_n")
-    left = peptides.withColumn("bin", ratio_bin(F.col("matching_mass"), config.ppm)).join(splits, "bin")
-    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
-    lane = F.pmod(F.xxhash64("bin"), F.lit(config.lanes)).cast("int")
-    return left.withColumn("lane", lane), right.withColumn("lane", lane)
+    left = peptides.withColumn("bin", ratio_bin(F.col("matching_mass"), config.ppm))
+    sizes = ag.counts_by(right, "bin", out="n_s").join(ag.counts_by(left, "bin", out="n_p"), "bin")
+    splits = staged(sizes.select("bin", "n_p", (1 + F.floor(F.col("n_s") / config.hot_bin)).cast("int").alias("_n"), (1 + F.floor(F.col("n_p") / config.group_rows)).cast("int").alias("_m")), "bins")
+    total = splits.agg(F.sum("n_p")).first()[0] or 0
+    lane = F.pmod(F.xxhash64("bin"), F.lit(max(8, -(-total // config.group_rows)))).cast("int")
+    splits = splits.drop("n_p")
+    right = right.join(splits, "bin").withColumn("salt", F.pmod(F.xxhash64("spectrum_id"), F.col("_n")).cast("int"))
+    left = left.join(splits, "bin").withColumn("section", F.pmod(F.xxhash64("sequence"), F.col("_m")).cast("int"))
+    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    right = right.withColumn("section", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+    return left.withColumn("lane", lane).drop("_n", "_m"), right.withColumn("lane", lane).drop("_n", "_m")
 
 
 def search(proteins: DataFrame, spectra: DataFrame, config: SearchConfig | None = None) -> DataFrame:
@@ -60,12 +67,13 @@ def search(proteins: DataFrame, spectra: DataFrame, config: SearchConfig | None
     scored. Scores up to the floor are dropped; the best `top` of each spectrum are ranked, ties by sequence.
     """
     config = config or SearchConfig()
-    peptides = peptide_table(proteins, config)
+    peptides = staged(peptide_table(proteins, config), "peptides")
     measured = scorable_spectra(spectra, config).select("spectrum_id", "precursor_mass", "precursor_charge", F.col("peaks.mz").alias("mz"), F.col("peaks.intensity").alias("intensity"))
     left, right = binned(peptides.select("sequence", "matching_mass"), measured, config)
-    grouped = left.groupBy("lane", "salt").cogroup(right.groupBy("lane", "salt"))
+    keys = ["lane", "salt", "section"]
+    grouped = left.groupBy(*keys).cogroup(right.groupBy(*keys))
     scored = grouped.applyInPandas(sc.score_groups(config.ppm), sc.MATCH_SCHEMA).where(F.col("xcorr") > config.score_floor)
-    # a pair meets in one bin and one salt only, so its row is the pair's only one
+    # a pair meets in one bin, salt and section only, so its row is the pair's only one
     order = Window.partitionBy("spectrum_id").orderBy(F.desc("xcorr"), "sequence")
     kept = scored.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= config.top).drop("_r")
     return wn.hit_ranks(kept, "spectrum_id", "xcorr", "sequence").join(peptides.select("sequence", "proteins"), "sequence")
