@@ -52,6 +52,21 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
+_kept: dict[tuple, object] = {}
+
+
+def worker_cache(key: tuple, make):
+    """What a Python worker keeps between tasks, made once; it keeps one operator's at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def drop_worker_caches() -> None:
+    _kept.clear()
+
+
 def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes each (a longer row stands alone)."""
     i, n = 0, len(offsets) - 1

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_buffers
+from .common import drop_worker_caches, slices, text_buffers
 
 BITS = 12
 #: Training rows: at most about PER_LANGUAGE for a language and MOST in all, drawn by hashed id.
@@ -97,18 +97,25 @@ class Model:
 def fit(features: np.ndarray, labels: np.ndarray, languages: list[str], ridge: float = 0.3) -> Model:
     """Least-squares bit classifiers, each language weighing the same; trust from held-in accuracy by language and bit."""
     code = codewords(len(languages))
-    x = features.astype(float)
+    x = np.ascontiguousarray(features, np.float32)
     w = 1 / np.sqrt(np.bincount(labels, minlength=len(languages)))[labels]
-    mean = (w[:, None] ** 2 * x).sum(axis=0) / (w**2).sum()
-    xc = (x - mean) * w[:, None]
+    share = w**2 / (w**2).sum()
+    mean = (share.astype(np.float32) @ x).astype(float)
     y = code[labels]
-    y0 = (w[:, None] ** 2 * y).sum(axis=0) / (w**2).sum()
-    # ridge of the mean diagonal, in the dual: as many unknowns as training rows
-    gram = xc @ xc.T
+    y0 = share @ y
+    # ridge in the dual, as many unknowns as training rows; products of the centred, weighted rows come from those of the rows
+    gram = (x @ x.T).astype(float)
+    own = x @ mean.astype(np.float32)
+    gram -= own[:, None]
+    gram -= own[None, :]
+    gram += mean @ mean
+    gram *= w[:, None]
+    gram *= w[None, :]
     gram[np.diag_indices_from(gram)] += ridge * np.trace(gram) / len(gram)
-    weights = xc.T @ np.linalg.solve(gram, (y - y0) * w[:, None])
+    alpha = np.linalg.solve(gram, (y - y0) * w[:, None]) * w[:, None]
+    weights = x.T @ alpha.astype(np.float32) - np.outer(mean, alpha.sum(axis=0))
     bias = y0 - mean @ weights
-    margin = x @ weights + bias
+    margin = x @ weights.astype(np.float32) + bias
     right = np.array([np.clip((margin[labels == i] * code[i]).mean(axis=0), 0.05, 1) for i in range(len(languages))])
     return Model(languages, code, weights.astype(np.float32), bias, right / right.sum(axis=1, keepdims=True))
 
@@ -119,7 +126,9 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for a in range(0, batch.num_rows, 256):
             b = min(a + 256, batch.num_rows)
             x = trigram_features(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            yield pa.RecordBatch.from_arrays([batch.column("lang").slice(a, b - a), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary())], names=["lang", "features"])
+            some = [np.flatnonzero(r) for r in x]
+            columns = [pa.array([n.astype("<u2").tobytes() for n in some], pa.binary()), pa.array([r[n].astype("<f4").tobytes() for r, n in zip(x, some, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("lang").slice(a, b - a), *columns], names=["lang", "slots", "shares"])
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, most: int = MOST) -> Model | None:
@@ -131,17 +140,20 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     each = max(8, min(per_language, most // len(counts)))
     share = F.create_map(*[F.lit(v) for name, n in counts for v in (name, each / n)])
     draw = F.shiftrightunsigned(F.xxhash64("text"), 11).cast("double") / float(1 << 53)
-    rows = labelled.where(draw < F.element_at(share, F.col("lang"))).mapInArrow(_sample_features, "lang string, features binary").toPandas()
+    rows = labelled.where(draw < F.element_at(share, F.col("lang"))).mapInArrow(_sample_features, "lang string, slots binary, shares binary").toPandas()
     names = [name for name, _ in counts if (rows["lang"] == name).any()]
     if not names:
         return None
-    rows = rows.sort_values(["lang", "features"], kind="stable")
-    x = np.frombuffer(b"".join(rows["features"]), "<f4").reshape(len(rows), -1)
+    rows = rows.sort_values(["lang", "slots", "shares"], kind="stable")
+    x = np.zeros((len(rows), 1 << BITS), np.float32)
+    for r, slots, shares in zip(x, rows["slots"], rows["shares"], strict=True):
+        r[np.frombuffer(slots, "<u2")] = np.frombuffer(shares, "<f4")
     return fit(x, np.array([names.index(v) for v in rows["lang"]]), names)
 
 
 def predictor(model: Model | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_caches()
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             rest = [n for n in batch.schema.names if n != "text"]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, ranked, row_id, slices, staged, text_buffers
+from .common import NULL_ID, ranked, row_id, slices, staged, text_buffers, worker_cache
 
 PIECE_SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words whose ids a worker keeps, in each of two generations.
@@ -81,13 +81,8 @@ class WordEncoder:
         return [self.ids([t])[0].tobytes() if p is None else b"".join(map(get, p)) for t, p in zip(texts, parts, strict=True)]
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return worker_cache(("words", path), lambda: WordEncoder(path))
 
 
 def piece_lengths(n: int, size: int, grain: int) -> list[int]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_id, slices, text_buffers
+from .common import row_id, slices, text_buffers, worker_cache
 
 MARK = "▁"
 CHUNK = re.compile(r"▁+[^▁\n]*|[^▁\n]+|\n")
@@ -197,13 +197,8 @@ class Encoder:
         return [np.frombuffer(b"".join(map(get, p)), "<u4") for p in parts]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return worker_cache(("pieces", path), lambda: Encoder(path))
 
 
 def encode_pieces(docs: DataFrame, model: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:

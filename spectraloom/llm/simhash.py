@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, row_id, slices, staged, text_buffers
+from .common import connected_components, drop_worker_caches, row_id, staged, text_buffers
 
 QUARTERS = list(combinations(range(4), 2))
 FINGERPRINT_SCHEMA = "id long, fp long"
@@ -58,6 +58,7 @@ def fingerprint(text: bytes, words: int) -> int:
 
 def fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_caches()
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             fps = np.array([fingerprint(raw[a:b].tobytes(), words) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.uint64)

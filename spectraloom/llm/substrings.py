@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_id, slices, staged, text_buffers
+from .common import drop_worker_caches, row_id, slices, staged, text_buffers
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -123,6 +123,7 @@ def thin_periods(data: np.ndarray, bounds: np.ndarray, anchors: tuple[np.ndarray
 def find_anchors(length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "th", "key", "pos", "dlo", "dhi"]
+        drop_worker_caches()
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
