@@ -13,13 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_worker_caches, slices, text_buffers
 
 BITS = 12
-#: Training rows: at most about PER_LANGUAGE for a language and MOST in all, drawn by hashed id.
+#: Training texts: at most PER_LANGUAGE for a language and MOST in all (8 a language where there are over MOST / 8), of smallest hash.
 PER_LANGUAGE, MOST = 600, 4000
 #: Loss gap, as a share of all bits' weight, under which a prediction is flagged as ambiguous.
 AMBIGUOUS = 0.05
@@ -121,29 +121,36 @@ def fit(features: np.ndarray, labels: np.ndarray, languages: list[str], ridge: f
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[tuple] = set()  # of drawn texts, so bounded as they are
     for batch in batches:
+        new = []
+        for i, key in enumerate(zip(batch.column("lang").to_pylist(), batch.column("h").to_pylist(), strict=True)):
+            if key not in seen:
+                seen.add(key)
+                new.append(i)
+        batch = batch.take(pa.array(new, pa.int64()))
         raw, offsets = text_buffers(batch.column("text"))
         for a in range(0, batch.num_rows, 256):
             b = min(a + 256, batch.num_rows)
             x = trigram_features(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             some = [np.flatnonzero(r) for r in x]
             columns = [pa.array([n.astype("<u2").tobytes() for n in some], pa.binary()), pa.array([r[n].astype("<f4").tobytes() for r, n in zip(x, some, strict=True)], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("lang").slice(a, b - a), *columns], names=["lang", "slots", "shares"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang").slice(a, b - a), batch.column("h").slice(a, b - a), *columns], names=["lang", "h", "slots", "shares"])
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, most: int = MOST) -> Model | None:
-    """Fits on a bounded sample of labelled rows, drawn by hashed text so that copies count once in the draw; None without labels."""
-    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null")
-    counts = sorted((r["lang"], r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect())
-    if not counts:
-        return None
-    each = max(8, min(per_language, most // len(counts)))
-    share = F.create_map(*[F.lit(v) for name, n in counts for v in (name, each / n)])
-    draw = F.shiftrightunsigned(F.xxhash64("text"), 11).cast("double") / float(1 << 53)
-    rows = labelled.where(draw < F.element_at(share, F.col("lang"))).mapInArrow(_sample_features, "lang string, slots binary, shares binary").toPandas()
-    names = [name for name, _ in counts if (rows["lang"] == name).any()]
+    """Fits on a bounded sample of labelled texts, the smallest hashes of each language, copies counted once; None without labels."""
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(text).alias("h")).where("lang is not null and text is not null")
+    texts = labelled.select("lang", "h").distinct()
+    names = sorted(r["lang"] for r in texts.select("lang").distinct().collect())
     if not names:
         return None
+    each = max(8, min(per_language, most // len(names)))
+    drawn = texts
+    for part in (["lang", F.pmod("h", F.lit(64))], ["lang"]):  # a language's parts first, so that one task reads 64 bounded parts
+        drawn = drawn.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy("h"))).where(F.col("_r") <= each).drop("_r")
+    met = labelled.join(F.broadcast(drawn), ["lang", "h"]).select("text", "lang", "h")
+    rows = met.mapInArrow(_sample_features, "lang string, h long, slots binary, shares binary").dropDuplicates(["lang", "h"]).toPandas()
     rows = rows.sort_values(["lang", "slots", "shares"], kind="stable")
     x = np.zeros((len(rows), 1 << BITS), np.float32)
     for r, slots, shares in zip(x, rows["slots"], rows["shares"], strict=True):
