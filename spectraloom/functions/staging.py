@@ -1,24 +1,78 @@
-"""Tables kept in the folder that driver and executors share."""
+"""Tables kept in the folder that driver and executors share, and the package on workers that don't have it."""
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: list[list[str]] = []
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under spark.checkpoint.dir, or under a folder of our own where that is unset (one machine)."""
+
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or on one machine a folder of our own where it is unset; a cluster without one is refused."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-staged-")
         spark.sparkContext.setCheckpointDir(where)
-    return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return where.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
-    """df written to a shared table and read back: its lineage ends there."""
+    """df written to a shared table and read back: its lineage ends there, and lost executors cost no rework."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Deletes on leaving what was staged inside, but for what the yielded function stages."""
+    own: list[str] = []
+    _open.append(own)
+
+    def keep(df: DataFrame, name: str = "stage") -> DataFrame:
+        out_of = _open.pop()
+        try:
+            return staged(df, name)
+        finally:
+            _open.append(out_of)
+
+    try:
+        yield keep
+    finally:
+        _open.pop()
+        for path in own:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives every worker of this session the package, whether or not it can see the driver's folders."""
+    context = spark.sparkContext
+    if getattr(context, "_spectraloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(root):  # else it came from an archive that was shipped already
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="spectraloom-"), "spectraloom"), "zip", os.path.dirname(root), "spectraloom")
+        context.addPyFile(os.path.realpath(archive))
+    context._spectraloom_shipped = True
