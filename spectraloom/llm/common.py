@@ -2,36 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterable, Iterator
+import contextlib
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spectraloom.functions.staging import delete, scratch, staged  # noqa: F401
+
 #: Stands for a null id in join keys.
 NULL_ID = -(1 << 63)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="spark-staged-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Writes df to a table in the shared folder and reads it back: lineage ends there, and lost executors cost no rework."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_id(column: str = "doc_id") -> Column:
     """Null-safe long id."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
@@ -58,13 +45,41 @@ _kept: dict[tuple, object] = {}
 def worker_cache(key: tuple, make):
     """What a Python worker keeps between tasks, made once; it keeps one operator's at a time."""
     if key not in _kept:
-        _kept.clear()
+        drop_worker_caches()
         _kept[key] = make()
     return _kept[key]
 
 
 def drop_worker_caches() -> None:
-    _kept.clear()
+    if _kept:
+        _kept.clear()
+        release_memory()
+
+
+def release_memory() -> None:
+    """Gives back to the system what Python, Arrow and the C library hold but don't use: workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library may have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches], cached: bool = False) -> Callable[[Batches], Batches]:
+    """run for mapInArrow, with memory given back at the end of each task; unless it uses worker caches, those of others go first."""
+
+    @functools.wraps(run)
+    def task(batches: Batches) -> Batches:
+        if not cached:
+            drop_worker_caches()
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
 
 
 def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_worker_caches, slices, text_buffers
+from .common import slices, text_buffers, tidy
 
 BITS = 12
 #: Training texts: at most PER_LANGUAGE for a language and MOST in all (8 a language where there are over MOST / 8), of smallest hash.
@@ -94,26 +94,44 @@ class Model:
         return best, 1 / p.sum(axis=1), gap < AMBIGUOUS
 
 
+def ridge_weights(x: np.ndarray, share: np.ndarray, y: np.ndarray, mean: np.ndarray, ridge: float, rounds: int = 300, exact: float = 1e-5) -> np.ndarray:
+    """Weighted ridge regression of y on the centred rows of x, by conjugate gradients: nothing larger than x is held."""
+
+    def back(r: np.ndarray) -> np.ndarray:
+        return (x.T @ r.astype(np.float32)).astype(float) - np.outer(mean, r.sum(axis=0))
+
+    def product(v: np.ndarray) -> np.ndarray:
+        z = (x @ v.astype(np.float32)).astype(float) - mean @ v
+        return back(z * share[:, None]) + ridge * v
+
+    rest = back(y * share[:, None])
+    out, way = np.zeros_like(rest), rest.copy()
+    size = first = (rest**2).sum(axis=0)
+    for _ in range(rounds):
+        if (size <= exact**2 * first).all():
+            break
+        step = product(way)
+        # a column that is solved stands still
+        a = np.where(size > 0, size / np.maximum((way * step).sum(axis=0), 1e-300), 0)
+        out += a * way
+        rest -= a * step
+        now = (rest**2).sum(axis=0)
+        way = rest + np.where(size > 0, now / np.maximum(size, 1e-300), 0) * way
+        size = now
+    return out
+
+
 def fit(features: np.ndarray, labels: np.ndarray, languages: list[str], ridge: float = 0.3) -> Model:
     """Least-squares bit classifiers, each language weighing the same; trust from held-in accuracy by language and bit."""
     code = codewords(len(languages))
     x = np.ascontiguousarray(features, np.float32)
-    w = 1 / np.sqrt(np.bincount(labels, minlength=len(languages)))[labels]
-    share = w**2 / (w**2).sum()
-    mean = (share.astype(np.float32) @ x).astype(float)
+    share = (1 / np.bincount(labels, minlength=len(languages)))[labels]
+    total = share.sum()
+    mean = (share.astype(np.float32) @ x / total).astype(float)
     y = code[labels]
-    y0 = share @ y
-    # ridge in the dual, as many unknowns as training rows; products of the centred, weighted rows come from those of the rows
-    gram = (x @ x.T).astype(float)
-    own = x @ mean.astype(np.float32)
-    gram -= own[:, None]
-    gram -= own[None, :]
-    gram += mean @ mean
-    gram *= w[:, None]
-    gram *= w[None, :]
-    gram[np.diag_indices_from(gram)] += ridge * np.trace(gram) / len(gram)
-    alpha = np.linalg.solve(gram, (y - y0) * w[:, None]) * w[:, None]
-    weights = x.T @ alpha.astype(np.float32) - np.outer(mean, alpha.sum(axis=0))
+    y0 = share @ y / total
+    spread = share @ (np.einsum("ij,ij->i", x, x) - 2 * (x @ mean.astype(np.float32)) + mean @ mean)
+    weights = ridge_weights(x, share, y - y0, mean, ridge * float(spread) / len(x))
     bias = y0 - mean @ weights
     margin = x @ weights.astype(np.float32) + bias
     right = np.array([np.clip((margin[labels == i] * code[i]).mean(axis=0), 0.05, 1) for i in range(len(languages))])
@@ -150,7 +168,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     for part in (["lang", F.pmod("h", F.lit(64))], ["lang"]):  # a language's parts first, so that one task reads 64 bounded parts
         drawn = drawn.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy("h"))).where(F.col("_r") <= each).drop("_r")
     met = labelled.join(F.broadcast(drawn), ["lang", "h"]).select("text", "lang", "h")
-    rows = met.mapInArrow(_sample_features, "lang string, h long, slots binary, shares binary").dropDuplicates(["lang", "h"]).toPandas()
+    rows = met.mapInArrow(tidy(_sample_features), "lang string, h long, slots binary, shares binary").dropDuplicates(["lang", "h"]).toPandas()
     rows = rows.sort_values(["lang", "slots", "shares"], kind="stable")
     x = np.zeros((len(rows), 1 << BITS), np.float32)
     for r, slots, shares in zip(x, rows["slots"], rows["shares"], strict=True):
@@ -160,7 +178,6 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
 
 def predictor(model: Model | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_worker_caches()
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             rest = [n for n in batch.schema.names if n != "text"]
@@ -190,7 +207,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[Column | str], tex
     """
     own = docs.select(*keep, F.col(text).alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text")
-    return own.mapInArrow(predictor(model), f"{fields}, lang_pred string, score double, ambiguous boolean")
+    return own.mapInArrow(tidy(predictor(model)), f"{fields}, lang_pred string, score double, ambiguous boolean")
 
 
 def held_out(id_col: str, parts: int, which: int) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, ranked, row_id, slices, staged, text_buffers, worker_cache
+from .common import NULL_ID, ranked, row_id, slices, staged, text_buffers, tidy, worker_cache
 
 PIECE_SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words whose ids a worker keeps, in each of two generations.
@@ -180,7 +180,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", id_col:
     for itself. An empty table gives no piece.
     """
     keyed = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text"))
-    pieces = staged(keyed.mapInArrow(cut_pieces(tokenizer, end_id, size, grain), PIECE_SCHEMA), "pack-pieces")
+    pieces = staged(keyed.mapInArrow(tidy(cut_pieces(tokenizer, end_id, size, grain), cached=True), PIECE_SCHEMA), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = docs.sparkSession.createDataFrame(slots_of(shortest_pack_first(histogram, size)), "length long, lo long, hi long, seq long, offset long")
     numbered = ranked(pieces, ["length"], ["id", "start", "doc_tokens", "ids_crc32"], "rank", F.xxhash64("id", "start"), buckets)

@@ -1,13 +1,17 @@
 """SimHash near-duplicates through pivot distance tables (operator 10).
 
-Each text gets a 64-bit fingerprint by majority over its word shingles' hashes. Fingerprints at most two bits
-apart leave at least two of four 16-bit quarters alone, so they share one of six pairs of quarters; those
-pairs are the shuffle keys. Inside a key's bucket every fingerprint has a table of its Hamming distances to
-many reference fingerprints. By the triangle inequality two fingerprints whose distances to one reference
-differ by more than two are more than two apart, so the largest coordinate difference discards pairs before
-any is compared; survivors are verified bit by bit. A bucket gives a spanning forest of its links, not its
-pairs. A bucket over `most` fingerprints is dealt again by all but one pair of the eight 4-bit pieces it
-leaves free, which holds it to 256 distinct fingerprints whatever the data.
+Each text gets a 64-bit fingerprint by majority over its word shingles' hashes. One table holds every distinct
+fingerprint's Hamming distances to many reference fingerprints, computed once. By the triangle inequality two
+fingerprints whose distances to one reference differ by more than two are more than two apart, so the largest
+coordinate difference discards pairs before any is compared; survivors are verified bit by bit.
+
+Pairs meet in cells that follow from distances too. With the zero fingerprint and the one-bit fingerprints as
+references, a coordinate less the zero's is +1 or -1, so the 16 coordinates of a quarter spell that quarter's
+bits (which are read off directly). Two bits of difference leave at least two of four quarters' coordinates
+alone, so the six pairs of quarters are the shuffle keys; a random reference's distances take a few dozen values
+and would key almost nothing. A bucket gives a spanning forest of its links, not its pairs. A bucket over `most`
+fingerprints is dealt again by all but one pair of the eight 4-bit pieces it leaves free, which holds it to 256
+distinct fingerprints whatever the data.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop_worker_caches, row_id, staged, text_buffers
+from .common import connected_components, row_id, staged, text_buffers, tidy
 
 QUARTERS = list(combinations(range(4), 2))
 FINGERPRINT_SCHEMA = "id long, fp long"
@@ -58,7 +62,6 @@ def fingerprint(text: bytes, words: int) -> int:
 
 def fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drop_worker_caches()
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             fps = np.array([fingerprint(raw[a:b].tobytes(), words) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.uint64)
@@ -72,11 +75,16 @@ def pivots(n: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(i.to_bytes(4, "little"), 1) for i in range(n)], np.uint64)
 
 
-def linked(fps: np.ndarray, refs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """For distinct fingerprints of one bucket: each with the smallest index it reaches over links of at most `bits` bits."""
+def distance_table(fps: DataFrame, n_pivots: int = PIVOTS) -> DataFrame:
+    """fp with `table`: its Hamming distances to the references."""
+    signed = pivots(n_pivots).view(np.int64).tolist()
+    return fps.select("fp", F.array(*[F.bit_count(F.col("fp").bitwiseXOR(F.lit(r).cast("long"))).cast("byte") for r in signed]).alias("table"))
+
+
+def linked(fps: np.ndarray, table: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """For distinct fingerprints of one bucket and their rows of the table: each with the smallest index it reaches over links of at most `bits` bits."""
     n = len(fps)
     label = np.arange(n)
-    table = np.bitwise_count(fps[:, None] ^ refs[None, :]).astype(np.int8)
     order = np.argsort(table[:, 0], kind="stable")
     first = table[order, 0]
     a, b = [], []
@@ -106,44 +114,46 @@ def linked(fps: np.ndarray, refs: np.ndarray, bits: int) -> tuple[np.ndarray, np
     return label, touched
 
 
-def bucket_links(bits: int, n_pivots: int):
-    refs = pivots(n_pivots)
+def bucket_links(bits: int):
+    """Rows (piece, key, fp, table) sorted by bucket to links."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (key, piece, fp) sorted by bucket to links."""
+    def of_pairs(fps: np.ndarray, table: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All buckets of two at once: discarded by the largest coordinate difference, then verified."""
+        at = at[np.abs(table[at] - table[at + 1]).max(axis=1) <= bits] if len(at) else at
+        at = at[np.bitwise_count(fps[at] ^ fps[at + 1]) <= bits]
+        return fps[at + 1], fps[at]
 
-        def work(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            if len(fps) == 2:
-                near = int(fps[0] ^ fps[1]).bit_count() <= bits
-                return (fps[1:], fps[:1]) if near else (fps[:0], fps[:0])
-            fps = fps[np.argsort(fps.view(np.int64))]
-            label, touched = linked(fps, refs, bits)
-            some = np.flatnonzero(touched & (label != np.arange(len(fps))))
-            return fps[some], fps[label[some]]
+    def of_bucket(fps: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(fps.view(np.int64))
+        fps, table = fps[order], table[order]
+        label, touched = linked(fps, table, bits)
+        some = np.flatnonzero(touched & (label != np.arange(len(fps))))
+        return fps[some], fps[label[some]]
+
+    def emit(fps: np.ndarray, table: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+        sizes = np.diff(cuts)
+        found = [of_pairs(fps, table, cuts[:-1][sizes == 2])]
+        found += [of_bucket(fps[a : a + n], table[a : a + n]) for a, n in zip(cuts[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True)]
+        u, v = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            own = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("piece", "key", "fp"))
-            held.append(own)
-            piece, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+            if not batch.num_rows:
+                continue
+            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("piece", "key", "fp")]
+            held.append((*own, batch.column("table").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)))
+            piece, key, fp, table = (np.concatenate(x) for x in zip(*held, strict=True))
             cuts = np.flatnonzero((piece[1:] != piece[:-1]) | (key[1:] != key[:-1])) + 1
             if len(cuts):
-                yield emit(work, fp[: cuts[-1]], np.r_[0, cuts])
-                held = [(piece[cuts[-1] :], key[cuts[-1] :], fp[cuts[-1] :])]
+                last = cuts[-1]
+                yield emit(fp[:last].view(np.uint64), table[:last], np.r_[0, cuts])
+                held = [(piece[last:], key[last:], fp[last:], table[last:])]
             else:
-                held = [(piece, key, fp)]
+                held = [(piece, key, fp, table)]
         if held:
-            yield emit(work, held[0][2], np.array([0, len(held[0][2])]))
-
-    def emit(work, fp: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
-        us, vs = [], []
-        sizes = np.diff(cuts)
-        for a, n in zip(cuts[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-            u, v = work(fp[a : a + n].view(np.uint64))
-            us.append(u)
-            vs.append(v)
-        u, v = (np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for x in (us, vs))
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            yield emit(held[0][2].view(np.uint64), held[0][3], np.array([0, len(held[0][2])]))
 
     return run
 
@@ -157,13 +167,15 @@ def fingerprint_links(fps: DataFrame, bits: int = 2, most: int = MOST, n_pivots:
         return F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF))
 
     keys = F.array(*[F.struct(F.lit(n).alias("piece"), F.shiftleft(quarter(a), 16).bitwiseOR(quarter(b)).alias("key")) for n, (a, b) in enumerate(QUARTERS)])
-    rows = staged(fps.select("fp", F.explode(keys).alias("k")).select(F.col("k.piece").alias("piece"), F.col("k.key").alias("key"), "fp"), "simhash-keys")
-    sizes = rows.groupBy("piece", "key").agg(F.count("*").alias("n")).where("n > 1")
-    small = rows.join(sizes.where(F.col("n") <= most), ["piece", "key"])
-    parts = small.select("piece", "key", "fp")
-    if not sizes.where(F.col("n") > most).isEmpty():
+    tables = staged(distance_table(fps, n_pivots), "simhash-table")
+    rows = tables.select("fp", F.explode(keys).alias("k")).select(F.col("k.piece").alias("piece"), F.col("k.key").alias("key"), "fp")
+    # counts hold one row for each key that two fingerprints share, and so do the rows that are kept
+    sizes = staged(rows.groupBy("piece", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-sizes")
+    shared = staged(rows.join(sizes, ["piece", "key"]), "simhash-keys")
+    parts = shared.where(F.col("n") <= most).select("piece", "key", "fp")
+    large = shared.where(F.col("n") > most).select("piece", "fp")
+    if not large.isEmpty():
         # the two quarters that the bucket leaves free, as eight pieces of four bits; all but two of them key anew
-        large = rows.join(sizes.where(F.col("n") > most), ["piece", "key"]).select("piece", "fp")
         masks = []
         for n, (a, b) in enumerate(QUARTERS):
             free = [16 * q + 4 * i for q in range(4) if q not in (a, b) for i in range(4)]
@@ -172,8 +184,8 @@ def fingerprint_links(fps: DataFrame, bits: int = 2, most: int = MOST, n_pivots:
                 masks.append((n, 6 + 28 * n + m, mask - (1 << 64) if mask >> 63 else mask))
         finer = fps.sparkSession.createDataFrame(masks, "piece int, fine int, mask long")
         parts = parts.union(large.join(F.broadcast(finer), "piece").select(F.col("fine").alias("piece"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"))
-    dealt = parts.repartition("piece", "key").sortWithinPartitions("piece", "key")
-    return dealt.mapInArrow(bucket_links(bits, n_pivots), EDGE_SCHEMA)
+    dealt = parts.join(tables, "fp").select("piece", "key", "fp", "table").repartition("piece", "key").sortWithinPartitions("piece", "key")
+    return dealt.mapInArrow(tidy(bucket_links(bits)), EDGE_SCHEMA)
 
 
 def simhash_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 3, bits: int = 2, most: int = MOST, n_pivots: int = PIVOTS) -> DataFrame:
@@ -184,7 +196,7 @@ def simhash_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     and are linked like any other. A null id never is a component's id: a component of null ids only has a
     null component_id. Repeated ids keep one row each. An empty table gives an empty table.
     """
-    ids = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(fingerprints(words), FINGERPRINT_SCHEMA)
+    ids = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(tidy(fingerprints(words)), FINGERPRINT_SCHEMA)
     rows = staged(ids.withColumn("id", F.when(F.col("id") != F.lit(-(1 << 63)), F.col("id"))), "simhash-fps")
     fps = rows.groupBy("fp").agg(F.min("id").alias("least"))
     component = connected_components(fingerprint_links(fps.select("fp"), bits, most, n_pivots), "simhash-cc")

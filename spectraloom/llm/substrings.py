@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_worker_caches, row_id, slices, staged, text_buffers
+from .common import row_id, slices, staged, text_buffers, tidy, worker_cache
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -34,17 +34,20 @@ CONTEXT_SCHEMA = "key long, id long, th long, base long, ctx binary, pos array<i
 SPAN_SCHEMA = "id long, th long, s long, e long"
 WINDOW_SCHEMA = "key long, wh long, d int, id long, th long, s long"
 
-_powers: dict[str, np.ndarray] = {}
+
+def _powers(n: int) -> list[np.ndarray]:
+    out = []
+    for b in (BASE, BASE_INVERSE):
+        x = np.full(n, b, np.uint64)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _powers or len(_powers["up"]) < n:
-        m = max(n, BLOCK + 4096)
-        for name, b in (("up", BASE), ("down", BASE_INVERSE)):
-            x = np.full(m, b, np.uint64)
-            x[0] = 1
-            _powers[name] = np.multiply.accumulate(x)
-    return _powers["up"][:n], _powers["down"][:n]
+    most = BLOCK + 4096
+    up, down = worker_cache(("powers",), lambda: _powers(most)) if n <= most else _powers(n)
+    return up[:n], down[:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -123,7 +126,6 @@ def thin_periods(data: np.ndarray, bounds: np.ndarray, anchors: tuple[np.ndarray
 def find_anchors(length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "th", "key", "pos", "dlo", "dhi"]
-        drop_worker_caches()
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
@@ -429,7 +431,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     copied = ids.join(copies, "digest").select("id", "th", "nb", "rep")
     whole = copied.select("id", "th", F.lit(0).cast("long").alias("s"), F.col("nb").alias("e"))
     spare = copied.where((F.col("id") != F.col("rep.id")) | (F.col("th") != F.col("rep.th"))).select("id", "th")
-    anchors = staged(long_enough.select("id", "th", "text").mapInArrow(find_anchors(length, k), ANCHOR_SCHEMA), "substr-anchors")
+    anchors = staged(long_enough.select("id", "th", "text").mapInArrow(tidy(find_anchors(length, k)), ANCHOR_SCHEMA), "substr-anchors")
     # a k-gram counts if it stands at two places of different texts or of one; copies have the same places
     place = F.xxhash64("th", "pos")
     points = anchors.where("dlo >= 0")
@@ -439,13 +441,13 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     def contexts(some: DataFrame) -> DataFrame:
         per_text = some.groupBy("id", "th").agg(F.collect_list(F.struct("key", "pos", "dlo", "dhi")).alias("found"))
-        return texts.join(per_text.hint("shuffle_hash"), ["id", "th"]).select("id", "th", "text", "found").mapInArrow(cut_contexts(length), CONTEXT_SCHEMA)
+        return texts.join(per_text.hint("shuffle_hash"), ["id", "th"]).select("id", "th", "text", "found").mapInArrow(tidy(cut_contexts(length)), CONTEXT_SCHEMA)
 
     sorted_rows = contexts(found.where(F.col("n") <= hot)).repartition("key").sortWithinPartitions("key")
     periods = anchors.where("dlo < 0").select("id", "th", F.col("pos").alias("s"), (F.col("pos") + F.col("dhi")).alias("e"))
-    spans = sorted_rows.mapInArrow(sort_groups(length, k), SPAN_SCHEMA).union(whole).union(periods)
+    spans = sorted_rows.mapInArrow(tidy(sort_groups(length, k)), SPAN_SCHEMA).union(whole).union(periods)
     if not counts.where(F.col("n") > hot).isEmpty():
-        windows = staged(contexts(found.where(F.col("n") > hot)).mapInArrow(hot_windows(length), WINDOW_SCHEMA), "substr-hot")
+        windows = staged(contexts(found.where(F.col("n") > hot)).mapInArrow(tidy(hot_windows(length)), WINDOW_SCHEMA), "substr-hot")
         twice = windows.groupBy("key", "d", "wh").agg(F.count("*").alias("n")).where("n > 1").drop("n")
         spans = spans.union(windows.join(twice, ["key", "d", "wh"], "left_semi").select("id", "th", "s", (F.col("s") + length).alias("e")))
     return spans, texts
@@ -473,7 +475,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         rows = rows.join(own.groupBy("id", "th").agg(F.first("kept_columns").alias("kept_columns")).hint("shuffle_hash"), ["id", "th"])
         schema += f", kept_columns {own.schema['kept_columns'].dataType.simpleString()}"
         fields, names = [*fields, "kept_columns"], [*names, "kept_columns"]
-    cut = rows.select(*fields, "id", "th", "text", "spans").mapInArrow(_with_text(names), schema)
+    cut = rows.select(*fields, "id", "th", "text", "spans").mapInArrow(tidy(_with_text(names)), schema)
     return cut.select(F.when(F.col("row") != F.lit(-(1 << 63)), F.col("row")).alias(id_col), "text", "kept", "removed", *names[1:])
 
 

@@ -68,5 +68,22 @@ def test_bucket_labels():
 
     rng = np.random.default_rng(3)
     fps = np.unique(rng.integers(0, 64, 40).astype(np.uint64))
-    label, touched = linked(fps, pivots(8), 1)
+    table = np.bitwise_count(fps[:, None] ^ pivots(8)[None, :]).astype(np.int8)
+    label, touched = linked(fps, table, 1)
     assert (label == 0).all() or touched.any()
+
+
+def test_distance_table(spark):
+    from spectraloom.llm.simhash import distance_table, pivots
+
+    fps = [0, -1, 5, -(1 << 63)]
+    refs = pivots(6).tolist()
+    got = {r.fp: r.table for r in distance_table(spark.createDataFrame([(f,) for f in fps], "fp long"), 6).collect()}
+    assert got == {f: [((f & ((1 << 64) - 1)) ^ r).bit_count() for r in refs] for f in fps}
+
+
+def test_more_shingles_than_a_block():
+    from spectraloom.llm.simhash import fingerprint
+
+    text = " ".join(f"w{i % 977}" for i in range(70_000))
+    assert fingerprint(text.encode(), 3) == slow_fingerprint(text)
