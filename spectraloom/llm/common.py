@@ -65,6 +65,7 @@ def release_memory() -> None:
 
 
 Batches = Iterator[pa.RecordBatch]
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 8 << 20
 
 
 def tidy(run: Callable[[Batches], Batches], cached: bool = False) -> Callable[[Batches], Batches]:
@@ -82,6 +83,14 @@ def tidy(run: Callable[[Batches], Batches], cached: bool = False) -> Callable[[B
     return task
 
 
+def arrow_map(df: DataFrame, run: Callable[[Batches], Batches], schema: str, cached: bool = False) -> DataFrame:
+    """df through run, tidied. Unless the session sets a size of its own, batches are of about 8 MB: those of 64 MB fill executors and workers."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+    return df.mapInArrow(tidy(run, cached), schema)
+
+
 def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes each (a longer row stands alone)."""
     i, n = 0, len(offsets) - 1

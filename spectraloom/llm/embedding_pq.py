@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, row_id, staged, tidy
+from .common import arrow_map, connected_components, row_id, staged
 
 #: Vectors the index is fitted on, drawn by hash; every vector is indexed.
 SAMPLE = 8192
@@ -225,7 +225,7 @@ def near_vectors(vectors: DataFrame, vector: str = "embedding", id_col: str = "v
     if fitted.empty:
         fitted = distinct.orderBy("node").limit(1).toPandas()
     index = fit(unit(np.stack(fitted["embedding"].to_list())), lists, probes)
-    coded = staged(distinct.select("node", "n", "embedding").mapInArrow(tidy(coder(index, dim)), CODED_SCHEMA), "pq-coded")
+    coded = staged(arrow_map(distinct.select("node", "n", "embedding"), coder(index, dim), CODED_SCHEMA), "pq-coded")
     sizes = {r["list"]: r["count"] for r in coded.groupBy("list").count().collect()}
     blocks = F.array(*[F.lit(max(1, -(-sizes.get(i, 0) // block))) for i in range(len(index.centroids))])
     deal = F.pmod(F.xxhash64(F.lit(4), F.col("node")), F.get(blocks, F.col("list"))).cast("int")
@@ -234,7 +234,7 @@ def near_vectors(vectors: DataFrame, vector: str = "embedding", id_col: str = "v
     asked = coded.select(F.explode("probes").alias("to"), "node", "n", F.col("list").alias("own"), "vec")
     asked = asked.select(F.col("to").alias("list"), F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("to")) - 1)).alias("block"), F.lit(1).alias("kind"), "node", "n", "own", *none, "vec")
     dealt = members.unionByName(asked).repartition("list", "block").sortWithinPartitions("list", "block", "kind")
-    links = staged(dealt.mapInArrow(tidy(block_links(index, dim, least)), LINK_SCHEMA), "pq-links")
+    links = staged(arrow_map(dealt, block_links(index, dim, least), LINK_SCHEMA), "pq-links")
     counts = links.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("c").alias("c"))
     component = connected_components(links.where("v is not null").select("u", "v"), "pq-cc")
     placed = distinct.select("node", "n", "least").join(component, "node", "left").withColumn("component", F.coalesce("component", "node")).join(counts, "node", "left")

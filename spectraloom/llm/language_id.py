@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_buffers, tidy
+from .common import arrow_map, slices, text_buffers
 
 BITS = 12
 #: Training texts: at most PER_LANGUAGE for a language and MOST in all (8 a language where there are over MOST / 8), of smallest hash.
@@ -168,7 +168,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     for part in (["lang", F.pmod("h", F.lit(64))], ["lang"]):  # a language's parts first, so that one task reads 64 bounded parts
         drawn = drawn.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy("h"))).where(F.col("_r") <= each).drop("_r")
     met = labelled.join(F.broadcast(drawn), ["lang", "h"]).select("text", "lang", "h")
-    rows = met.mapInArrow(tidy(_sample_features), "lang string, h long, slots binary, shares binary").dropDuplicates(["lang", "h"]).toPandas()
+    rows = arrow_map(met, _sample_features, "lang string, h long, slots binary, shares binary").dropDuplicates(["lang", "h"]).toPandas()
     rows = rows.sort_values(["lang", "slots", "shares"], kind="stable")
     x = np.zeros((len(rows), 1 << BITS), np.float32)
     for r, slots, shares in zip(x, rows["slots"], rows["shares"], strict=True):
@@ -207,7 +207,7 @@ def identify(docs: DataFrame, model: Model | None, keep: list[Column | str], tex
     """
     own = docs.select(*keep, F.col(text).alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text")
-    return own.mapInArrow(tidy(predictor(model)), f"{fields}, lang_pred string, score double, ambiguous boolean")
+    return arrow_map(own, predictor(model), f"{fields}, lang_pred string, score double, ambiguous boolean")
 
 
 def held_out(id_col: str, parts: int, which: int) -> Column:

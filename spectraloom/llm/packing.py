@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, ranked, row_id, slices, staged, text_buffers, tidy, worker_cache
+from .common import NULL_ID, arrow_map, ranked, row_id, slices, staged, text_buffers, worker_cache
 
 PIECE_SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words whose ids a worker keeps, in each of two generations.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 #: Texts of these characters only (ASCII and Latin letters) are split here as the tokenizer's own pattern splits them; others go to it whole.
 PLAIN = re.compile(r"[\t\n\r !-~À-ÖØ-öø-įı-ſ]*")
 #: The tokenizer's split pattern for such characters in lower case (fixed values).
@@ -102,7 +102,7 @@ def cut_pieces(path: str, end_id: int, size: int, grain: int) -> Callable:
         for batch in batches:
             raw, offsets = text_buffers(batch.column("text"))
             ids = batch.column("id").to_pylist()
-            for a, b in slices(offsets, 4 << 20):
+            for a, b in slices(offsets, 1 << 20):
                 cols: list[list[int]] = [[], [], [], [], []]
                 texts = [raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in range(a, b)]
                 for id_, tokens in zip(ids[a:b], encoder(path).encode(texts), strict=True):
@@ -180,7 +180,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", id_col:
     for itself. An empty table gives no piece.
     """
     keyed = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text"))
-    pieces = staged(keyed.mapInArrow(tidy(cut_pieces(tokenizer, end_id, size, grain), cached=True), PIECE_SCHEMA), "pack-pieces")
+    pieces = staged(arrow_map(keyed, cut_pieces(tokenizer, end_id, size, grain), PIECE_SCHEMA, cached=True), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = docs.sparkSession.createDataFrame(slots_of(shortest_pack_first(histogram, size)), "length long, lo long, hi long, seq long, offset long")
     numbered = ranked(pieces, ["length"], ["id", "start", "doc_tokens", "ids_crc32"], "rank", F.xxhash64("id", "start"), buckets)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_buffers, tidy
+from .common import arrow_map, text_buffers
 
 BITS = 16
 GRAMS = (1, 2, 3, 4)
@@ -130,7 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     draw = F.shiftrightunsigned(F.xxhash64("id"), 11).cast("double") / float(1 << 53)
     share = F.when(F.col("label") == 1, per_class / counts.get(1, 1)).otherwise(per_class / counts.get(0, 1))
     sample = known.where(draw < share)  # about 2 x per_class rows, whatever the table's size
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id").select("label", "text").mapInArrow(tidy(_sample_sets), "label int, features binary").toPandas()
+    drawn = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id").select("label", "text")
+    rows = arrow_map(drawn, _sample_sets, "label int, features binary").toPandas()
     if rows.empty:
         return None
     rows = rows.sort_values(["label", "features"], kind="stable")
@@ -157,4 +158,4 @@ def score_quality(docs: DataFrame, model: Model | None, keep: list, text: str =
     """
     own = docs.select(*keep, F.col(text).alias("text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text")
-    return own.mapInArrow(tidy(scorer(model)), f"{fields}, score double")
+    return arrow_map(own, scorer(model), f"{fields}, score double")

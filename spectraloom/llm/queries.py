@@ -14,11 +14,12 @@ from .packing import pack_documents
 from .sentence_pieces import decode_pieces, encode_pieces
 from .sharding import shard_rows
 from .simhash import simhash_components
-from .substrings import remove_repeats
+from .substrings import PASSAGE_WORDS, remove_repeats
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(load(spark, sf_dir, "documents"))
+    """The contract's columns, and n_passages: runs of words in passages of over 50 words that stand anywhere else too."""
+    out = remove_repeats(load(spark, sf_dir, "documents"), passages=PASSAGE_WORDS)
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["stop"] - x["start"])
     return out.select(
         "doc_id",
@@ -26,6 +27,7 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        "n_passages",
     )
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_id, slices, text_buffers, tidy, worker_cache
+from .common import arrow_map, row_id, slices, text_buffers, worker_cache
 
 MARK = "▁"
 CHUNK = re.compile(r"▁+[^▁\n]*|[^▁\n]+|\n")
@@ -221,7 +221,7 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", id_col: str =
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text"), pa.ListArray.from_arrays(pa.array(cuts), pa.array(flat))], names=["id", "text", "ids"])
 
     keyed = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text"))
-    out = keyed.mapInArrow(tidy(run, cached=True), "id long, text string, ids array<int>")
+    out = arrow_map(keyed, run, "id long, text string, ids array<int>", cached=True)
     return out.select(F.when(F.col("id") != F.lit(-(1 << 63)), F.col("id")).alias(id_col), "text", "ids")
 
 
@@ -240,4 +240,4 @@ def decode_pieces(encoded: DataFrame, model: str, keep: list[str], keep_ids: boo
 
     own = encoded.select(*keep, "ids")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name in names)
-    return own.mapInArrow(tidy(run, cached=True), f"{fields}, decoded string")
+    return arrow_map(own, run, f"{fields}, decoded string", cached=True)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, row_id, staged, text_buffers, tidy
+from .common import arrow_map, connected_components, row_id, staged, text_buffers
 
 QUARTERS = list(combinations(range(4), 2))
 FINGERPRINT_SCHEMA = "id long, fp long"
@@ -185,7 +185,7 @@ def fingerprint_links(fps: DataFrame, bits: int = 2, most: int = MOST, n_pivots:
         finer = fps.sparkSession.createDataFrame(masks, "piece int, fine int, mask long")
         parts = parts.union(large.join(F.broadcast(finer), "piece").select(F.col("fine").alias("piece"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"))
     dealt = parts.join(tables, "fp").select("piece", "key", "fp", "table").repartition("piece", "key").sortWithinPartitions("piece", "key")
-    return dealt.mapInArrow(tidy(bucket_links(bits)), EDGE_SCHEMA)
+    return arrow_map(dealt, bucket_links(bits), EDGE_SCHEMA)
 
 
 def simhash_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = 3, bits: int = 2, most: int = MOST, n_pivots: int = PIVOTS) -> DataFrame:
@@ -196,7 +196,7 @@ def simhash_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     and are linked like any other. A null id never is a component's id: a component of null ids only has a
     null component_id. Repeated ids keep one row each. An empty table gives an empty table.
     """
-    ids = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(tidy(fingerprints(words)), FINGERPRINT_SCHEMA)
+    ids = arrow_map(docs.select(row_id(id_col).alias("id"), F.col(text).alias("text")), fingerprints(words), FINGERPRINT_SCHEMA)
     rows = staged(ids.withColumn("id", F.when(F.col("id") != F.lit(-(1 << 63)), F.col("id"))), "simhash-fps")
     fps = rows.groupBy("fp").agg(F.min("id").alias("least"))
     component = connected_components(fingerprint_links(fps.select("fp"), bits, most, n_pivots), "simhash-cc")

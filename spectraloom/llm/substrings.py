@@ -1,12 +1,12 @@
-"""Suffix-array removal of byte strings that occur more than once (operator 1).
-
-Every window of `length` bytes is tied to one sync point inside it: the leftmost smallest k-gram hash. Equal
-windows have equal sync points at equal distances, so only suffixes at sync points need sorting, about one in
-a hundred positions. Sync points whose k-gram is unique drop out. The rest are sorted with their k-gram's
-others by the bytes that follow and by the bytes that precede (deep-shallow: a multikey quicksort on 8-byte
-words to a shallow depth, then blind tries for the groups that still agree), and the common-prefix lengths of
-sorted neighbours tell for every distance whether the window at that distance occurs again. Windows in a run
-of one short period are settled inside their text first.
+"""Suffix-array removal of strings that occur more than once (operator 1).
+
+A text is a string of symbols: its bytes, or its words as 32-bit hashes. Every window of `length` symbols is tied to
+one sync point inside it: the leftmost smallest k-gram hash. Equal windows have equal sync points at equal
+distances, so only suffixes at sync points need sorting, about one in a hundred positions. Sync points whose
+k-gram is unique drop out. The rest are sorted with their k-gram's others by the symbols that follow and by those
+that precede (deep-shallow: a multikey quicksort on 8-byte words to a shallow depth, then blind tries for the
+groups that still agree), and the common-prefix lengths of sorted neighbours tell for every distance whether the
+window at that distance occurs again. Windows in a run of one short period are settled inside their text first.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_id, slices, staged, text_buffers, tidy, worker_cache
+from .common import arrow_map, row_id, slices, staged, text_buffers, worker_cache
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -27,7 +27,14 @@ BLOCK = 1 << 19
 POSITION_BITS = 20
 #: k-grams with more sync points than this are counted window by window, see `hot_windows`.
 HOT = 20_000
+#: Keys of repeated k-grams that may be sent to all workers (16 bytes each); more are joined by a shuffle.
+SENT = 500_000
 SHALLOW_WORDS = 4
+#: Instead of a distance: rows of a text's periodic run, and of the whole text.
+PERIOD, WHOLE = -1, -2
+#: Words of a passage, and of the word-grams that its windows meet by.
+PASSAGE_WORDS, PASSAGE_GRAM = 51, 8
+WHITE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 ANCHOR_SCHEMA = "id long, th long, key long, pos long, dlo int, dhi int"
 CONTEXT_SCHEMA = "key long, id long, th long, base long, ctx binary, pos array<int>, dlo array<int>, dhi array<int>"
@@ -65,6 +72,36 @@ def rolling(data: np.ndarray, k: int) -> np.ndarray:
     return mixed((sums[k:] - sums[:-k]) * down[: len(data) - k + 1])
 
 
+def words_in(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of concatenated texts, and the number of words before each text."""
+    white = WHITE[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(~white & (edge[:-1] | np.r_[True, white[:-1]]))
+    ends = np.flatnonzero(~white & (edge[1:] | np.r_[white[1:], True])) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_symbols(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 32-bit hash of each word, and the number of words before each text."""
+    out, before = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+    up, _ = powers(4096)
+    for a, b in slices(offsets, 1 << 20):
+        part = raw[offsets[a] : offsets[b]]
+        starts, ends, cuts = words_in(part, offsets[a : b + 1] - offsets[a])
+        if len(starts):
+            sizes = ends - starts
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # position in its word
+            sums = np.add.reduceat((part[at + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)) * up[at & 4095], np.r_[0, np.cumsum(sizes)[:-1]])
+            out.append((mixed(sums ^ (sizes.astype(np.uint64) << np.uint64(50))) >> np.uint64(32)).astype(np.uint32))
+        before.append(cuts[1:] + before[-1][-1])
+    return np.concatenate(out), np.concatenate(before)
+
+
+def symbols(words: bool, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return word_symbols(raw, offsets) if words else (raw, offsets)
+
+
 def window_min(x: np.ndarray, w: int) -> np.ndarray:
     n = len(x) - w + 1
     full = np.full(-(-len(x) // w) * w, np.iinfo(np.uint64).max, np.uint64)
@@ -123,12 +160,29 @@ def thin_periods(data: np.ndarray, bounds: np.ndarray, anchors: tuple[np.ndarray
     return keep, spans
 
 
-def find_anchors(length: int, k: int):
+def whole_texts(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, ths: np.ndarray, length: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """A row for each text of at least `length` words, with its words' joint hash as key and their number as position."""
+    sizes = np.diff(offsets)
+    some = np.flatnonzero(sizes >= length)
+    if len(some):
+        up, _ = powers(BLOCK)
+        hashes = []
+        for i in some.tolist():
+            own = data[offsets[i] : offsets[i + 1]].astype(np.uint64)
+            hashes.append(sum(int(((own[a : a + BLOCK] + np.uint64(1)) * up[: min(BLOCK, len(own) - a)]).sum()) * (a + 1) for a in range(0, len(own), BLOCK)) & ((1 << 64) - 1))
+        key = mixed(np.array(hashes, np.uint64)).view(np.int64)
+        none = np.zeros(len(some), np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(ths[some]), pa.array(key), pa.array(sizes[some]), pa.array(none + np.int32(WHOLE)), pa.array(none)], names=names)
+
+
+def find_anchors(length: int, k: int, words: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "th", "key", "pos", "dlo", "dhi"]
         for batch in batches:
-            raw, offsets = text_buffers(batch.column("text"))
+            raw, offsets = symbols(words, *text_buffers(batch.column("text")))
             ids, ths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "th"))
+            if words:
+                yield from whole_texts(raw, offsets, ids, ths, length, names)
             # parts: texts, or blocks of a long text that overlap by length - 1 bytes
             parts = [(i, s, min(s + BLOCK + length - 1, int(offsets[i + 1]))) for i in range(len(ids)) for s in range(int(offsets[i]), int(offsets[i + 1]) - length + 1, BLOCK)]
             ends = np.r_[0, np.cumsum([e - s for _, s, e in parts])]
@@ -139,9 +193,9 @@ def find_anchors(length: int, k: int):
                 found = anchors_of(data, bounds, length, k)
                 keep, spans = thin_periods(data, bounds, found, length)
                 part, key, pos, dlo, dhi = (x[keep] for x in found)
-                if spans:  # as rows with dlo -1 and the span's length in dhi
+                if spans:  # with the span's length in dhi
                     of, left, right = (np.array(c) for c in zip(*spans, strict=True))
-                    part, key, pos, dlo, dhi = (np.r_[a, b] for a, b in ((part, of), (key, 0 * of), (pos, left), (dlo, 0 * of - 1), (dhi, right - left)))
+                    part, key, pos, dlo, dhi = (np.r_[a, b] for a, b in ((part, of), (key, 0 * of), (pos, left), (dlo, 0 * of + PERIOD), (dhi, right - left)))
                 row = np.array([x[0] for x in some])[part] if len(part) else part
                 shift = np.array([s - int(offsets[i]) for i, s, _ in some])
                 pos = pos - bounds[part] + shift[part] if len(part) else pos
@@ -150,13 +204,20 @@ def find_anchors(length: int, k: int):
     return run
 
 
-def cut_contexts(length: int):
-    """Rows (id, th, text, found) to one row per run of near sync points with the same k-gram, with the bytes around."""
+def cut_contexts(length: int, words: bool = False):
+    """Rows (id, th, text, found) to one row per run of near sync points with the same k-gram, with the symbols around; rows of one text count once."""
+    width = 4 if words else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "id", "th", "base", "ctx", "pos", "dlo", "dhi"]
+        seen: set[tuple] = set()  # of rows alike: a task has the texts of its keys only
         for batch in batches:
-            raw, offsets = text_buffers(batch.column("text"))
+            keys = list(zip(batch.column("id").to_pylist(), batch.column("th").to_pylist(), strict=True))
+            fresh = [i for i, key in enumerate(keys) if key not in seen and not seen.add(key)]
+            if len(fresh) < len(keys):
+                batch = batch.take(pa.array(fresh, pa.int64()))
+            data, offsets = symbols(words, *text_buffers(batch.column("text")))
+            raw = data.astype(">u4").view(np.uint8) if words else data
             found = batch.column("found")
             rows = np.repeat(np.arange(batch.num_rows), found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             key, pos, dlo, dhi = (found.flatten().field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "pos", "dlo", "dhi"))
@@ -174,7 +235,7 @@ def cut_contexts(length: int):
                 x, y = edges[a], edges[b]
                 own = rows[starts[a:b]]
                 at = offsets[own]
-                ctx = [raw[o + s : o + e].tobytes() for o, s, e in zip(at.tolist(), base[a:b].tolist(), stop[a:b].tolist(), strict=True)]
+                ctx = [raw[o + s : o + e].tobytes() for o, s, e in zip((width * at).tolist(), (width * base[a:b]).tolist(), (width * stop[a:b]).tolist(), strict=True)]
                 cuts = pa.array((edges[a : b + 1] - x).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(cuts, pa.array(v.astype(np.int32))) for v in (pos[x:y] - np.repeat(base[a:b], np.diff(edges[a : b + 1])), dlo[x:y], dhi[x:y])]
                 yield pa.RecordBatch.from_arrays([pa.array(key[starts[a:b]]), pa.array(ids[own]), pa.array(ths[own]), pa.array(base[a:b]), pa.array(ctx, pa.binary()), *lists], names=names)
@@ -319,9 +380,11 @@ def repeated_distances(length: int, ahead: np.ndarray, lcp_a: np.ndarray, behind
             yield m, int(cuts[a]), int(ends[b - 1])
 
 
-def sort_groups(length: int, k: int, at_once: int = 40_000):
+def sort_groups(length: int, k: int, words: bool = False, at_once: int = 10_000):
     """Context rows, sorted by key, to the spans (id, th, s, e) that their windows cover."""
 
+    width = 4 if words else 1
+
     def work(rows: list[tuple]) -> pa.RecordBatch:
         owner, group, pos, dlo, dhi, ahead, behind = [], [], [], [], [], [], []
         g, last = -1, None
@@ -334,11 +397,14 @@ def sort_groups(length: int, k: int, at_once: int = 40_000):
                 pos.append(o)
                 dlo.append(a)
                 dhi.append(b)
-                ahead.append(ctx[o : o + length - a])
-                behind.append(ctx[o - b : o][::-1])
+                ahead.append(ctx[width * o : width * (o + length - a)])
+                before = ctx[width * (o - b) : width * o]
+                behind.append(np.frombuffer(before, np.uint32)[::-1].tobytes() if words else before[::-1])
         groups, low, high = np.array(group), np.array(dlo), np.array(dhi)
-        order_a, lcp_a = deep_shallow(ahead, groups, k)
+        order_a, lcp_a = deep_shallow(ahead, groups, width * k)
         order_b, lcp_b = deep_shallow(behind, groups)
+        if words:
+            lcp_a, lcp_b = lcp_a // width, lcp_b // width
         out: list[tuple[int, int, int]] = []
         starts = np.r_[np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]), len(groups)]
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
@@ -376,14 +442,14 @@ def sort_groups(length: int, k: int, at_once: int = 40_000):
     return run
 
 
-def hot_windows(length: int):
+def hot_windows(length: int, words: bool = False):
     """Context rows to one row per window with the window's own hash: what a hot k-gram is counted by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "wh", "d", "id", "th", "s"]
         for batch in batches:
             for key, id_, th, base, ctx, offs, lows, highs in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "th", "base", "ctx", "pos", "dlo", "dhi")), strict=True):
-                h = rolling(np.frombuffer(ctx, np.uint8), length).view(np.int64)
+                h = rolling(np.frombuffer(ctx, ">u4" if words else np.uint8), length).view(np.int64)
                 d = np.concatenate([np.arange(a, b + 1) for a, b in zip(lows, highs, strict=True)])
                 at = np.repeat(np.array(offs), np.array(highs) - np.array(lows) + 1) - d
                 n = len(d)
@@ -403,57 +469,77 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with text and spans to the bytes outside the spans, and the merged spans; other columns pass."""
+    """Rows with text, spans and maybe passages (spans of words) to the bytes outside all of them, and the merged spans; other columns pass."""
     removed_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     for batch in batches:
         raw, offsets = text_buffers(batch.column("text"))
         for a, b in slices(offsets, 8 << 20):
             kept, removed = [], []
-            for i, spans in zip(range(a, b), batch.column("spans").slice(a, b - a).to_pylist(), strict=True):
-                text, at, pieces, gone = raw[offsets[i] : offsets[i + 1]].tobytes(), 0, [], merged(spans)
+            part = batch.slice(a, b - a)
+            passages = part.column("passages").to_pylist() if "passages" in batch.schema.names else [None] * (b - a)
+            for i, spans, of_words in zip(range(a, b), part.column("spans").to_pylist(), passages, strict=True):
+                own = raw[offsets[i] : offsets[i + 1]]
+                if of_words:
+                    starts, ends, _ = words_in(own, np.array([0, len(own)]))
+                    spans = [*(spans or ()), *({"s": int(starts[x["s"]]), "e": int(ends[x["e"] - 1])} for x in of_words)]
+                text, at, pieces, gone = own.tobytes(), 0, [], merged(spans)
                 for s, e in gone:
                     pieces.append(text[at:s])
                     at = e
                 pieces.append(text[at:])
                 kept.append(b"".join(pieces))
                 removed.append([{"start": s, "stop": e} for s, e in gone])
-            rest = [n for n in batch.schema.names if n not in ("text", "spans", "id", "th")]
-            part = batch.slice(a, b - a)
+            rest = [n for n in batch.schema.names if n not in ("text", "spans", "passages", "id", "th")]
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in rest), pa.array(kept, pa.binary()), pa.array(removed, removed_type)], names=[*rest, "kept", "removed"])
 
 
-def repeated_spans(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 64, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """Spans (id, th, s, e) of bytes in a repeated string of `length` bytes, and the keyed texts they belong to."""
-    keyed = docs.select(row_id(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    long_enough = keyed.where(F.octet_length("text") >= length)
-    ids = staged(long_enough.select("id", "th", F.octet_length("text").cast("long").alias("nb"), F.unhex(F.md5("text")).alias("digest")), "substr-ids")
-    copies = ids.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "th")).alias("rep")).where("n > 1")
-    copied = ids.join(copies, "digest").select("id", "th", "nb", "rep")
-    whole = copied.select("id", "th", F.lit(0).cast("long").alias("s"), F.col("nb").alias("e"))
+def repeated_spans(keyed: DataFrame, texts: DataFrame, length: int, k: int, hot: int = HOT, words: bool = False) -> DataFrame:
+    """Spans (id, th, s, e) of symbols in a repeated string of `length` symbols, of rows keyed (id, th, text), and the same dealt by id and th."""
+    long_enough = keyed.where(F.octet_length("text") >= (2 * length - 1 if words else length)).select("id", "th", "text")
+    anchors = staged(arrow_map(long_enough, find_anchors(length, k, words), ANCHOR_SCHEMA), "substr-anchors")
+    # an exact copy has the same sync points, so one text stands for all
+    if words:
+        alike = anchors.where(f"dlo = {WHOLE}").select("id", "th", F.col("pos").alias("n"), F.struct("key", "pos").alias("digest"))
+    else:
+        alike = staged(long_enough.select("id", "th", F.octet_length("text").cast("long").alias("n"), F.unhex(F.md5("text")).alias("digest")), "substr-ids")
+    copies = staged(alike.groupBy("digest").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th")).alias("rep")).where("copies > 1").select("digest", "rep"), "substr-copies")
+    copied = alike.join(copies, "digest").select("id", "th", "n", "rep")
+    whole = copied.select("id", "th", F.lit(0).cast("long").alias("s"), F.col("n").alias("e"))
     spare = copied.where((F.col("id") != F.col("rep.id")) | (F.col("th") != F.col("rep.th"))).select("id", "th")
-    anchors = staged(long_enough.select("id", "th", "text").mapInArrow(tidy(find_anchors(length, k)), ANCHOR_SCHEMA), "substr-anchors")
     # a k-gram counts if it stands at two places of different texts or of one; copies have the same places
     place = F.xxhash64("th", "pos")
     points = anchors.where("dlo >= 0")
     counts = staged(points.groupBy("key").agg(F.count("*").alias("n"), F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q").select("key", "n"), "substr-keys")
-    found = points.join(counts.hint("merge"), "key").join(spare.hint("merge"), ["id", "th"], "left_anti")
-    texts = keyed.select("id", "th", "text").repartition("id", "th")
+    found = points.join(F.broadcast(counts) if counts.count() <= SENT else counts.hint("merge"), "key").join(spare.hint("merge"), ["id", "th"], "left_anti")
 
     def contexts(some: DataFrame) -> DataFrame:
-        per_text = some.groupBy("id", "th").agg(F.collect_list(F.struct("key", "pos", "dlo", "dhi")).alias("found"))
-        return texts.join(per_text.hint("shuffle_hash"), ["id", "th"]).select("id", "th", "text", "found").mapInArrow(tidy(cut_contexts(length)), CONTEXT_SCHEMA)
+        per_text = some.groupBy("id", "th").agg(F.collect_set(F.struct("key", "pos", "dlo", "dhi")).alias("found"))
+        return arrow_map(texts.join(per_text.hint("shuffle_hash"), ["id", "th"]).select("id", "th", "text", "found"), cut_contexts(length, words), CONTEXT_SCHEMA)
 
     sorted_rows = contexts(found.where(F.col("n") <= hot)).repartition("key").sortWithinPartitions("key")
-    periods = anchors.where("dlo < 0").select("id", "th", F.col("pos").alias("s"), (F.col("pos") + F.col("dhi")).alias("e"))
-    spans = sorted_rows.mapInArrow(tidy(sort_groups(length, k)), SPAN_SCHEMA).union(whole).union(periods)
+    periods = anchors.where(f"dlo = {PERIOD}").select("id", "th", F.col("pos").alias("s"), (F.col("pos") + F.col("dhi")).alias("e"))
+    spans = arrow_map(sorted_rows, sort_groups(length, k, words), SPAN_SCHEMA).union(whole).union(periods)
     if not counts.where(F.col("n") > hot).isEmpty():
-        windows = staged(contexts(found.where(F.col("n") > hot)).mapInArrow(tidy(hot_windows(length)), WINDOW_SCHEMA), "substr-hot")
+        windows = staged(arrow_map(contexts(found.where(F.col("n") > hot)), hot_windows(length, words), WINDOW_SCHEMA), "substr-hot")
         twice = windows.groupBy("key", "d", "wh").agg(F.count("*").alias("n")).where("n > 1").drop("n")
         spans = spans.union(windows.join(twice, ["key", "d", "wh"], "left_semi").select("id", "th", "s", (F.col("s") + length).alias("e")))
-    return spans, texts
+    return spans
+
+
+def passage_spans(keyed: DataFrame, texts: DataFrame, n_words: int = PASSAGE_WORDS, hot: int = HOT) -> DataFrame:
+    """Per text (id, th) that has any, `passages`: its maximal runs (s, e) of words in strings of n_words words that start anywhere else too."""
+    spans = repeated_spans(keyed, texts, n_words, min(PASSAGE_GRAM, n_words - 1), hot, words=True)
+    listed = spans.groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("found"))
 
+    def step(a, x):
+        last = F.element_at(a, -1)
+        joined = F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))))
+        return F.when((F.size(a) == 0) | (x["s"] > last["e"]), F.array_append(a, x)).otherwise(joined)
 
-def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 64, hot: int = HOT, keep: tuple[str, ...] = ()) -> DataFrame:
+    return listed.select("id", "th", F.aggregate("found", F.array().cast("array<struct<s:bigint,e:bigint>>"), step).alias("passages"))
+
+
+def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", length: int = 400, k: int = 64, hot: int = HOT, keep: tuple[str, ...] = (), passages: int | None = None, cut_passages: bool = False) -> DataFrame:
     """Removes every byte covered by a string of `length` bytes that starts anywhere else too.
 
     Returns per row of docs: the id column, `text` as given, `kept` (binary, the bytes left) and `removed`
@@ -463,19 +549,29 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     table gives an empty table. `keep` names further columns to return, as one struct `kept_columns` (rows alike
     in id and text get those of one of them). `k` sets the k-gram inside each window by which windows meet (any 1..length-1
     gives the same result); a k-gram with more than `hot` sync points is counted window by window with
-    partial aggregates instead of being sorted in one task.
+    partial aggregates instead of being sorted in one task. With `passages`, strings of that many words (split at
+    ASCII white space, compared by 32-bit hashes of words) are looked for in the same way: `n_passages` counts a
+    text's maximal runs of words in strings that start anywhere else too, and with `cut_passages` they are
+    removed as well.
     """
-    spans, texts = repeated_spans(docs, text, id_col, length, k, hot)
-    per_text = spans.groupBy("id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    rows = texts.join(per_text.hint("shuffle_hash"), ["id", "th"], "left").select("id", "th", "text", "spans")
+    keyed = docs.select(row_id(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    texts = keyed.select("id", "th", "text").repartition("id", "th")
+    spans = repeated_spans(keyed, texts, length, k, hot)
+    per_text = spans.groupBy("id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    rows = texts.join(per_text.hint("shuffle_hash"), ["id", "th"], "left")
+    columns = ["id", "th", "text", "spans"]
     schema = "row long, text string, kept binary, removed array<struct<start:long,stop:long>>"
     fields, names = [F.col("id").alias("row")], ["row"]
+    if passages:
+        rows = rows.join(passage_spans(keyed, texts, passages, hot).hint("shuffle_hash"), ["id", "th"], "left")
+        fields, names, schema = [*fields, F.coalesce(F.size("passages"), F.lit(0)).cast("long").alias("n_passages")], [*names, "n_passages"], f"{schema}, n_passages long"
+        columns += ["passages"] * cut_passages
     if keep:  # keyed like the texts, so this join shuffles the further columns only
         own = docs.select(row_id(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.struct(*keep).alias("kept_columns"))
         rows = rows.join(own.groupBy("id", "th").agg(F.first("kept_columns").alias("kept_columns")).hint("shuffle_hash"), ["id", "th"])
         schema += f", kept_columns {own.schema['kept_columns'].dataType.simpleString()}"
         fields, names = [*fields, "kept_columns"], [*names, "kept_columns"]
-    cut = rows.select(*fields, "id", "th", "text", "spans").mapInArrow(tidy(_with_text(names)), schema)
+    cut = arrow_map(rows.select(*fields, *columns), _with_text(names), schema)
     return cut.select(F.when(F.col("row") != F.lit(-(1 << 63)), F.col("row")).alias(id_col), "text", "kept", "removed", *names[1:])
 
 

@@ -70,3 +70,67 @@ def test_deep_shallow_sorts():
         x, y = strings[a], strings[b]
         want = next((i for i in range(min(len(x), len(y))) if x[i] != y[i]), min(len(x), len(y)))
         assert n == (want if groups[a] == groups[b] else -1)
+
+
+def slow_passages(texts: list[str | None], n: int) -> list[int]:
+    import re
+
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    seen: dict[tuple, int] = {}
+    for w in words:
+        for i in range(len(w) - n + 1):
+            seen[tuple(w[i : i + n])] = seen.get(tuple(w[i : i + n]), 0) + 1
+    out = []
+    for w in words:
+        hit = np.zeros(len(w) + 2, bool)
+        for i in range(len(w) - n + 1):
+            if seen[tuple(w[i : i + n])] > 1:
+                hit[i + 1 : i + n + 1] = True
+        out.append(int((np.diff(hit.astype(int)) == 1).sum()))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(5, 20_000), (6, 3)])
+def test_passages_of_words(spark, seed, hot):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 3)))
+    gap = lambda: rng.choice([" ", "  ", "\n", "\t "])
+    prose = lambda n: [word() for _ in range(n)]
+    passages = [prose(n) for n in (9, 10, 11, 14, 25)]
+    texts: list[str | None] = [None, "", " ", "a b c", "x " * 30, "\xa0 y\x1cz " * 12]
+    for _ in range(30):
+        w = prose(rng.randint(0, 12)) + (rng.choice(passages) if rng.random() < 0.6 else []) + prose(rng.randint(0, 12))
+        texts.append("".join(x + gap() for x in w))
+    texts += [texts[8], texts[9], " ".join((texts[10] or "").split()), " ".join(prose(12))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in remove_repeats(docs, length=400, hot=hot, passages=10, cut_passages=True).collect()}
+    want = slow_passages(texts, 10)
+    assert {i: r.n_passages for i, r in got.items()} == dict(enumerate(want))
+    assert sum(n > 0 for n in want) > 10 and sum(n == 0 for n in want) > 10
+    for i, t in enumerate(texts):
+        assert (bytes(got[i].kept).decode() == (t or "")) == (want[i] == 0)
+
+
+def test_many_rows_alike(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6)))
+    text = " ".join(word() for _ in range(900))
+    other = text[:700] + " ".join(word() for _ in range(100))
+    rows = [(1, text)] * 5000 + [(2, text), (3, other), (4, "short"), (5, " ".join(word() for _ in range(200)))]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), passages=51)
+    kept = got.groupBy("doc_id", F.octet_length("kept").alias("n"), "n_passages").count().collect()
+    clean = len(rows[-1][1])
+    assert sorted((r.doc_id, r.n, r.n_passages, r["count"]) for r in kept) == [(1, 0, 1, 5000), (2, 0, 1, 1), (3, len(other) - 700, 1, 1), (4, 5, 0, 1), (5, clean, 0, 1)]
+
+
+def test_texts_longer_than_a_block(spark):
+    from spectraloom.llm.substrings import BLOCK
+
+    rng = np.random.default_rng(1)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz   ", np.uint8)
+    long = letters[rng.integers(0, len(letters), BLOCK + 9000)].tobytes().decode()
+    shared = long[BLOCK - 300 : BLOCK + 500]
+    docs = spark.createDataFrame([(1, long), (2, "q" * 100 + shared + "r" * 100)], "doc_id long, text string")
+    got = {r.doc_id: bytes(r.kept).decode() for r in remove_repeats(docs).collect()}
+    assert got[1] == long[: BLOCK - 300] + long[BLOCK + 500 :]
+    assert got[2] == "q" * 100 + "r" * 100
