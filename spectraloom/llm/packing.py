@@ -4,7 +4,7 @@ Texts become token ids, one end id is added, and each document is cut into full
 left, pieces of 1024, 512 and 256 tokens and a rest below 256: lengths that fill a sequence whatever lengths
 the corpus has. Only the histogram of piece lengths (at most `size` numbers) reaches the driver. There lengths
 are placed longest first, each into the least filled pack that has room, as counts of packing patterns; the
-patterns' slots are joined back to the pieces by their rank among pieces of the same length.
+patterns' slots are looked up by the pieces' rank among pieces of the same length.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -157,20 +158,42 @@ def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int,
 
 
 def slots_of(patterns: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int, int]]:
-    """(length, first rank, end rank, first sequence, offset) of every slot of every pattern."""
+    """(length, first rank, packs, first sequence, offset) of every run of equal lengths of every pattern.
+
+    A run of r equal lengths in `packs` packs holds r * packs ranks: all packs' first places, then their second ones.
+    There are at most 3 patterns for each length up to `size`, and 63 different lengths fit in 2048, so the slots are
+    bounded by the sequence length (387,000 for 2048), whatever the corpus.
+    """
     ranks: dict[int, int] = {}
     out, sequence = [], 0
-    for count, lengths in patterns:
+    for packs, lengths in patterns:
         offset = 0
-        for length in lengths:
+        for length, run in groupby(lengths):
+            r = len(list(run))
             lo = ranks.get(length, 0)
-            out.append((length, lo, lo + count, sequence, offset))
-            ranks[length] = lo + count
-            offset += length
-        sequence += count
+            out.append((length, lo, packs, sequence, offset))
+            ranks[length] = lo + packs * r
+            offset += length * r
+        sequence += packs
     return out
 
 
+def place_pieces(slots: list[tuple[int, int, int, int, int]]) -> Callable:
+    """Rows with length and rank to rows with sequence_id and offset, by binary search in the slots."""
+    table = np.array(sorted(slots), np.int64).reshape(-1, 5).T
+    codes = table[0] << 44 | table[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "start", "length", "ids_crc32", "doc_tokens"]
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+            _, lo, packs, first, offset = table[:, np.searchsorted(codes, length << 44 | rank, "right") - 1]
+            turn, pack = np.divmod(rank - lo, packs)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(first + pack), pa.array(offset + turn * length)], names=[*names, "sequence_id", "offset"])
+
+    return run
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", id_col: str = "doc_id", size: int = 2048, grain: int = 256, end_id: int = 1, buckets: int = 64) -> DataFrame:
     """Packs all tokens of docs into sequences of at most `size` ids.
 
@@ -182,10 +205,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", id_col:
     keyed = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text"))
     pieces = staged(arrow_map(keyed, cut_pieces(tokenizer, end_id, size, grain), PIECE_SCHEMA, cached=True), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    slots = docs.sparkSession.createDataFrame(slots_of(shortest_pack_first(histogram, size)), "length long, lo long, hi long, seq long, offset long")
     numbered = ranked(pieces, ["length"], ["id", "start", "doc_tokens", "ids_crc32"], "rank", F.xxhash64("id", "start"), buckets)
-    placed = numbered.join(F.broadcast(slots), "length").where((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
+    placed = arrow_map(numbered, place_pieces(slots_of(shortest_pack_first(histogram, size))), f"{PIECE_SCHEMA}, sequence_id long, offset long")
     return placed.select(
         F.when(F.col("id") != F.lit(NULL_ID), F.col("id")).alias(id_col), "start", "length", "ids_crc32", "doc_tokens",
-        (F.col("seq") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset",
+        "sequence_id", "offset",
     )

@@ -30,7 +30,7 @@ RULES: list[tuple[str, str]] = [
     ("dup_line_chars", "5 * dup_line_chars > text_chars"),
     ("repeat_words", "100 * n_repeat_words > 50 * n_words"),
     ("some_repeat_words", "100 * n_repeat_words > 30 * n_words"),
-    ("few_distinct_words", "10 * n_distinct_words < n_words and n_words < 1000"),
+    ("few_distinct_words", "n_distinct_words * n_distinct_words < n_words"),
     ("ellipses", "10 * n_ellipses > 3 * n_lines"),
     ("bullets", "10 * n_bullets > 9 * n_lines"),
 ]

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spectraloom.functions.staging import shared_path
+
 from . import language_id, quality_classifier, quality_rules, secret_ledger
-from .common import load
+from .common import load, staged
 from .embedding_pq import near_vectors
 from .packing import pack_documents
 from .sentence_pieces import decode_pieces, encode_pieces
@@ -40,6 +42,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger stored once; from its bits alone what each policy keeps and what each of its rules costs."""
+    ledger = staged(quality_rules.rule_ledger(load(spark, sf_dir, "documents")), "rule-ledger")
+    return quality_rules.ablations(ledger)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids per text, and what they decode to: doc_id, n_tokens, ids_hash (of the id array), n_chars and round_trip."""
     model = tokenizer_path("piece_bpe_32k.model")
@@ -52,7 +60,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secret_ledger.scan_secrets(load(spark, sf_dir, "documents"))
+    """Two batches with one ledger: the second scans only blobs that the first has not seen."""
+    docs = load(spark, sf_dir, "documents")
+    late = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
+    found = secret_ledger.scan_batches([docs.where(~late), docs.where(late)], shared_path(spark, "secret-ledger"))
     s = F.col("spans")
     counts = {f"n_{kind}": secret_ledger.count_kind(s, i) for i, kind in enumerate(("assign", "access", "hex"))}
     return found.select("doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(secret_ledger.span_text(s, secret_ledger.BASE_KINDS), 256).alias("base_sha256"), secret_ledger.span_text(s).alias("spans"))
@@ -93,7 +104,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED = (
     op1_suffix_array_dedup, op2_embedding_near_dedup, op3_quality_rules, op4_sentencepiece, op5_secret_scan, op6_packing, op7_quality_classifier, op8_language_id, op9_sharding,
-    op10_simhash_near_dedup,
+    op10_simhash_near_dedup, quality_ablations,
 )
 
 
@@ -123,12 +134,23 @@ def quality_sql() -> str:
     return out.replace("(BITS)", f"({bits})").replace("& BASE)", f"& {quality_rules.mask_of(quality_rules.BASE_RULES)})").replace("ALL_RULES", str(all_rules))
 
 
+def ablation_sql() -> str:
+    """Counts over the bits that the rules' own SQL gives, rule by rule."""
+    bits = quality_sql()
+    rows = [f"('{p}', '{name}', {quality_rules.mask_of(rules)}, {1 << i})" for p, rules in quality_rules.POLICIES.items() for i, (name, _) in enumerate(quality_rules.RULES) if name in rules]
+    count = lambda c: f"count(*) FILTER ({c})"
+    return (
+        f"SELECT policy, rule, count(*) AS n_rows, {count('fail_bits & mask = 0')} AS n_kept, {count('fail_bits & bit <> 0')} AS n_failed, {count('fail_bits & mask = bit')} AS n_only "
+        f"FROM ({bits}), (VALUES {', '.join(rows)}) AS p(policy, rule, mask, bit) GROUP BY policy, rule"
+    )
+
+
 def secrets_sql() -> str:
     """Spans from what each pattern matches and the pieces between its matches."""
     words = ("password", "passwd", "secret", "token")
     either = "|".join("".join(f"[{c.upper()}{c}]" for c in w) for w in words) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
     selects = []
-    for i, (kind, pattern, group, least) in enumerate(secret_ledger.RULES):
+    for i, (kind, pattern, group, least, _) in enumerate(secret_ledger.RULES):
         p = pattern.replace("(?i:password|passwd|secret|token|api_?key)", either).replace("'", "''")
         selects.append(
             f"SELECT doc_id, {i} AS k, '{kind}' AS kind, m[i] AS whole, g[i] AS part, (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s, {least} AS least FROM "
@@ -145,4 +167,4 @@ def secrets_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality_sql(), "op5_secret_scan": secrets_sql()}
+    return {"op3_quality_rules": quality_sql(), "op5_secret_scan": secrets_sql(), "quality_ablations": ablation_sql()}

@@ -1,36 +1,39 @@
 """Secret scans over an incremental blob ledger (operator 5), in Spark expressions only.
 
-Every version of a text is addressed by the SHA-256 of its content. The ledger has one row per blob and rule
-version that has been scanned, with what was found; a run scans only the pairs that the ledger lacks, adds
-them, and joins findings back to every path (id) that holds the blob.
+Every version of a text is addressed by the SHA-256 of its content. The ledger has one row per scan of a blob: the
+version of every rule that it was scanned with, and what was found. A run scans only the pairs of blob and rule
+version that the ledger lacks, adds them, and joins findings back to every path (id) that holds the blob.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_id, staged
 from .quality_rules import let
 
-#: kind, pattern, group whose length is bounded, least length. Fixed values; the first three are the base.
-RULES: list[tuple[str, str, int, int]] = [
-    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    ("hub_token", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
-    ("chat_token", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+#: kind, pattern, group whose length is bounded, least length, version. Fixed values; the first three are the base.
+RULES: list[tuple[str, str, int, int, int]] = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, 1),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20, 1),
+    ("hex", r"[0-9a-f]{24,}", 0, 24, 1),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\x20\r\n]*-----END [A-Z ]*PRIVATE KEY-----)?", 0, 1, 2),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40, 1),
+    ("hub_token", r"gh[pousr]_[A-Za-z0-9]+", 0, 40, 1),
+    ("chat_token", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15, 1),
 ]
-RULE_VERSION = "2"
+VERSIONS = [v for *_, v in RULES]
 BASE_KINDS = 3
 SPANS = "array<struct<start:int,stop:int,kind:int>>"
+LEDGER = f"blob string, versions array<int>, spans {SPANS}"
 
 
 def found(text: Column, number: int) -> Column:
     """Leftmost matches of one rule that do not overlap, as (start, stop, rule number) in code points; short ones dropped."""
-    _, pattern, group, least = RULES[number]
+    _, pattern, group, least, _ = RULES[number]
     regex = F.lit(pattern)
 
     def placed(x: Column) -> Column:
@@ -51,10 +54,26 @@ def found(text: Column, number: int) -> Column:
     return F.when(F.rlike(text, regex), work).otherwise(F.array().cast(SPANS))
 
 
+def versions_now() -> Column:
+    return F.array(*[F.lit(v) for v in VERSIONS])
+
+
 def scan(blobs: DataFrame) -> DataFrame:
-    """(blob, text) to ledger rows (blob, rule_version, spans), spans by start and then by rule."""
-    spans = F.sort_array(F.concat(*[found(F.col("text"), i) for i in range(len(RULES))]))
-    return blobs.select("blob", F.lit(RULE_VERSION).alias("rule_version"), spans.alias("spans"))
+    """(blob, text, versions, known) to ledger rows (blob, versions, spans), spans by start and then by rule.
+
+    `versions` and `known` are what the ledger has (null: nothing); a rule is run only where its version there is another.
+    """
+    def of_rule(i: int) -> Column:
+        kept = F.filter(F.coalesce("known", F.array().cast(SPANS)), lambda s: s["kind"] == i)
+        return F.when(F.coalesce(F.get("versions", F.lit(i)) == VERSIONS[i], F.lit(False)), kept).otherwise(found(F.col("text"), i))
+
+    each = [of_rule(i) for i in range(len(RULES))]
+    return blobs.select("blob", versions_now().alias("versions"), F.sort_array(F.concat(*each)).alias("spans"))
+
+
+def latest(ledger: DataFrame) -> DataFrame:
+    """The last scan of each blob: versions only rise."""
+    return ledger.groupBy("blob").agg(F.max(F.struct("versions", "spans")).alias("_s")).select("blob", "_s.versions", "_s.spans")
 
 
 def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, text: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -63,21 +82,37 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, text: str = "
     Findings: the id column, `blob` (SHA-256 of the text, lowercase hex) and `spans` (start, stop in code points,
     kind as the rule's number), for every row, an empty array where nothing was found. A null text is the empty
     blob. Exact copies and repeated rows are scanned once and all get the findings. `ledger` holds what earlier
-    runs added (None: nothing); rows of it for other rule versions are left alone. An empty table adds nothing.
+    runs added (None: nothing): a blob in it is scanned again only by rules whose version has changed. An empty table
+    adds nothing.
     """
     versions = docs.select(F.col(id_col), row_id(id_col).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
     paths = staged(versions.select(id_col, "_row", "blob"), "secret-paths")
     unseen = paths.groupBy("blob").agg(F.min("_row").alias("_row"))
-    known = None
-    if ledger is not None:
-        known = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "rule_version", "spans")
-        unseen = unseen.join(known.select("blob"), "blob", "left_anti")
-    texts = versions.select("_row", "blob", "text").join(unseen, ["_row", "blob"], "left_semi").select("blob", "text")
+    if ledger is None:
+        known = None
+        unseen = unseen.select("blob", "_row", F.lit(None).cast("array<int>").alias("versions"), F.lit(None).cast(SPANS).alias("known"))
+    else:
+        known = latest(ledger)
+        unseen = unseen.join(known.withColumnRenamed("spans", "known"), "blob", "left").where(~F.coalesce(F.col("versions") == versions_now(), F.lit(False)))
+        known = known.where(F.col("versions") == versions_now())
+    texts = versions.select("_row", "blob", "text").join(unseen, ["_row", "blob"]).select("blob", "text", "versions", "known")
     added = staged(scan(texts).dropDuplicates(["blob"]), "secret-ledger")
     ledger_now = added if known is None else known.unionByName(added)
     return paths.join(ledger_now.select("blob", "spans"), "blob").select(id_col, "blob", "spans"), added
 
 
+def scan_batches(batches: list[DataFrame], path: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """Findings of batches that arrive one after another and keep one ledger at `path`: each scans what none before has seen."""
+    spark = batches[0].sparkSession
+    out = []
+    for i, docs in enumerate(batches):
+        ledger = spark.read.schema(LEDGER).parquet(path) if i else None
+        found_now, added = scan_secrets(docs, ledger, text, id_col)
+        append_ledger(added, path)
+        out.append(found_now)
+    return reduce(DataFrame.unionByName, out)
+
+
 def append_ledger(added: DataFrame, path: str) -> None:
     added.write.mode("append").parquet(path)
 

@@ -58,6 +58,42 @@ def test_ids_and_layout(spark):
     assert pack_documents(docs.limit(0), PATH).count() == 0
 
 
+def _run(patterns, sequence: int, offset: int) -> int:
+    """Equal lengths from `offset` on in the pattern whose first sequence is `sequence`."""
+    at = 0
+    for packs, lengths in patterns:
+        if at == sequence:
+            before = 0
+            for i, x in enumerate(lengths):
+                if before == offset:
+                    return sum(1 for y in lengths[i:] if y == x)
+                before += x
+        at += packs
+    raise AssertionError
+
+
+def test_pieces_are_looked_up_without_multiplying_rows():
+    import pyarrow as pa
+
+    from spectraloom.llm.packing import place_pieces, shortest_pack_first, slots_of
+
+    rng = random.Random(3)
+    histogram = {rng.randint(1, 700): rng.randint(1, 4000) for _ in range(200)}
+    slots = slots_of(shortest_pack_first(histogram, 2048))
+    length = np.concatenate([np.full(n, x) for x, n in histogram.items()])
+    rank = np.concatenate([np.arange(n) for n in histogram.values()])
+    none = np.zeros(len(rank), np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in (none, none, length, none, none, rank)], names=["id", "start", "length", "ids_crc32", "doc_tokens", "rank"])
+    (out,) = place_pieces(slots)(iter([batch]))
+    sequences = defaultdict(list)
+    for s, o, n in zip(out.column("sequence_id").to_pylist(), out.column("offset").to_pylist(), length.tolist(), strict=True):
+        sequences[s].append((o, n))
+    assert sorted(sequences) == list(range(len(sequences)))
+    for own in sequences.values():
+        own.sort()
+        assert [o for o, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1].tolist()] and sum(n for _, n in own) <= 2048
+
+
 def test_shortest_pack_first():
     from spectraloom.llm.packing import shortest_pack_first, slots_of
 
@@ -72,8 +108,9 @@ def test_shortest_pack_first():
                 got[x] += n
         assert got == histogram
         ranges = defaultdict(list)
-        for length, lo, hi, _, _ in slots_of(patterns):
-            ranges[length].append((lo, hi))
+        slots = slots_of(patterns)
+        for length, lo, packs, sequence, offset in slots:
+            ranges[length].append((lo, lo + packs * _run(patterns, sequence, offset)))
         for length, own in ranges.items():
             own.sort()
             assert own[0][0] == 0 and own[-1][1] == histogram[length] and all(a[1] == b[0] for a, b in zip(own, own[1:]))
