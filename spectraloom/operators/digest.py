@@ -90,27 +90,34 @@ class Modification:
         return [i for i, c in enumerate(sequence) if c == self.site]
 
 
-def modified_forms(sequence: str, mods: Sequence[Modification], most: int) -> Iterator[tuple[str, float, int]]:
-    """Text form, mass delta and number of sites of the peptide and every variant of up to `most` modified residues."""
+def modified_forms(sequence: str, mods: Sequence[Modification], most: int, fixed: Sequence[Modification] = ()) -> Iterator[tuple[str, float, int]]:
+    """Text form, mass delta and number of potential sites of the peptide and every variant of up to `most` modified residues.
+
+    Fixed modifications are on every site of every form; a potential one on the same residue adds to them.
+    """
+    base: dict[int, float] = {}
+    for m in fixed:
+        for i in m.places(sequence):
+            base[i] = base.get(i, 0.0) + m.delta
     places: dict[int, list[float]] = {}
     for m in mods:
         for i in m.places(sequence):
             places.setdefault(i, []).append(m.delta)
     for n in range(min(most, len(places)) + 1):
         for chosen in combinations(sorted(places), n):
-            forms: list[dict[int, float]] = [{}]
+            forms: list[dict[int, float]] = [base]
             for i in chosen:
-                forms = [f | {i: d} for f in forms for d in places[i]]
+                forms = [f | {i: base.get(i, 0.0) + d} for f in forms for d in places[i]]
             for f in forms:
                 yield "".join(c + (f"[{f[i]:.3f}]" if i in f else "") for i, c in enumerate(sequence)), sum(f.values()), n
 
 
-def modify(peptides: DataFrame, mods: Sequence[str], most: int = 3, sequence: str = "sequence") -> DataFrame:
-    """Every variant of each row's peptide: modified (text form), mod_delta and n_mods; the unmodified form is one of them."""
-    parsed = [Modification.parse(m) for m in mods]
+def modify(peptides: DataFrame, mods: Sequence[str], most: int = 3, sequence: str = "sequence", fixed: Sequence[str] = ()) -> DataFrame:
+    """Every variant of each row's peptide: modified (text form), mod_delta and n_mods; the form without potential ones is one of them."""
+    parsed, always = [Modification.parse(m) for m in mods], [Modification.parse(m) for m in fixed]
 
     @F.pandas_udf("array<struct<modified:string,mod_delta:double,n_mods:int>>")
     def forms(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: [] if x is None else [{"modified": a, "mod_delta": b, "n_mods": c} for a, b, c in modified_forms(x, parsed, most)])
+        return s.map(lambda x: [] if x is None else [{"modified": a, "mod_delta": b, "n_mods": c} for a, b, c in modified_forms(x, parsed, most, always)])
 
     return peptides.withColumn("_f", F.explode(forms(F.col(sequence)))).select(*peptides.columns, "_f.modified", "_f.mod_delta", "_f.n_mods")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
+from spectraloom.functions.staging import staged
 
 
 def ppm_join(peptides: DataFrame, spectra: DataFrame, mass: str, precursor: str, ppm: float) -> DataFrame:
@@ -43,19 +44,56 @@ def integer_mass_join(peptides: DataFrame, spectra: DataFrame, mass: str, precur
 
 
 def sections(df: DataFrame, key: str, order: Sequence[str], most: int = 10_000) -> DataFrame:
-    """Cuts every key's rows into numbered sections of at most `most` (column section)."""
-    return df.withColumn("section", F.floor((F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1) / most).cast("int"))
+    """Cuts every key's rows into numbered sections of at most `most` (column section).
+
+    Rows are dealt by range of key and order and numbered inside a range, and the ranges' sizes give the offsets: a hot
+    key is spread over as many tasks as it needs.
+    """
+    dealt = staged(df.repartitionByRange(key, *order).withColumn("_part", F.spark_partition_id()), "sections")
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(key, "_part").agg(F.count("*").alias("_n"))
+    offsets = sizes.select(F.col(key).alias("_key"), F.col("_part").alias("_in"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = dealt.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) - 1)
+    placed = numbered.join(offsets, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_in")))
+    return placed.select(*df.columns, F.floor((F.col("_before") + F.col("_r")) / most).cast("int").alias("section"))
+
+
+def work_items(peptides: DataFrame, mass: str, most: int = 10_000) -> DataFrame:
+    """Every whole mass cut into intervals of at most `most` of its peptides: mass_int, start, end and item (mass:start:end)."""
+    sizes = peptides.groupBy(F.floor(mass).cast("long").alias("mass_int")).agg(F.count("*").alias("_n"))
+    starts = sizes.select("mass_int", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(most).cast("long"))).alias("start"))
+    out = starts.select("mass_int", "start", F.least(F.col("start") + most, "_n").alias("end"))
+    return out.withColumn("item", F.concat_ws(":", F.col("mass_int").cast("string"), F.col("start").cast("string"), F.col("end").cast("string")))
+
+
+def scan_items(scans: DataFrame, items: DataFrame, mz: str, charge: str, minus: float, plus: float) -> DataFrame:
+    """A row for each scan and work item of the whole masses in its range; a scan without a charge tries 1, 2 and 3 (column z)."""
+    z = F.explode(F.when(F.col(charge) > 0, F.array(F.col(charge).cast("int"))).otherwise(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    own = scans.withColumn("z", z)
+    m = F.col(mz) * F.col("z")
+    return own.withColumn("mass_int", F.explode(F.sequence(F.floor(m - minus), F.floor(m + plus)))).join(items, "mass_int")
+
+
+def hot_splits(df: DataFrame, key: str, most: int, sent: int = 100_000) -> DataFrame:
+    """Keys with many rows and into how many salts each goes (_n).
+
+    A key counts if it has over `most` rows and over a `sent`-th of all rows; fewer than `sent` keys can, so they may be broadcast.
+    """
+    sizes = staged(df.groupBy(key).agg(F.count("*").alias("_c")).where(F.col("_c") > most), "hot-keys")
+    total = sizes.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
+    return sizes.where(F.col("_c") > total // sent).select(key, (1 + F.floor(F.col("_c") / most)).cast("int").alias("_n"))
 
 
 def salted_join(hot: DataFrame, other: DataFrame, key: str, deal: Column, most: int = 30) -> DataFrame:
-    """Inner join on key where a key with n rows on the hot side is split into 1 + n / most salted keys.
+    """Inner join on key where a key with many rows on the hot side is split into 1 + n / most salted keys.
 
-    The hot side's rows are dealt by a hash, the other side's copied to every salt of their key. The result is that
-    of the plain join.
+    Only the hot keys are told to the workers, so neither side is shuffled by the unsalted key. The hot side's rows
+    are dealt by a hash, the other side's copied to every salt of their key. The result is that of the plain join.
     """
-    splits = hot.groupBy(key).agg((1 + F.floor(F.count("*") / most)).cast("int").alias("_n"))
-    dealt = hot.join(splits, key).withColumn("_salt", F.pmod(deal, F.col("_n")).cast("int")).drop("_n")
-    copied = other.join(splits, key).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+    splits = F.broadcast(hot_splits(hot, key, most))
+    salts = F.coalesce(F.col("_n"), F.lit(1))
+    dealt = hot.join(splits, key, "left").withColumn("_salt", F.pmod(deal, salts).cast("int")).drop("_n")
+    copied = other.join(splits, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_n")
     return dealt.join(copied, [key, "_salt"]).drop("_salt")
 
 
@@ -103,12 +141,17 @@ def check_expected(scored: DataFrame, expected: DataFrame, keys: Sequence[str],
     )
 
 
-def containing(proteins: DataFrame, peptides: DataFrame, sequence: str, peptide: str, k: int = 4) -> DataFrame:
-    """Proteins with each wanted peptide they contain (of at least k letters): joined on the peptide's first k letters, then verified."""
+def containing(proteins: DataFrame, peptides: DataFrame, protein: str, sequence: str, peptide: str, k: int = 4) -> DataFrame:
+    """(protein, peptide) of every wanted peptide (of at least k letters) that a protein's sequence contains.
+
+    Ids and seeds of k letters meet first, and a sequence is fetched once for each peptide that its protein may hold, then
+    verified: no row carries a sequence for each of its letters.
+    """
     seeds = F.array_distinct(F.regexp_extract_all(F.col(sequence), F.lit(f"(?=(.{{{k}}}))"), 1))  # one pass, where substrings by position would start anew each time
-    left = proteins.where(F.length(sequence) >= k).withColumn("_seed", F.explode(seeds))
-    right = peptides.where(F.length(peptide) >= k).withColumn("_seed", F.substring(peptide, 1, k))
-    return left.join(right, "_seed").where(F.contains(F.col(sequence), F.col(peptide))).drop("_seed")
+    wanted = peptides.where(F.length(peptide) >= k).select(F.col(peptide), F.substring(peptide, 1, k).alias("_seed")).distinct()
+    left = proteins.where(F.length(sequence) >= k).select(protein, F.explode(seeds).alias("_seed"))
+    maybe = left.join(wanted, "_seed").select(protein, peptide).distinct()
+    return maybe.join(proteins.select(protein, sequence), protein).where(F.contains(F.col(sequence), F.col(peptide))).select(protein, peptide)
 
 
 def nearest_line(lines: DataFrame, chapter: str, line: str, text: str, similarity: Callable[[Column, Column], Column], reach: int = 200) -> DataFrame:

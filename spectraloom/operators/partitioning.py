@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def packed_bins(bins: DataFrame, bin_col: str, weight: str, most_weight: int = 50, most_keys: int = 20, lanes: int = 64) -> DataFrame:
+def packed_bins(bins: DataFrame, bin_col: str, weight: str, most_weight: int = 50, most_keys: int = 20, lanes: int = 64, deal: Column | None = None) -> DataFrame:
     """Bin to part: heaviest bins first, packed until a part holds over most_weight or most_keys bins.
 
-    Bins are dealt to `lanes` by hash and packed inside a lane by running sums, so no task plans all bins.
+    Bins are dealt to `lanes` by hash (or by `deal`) and packed inside a lane by running sums, so no task plans all bins.
     """
-    dealt = bins.withColumn("_lane", F.pmod(F.xxhash64(bin_col), F.lit(lanes)).cast("int"))
+    dealt = bins.withColumn("_lane", F.pmod(F.xxhash64(bin_col) if deal is None else deal, F.lit(lanes)).cast("int"))
     order = Window.partitionBy("_lane").orderBy(F.desc(weight), bin_col)
     upto = order.rowsBetween(Window.unboundedPreceding, -1)
     by_weight = F.floor(F.coalesce(F.sum(weight).over(upto), F.lit(0)) / most_weight)
@@ -68,8 +68,12 @@ def map_reduce(df: DataFrame, mapper: Callable[[pd.DataFrame], pd.DataFrame], ma
 
 def join_stress(spark, keys: int, rows: int) -> DataFrame:
     """`keys` keys with `rows` rows on both sides, joined: pairs per key (rows squared)."""
-    side = spark.range(keys * rows).select((F.col("id") % keys).alias("key"), F.col("id").alias("value"))
-    return side.join(side.withColumnRenamed("value", "other"), "key").groupBy("key").agg(F.count("*").alias("n"))
+    return pair_counts(spark.range(keys * rows).select((F.col("id") % keys).alias("key"), F.col("id").alias("value")), "key", "value")
+
+
+def pair_counts(side: DataFrame, key: str, value: str) -> DataFrame:
+    """Pairs per key of a table joined with itself: the square of each key's rows."""
+    return side.select(key, value).join(side.select(key, F.col(value).alias("_other")), key).groupBy(key).agg(F.count("*").alias("n"))
 
 
 def chained(df: DataFrame, jobs: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:

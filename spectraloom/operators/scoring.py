@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -18,6 +19,7 @@ WINDOWS, WINDOW_MOST = 10, 50.0
 WATER, AMMONIA = 18.010565, 17.026549
 SCORE_UNIT, SCORE_FLOOR = 0.005, 1e-8
 K_WIDTH = 1.0005
+MODIFIED = re.compile(r"([A-Z])(?:\[([^\]]*)\])?")
 
 
 def mz_bin(mz: Column, width: float = BIN_WIDTH) -> Column:
@@ -77,8 +79,15 @@ def condition(spectra: DataFrame, peaks: str = "peaks") -> DataFrame:
     return spectra.withColumn("_c", run(F.col(f"{peaks}.mz"), F.col(f"{peaks}.intensity"))).select(*spectra.columns, "_c.bins", "_c.plain", "_c.loss")
 
 
+def residue_masses(sequence: str) -> list[float]:
+    """Masses along a sequence; a number in brackets adds to the residue before it."""
+    if "[" not in sequence:
+        return [RESIDUES[c] for c in sequence]
+    return [RESIDUES[c] + (float(d) if d else 0.0) for c, d in MODIFIED.findall(sequence)]
+
+
 def ion_bins(sequence: str, charges: int = 3) -> list[tuple[np.ndarray, int]]:
-    mass = np.cumsum([RESIDUES[c] for c in sequence])
+    mass = np.cumsum(residue_masses(sequence))
     singly = np.concatenate([mass[:-1] + PROTON, mass[-1] - mass[:-1] + C_TERMINUS])
     return [(((singly + (z - 1) * PROTON) / z / BIN_WIDTH + 1).astype(np.int64), z) for z in range(1, charges + 1)]
 
@@ -98,6 +107,23 @@ def xcorr(sequence: str, bins: np.ndarray, plain: np.ndarray, loss: np.ndarray,
     return (max(total * SCORE_UNIT, SCORE_FLOOR) if used else 0.0), used
 
 
+def xcorr_all(theory: list[list[tuple[np.ndarray, int]]], bins: np.ndarray, plain: np.ndarray, loss: np.ndarray, charge: int) -> tuple[np.ndarray, np.ndarray]:
+    """xcorr of one spectrum with all of its candidates, given by their ions' bins, in one pass."""
+    n, top = len(theory), charge - 1 if charge > 1 else charge
+    total, used = np.zeros(n), np.zeros(n, np.int64)
+    for k, z in enumerate((1, 2, 3)):
+        if z > 1 and z > top or not len(bins):
+            continue
+        at = np.concatenate([t[k][0] for t in theory])
+        owner = np.repeat(np.arange(n), [len(t[k][0]) for t in theory])
+        i = np.minimum(np.searchsorted(bins, at), len(bins) - 1)
+        v = np.where(bins[i] == at, (loss if z == 1 else plain)[i], 0)
+        some = np.abs(v) > 1e-4
+        total += np.bincount(owner[some], weights=v[some], minlength=n)
+        used += np.bincount(owner[some], minlength=n)
+    return np.where(used > 0, np.maximum(total * SCORE_UNIT, SCORE_FLOOR), 0.0), used
+
+
 def score_groups(ppm: float) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     """Scorer for a co-group of peptides and spectra: pairs of one bin inside the tolerance only."""
 
@@ -105,15 +131,20 @@ def score_groups(ppm: float) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd
         out = []
         peptides = peptides.sort_values(["bin", "matching_mass"], kind="stable")
         bins, mass, sequences = (peptides[c].to_numpy() for c in ("bin", "matching_mass", "sequence"))
-        for s in spectra.itertuples():
+        theory: dict[int, list[tuple[np.ndarray, int]]] = {}  # of the group's peptides, made once
+        cells, last = None, None
+        for s in spectra.sort_values("spectrum_id", kind="stable").itertuples():
             lo, hi = np.searchsorted(bins, s.bin, "left"), np.searchsorted(bins, s.bin, "right")
             near = lo + np.flatnonzero(np.abs(mass[lo:hi] - s.precursor_mass) < s.precursor_mass * ppm / 1e6)
             if not len(near):
-                continue  # a spectrum is conditioned only where it has a candidate
-            cells = conditioned(np.asarray(s.mz, float), np.asarray(s.intensity, float))
+                continue  # a spectrum is conditioned only where it has a candidate, and once in a group
+            if s.spectrum_id != last:
+                cells, last = conditioned(np.asarray(s.mz, float), np.asarray(s.intensity, float)), s.spectrum_id
             for i in near.tolist():
-                score, used = xcorr(sequences[i], *cells, s.precursor_charge)
-                out.append((s.spectrum_id, sequences[i], score, used, mass[i] - s.precursor_mass))
+                if i not in theory:
+                    theory[i] = ion_bins(sequences[i])
+            scores, used = xcorr_all([theory[i] for i in near.tolist()], *cells, s.precursor_charge)
+            out += zip([s.spectrum_id] * len(near), sequences[near].tolist(), scores.tolist(), used.tolist(), (mass[near] - s.precursor_mass).tolist(), strict=True)
         return pd.DataFrame(out, columns=["spectrum_id", "sequence", "xcorr", "matched_ions", "mass_diff"])
 
     return run

@@ -18,6 +18,7 @@ class SearchConfig:
     cut_after: str = "KR"
     not_before: str = "P"
     modifications: tuple[str, ...] = ()
+    fixed_modifications: tuple[str, ...] = ()
     max_modifications: int = 3
     decoys: bool = False
     semi: bool = False
@@ -33,6 +34,7 @@ class SearchConfig:
 #: Keys of parameter files and the option each sets (fixed values).
 KEYS = {
     "comet.mass_tolerance": "ppm", "scoring, maximum missed cleavage sites": "missed_cleavages", "residue, potential modification mass": "modifications",
+    "residue, modification mass": "fixed_modifications",
     "scoring, include reverse": "decoys", "protein, cleavage semi": "semi", "spectrum, minimum peaks": "least_peaks", "spectrum, maximum parent charge": "most_charge",
 }
 

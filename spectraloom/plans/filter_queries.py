@@ -189,17 +189,17 @@ def d2_semi_peptides(spark, d):
     return dg.semi_peptides(peptides(spark, d).select("sequence").distinct())
 
 
-@query(f"SELECT protein_id, sequence, len(regexp_extract_all(regexp_replace(sequence, 'P', 'p', 'g'), '[KR][A-Z]'))::BIGINT AS missed, NOT regexp_matches(sequence, '[KR]$') AS semi FROM (SELECT protein_id, sequence FROM ({MISSED}) WHERE missed_cleavages = 1 AND length(sequence) BETWEEN 4 AND 40 AND NOT regexp_matches(sequence, '[KR][KR]'))")
+@query(f"SELECT protein_id, sequence, len(list_filter(range(1, length(sequence)), lambda i: substr(sequence, i::INT, 1) IN ('K', 'R') AND substr(sequence, i::INT + 1, 1) <> 'P'))::BIGINT AS missed, NOT regexp_matches(sequence, '[KR]$') AS semi FROM (SELECT protein_id, sequence FROM ({MISSED}) WHERE length(sequence) BETWEEN 4 AND 40)")
 def d3_count_missed(spark, d):
-    one = peptides(spark, d, 1).where("missed_cleavages = 1 and not rlike(sequence, '[KR][KR]')")
     s = F.col("sequence")
-    return one.select("protein_id", "sequence", dg.missed_cleavages(s).cast("long").alias("missed"), dg.probably_semi(s).alias("semi"))
+    return peptides(spark, d, 2).select("protein_id", "sequence", dg.missed_cleavages(s).cast("long").alias("missed"), dg.probably_semi(s).alias("semi"))
 
 
-@query()
+@query(f"WITH p AS (SELECT sequence, m, (1 + m + m * (m - 1) // 2 + m * (m - 1) * (m - 2) // 6)::BIGINT AS n_forms, length(sequence) - length(replace(sequence, 'C', '')) AS c FROM (SELECT DISTINCT sequence, length(sequence) - length(replace(sequence, 'M', '')) AS m FROM ({PEPTIDES}))) SELECT sequence, n_forms, least(m, 3)::INTEGER AS most_mods, (15995 * (m + m * (m - 1) + m * (m - 1) * (m - 2) // 2) + 57021 * c * n_forms)::BIGINT AS sum_delta, (n_forms * (length(sequence) + 8 * c) + 8 * (m + m * (m - 1) + m * (m - 1) * (m - 2) // 2))::BIGINT AS n_letters FROM p")
 def d4_modifications(spark, d):
-    """Variants with oxidised M and a modified last residue; up to three sites."""
-    return dg.modify(peptides(spark, d).select("sequence").distinct(), ["15.995@M", "0.984@]"], 3)
+    """Variants of every peptide: C always changed, up to three oxidised M; counted and summed up by peptide."""
+    forms = dg.modify(peptides(spark, d).select("sequence").distinct(), ["15.995@M"], 3, fixed=["57.021@C"])
+    return forms.groupBy("sequence").agg(F.count("*").alias("n_forms"), F.max("n_mods").alias("most_mods"), F.round(F.sum("mod_delta") * 1000).cast("long").alias("sum_delta"), F.sum(F.length("modified")).cast("long").alias("n_letters"))
 
 
 @query(f"SELECT protein_id::VARCHAR AS protein_id, sequence, false AS is_decoy FROM ({PROTEINS}) UNION ALL SELECT 'DECOY_' || protein_id::VARCHAR, reverse(sequence), true FROM ({PROTEINS})")

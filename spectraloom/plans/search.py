@@ -16,9 +16,12 @@ from spectraloom.operators.filters import scorable
 
 from .config import SearchConfig
 
+#: Keys that may be broadcast as hot.
+SENT = 100_000
+
 
 def peptide_table(proteins: DataFrame, config: SearchConfig) -> DataFrame:
-    """Distinct peptides (sequence, proteins, matching_mass) of proteins (protein_id, sequence)."""
+    """Distinct peptides (sequence, proteins, matching_mass) of proteins (protein_id, sequence); a modified residue is followed by its mass in brackets."""
     source = proteins.select(F.col("protein_id").cast("string").alias("protein_id"), "sequence")
     if config.max_proteins is not None:
         source = source.orderBy("protein_id").limit(config.max_proteins)
@@ -27,8 +30,11 @@ def peptide_table(proteins: DataFrame, config: SearchConfig) -> DataFrame:
     found = dg.digest(source, missed=config.missed_cleavages, after=config.cut_after, not_before=config.not_before)
     if config.semi:
         found = dg.semi_peptides(found).select("protein_id", F.col("semi").alias("sequence"))
-    merged = ag.merged_peptides(found, "sequence", "protein_id")
-    return merged.withColumn("matching_mass", matching_mass(sequence_mass(F.col("sequence"))))
+    merged = ag.merged_peptides(found, "sequence", "protein_id").withColumn("matching_mass", matching_mass(sequence_mass(F.col("sequence"))))
+    if not config.modifications and not config.fixed_modifications:
+        return merged
+    forms = dg.modify(merged, config.modifications, config.max_modifications, fixed=config.fixed_modifications)
+    return forms.select(F.col("modified").alias("sequence"), "proteins", (F.col("matching_mass") + F.col("mod_delta")).alias("matching_mass"))
 
 
 def scorable_spectra(spectra: DataFrame, config: SearchConfig) -> DataFrame:
@@ -48,15 +54,18 @@ def binned(peptides: DataFrame, spectra: DataFrame, config: SearchConfig) -> tup
     own = ratio_bin(F.col("precursor_mass"), config.ppm)
     right = spectra.withColumn("bin", F.explode(F.sequence(own - 1, own + 1)))
     left = peptides.withColumn("bin", ratio_bin(F.col("matching_mass"), config.ppm))
-    sizes = ag.counts_by(right, "bin", out="n_s").join(ag.counts_by(left, "bin", out="n_p"), "bin")
-    splits = staged(sizes.select("bin", "n_p", (1 + F.floor(F.col("n_s") / config.hot_bin)).cast("int").alias("_n"), (1 + F.floor(F.col("n_p") / config.group_rows)).cast("int").alias("_m")), "bins")
-    total = splits.agg(F.sum("n_p")).first()[0] or 0
-    lane = F.pmod(F.xxhash64("bin"), F.lit(max(8, -(-total // config.group_rows)))).cast("int")
-    splits = splits.drop("n_p")
-    right = right.join(splits, "bin").withColumn("salt", F.pmod(F.xxhash64("spectrum_id"), F.col("_n")).cast("int"))
-    left = left.join(splits, "bin").withColumn("section", F.pmod(F.xxhash64("sequence"), F.col("_m")).cast("int"))
-    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    right = right.withColumn("section", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+    sizes = staged(ag.counts_by(right, "bin", out="n_s").join(ag.counts_by(left, "bin", out="n_p"), "bin"), "bins")
+    total_s, total_p = sizes.agg(F.coalesce(F.sum("n_s"), F.lit(0)), F.coalesce(F.sum("n_p"), F.lit(0))).first()
+    lane = F.pmod(F.xxhash64("bin"), F.lit(max(8, -(-total_p // config.group_rows)))).cast("int")
+    # fewer than SENT bins can each hold over a SENT-th of a side, so the hot ones fit in a broadcast; others are not split
+    hot = (F.col("n_s") > max(config.hot_bin, total_s // SENT)) | (F.col("n_p") > max(config.group_rows, total_p // SENT))
+    splits = sizes.where(hot).select("bin", (1 + F.floor(F.col("n_s") / config.hot_bin)).cast("int").alias("_n"), (1 + F.floor(F.col("n_p") / config.group_rows)).cast("int").alias("_m"))
+    one = lambda c: F.coalesce(c, F.lit(1))
+    # a bin is of use if both sides have it; the other side's bins are no more than its rows
+    right = right.join(sizes.select("bin"), "bin", "left_semi").join(F.broadcast(splits), "bin", "left").withColumn("salt", F.pmod(F.xxhash64("spectrum_id"), one(F.col("_n"))).cast("int"))
+    left = left.join(sizes.select("bin"), "bin", "left_semi").join(F.broadcast(splits), "bin", "left").withColumn("section", F.pmod(F.xxhash64("sequence"), one(F.col("_m"))).cast("int"))
+    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), one(F.col("_n")) - 1)))
+    right = right.withColumn("section", F.explode(F.sequence(F.lit(0), one(F.col("_m")) - 1)))
     return left.withColumn("lane", lane).drop("_n", "_m"), right.withColumn("lane", lane).drop("_n", "_m")
 
 

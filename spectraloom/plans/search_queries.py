@@ -8,6 +8,7 @@ from spectraloom.functions.masses import C_TERMINUS, PROTON, RESIDUES
 from spectraloom.functions.staging import shared_path
 from spectraloom.operators import digest as dg
 from spectraloom.operators import filters as fl
+from spectraloom.operators import joins as jn
 from spectraloom.operators import scoring as sc
 from spectraloom.sinks import reports as rp
 from spectraloom.sources import files as fs
@@ -21,7 +22,7 @@ CONFIG = SearchConfig(ppm=10.0, decoys=False)
 
 
 def benchmark_peptides(spark, d):
-    return dg.digest(proteins(spark, d, "benchmark", "item_id"), least=6).select("sequence").distinct()
+    return dg.digest(proteins(spark, d, "benchmark", "item_id")).select("sequence").distinct()
 
 
 @query()
@@ -36,44 +37,51 @@ def d9_conditioned_spectra(spark, d):
     return c.select("spectrum_id", F.size("bins").alias("n_bins"), F.round(F.aggregate("plain", F.lit(0.0), lambda a, x: a + x), 4).alias("sum_plain"), F.round(F.aggregate("loss", F.lit(0.0), lambda a, x: a + x), 4).alias("sum_loss"))
 
 
+def candidate_pairs(spark, d, spectra):
+    """Every spectrum with the texts' peptides inside its mass tolerance, as the search forms them."""
+    found = peptide_table(proteins(spark, d), CONFIG).select("sequence", "matching_mass")
+    return jn.ppm_join(found, spectra.select("spectrum_id", "precursor_mass", "precursor_charge"), "matching_mass", "precursor_mass", CONFIG.ppm).select("spectrum_id", "sequence", "precursor_charge")
+
+
 @query()
 def d10_xcorr_joined(spark, d):
-    """Every benchmark peptide scored against its own spectrum by joins and sums."""
+    """Benchmark spectra scored against all of their candidates by joins and sums."""
     s = scorable_spectra(spectra_of(benchmark_peptides(spark, d)), CONFIG)
-    pairs = s.select("spectrum_id", F.col("spectrum_id").alias("sequence"), "precursor_charge")
-    return sc.xcorr_joined(pairs, sc.condition(s)).withColumn("xcorr", F.round("xcorr", 6))
+    return sc.xcorr_joined(candidate_pairs(spark, d, s), sc.condition(s)).withColumn("xcorr", F.round("xcorr", 6))
+
+
+def theory_and_peaks(spark, d):
+    s = scorable_spectra(spectra_of(benchmark_peptides(spark, d)), CONFIG)
+    peaks = s.select("spectrum_id", F.explode("peaks").alias("k")).select("spectrum_id", "k.mz", "k.intensity")
+    return sc.ions(candidate_pairs(spark, d, s), "sequence", 1), peaks
 
 
 MASS_MAP = "MAP {" + ", ".join(f"'{r}': {m!r}::DOUBLE" for r, m in RESIDUES.items()) + "}"
-SHORT = f"SELECT DISTINCT sequence FROM ({PEPTIDES}) WHERE length(sequence) <= 8"
+DISTINCT = f"SELECT DISTINCT sequence FROM ({PEPTIDES})"
 
 
-@query(f"""WITH r AS (SELECT sequence, list_transform(range(1, length(sequence) + 1), lambda i: {MASS_MAP}[substr(sequence, i::INT, 1)]) AS m FROM ({SHORT})),
+@query(f"""WITH r AS (SELECT sequence, list_transform(range(1, length(sequence) + 1), lambda i: {MASS_MAP}[substr(sequence, i::INT, 1)]) AS m FROM ({DISTINCT})),
  b AS (SELECT sequence, m, unnest(range(1, length(sequence)))::INTEGER AS position FROM r),
  i AS (SELECT sequence, position, 'b' AS ion, list_sum(m[1:position]) + {PROTON}::DOUBLE AS mass FROM b UNION ALL SELECT sequence, position, 'y', list_sum(m) - list_sum(m[1:len(m) - position]) + {C_TERMINUS}::DOUBLE FROM b)
- SELECT sequence, ion, position, z AS ion_charge, round((mass + (z - 1) * {PROTON}::DOUBLE) / z, 4) AS mz FROM i, (SELECT unnest([1, 2, 3])::INTEGER AS z)""")
+ SELECT sequence, ion, z AS ion_charge, count(*) AS n, round(min(mz), 3) AS least_mz, round(max(mz), 3) AS most_mz, round(sum(mz * position), 1) AS weighted FROM (SELECT *, (mass + (z - 1) * {PROTON}::DOUBLE) / z AS mz FROM i, (SELECT unnest([1, 2, 3])::INTEGER AS z)) GROUP BY 1, 2, 3""")
 def d8_ions(spark, d):
-    p = peptides(spark, d).select("sequence").distinct().where(F.length("sequence") <= 8)
-    return sc.ions(p).withColumn("mz", F.round("mz", 4))
+    """Ions of every distinct peptide, summed up by kind and charge (the position weighs each)."""
+    p = peptides(spark, d).select("sequence").distinct()
+    i = sc.ions(p).groupBy("sequence", "ion", "ion_charge").agg(F.count("*").alias("n"), F.min("mz").alias("lo"), F.max("mz").alias("hi"), F.sum(F.col("mz") * F.col("position")).alias("w"))
+    return i.select("sequence", "ion", "ion_charge", "n", F.round("lo", 3).alias("least_mz"), F.round("hi", 3).alias("most_mz"), F.round("w", 1).alias("weighted"))
 
 
 @query()
 def d11_k_score(spark, d):
-    p = benchmark_peptides(spark, d)
-    theory = sc.ions(p, "sequence", 1).withColumn("spectrum_id", F.col("sequence"))
-    peaks = spectra_of(p).select("spectrum_id", F.explode("peaks").alias("k")).select("spectrum_id", "k.mz", "k.intensity")
-    return sc.k_score(theory, peaks).select("spectrum_id", "sequence", F.round("k_score", 4).alias("k_score"))
+    return sc.k_score(*theory_and_peaks(spark, d)).select("spectrum_id", "sequence", F.round("k_score", 4).alias("k_score"))
 
 
 @query()
 def d12_dot_product(spark, d):
-    p = benchmark_peptides(spark, d)
-    theory = sc.ions(p, "sequence", 1).withColumn("spectrum_id", F.col("sequence"))
-    peaks = spectra_of(p).select("spectrum_id", F.explode("peaks").alias("k")).select("spectrum_id", "k.mz", "k.intensity")
-    return sc.dot_product(theory, peaks).select("spectrum_id", "dot", "n_b", "n_y")
+    return sc.dot_product(*theory_and_peaks(spark, d)).select("spectrum_id", "sequence", "dot", "n_b", "n_y", "hyperscore")
 
 
-@query(f"SELECT sequence, length(sequence) - 1 AS n_b, length(sequence) - 1 AS n_y, 100.0::DOUBLE * (length(sequence) - 1) AS sum_b FROM (SELECT DISTINCT p AS sequence FROM (SELECT unnest(str_split(replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '|P', 'P'), '|')) AS p FROM (SELECT upper(regexp_replace(coalesce(text, ''), '[^ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]', '', 'g')) AS s FROM benchmark)) WHERE length(p) BETWEEN 6 AND 40)")
+@query(f"SELECT sequence, length(sequence) - 1 AS n_b, length(sequence) - 1 AS n_y, 100.0::DOUBLE * (length(sequence) - 1) AS sum_b FROM (SELECT DISTINCT p AS sequence FROM (SELECT unnest(str_split(replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '|P', 'P'), '|')) AS p FROM (SELECT upper(regexp_replace(coalesce(text, ''), '[^ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]', '', 'g')) AS s FROM benchmark)) WHERE length(p) BETWEEN 4 AND 40)")
 def a27_ion_use(spark, d):
     t = sc.ions(benchmark_peptides(spark, d), "sequence", 1).withColumn("v", F.lit(100.0))
     return sc.ion_use(t, ["sequence"], "ion", "v").select("sequence", "n_b", "n_y", "sum_b")
@@ -108,11 +116,13 @@ def s3_mgf(spark, d):
     return fs.read_mgf(spark, path).select("spectrum_id", F.round("precursor_mz", 4).alias("precursor_mz"), "precursor_charge", F.size("peaks").cast("long").alias("n_peaks"))
 
 
-@query("SELECT vec_id::VARCHAR AS spectrum_id FROM embeddings WHERE label >= 5")
+@query("SELECT vec_id::VARCHAR AS spectrum_id, least(len(list_filter(embedding, lambda v: round(abs(v * 100), 3) > 0)), 20)::BIGINT AS n_peaks FROM embeddings WHERE label >= 3 AND label % 5 < 3")
 def k6_best_as_mgf(spark, d):
-    s = vector_spectra(spark, d)
-    scores = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("spectrum_id"), F.col("label").cast("double").alias("score"))
-    return rp.mgf_of_best(s, scores, least_score=5.0).select("spectrum_id")
+    """Spectra of good score and expectation written as MGF, read back, and shortened to their 20 largest peaks."""
+    s, path = vector_spectra(spark, d), shared_path(spark, "best")
+    scores = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("spectrum_id"), F.col("label").cast("double").alias("score"), (F.col("label") % 5).cast("double").alias("expect"))
+    rp.mgf_of_best(s, scores, least_score=3.0, most_expect=2.0).select("block").write.text(path)
+    return rp.shortened(fs.read_mgf(spark, path, strict=False), 20).select("spectrum_id", F.size("peaks").cast("long").alias("n_peaks"))
 
 
 def packed(bits: int, zipped: bool):
@@ -268,14 +278,17 @@ def k9_binning_report(spark, d):
 
 @query("SELECT count(*) AS n FROM embeddings")
 def a30_count_spectra(spark, d):
-    return rp.mgf_text(vector_spectra(spark, d)).agg(F.count("*").alias("n"))
+    """Entries of an MGF file, counted from its lines alone."""
+    path = shared_path(spark, "count")
+    rp.write_mgf(vector_spectra(spark, d), path)
+    return fs.count_mgf(spark, path)
 
 
 @query("SELECT o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1")
 def p4_persist_and_count(spark, d):
     from spectraloom.operators.partitioning import persisted
 
-    kept, _ = persisted(table(spark, d, "orders"), on=False)
+    kept, _ = persisted(table(spark, d, "orders").select("o_orderpriority"))
     return kept.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
 
 

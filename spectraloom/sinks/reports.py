@@ -52,21 +52,28 @@ def escaped(c: Column) -> Column:
     return c
 
 
+#: Names of scores in a pepXML report, and the columns they are taken from where there are such (fixed values).
+SCORES = [("xcorr", "xcorr"), ("deltacn", "delta_cn"), ("deltacnstar", "delta_cn_star"), ("spscore", "sp_score"), ("hyperscore", "hyperscore"), ("expect", "expect")]
+
+
 def pepxml_rows(hits: DataFrame) -> DataFrame:
     """One spectrum_query element per spectrum (columns spectrum_id, element) from ranked hits."""
-    hit = F.format_string(
-        '<search_hit hit_rank="%d" peptide="%s" protein="%s" massdiff="%.6f"><search_score name="xcorr" value="%.6f"/><search_score name="deltacn" value="%.6f"/><search_score name="expect" value="%.6g"/></search_hit>',
-        F.col("rank"), escaped(F.col("sequence")), escaped(F.col("protein")), F.col("mass_diff"), F.col("xcorr"), F.col("delta_cn"), F.col("expect"),
-    )
+    plain = F.regexp_replace("sequence", r"\[[^\]]*\]", "")
+    modified = F.when(plain != F.col("sequence"), F.format_string('<modification_info modified_peptide="%s"/>', escaped(F.col("sequence")))).otherwise("")
+    score = lambda name, c: F.format_string(f'<search_score name="{name}" value="%.6g"/>', F.col(c).cast("double"))
+    scores = [score(name, c) for name, c in SCORES if c in hits.columns]
+    head = F.format_string('<search_hit hit_rank="%d" peptide="%s" protein="%s" massdiff="%.6f">', F.col("rank"), escaped(plain), escaped(F.col("protein")), F.col("mass_diff"))
+    hit = F.concat(head, modified, *scores, F.lit("</search_hit>"))
     rows = hits.select("spectrum_id", "precursor_mass", "precursor_charge", "rank", hit.alias("h"))
     q = rows.groupBy("spectrum_id").agg(F.first("precursor_mass").alias("m"), F.first("precursor_charge").alias("z"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "h"))), lambda x: x["h"]), "").alias("hits"))
     element = F.concat(F.format_string('<spectrum_query spectrum="%s" start_scan="%s" precursor_neutral_mass="%.6f" assumed_charge="%d"><search_result>', escaped(F.col("spectrum_id")), escaped(F.col("spectrum_id")), F.col("m") - 1.00727646688, F.col("z")), "hits", F.lit("</search_result></spectrum_query>"))
     return q.select("spectrum_id", element.alias("element"))
 
 
-def write_pepxml(hits: DataFrame, path: str) -> None:
-    """Ranked hits as one pepXML file, spectra in text order of their ids."""
-    header = '<?xml version="1.0" encoding="UTF-8"?>\n<msms_pipeline_analysis><msms_run_summary>\n'
+def write_pepxml(hits: DataFrame, path: str, parameters: dict[str, str] | None = None) -> None:
+    """Ranked hits as one pepXML file with a search summary, spectra in text order of their ids."""
+    named = "".join(f'<parameter name="{k}" value="{v}"/>' for k, v in (parameters or {}).items())
+    header = f'<?xml version="1.0" encoding="UTF-8"?>\n<msms_pipeline_analysis><msms_run_summary>\n<search_summary precursor_mass_type="monoisotopic" fragment_mass_type="monoisotopic">{named}</search_summary>\n'
     write_one_file(pepxml_rows(hits).orderBy("spectrum_id"), "element", path, header, "</msms_run_summary></msms_pipeline_analysis>\n")
 
 
@@ -98,6 +105,13 @@ def mgf_of_best(spectra: DataFrame, scores: DataFrame, least_score: float | None
     return mgf_text(spectra.join(good.select("spectrum_id").distinct(), "spectrum_id", "left_semi"))
 
 
+def shortened(spectra: DataFrame, n: int) -> DataFrame:
+    """Spectra with their n largest peaks only, in order of m/z; of a verbose file nothing else but id, precursor and charge is kept."""
+    larger = lambda a, b: F.when(a["intensity"] > b["intensity"], -1).when(a["intensity"] < b["intensity"], 1).when(a["mz"] < b["mz"], -1).otherwise(1)
+    peaks = F.sort_array(F.slice(F.array_sort("peaks", larger), 1, n))
+    return spectra.select("spectrum_id", "precursor_mz", "precursor_charge", peaks.alias("peaks"))
+
+
 def write_fasta(proteins: DataFrame, path: str, id_col: str = "protein_id", sequence: str = "sequence", width: int = 60) -> None:
     folded = F.regexp_replace(sequence, f"(.{{{width}}})(?=.)", "$1\n")
     proteins.select(F.concat(F.lit(">"), F.col(id_col).cast("string"), F.lit("\n"), folded)).write.text(path)

@@ -60,6 +60,11 @@ def read_mgf(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     return out.drop("_u")
 
 
+def count_mgf(spark: SparkSession, path: str) -> DataFrame:
+    """How many spectra MGF files hold (n), without reading any."""
+    return spark.read.text(path).where(F.trim("value") == "BEGIN IONS").agg(F.count("*").alias("n"))
+
+
 def decoded_peaks(text: Column, bits: Column, packed: Column) -> Column:
     """Peaks of base64 big-endian (m/z, intensity) pairs, 32 or 64 bits, zlib-packed or not."""
     return F.pandas_udf(_peaks, PEAKS)(text, bits, packed)
@@ -83,25 +88,20 @@ def encode_peaks(mz: Iterable[float], intensity: Iterable[float], bits: int = 32
     return base64.b64encode(zlib.compress(raw) if packed else raw).decode()
 
 
-SCAN = """_num string, _msLevel int, _retentionTime string,
- precursorMz struct<_VALUE:double,_precursorCharge:int>,
- peaks struct<_VALUE:string,_precision:int,_compressionType:string>"""
-
-
 def read_mzxml(spark: SparkSession, path: str) -> DataFrame:
-    """Scans of mzXML files; a scan inside another is a row of its own."""
-    inner = "struct<" + ",".join(":".join(x.strip().split(" ", 1)) for x in ["_num string", "_msLevel int", "_retentionTime string"]) + ",precursorMz:struct<_VALUE:double,_precursorCharge:int>,peaks:struct<_VALUE:string,_precision:int,_compressionType:string>>"
-    df = spark.read.format("xml").option("rowTag", "scan").option("ignoreSurroundingSpaces", True).schema(SCAN + f", scan array<{inner}>").load(path)
-    fields = ["_num", "_msLevel", "_retentionTime", "precursorMz", "peaks"]
-    nested = df.select(F.explode("scan").alias("s")).select(*[F.col(f"s.{f}").alias(f) for f in fields])
-    return _scans(df.select(*fields).unionByName(nested))
-
-
-def _scans(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("_num").alias("spectrum_id"), F.col("_msLevel").alias("ms_level"), F.regexp_replace("_retentionTime", "^PT|S$", "").try_cast("double").alias("retention_time"),
-        F.col("precursorMz._VALUE").alias("precursor_mz"), F.col("precursorMz._precursorCharge").alias("precursor_charge"),
-        decoded_peaks(F.regexp_replace("peaks._VALUE", r"\s", ""), F.col("peaks._precision"), F.col("peaks._compressionType")).alias("peaks"),
+    """Every scan of mzXML files, however deep it stands inside others: a scan's own elements come before those of inner scans."""
+    own = spark.read.option("lineSep", "<scan").text(path).where(F.rlike("value", F.lit(r"^\s")))
+
+    def attribute(tag: Column, name: str) -> Column:
+        return F.nullif(F.regexp_extract(tag, rf"\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit(""))
+
+    head, precursor, peaks = (F.regexp_extract("value", r, 1) for r in (r"^([^>]*)>", r"<precursorMz([^>]*)>", r"<peaks([^>]*)>"))
+    body = lambda tag: F.regexp_extract("value", rf"<{tag}[^>]*>([^<]*)</{tag}>", 1)
+    return own.select(
+        attribute(head, "num").alias("spectrum_id"), attribute(head, "msLevel").try_cast("int").alias("ms_level"),
+        F.regexp_replace(attribute(head, "retentionTime"), "^PT|S$", "").try_cast("double").alias("retention_time"),
+        F.trim(body("precursorMz")).try_cast("double").alias("precursor_mz"), attribute(precursor, "precursorCharge").try_cast("int").alias("precursor_charge"),
+        decoded_peaks(F.regexp_replace(body("peaks"), r"\s", ""), attribute(peaks, "precision").try_cast("int"), attribute(peaks, "compressionType")).alias("peaks"),
     )
 
 

@@ -60,7 +60,7 @@ def test_salting_changes_nothing(spark, most):
 def test_containing(spark):
     p = spark.createDataFrame([(1, "MKPEPTIDEKAAA"), (2, "AAAA"), (3, None)], "p long, s string")
     w = spark.createDataFrame([("PEPTIDE",), ("AAAA",), ("XX",)], "w string")
-    assert sorted((r.p, r.w) for r in jn.containing(p, w, "s", "w").distinct().collect()) == [(1, "PEPTIDE"), (2, "AAAA")]
+    assert sorted((r.p, r.w) for r in jn.containing(p, w, "p", "s", "w").distinct().collect()) == [(1, "PEPTIDE"), (2, "AAAA")]
 
 
 def test_top_matches_ties_and_merge_order(spark):
@@ -223,3 +223,75 @@ def test_persist_size_and_chain(spark):
     assert pt.sized(spark.range(100).repartition(10), 100, 50).rdd.getNumPartitions() == 2
     assert pt.chained(df, [lambda d: d.where("id > 3"), lambda d: d.where("id < 6")]).count() == 2
     assert {r.n for r in pt.join_stress(spark, 5, 20).collect()} == {400}
+
+
+def test_fixed_and_terminal_modifications():
+    parse = dg.Modification.parse
+    forms = {(a, round(b, 3), n) for a, b, n in dg.modified_forms("CMK", [parse("16@M"), parse("1@]")], 2, [parse("57@C"), parse("2@[")])}
+    assert forms == {("C[59.000]MK", 59.0, 0), ("C[59.000]M[16.000]K", 75.0, 1), ("C[59.000]MK[1.000]", 60.0, 1), ("C[59.000]M[16.000]K[1.000]", 76.0, 2)}
+
+
+def test_search_finds_a_modified_peptide(spark):
+    from spectraloom.functions.masses import RESIDUES
+    from spectraloom.plans.config import SearchConfig
+    from spectraloom.plans.search import search
+
+    text = "AEPTMIDEAK"
+    masses = [RESIDUES[c] + (15.995 if c == "M" else 0) for c in text]
+    total, run, peaks = sum(masses), 0.0, []
+    for m in masses[:-1]:
+        run += m
+        peaks += [(run + 1.00727646688, 100.0), (total - run + 18.010565 + 1.00727646688, 100.0)]
+    proteins = spark.createDataFrame([("p", "AAAAAK" + text + "GGGGGGR"), ("q", "VVVVVVVK")], "protein_id string, sequence string")
+    spectra = spark.createDataFrame([("s", (total + 18.010565 + 2 * 1.00727646688) / 2, 2, sorted(peaks))], "spectrum_id string, precursor_mz double, precursor_charge int, peaks array<struct<mz:double,intensity:float>>")
+    assert search(proteins, spectra, SearchConfig(ppm=20)).count() == 0
+    best = search(proteins, spectra, SearchConfig(ppm=20, modifications=("15.995@M",))).collect()
+    assert [(r.sequence, r.matched_ions, r.proteins) for r in best] == [("AEPTM[15.995]IDEAK", 18, ["p"])]
+
+
+def test_hot_keys_are_split_and_others_are_not(spark):
+    hot = spark.range(3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id")).alias("k"), "id")
+    assert [(r.k, r._n) for r in jn.hot_splits(hot, "k", 30).collect()] == [(1, 67)]
+    other = spark.createDataFrame([(1, "a"), (1, "b"), (2500, "c"), (9999, "d")], "k long, v string")
+    got = jn.salted_join(hot, other, "k", F.xxhash64("id"))
+    assert got.count() == 4001 and got.distinct().count() == 4001
+
+
+def test_sections_of_a_hot_key(spark):
+    rows = [(1, i) for i in range(950)] + [(2, i) for i in range(30)] + [(None, i) for i in range(15)]
+    got = jn.sections(spark.createDataFrame(rows, "k int, i int").repartition(5), "k", ["i"], 100).collect()
+    assert sorted((r.k or 0, r.i, r.section) for r in got) == sorted((k or 0, i, i // 100) for k, i in rows)
+
+
+def test_work_items_and_scans(spark):
+    p = spark.createDataFrame([(100.5,)] * 25 + [(101.2,)], "m double")
+    items = jn.work_items(p, "m", 10)
+    assert sorted(r.item for r in items.collect()) == ["100:0:10", "100:10:20", "100:20:25", "101:0:1"]
+    scans = spark.createDataFrame([("a", 50.3, None), ("b", 50.3, 1), ("c", 50.3, 2)], "s string, mz double, z0 int")
+    got = jn.scan_items(scans, items, "mz", "z0", 0.2, 0.5)
+    assert sorted((r.s, r.z, r.item) for r in got.collect()) == sorted((s, 2, x) for s in "ac" for x in ["100:0:10", "100:10:20", "100:20:25", "101:0:1"])
+
+
+def test_nearest_line(spark):
+    from spectraloom.functions.text import similarity
+
+    rows = [(c, i, t) for c in (1, 2) for i, t in enumerate(["straße groß", "strasse gross", "étude", "etude", "", "Straße groß"])]
+    got = jn.nearest_line(spark.createDataFrame(rows, "c int, i int, t string"), "c", "i", "t", similarity, 3).collect()
+
+    def distance(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    for r in got:
+        scores = {}
+        for c, i, t in rows:
+            if c == r.c and i != r.line and abs(i - r.line) <= 3:
+                own = next(x for cc, ii, x in rows if cc == c and ii == r.line)
+                n = max(len(own), len(t))
+                scores[i] = (n - distance(own.lower(), t.lower())) / n if n else 1.0
+        best = max(scores.values())
+        assert abs(r.best_score - best) < 1e-9 and r.best_line == min(i for i, v in scores.items() if v == best)
