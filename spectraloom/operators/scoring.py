@@ -202,22 +202,58 @@ def ion_use(met: DataFrame, keys: list[str], ion: str, value: str) -> DataFrame:
     return met.groupBy(*keys).agg(*[a for k in ("b", "y") for a in (F.count_if(F.col(ion) == k).alias(f"n_{k}"), F.sum(F.when(F.col(ion) == k, F.col(value)).otherwise(0.0)).alias(f"sum_{k}"))])
 
 
-def normalised_peaks(peaks: Column, precursor_mz: Column, charge: Column, dynamic: float = 100.0, least_mz: float = 150.0, n: int = 50, isotope: float = 0.95) -> Column:
-    """Peak array with isotopes (a smaller peak within `isotope` above a larger one kept), the parent's surroundings and low masses left out, scaled to `dynamic`, peaks under 1 dropped, the n largest kept in m/z order."""
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c), where c is computed once a row however often it is used."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def normalised_peaks(
+    peaks: Column, precursor_mz: Column, charge: Column, dynamic: float = 100.0, least_mz: float = 150.0, n: int = 50, isotope: float = 0.95, carbon: float = 1.5,
+    most_mz: float = 6000.0, masses: tuple[float, float] = (150.0, 6000.0), most_charge: int = 4, least_peaks: int = 5, noise: bool = True,
+) -> Column:
+    """Peak array of a conditioned spectrum in m/z order, null if the spectrum is not to be scored.
+
+    Peaks over least_mz: of those within `isotope` of the one kept the larger stays; peaks within 2 / charge of the
+    parent and those from most_mz on go; the rest is scaled to `dynamic`, and peaks under 1 go. Above m/z 200 the largest peak stays
+    of those within `carbon` of the first of a run. The n largest are kept. Null: parent mass outside `masses`, a charge over
+    most_charge, fewer than least_peaks after scaling, or (noise) no peak above mass / charge (mass - 600 for charges below 3).
+    """
+    z = F.greatest(F.coalesce(charge, F.lit(1)), F.lit(1))
+    mass = (precursor_mz - PROTON) * z + PROTON
     order = F.array_sort(peaks, lambda a, b: F.when(a["mz"] < b["mz"], -1).when(a["mz"] > b["mz"], 1).otherwise(0))
-    parent = lambda p: F.abs(p["mz"] - precursor_mz) <= 2.0 / F.greatest(charge, F.lit(1))
-    kept = F.filter(order, lambda p: (p["mz"] >= least_mz) & ~parent(p) & (p["intensity"] > 0))
+    kept = F.transform(F.filter(order, lambda p: (p["mz"] > least_mz) & (p["intensity"] > 0)), lambda p: F.struct(p["mz"].alias("mz"), p["intensity"].cast("double").alias("intensity")))
 
-    def step(a: Column, p: Column) -> Column:
+    def larger(a: Column, p: Column) -> Column:
         last = F.element_at(a, -1)
-        near = (F.size(a) > 0) & (p["mz"] - last["mz"] < isotope)
-        return F.when(near & (p["intensity"] <= last["intensity"]), a).when(near, F.array_append(F.slice(a, 1, F.size(a) - 1), p)).otherwise(F.array_append(a, p))
-
-    single = F.aggregate(kept, F.slice(kept, 1, 0), step)
-    top = F.array_max(F.transform(single, lambda p: p["intensity"].cast("double")))
-    scaled = F.filter(F.transform(single, lambda p: F.struct(p["mz"].alias("mz"), (p["intensity"] * dynamic / top).alias("intensity"))), lambda p: p["intensity"] >= 1)
-    largest = F.slice(F.array_sort(scaled, lambda a, b: F.when(a["intensity"] > b["intensity"], -1).when(a["intensity"] < b["intensity"], 1).when(a["mz"] < b["mz"], -1).otherwise(1)), 1, n)
-    return F.sort_array(largest)
+        near = (F.size(a) > 0) & (p["mz"] < last["mz"] + isotope)
+        return F.when(near & (p["intensity"] < last["intensity"]), a).when(near, F.array_append(F.slice(a, 1, F.size(a) - 1), p)).otherwise(F.array_append(a, p))
+
+    off = lambda p: F.abs(p["mz"] - precursor_mz)
+    apart = lambda a: F.filter(a, lambda p: ((off(p) == 0) | (off(p) >= 2.0 / z)) & (p["mz"] < most_mz))
+
+    def scaled(a: Column) -> Column:
+        return once(F.array_max(F.transform(a, lambda p: p["intensity"])), lambda top: F.filter(F.transform(a, lambda p: F.struct(p["mz"].alias("mz"), (p["intensity"] * dynamic / top).alias("intensity"))), lambda p: p["intensity"] >= 1))
+
+    run = lambda first, p: F.struct(first.alias("first"), p.alias("peak"))
+
+    def run_step(a: Column, p: Column) -> Column:
+        last = F.element_at(a, -1)
+        same = (F.size(a) > 0) & (p["mz"] - last["first"] < carbon) & (p["mz"] > 200)
+        best = F.when(p["intensity"] > last["peak"]["intensity"], p).otherwise(last["peak"])
+        return F.when(same, F.array_append(F.slice(a, 1, F.size(a) - 1), run(last["first"], best))).otherwise(F.array_append(a, run(p["mz"], p)))
+
+    by_size = lambda a, b: F.when(a["intensity"] > b["intensity"], -1).when(a["intensity"] < b["intensity"], 1).when(a["mz"] < b["mz"], -1).otherwise(1)
+
+    def cleaned(a: Column) -> Column:
+        enough = mass.between(*masses) & (z <= most_charge) & (F.size(a) >= least_peaks)
+        if noise:
+            high = F.when(z < 3, mass - 600.0).otherwise(mass / z)
+            enough &= F.exists(a, lambda p: p["mz"] > high)
+        runs = F.aggregate(a, F.transform(F.slice(a, 1, 0), lambda p: run(p["mz"], p)), run_step)
+        return F.when(enough, F.sort_array(F.slice(F.array_sort(F.transform(runs, lambda r: r["peak"]), by_size), 1, n)))
+
+    single = once(kept, lambda k: F.aggregate(k, F.slice(k, 1, 0), larger))
+    return once(once(apart(single), scaled), cleaned)
 
 
 def length_factor(n: int) -> float:

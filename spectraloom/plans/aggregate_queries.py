@@ -79,9 +79,9 @@ def a9_any_value(spark, d):
     return ag.any_value(events(spark, d), "user_id", "event_id")
 
 
-@query("SELECT n_regionkey, string_agg(n_name, ';' ORDER BY n_name) AS joined FROM nation GROUP BY n_regionkey")
+@query("SELECT o_custkey, string_agg(o_orderkey::VARCHAR, ';' ORDER BY o_orderkey::VARCHAR) AS joined FROM orders GROUP BY o_custkey")
 def a10_joined_text(spark, d):
-    return ag.joined_text(table(spark, d, "nation"), "n_regionkey", "n_name", ";")
+    return ag.joined_text(table(spark, d, "orders").select("o_custkey", F.col("o_orderkey").cast("string").alias("key")), "o_custkey", "key", ";")
 
 
 @query(f"SELECT w, count(*) AS n FROM ({WORDS}) GROUP BY w")

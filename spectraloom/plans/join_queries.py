@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spectraloom.functions.masses import sequence_mass
@@ -44,15 +45,19 @@ def j2_bin_join(spark, d):
 
 @query("SELECT n_nationkey::BIGINT AS n_nationkey, count(*) AS n_pairs, round(max(c_acctbal * s_acctbal), 2) AS best FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1")
 def j3_cogroup(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_nationkey").cast("long").alias("n_nationkey"), "c_acctbal")
-    s = table(spark, d, "supplier").select(F.col("s_nationkey").cast("long").alias("n_nationkey"), "s_acctbal")
+    """Each side comes down to one row a nation and salt before the two meet, so no call sees a nation's whole rows."""
+
+    def side(name: str, nation: str, value: str, key: str) -> DataFrame:
+        rows = table(spark, d, name).select(F.col(nation).cast("long").alias("n_nationkey"), F.pmod(key, F.lit(16)).alias("salt"), value)
+        return rows.groupBy("n_nationkey", "salt").agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).drop("salt")
 
     def score(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"n_nationkey": [], "n_pairs": [], "best": []})
-        hi = [x * y for x in (a["c_acctbal"].min(), a["c_acctbal"].max()) for y in (b["s_acctbal"].min(), b["s_acctbal"].max())]
-        return pd.DataFrame({"n_nationkey": [key[0]], "n_pairs": [len(a) * len(b)], "best": [max(hi)]})
+        best = max(x * y for x in (a["low"].min(), a["high"].max()) for y in (b["low"].min(), b["high"].max()))
+        return pd.DataFrame({"n_nationkey": [key[0]], "n_pairs": [a["n"].sum() * b["n"].sum()], "best": [best]})
 
+    c, s = side("customer", "c_nationkey", "c_acctbal", "c_custkey"), side("supplier", "s_nationkey", "s_acctbal", "s_suppkey")
     return jn.cogrouped(c, s, ["n_nationkey"], score, "n_nationkey long, n_pairs long, best double").select("n_nationkey", "n_pairs", F.round("best", 2).alias("best"))
 
 
@@ -116,9 +121,15 @@ def j9_stored_table(spark, d):
     return fl.in_used_bins(read_peptide_bin(spark, path, 400, 5000), c, "mass_bin").join(c, "mass_bin").select("c_custkey", "sequence")
 
 
-@query("SELECT r_name || '+' || n_name AS pair FROM region, nation")
+CHUNKS = "SELECT (s_suppkey % 16)::INTEGER AS a, count(*) AS n, min(s_acctbal) AS low FROM supplier GROUP BY 1"
+
+
+@query(f"SELECT s.a, c.b, s.n * c.n AS n_pairs, round(c.high - s.low, 2) AS widest FROM ({CHUNKS}) s, (SELECT (c_custkey % 32)::INTEGER AS b, count(*) AS n, max(c_acctbal) AS high FROM customer GROUP BY 1) c")
 def j10_chunk_pairs(spark, d):
-    return jn.chunk_pairs(table(spark, d, "region").select("r_name"), table(spark, d, "nation").select("n_name")).select(F.concat("r_name", F.lit("+"), "n_name").alias("pair"))
+    """Every pair of 16 chunks of suppliers and 32 of customers, with what the pair's work would be."""
+    a = table(spark, d, "supplier").groupBy((F.col("s_suppkey") % 16).cast("int").alias("a")).agg(F.count("*").alias("n_a"), F.min("s_acctbal").alias("low"))
+    b = table(spark, d, "customer").groupBy((F.col("c_custkey") % 32).cast("int").alias("b")).agg(F.count("*").alias("n_b"), F.max("c_acctbal").alias("high"))
+    return jn.chunk_pairs(a, b).select("a", "b", (F.col("n_a") * F.col("n_b")).alias("n_pairs"), F.round(F.col("high") - F.col("low"), 2).alias("widest"))
 
 
 @query("SELECT s_suppkey, s_nationkey AS nation, max(CASE WHEN (s_suppkey + c_custkey) % 3 = 0 THEN c_custkey END) AS best FROM supplier JOIN customer ON c_nationkey = s_nationkey GROUP BY 1, 2")
@@ -171,11 +182,11 @@ def j14_nearest_line(spark, d):
     return jn.nearest_line(c, "conv_id", "turn", "text", similarity)
 
 
-@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def j15_broadcast(spark, d):
-    """A side of fixed size (regions) to all workers."""
-    n, r = table(spark, d, "nation"), table(spark, d, "region")
-    return n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    """A side of fixed size (nations) to all workers."""
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    return c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
 
 
 TOP = "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 50"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,25 +26,52 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _concatenated(spark: SparkSession, path: str, parts: list[str]) -> bool:
+    """Whether the file system itself could append the parts to the file at path (HDFS can; local folders and object stores can't)."""
+    jvm, fs, target = _fs(spark, path)
+    sources = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+    for i, p in enumerate(parts):
+        sources[i] = jvm.org.apache.hadoop.fs.Path(p)
+    try:
+        fs.concat(target, sources)
+    except UnsupportedOperationException:
+        return False
+    return True
+
+
 def write_one_file(df: DataFrame, text: str, path: str, header: str = "", footer: str = "") -> None:
-    """The text column in row order as one file: partitions are written in parallel and joined by the file system in order."""
+    """The text column in row order as one file. Partitions are written in parallel; the file system appends them to the header
+    in order where it can, and else their bytes pass through one stream."""
     spark = df.sparkSession
-    parts = f"{path}.parts"
-    df.select(F.col(text)).write.mode("overwrite").option("lineSep", "\n").text(parts)
+    folder = f"{path}.parts"
+    df.select(F.col(text)).write.mode("overwrite").option("lineSep", "\n").text(folder)
     jvm, fs, target = _fs(spark, path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    names = sorted(s.getPath().getName() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(parts)) if s.getPath().getName().startswith("part-"))
+    whole = jvm.org.apache.hadoop.fs.Path(folder)
+    found = [s for s in fs.listStatus(whole) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+    parts = sorted(f"{folder}/{s.getPath().getName()}" for s in found)
+
+    def put(out, data: str) -> None:
+        out.write(bytearray(data.encode()))
+
     out = fs.create(target, True)
     try:
-        out.write(bytearray(header.encode()))
-        for n in names:
-            source = fs.open(jvm.org.apache.hadoop.fs.Path(f"{parts}/{n}"))
+        put(out, header)
+        if header and parts:
+            out.close()
+            if _concatenated(spark, path, parts):
+                out, parts = fs.append(target), []
+            else:
+                out = fs.create(target, True)
+                put(out, header)
+        for p in parts:
+            source = fs.open(jvm.org.apache.hadoop.fs.Path(p))
             jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
             source.close()
-        out.write(bytearray(footer.encode()))
+        put(out, footer)
     finally:
         out.close()
-    fs.delete(jvm.org.apache.hadoop.fs.Path(parts), True)
+    fs.delete(whole, True)
 
 
 def escaped(c: Column) -> Column:

@@ -174,11 +174,49 @@ def test_k_score_counts_a_bin_once(spark):
     assert r.dot == pytest.approx(10 + 2) and r.k_score == pytest.approx(12 * sc.length_factor(4))
 
 
+def slowly_normalised(peaks, mz, z, n=50):
+    """The steps of conditioning one peak at a time; None if the spectrum is not to be scored."""
+    mass = (mz - 1.00727646688) * z + 1.00727646688
+    kept = []
+    for m, i in sorted((m, i) for m, i in peaks if m > 150 and i > 0):
+        if kept and m < kept[-1][0] + 0.95:
+            if i >= kept[-1][1]:
+                kept[-1] = (m, i)
+        else:
+            kept.append((m, i))
+    kept = [(m, i) for m, i in kept if (m == mz or abs(m - mz) >= 2 / z) and m < 6000]
+    top = max((i for _, i in kept), default=1)
+    kept = [(m, i * 100 / top) for m, i in kept if i * 100 / top >= 1]
+    if len(kept) < 5 or not 150 <= mass <= 6000 or z > 4 or not any(m > (mass - 600 if z < 3 else mass / z) for m, _ in kept):
+        return None
+    out, first = [], None
+    for m, i in kept:
+        if out and m - first < 1.5 and m > 200:
+            if i > out[-1][1]:
+                out[-1] = (m, i)
+        else:
+            out.append((m, i))
+            first = m
+    return sorted(sorted(out, key=lambda p: (-p[1], p[0]))[:n])
+
+
 def test_normalised_peaks(spark):
-    rows = [("s", 500.0, 2, [(100.0, 9.0), (200.0, 50.0), (200.5, 20.0), (300.0, 25.0), (500.4, 99.0), (400.0, 0.1)])]
-    df = spark.createDataFrame(rows, "id string, mz double, z int, peaks array<struct<mz:double,intensity:float>>")
-    out = df.select(sc.normalised_peaks(F.col("peaks"), F.col("mz"), F.col("z")).alias("p")).first().p
-    assert [(p.mz, round(p.intensity, 3)) for p in out] == [(200.0, 100.0), (300.0, 50.0)]
+    rng = random.Random(8)
+    rows = []
+    for k in range(300):
+        z, mz = rng.randint(1, 5), rng.choice([260.0, 350.0, 900.0, 40.0, 6100.0])
+        ms = sorted({rng.randint(1000, 5500) / 10 for _ in range(rng.choice([0, 3, 12, 90, 400]))} | ({mz} if rng.random() < 0.3 else set()))
+        rows.append((k, mz, z, [(m, float(rng.choice([0, 1, 5, 5, 20, 90, 300]))) for m in ms]))
+    df = spark.createDataFrame(rows, "k int, mz double, z int, peaks array<struct<mz:double,intensity:float>>")
+    got = {r.k: r.p for r in df.select("k", sc.normalised_peaks(F.col("peaks"), F.col("mz"), F.col("z"), n=40).alias("p")).collect()}
+    scored = 0
+    for k, mz, z, peaks in rows:
+        want = slowly_normalised(peaks, mz, z, 40)
+        assert (got[k] is None) == (want is None), k
+        if want is not None:
+            scored += 1
+            assert [(p.mz, round(p.intensity, 6)) for p in got[k]] == [(m, round(i, 6)) for m, i in want], k
+    assert 30 < scored < 270
 
 
 def test_hit_ranks(spark):
