@@ -122,15 +122,15 @@ def _sample_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "quality", per_class: int = PER_CLASS) -> Model | None:
-    """Fits on at most about `per_class` labelled rows of each class; None without labels of 0 or 1."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and id is not null")
+    """Fits on at most about `per_class` labelled ids of each class, rows of one id counted once; None without labels of 0 or 1."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and id is not null").distinct()
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     draw = F.shiftrightunsigned(F.xxhash64("id"), 11).cast("double") / float(1 << 53)
     share = F.when(F.col("label") == 1, per_class / counts.get(1, 1)).otherwise(per_class / counts.get(0, 1))
     sample = known.where(draw < share)  # about 2 x per_class rows, whatever the table's size
-    drawn = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id").select("label", "text")
+    drawn = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text")
     rows = arrow_map(drawn, _sample_sets, "label int, features binary").toPandas()
     if rows.empty:
         return None
