@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, connected_components, row_id, staged
 
-#: Vectors the index is fitted on, drawn by hash; every vector is indexed.
-SAMPLE = 8192
-#: Most lists; vectors in a block of a list; lists a vector probes.
-LISTS, BLOCK, PROBES = 256, 2048, 16
+#: Lists for small tables; one for every LIST_ROWS vectors of larger ones, up to MOST_LISTS.
+LISTS, LIST_ROWS, MOST_LISTS = 256, 1024, 4096
+#: Vectors for each list that the index is fitted on, drawn by hash (so 8,192 to 131,072 in all); every vector is indexed.
+SAMPLE = 32
+#: Vectors in a block of a list; lists a vector probes.
+BLOCK, PROBES = 2048, 16
 SUBSPACES, CODES = 8, 256
 
 CODED_SCHEMA = "node long, n long, list int, probes array<int>, codes binary, err double, vec binary"
@@ -30,7 +32,9 @@ LINK_SCHEMA = "u long, v long, c long"
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((centres**2).sum(axis=1)[None, :] - 2 * (x @ centres.T)).argmin(axis=1)
+    """Index of each row's nearest centre, over blocks of rows so that some four million distances are held at once."""
+    sizes, rows = (centres**2).sum(axis=1)[None, :], max(1, (1 << 22) // len(centres))
+    return np.concatenate([np.zeros(0, np.int64), *[(sizes - 2 * (x[lo : lo + rows] @ centres.T)).argmin(axis=1) for lo in range(0, len(x), rows)]])
 
 
 def k_means(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -97,7 +101,7 @@ def _vectors(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def coder(index: Index, dim: int):
+def coder(index: Index, dim: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
@@ -108,7 +112,7 @@ def coder(index: Index, dim: int):
                 codes, err = index.code(x, probes[:, 0])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), part.column("n"), pa.array(probes[:, 0].astype(np.int32)), pa.array(list(probes.astype(np.int32)), pa.list_(pa.int32())),
-                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(err), pa.array([r.tobytes() for r in raw.astype("<f8")], pa.binary())],
+                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(err), pa.array([r.tobytes() for r in raw.astype(kind)], pa.binary())],
                     names=["node", "n", "list", "probes", "codes", "err", "vec"],
                 )
 
@@ -133,8 +137,12 @@ def spanning(q: np.ndarray, y: np.ndarray, nodes_q: np.ndarray, nodes_y: np.ndar
     return nodes[own], nodes[label[own]]
 
 
-def block_links(index: Index, dim: int, least: float):
-    """Rows of (list, block), members before queries, to link counts (u, null, c) and links (u, v, 0)."""
+def block_links(index: Index, dim: int, kind: str, least: float):
+    """Rows of (list, block), members before queries, to link counts (u, null, c) and links (u, v, 0).
+
+    Vectors travel as they came, in numbers of `kind`; all is computed in double precision.
+    """
+    vectors = lambda raw: unit(np.frombuffer(b"".join(raw), kind).reshape(-1, dim))
 
     class Block:
         def __init__(self) -> None:
@@ -147,14 +155,14 @@ def block_links(index: Index, dim: int, least: float):
                 probed = np.zeros((len(node), len(index.centroids)), bool)
                 for i, p in enumerate(probes):
                     probed[i, p] = True
-                self.ready = (np.array(node), np.array(n), probed, np.frombuffer(b"".join(codes), np.uint8).reshape(len(node), -1), np.array(err), unit(np.frombuffer(b"".join(vec), "<f8").reshape(-1, dim)))
+                self.ready = (np.array(node), np.array(n), probed, np.frombuffer(b"".join(codes), np.uint8).reshape(len(node), -1), np.array(err), vectors(vec))
                 self.rows = []
             return self.ready
 
     def links(which: int, block: Block, queries: list[tuple]) -> Iterator[pa.RecordBatch]:
         node, n, probed, codes, err, x = block.members()
         q_node, q_n, q_list, q_vec = (np.array(c) if i < 3 else c for i, c in enumerate(zip(*queries, strict=True)))
-        q_x = unit(np.frombuffer(b"".join(q_vec), "<f8").reshape(-1, dim))
+        q_x = vectors(q_vec)
         near = index.looked_up(q_x, which, codes) >= least - err[None, :] - 1e-9
         near &= q_node[:, None] != node[None, :]
         a, b = np.nonzero(near)
@@ -175,13 +183,13 @@ def block_links(index: Index, dim: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, block, queries = None, Block(), []
         for batch in batches:
-            names = ("list", "block", "kind", "node", "n", "own", "probes", "codes", "err", "vec")
-            for which, part, kind, node, n, own, probes, codes, err, vec in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            names = ("list", "block", "asks", "node", "n", "own", "probes", "codes", "err", "vec")
+            for which, part, asks, node, n, own, probes, codes, err, vec in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
                 if (which, part) != at:
                     if queries:
                         yield from links(at[0], block, queries)
                     at, block, queries = (which, part), Block(), []
-                if kind == 0:
+                if asks == 0:
                     block.rows.append((node, n, probes, codes, err, vec))
                 elif block.rows or block.ready is not None:
                     queries.append((node, n, own, vec))
@@ -194,15 +202,16 @@ def block_links(index: Index, dim: int, least: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, vector: str = "embedding", id_col: str = "vec_id", least: float = 0.95, sample: int = SAMPLE, lists: int = LISTS, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+def near_vectors(vectors: DataFrame, vector: str = "embedding", id_col: str = "vec_id", least: float = 0.95, sample: int = SAMPLE, lists: int | None = None, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
     """Links between vectors of cosine >= least (double precision), and their components.
 
     Returns per row: the id, n_links (other rows linked directly), component_id (smallest id reachable, itself
     included) and kept (id = component_id). Vectors that are null, empty, zero, or hold null or non-finite
     components, and those not of the table's most frequent length, link with nothing: n_links 0, their own component,
     kept. Equal vectors are compared as one and link with one another. A row with a null id has a null
-    component_id if its component holds no other id, and is kept only then. The index is fitted on about
-    `sample` vectors; every vector is indexed. An empty table gives an empty table.
+    component_id if its component holds no other id, and is kept only then. Without `lists` their number follows
+    the table's (LISTS). The index is fitted on about `sample` vectors a list; every vector is indexed. An empty
+    table gives an empty table.
     """
     spark = vectors.sparkSession
     v = F.col("embedding").cast("array<double>")
@@ -214,6 +223,7 @@ def near_vectors(vectors: DataFrame, vector: str = "embedding", id_col: str = "v
     if not lengths:
         return rows.select(name(F.col("id")).alias(id_col), F.lit(0).cast("long").alias("n_links"), name(F.col("id")).alias("component_id"), F.lit(True).alias("kept"))
     dim = lengths[0]["d"]
+    kind = "<f4" if vectors.select(F.get(vector, F.lit(0))).dtypes[0][1] == "float" else "<f8"
     rows = staged(rows.select("id", F.when(F.col("good") & (F.size("embedding") == dim), F.xxhash64("embedding")).alias("node"), "embedding"), "pq-rows")
     usable = rows.where("node is not null")
     # a null id is larger than any other: it never names a component that has one
@@ -221,20 +231,21 @@ def near_vectors(vectors: DataFrame, vector: str = "embedding", id_col: str = "v
     distinct = staged(usable.groupBy("node", "embedding").agg(F.count("*").alias("n"), F.min(large).alias("least")), "pq-distinct")
     total = distinct.count()
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(9), F.col("node")), 11).cast("double") / float(1 << 53)
-    fitted = distinct.where(draw < sample / total).select("node", "embedding").toPandas().sort_values("node")
+    lists = lists or max(LISTS, min(MOST_LISTS, total // LIST_ROWS))
+    fitted = distinct.where(draw < sample * lists / total).select("node", "embedding").toPandas().sort_values("node")
     if fitted.empty:
         fitted = distinct.orderBy("node").limit(1).toPandas()
     index = fit(unit(np.stack(fitted["embedding"].to_list())), lists, probes)
-    coded = staged(arrow_map(distinct.select("node", "n", "embedding"), coder(index, dim), CODED_SCHEMA), "pq-coded")
+    coded = staged(arrow_map(distinct.select("node", "n", "embedding"), coder(index, dim, kind), CODED_SCHEMA), "pq-coded")
     sizes = {r["list"]: r["count"] for r in coded.groupBy("list").count().collect()}
     blocks = F.array(*[F.lit(max(1, -(-sizes.get(i, 0) // block))) for i in range(len(index.centroids))])
     deal = F.pmod(F.xxhash64(F.lit(4), F.col("node")), F.get(blocks, F.col("list"))).cast("int")
-    members = coded.select("list", deal.alias("block"), F.lit(0).alias("kind"), "node", "n", F.col("list").alias("own"), "probes", "codes", "err", "vec")
+    members = coded.select("list", deal.alias("block"), F.lit(0).alias("asks"), "node", "n", F.col("list").alias("own"), "probes", "codes", "err", "vec")
     none = [F.lit(None).cast("array<int>").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("err")]
     asked = coded.select(F.explode("probes").alias("to"), "node", "n", F.col("list").alias("own"), "vec")
-    asked = asked.select(F.col("to").alias("list"), F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("to")) - 1)).alias("block"), F.lit(1).alias("kind"), "node", "n", "own", *none, "vec")
-    dealt = members.unionByName(asked).repartition("list", "block").sortWithinPartitions("list", "block", "kind")
-    links = staged(arrow_map(dealt, block_links(index, dim, least), LINK_SCHEMA), "pq-links")
+    asked = asked.select(F.col("to").alias("list"), F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("to")) - 1)).alias("block"), F.lit(1).alias("asks"), "node", "n", "own", *none, "vec")
+    dealt = members.unionByName(asked).repartition("list", "block").sortWithinPartitions("list", "block", "asks")
+    links = staged(arrow_map(dealt, block_links(index, dim, kind, least), LINK_SCHEMA), "pq-links")
     counts = links.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("c").alias("c"))
     component = connected_components(links.where("v is not null").select("u", "v"), "pq-cc")
     placed = distinct.select("node", "n", "least").join(component, "node", "left").withColumn("component", F.coalesce("component", "node")).join(counts, "node", "left")

@@ -1,8 +1,9 @@
 """Embedding links against brute force: none wrong, recall of at least 0.9, components and copies."""
 
 import numpy as np
+import pytest
 
-from spectraloom.llm.embedding_pq import near_vectors
+from spectraloom.llm.embedding_pq import near_vectors, nearest
 
 
 def exact(x: np.ndarray) -> np.ndarray:
@@ -52,3 +53,28 @@ def test_every_list_probed_is_exact(spark):
     got = sorted(near_vectors(df, block=32, lists=8, probes=8).collect())
     assert [r.n_links for r in got] == near.sum(axis=1).tolist()
     assert [r.component_id for r in got] == label.tolist()
+
+
+@pytest.mark.parametrize(("n", "lists", "kind"), [(1000, None, "float"), (6000, None, "float"), (6000, 180, "double")])
+def test_recall_at_sizes(spark, n, lists, kind):
+    """Groups of 1 to 40 noisy copies among strangers, with the shipped probes."""
+    rng = np.random.default_rng(n)
+    parts, left = [], n
+    while left:
+        k = min(left, int(rng.choice([1, 1, 1, 2, 5, 40])))
+        parts.append(rng.normal(size=32) + rng.normal(size=(k, 32)) * rng.choice([0.1, 0.2, 0.25]))
+        left -= k
+    x = np.concatenate(parts).astype(np.float32 if kind == "float" else np.float64)
+    links = exact(x).sum(axis=1)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+    mine = np.zeros(n, int)
+    for r in near_vectors(df, lists=lists).collect():
+        mine[r.vec_id] = r.n_links
+    assert (mine <= links).all() and mine.sum() >= 0.9 * links.sum() > n
+
+
+def test_nearest_in_blocks():
+    rng = np.random.default_rng(0)
+    x, centres = rng.normal(size=(5000, 8)), rng.normal(size=(3000, 8))
+    some = rng.integers(0, 5000, 50)
+    assert nearest(x, centres)[some].tolist() == [int(((centres - x[i]) ** 2).sum(axis=1).argmin()) for i in some]
