@@ -3,9 +3,11 @@
 For a byte-pair model with byte fallback. Text is cut where no piece can span (before a run of word marks, around line
 ends), and each distinct chunk that a worker has not met is put into one batch text. The batch is indexed by a
 suffix array (prefix doubling, as deep as the longest piece); every piece is binary-searched for its range of
-occurrences; the occurrences, sorted by position, are the edges. Relaxing takes, in every chunk at once, the
+occurrences; the occurrences, sorted by position, are the edges. Relaxing takes, in every segment at once, the
 edge of best score (leftmost of equal ones) that spans exactly two of the symbols reached so far, until none does:
-the model's merges.
+the model's merges. A segment ends where no edge that is left spans the border; so long texts without a space don't
+take a round for each of their merges. If nothing that can be merged from a piece scores as well as the piece, no
+merge of it can make a better edge, and all its edges that are a segment's best are taken in one round.
 """
 
 from __future__ import annotations
@@ -52,12 +54,22 @@ class PieceTable:
                 self.char_ids[1 + np.searchsorted(self.chars, ord(p))] = i
         long_ = [x for x in normal if len(x[0]) > 1]
         self.longest = max((len(p) for p, _, _ in long_), default=1)
-        self.by_length: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        for n in range(2, self.longest + 1):
-            own = [x for x in long_ if len(x[0]) == n]
-            if own:
-                letters = np.stack([self.letters(p) for p, _, _ in own])
-                self.by_length.append((n, self.keys(letters), np.array([i for _, i, _ in own]), np.array([s for _, _, s in own])))
+        scores = sorted({s for _, _, s in long_}, reverse=True)
+        self.lengths = np.array([len(p) for p, _, _ in long_], np.int64)
+        self.ids = np.array([i for _, i, _ in long_], np.int64)
+        self.ranks = np.searchsorted(-np.array(scores), np.array([-s for _, _, s in long_])).astype(np.int64)  # 0 is the best score
+        rank = dict(zip([p for p, _, _ in long_], self.ranks.tolist(), strict=True))
+        self.settled = np.ones(len(scores) + 1, bool)  # by rank: nothing merged from the piece ranks as well
+        for p, r in rank.items():
+            for i in range(1, len(p)):
+                if all(len(part) == 1 or part in rank for part in (p[:i], p[i:])):
+                    for part in (p[:i], p[i:]):
+                        if rank.get(part, -1) >= r:
+                            self.settled[rank[part]] = False
+        # each piece's key padded by the least and by the greatest bytes: the bounds of its occurrences
+        self.least, self.most = (np.full((len(long_), 2 * self.longest), fill, np.uint8) for fill in (0, 255))
+        for row, (p, _, _) in enumerate(long_):
+            self.least[row, : 2 * len(p)] = self.most[row, : 2 * len(p)] = self.keys(self.letters(p)[:, None]).view(np.uint8)
 
     def letters(self, text: str) -> np.ndarray:
         """Numbers from 1 of the letters that pieces are made of; 0 for any other."""
@@ -75,43 +87,41 @@ class PieceTable:
 
     def suffix_array(self, letters: np.ndarray) -> np.ndarray:
         """Positions in the order of their next `longest` letters (prefix doubling)."""
-        rank, width, n = letters, 1, len(letters)
-        order = np.argsort(rank, kind="stable")
-        while width < self.longest:
-            ahead = np.zeros(n, np.int64)
-            ahead[: max(n - width, 0)] = rank[width:] + 1
-            key = rank * (int(rank.max()) + 2 + n) + ahead
-            order = np.argsort(key, kind="stable")
-            step = np.r_[0, np.cumsum(key[order][1:] != key[order][:-1])]
-            rank = np.empty(n, np.int64)
-            rank[order] = step
+        n = len(letters)
+
+        def ahead(values: np.ndarray) -> np.ndarray:
+            out = np.zeros(n, np.int64)
+            out[: max(n - width, 0)] = values[width:]
+            return out
+
+        # as many letters as fit in one number first; the text's end sorts before all letters
+        rank, width, bits = letters + 1, 1, (len(self.chars) + 1).bit_length()
+        while 2 * bits < 63 and width < self.longest:
+            rank = (rank << bits) | ahead(rank)
+            width, bits = 2 * width, 2 * bits
+        while True:
+            order = np.argsort(rank)
+            if width >= self.longest:
+                return order
+            ordered = rank[order]
+            dense = np.empty(n, np.int64)
+            dense[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]])
+            rank = dense * (n + 1) + ahead(dense)
             width *= 2
-        return order
 
     def edges(self, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """start, end, id and score of every occurrence of every piece of two or more letters, by start."""
-        order = self.suffix_array(letters)
-        padded = np.concatenate([letters, np.zeros(self.longest, np.int64)])
-        pairs = self.keys(padded[:, None]).view(np.uint8)
-        raw = np.lib.stride_tricks.sliding_window_view(pairs, 2 * self.longest)[::2][order]
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for n, pieces, ids, scores in self.by_length:
-            own = np.ascontiguousarray(raw[:, : 2 * n]).view(f"S{2 * n}").reshape(-1)
-            lo, hi = np.searchsorted(own, pieces, "left"), np.searchsorted(own, pieces, "right")
-            some = np.flatnonzero(hi > lo)
-            times = (hi - lo)[some]
-            if not len(some):
-                continue
-            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            start = order[np.repeat(lo[some], times) + within]
-            for c, v in zip(out, (start, start + n, np.repeat(ids[some], times), np.repeat(scores[some], times)), strict=True):
-                c.append(v)
-        if not out[0]:
-            none = np.zeros(0, np.int64)
-            return none, none, none, none.astype(float)
-        start, end, ids, scores = (np.concatenate(c) for c in out)
-        by = np.lexsort((end, start))
-        return start[by], end[by], ids[by], scores[by]
+        """start, end, id and rank of score of every occurrence of every piece of two or more letters, by start."""
+        order, wide = self.suffix_array(letters), 2 * self.longest
+        pairs = self.keys(np.concatenate([letters, np.zeros(self.longest, np.int64)])[:, None]).view(np.uint8)
+        suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(pairs, wide)[::2][order]).view(f"S{wide}").reshape(-1)
+        lo = np.searchsorted(suffixes, self.least.view(f"S{wide}").reshape(-1), "left")
+        hi = np.searchsorted(suffixes, self.most.view(f"S{wide}").reshape(-1), "right")
+        times = hi - lo
+        piece = np.repeat(np.arange(len(times)), times)
+        start = order[np.arange(len(piece)) + np.repeat(lo - np.cumsum(times) + times, times)]
+        by = np.argsort(start * (self.longest + 1) + self.lengths[piece])
+        start, piece = start[by], piece[by]
+        return start, start + self.lengths[piece], self.ids[piece], self.ranks[piece]
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each chunk."""
@@ -120,27 +130,31 @@ class PieceTable:
         sizes = np.array([len(c) + 1 for c in chunks])
         first = np.r_[0, np.cumsum(sizes)]
         chunk_of = np.repeat(np.arange(len(chunks)), sizes)
-        start, end, ids, score = self.edges(letters)
-        whole = chunk_of[start] == chunk_of[end - 1] if len(start) else np.zeros(0, bool)
-        start, end, ids, score = start[whole], end[whole], ids[whole], score[whole]
+        start, end, ids, rank = self.edges(letters)
         token = self.char_ids[letters]
         border = np.ones(len(letters) + 1, bool)
         while len(start):
             before = np.cumsum(border) - border
             inside = before[end] - before[start]
             alive = border[start] & border[end] & (inside >= 2)
-            start, end, ids, score, inside = start[alive], end[alive], ids[alive], score[alive], inside[alive]
+            start, end, ids, rank, inside = start[alive], end[alive], ids[alive], rank[alive], inside[alive]
             ready = np.flatnonzero(inside == 2)
             if not len(ready):
                 break
-            own = chunk_of[start[ready]]
-            by = np.lexsort((start[ready], -score[ready], own))
-            best = ready[by[np.r_[True, own[by][1:] != own[by][:-1]]]]
-            a, b = start[best], end[best]
+            # edges in order of start fall in segments that none of them reaches beyond
+            segment = np.cumsum(np.r_[True, start[1:] >= np.maximum.accumulate(end)[:-1]])[ready]
+            heads = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
+            least = np.minimum.reduceat(rank[ready], heads)
+            equal = rank[ready] == np.repeat(least, np.diff(np.r_[heads, len(ready)]))
+            best, own = ready[equal], segment[equal]
+            best = best[self.settled[rank[best]] | np.r_[True, own[1:] != own[:-1]]]
+            # of a run of equal edges that overlap every other one is taken, from the left
+            fresh = np.r_[True, start[best][1:] >= end[best][:-1]]
+            at = np.arange(len(best))
+            best = best[(at - np.maximum.accumulate(np.where(fresh, at, 0))) % 2 == 0]
             # exactly one border lies strictly between
-            middle = _border_number(border, before[a] + 1)
-            border[middle] = False
-            token[a] = ids[best]
+            border[np.flatnonzero(border)[before[start[best]] + 1]] = False
+            token[start[best]] = ids[best]
         heads = np.flatnonzero(border[:-1])
         heads = heads[heads != first[chunk_of[heads] + 1] - 1]  # separators
         values = token[heads]
@@ -163,11 +177,6 @@ class PieceTable:
         return text[1:] if text.startswith(" ") else text
 
 
-def _border_number(border: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Positions of the borders of these numbers (from 0)."""
-    return np.flatnonzero(border)[number]
-
-
 class Encoder:
     def __init__(self, path: str):
         self.table = PieceTable(path)

@@ -54,3 +54,14 @@ def test_spark_round_trip(spark):
     ids = {r.text: list(r.ids) for r in encode_pieces(docs, MODEL).collect()}
     assert all(ids[t] == model.encode(t or "") for t in texts)
     assert encode_pieces(docs.limit(0), MODEL).count() == 0
+
+
+def test_long_texts_without_a_space():
+    from sentencepiece import SentencePieceProcessor
+
+    from spectraloom.llm.sentence_pieces import BATCH_CHARS, Encoder
+
+    model, own, rng = SentencePieceProcessor(model_file=MODEL), Encoder(MODEL), random.Random(5)
+    texts = ["x" * (BATCH_CHARS + 7), "ab" * 9000 + "xyz" * 6000, "".join(rng.choice("abcdeXYZ0189+/") for _ in range(200_000)), "".join(rng.choice("日本語中文字") for _ in range(60_000))]
+    for t, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids.tolist() == model.encode(t)
