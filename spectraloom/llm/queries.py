@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spectraloom.functions.staging import shared_path
 
 from . import language_id, quality_classifier, quality_rules, secret_ledger
+from .centroids import cluster_vectors
 from .common import load, staged
 from .embedding_pq import near_vectors
 from .packing import pack_documents
@@ -102,9 +103,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(load(spark, sf_dir, "embeddings"))
+
+
 REGISTERED = (
     op1_suffix_array_dedup, op2_embedding_near_dedup, op3_quality_rules, op4_sentencepiece, op5_secret_scan, op6_packing, op7_quality_classifier, op8_language_id, op9_sharding,
-    op10_simhash_near_dedup, quality_ablations,
+    op10_simhash_near_dedup, op13_centroid_clustering, quality_ablations,
 )
 
 
@@ -166,5 +171,28 @@ def secrets_sql() -> str:
     )
 
 
+def centroid_sql(k: int = 16, rounds: int = 3) -> str:
+    """Rounds written one after another; every vector meets every centroid."""
+    nearest = lambda c: (
+        f"SELECT r, vec_id, v, m.d AS distance, m.c AS cluster FROM (SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'c': c}}) AS m FROM kept, {c} GROUP BY r)"
+    )
+    with_ = [
+        "kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings "
+        "WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)",
+        f"c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h, v) - 1)::INT AS c, v AS w FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept ORDER BY h, v LIMIT {k}))",
+    ]
+    for i in range(rounds):
+        with_ += [
+            f"a{i} AS MATERIALIZED ({nearest(f'c{i}')})",
+            f"m{i} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS w FROM (SELECT cluster AS c, i, sum(v[i]) AS s, count(*)::HUGEINT AS n FROM a{i}, range(1, 65) AS d(i) GROUP BY ALL) GROUP BY c)",
+            f"c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.w, c{i}.w) AS w FROM c{i} LEFT JOIN m{i} USING (c))",
+        ]
+    return (
+        f"WITH {', '.join(with_)}, placed AS MATERIALIZED ({nearest(f'c{rounds}')}) "
+        "SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia, "
+        f"sha256(array_to_string(w, ',')) AS centroid_sha256 FROM placed JOIN c{rounds} ON c = cluster"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality_sql(), "op5_secret_scan": secrets_sql(), "quality_ablations": ablation_sql()}
+    return {"op13_centroid_clustering": centroid_sql(), "op3_quality_rules": quality_sql(), "op5_secret_scan": secrets_sql(), "quality_ablations": ablation_sql()}
