@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spectraloom.functions.staging import shared_path
 
 from . import language_id, quality_classifier, quality_rules, secret_ledger
+from .alignment import align_tokenizers
 from .centroids import cluster_vectors
 from .common import load, staged
 from .embedding_pq import near_vectors
@@ -103,13 +104,17 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(load(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(load(spark, sf_dir, "embeddings"))
 
 
 REGISTERED = (
     op1_suffix_array_dedup, op2_embedding_near_dedup, op3_quality_rules, op4_sentencepiece, op5_secret_scan, op6_packing, op7_quality_classifier, op8_language_id, op9_sharding,
-    op10_simhash_near_dedup, op13_centroid_clustering, quality_ablations,
+    op10_simhash_near_dedup, op11_cross_tokenizer_alignment, op13_centroid_clustering, quality_ablations,
 )
 
 
