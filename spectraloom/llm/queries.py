@@ -14,6 +14,7 @@ from .alignment import align_tokenizers
 from .centroids import cluster_vectors
 from .common import load, staged
 from .embedding_pq import near_vectors
+from .license_scan import scan_licenses
 from .packing import pack_documents
 from .sentence_pieces import decode_pieces, encode_pieces
 from .sharding import shard_rows
@@ -108,13 +109,17 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return align_tokenizers(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(load(spark, sf_dir, "documents")).drop("spans")
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(load(spark, sf_dir, "embeddings"))
 
 
 REGISTERED = (
     op1_suffix_array_dedup, op2_embedding_near_dedup, op3_quality_rules, op4_sentencepiece, op5_secret_scan, op6_packing, op7_quality_classifier, op8_language_id, op9_sharding,
-    op10_simhash_near_dedup, op11_cross_tokenizer_alignment, op13_centroid_clustering, quality_ablations,
+    op10_simhash_near_dedup, op11_cross_tokenizer_alignment, op12_license_scan, op13_centroid_clustering, quality_ablations,
 )
 
 
