@@ -6,13 +6,23 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DECOY_PREFIX = "DECOY_"
 #: Label prefixes of other programs' decoys (fixed values).
-DECOY_LABELS = ["DECOY_", "REV_", "RND_", "###REV###", "###RND###"]
+DECOY_LABELS = ["DECOY_", "REV_", "REV1_", "RND_", "###REV###", "###RND###"]
+#: Named cut rules (fixed values): letters to cut after, letters that prevent the cut if they follow.
+NAMED_RULES = {"trypsin": "[RK]|{P}", "lysc": "[K]"}
+
+
+def cut_rule(text: str) -> tuple[str, str]:
+    """(letters cut after, letters not cut before) of a rule such as `[RK]|{P}`, or of a named one."""
+    after, _, not_before = NAMED_RULES.get(text.strip().lower(), text.strip()).partition("|")
+    after, not_before = (x.strip("[]{} ").upper() for x in (after, not_before))
+    if not after.isalpha() or not (not_before.isalpha() or not not_before):
+        raise ValueError(f"no cut rule: {text}")
+    return after, not_before
 
 
 def cut(sequence: Column, after: str = "KR", not_before: str = "P") -> Column:
@@ -21,11 +31,21 @@ def cut(sequence: Column, after: str = "KR", not_before: str = "P") -> Column:
     return F.filter(F.split(sequence, rule), lambda p: p != "")
 
 
-def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "sequence", missed: int = 0, least: int = 4, most: int = 40, after: str = "KR", not_before: str = "P") -> DataFrame:
-    """Peptides with up to `missed` missed cleavages: protein, sequence and missed_cleavages.
+def cut_starts(sequence: Column, after: str = "KR", not_before: str = "P") -> Column:
+    """Where the fragments of `cut` start (from 0), from each letter and the one that follows it, in one pass."""
+    at = lambda c, letters: F.rlike(c, F.lit(f"^[{letters}]$")) if letters else F.lit(False)
+    following = F.split(F.substring(sequence, 2, (1 << 31) - 1), "")
+    cuts = F.zip_with(F.split(sequence, ""), following, lambda a, b: F.coalesce(at(a, after) & (b != "") & ~at(b, not_before), F.lit(False)))
+    return F.concat(F.array(F.lit(0)), F.filter(F.transform(cuts, lambda c, i: F.when(c, i + 1)), lambda i: i.isNotNull()))
+
+
+def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "sequence", missed: int = 0, least: int = 4, most: int = 40, after: str = "KR", not_before: str = "P", starts: bool = False) -> DataFrame:
+    """Peptides with up to `missed` missed cleavages: protein, sequence and missed_cleavages, and where they start in it (start, from 0) if asked for.
 
     Neighbouring fragments are joined in the protein's own row; a null sequence has none.
     """
+    if starts:
+        return _with_starts(proteins, protein, sequence, missed, least, most, after, not_before)
     parts = proteins.select(F.col(protein), cut(F.coalesce(F.col(sequence), F.lit("")), after, not_before).alias("_p"))
     rows = parts.select(protein, F.posexplode("_p").alias("_i", "_first"), "_p") if missed else parts.select(protein, F.explode("_p").alias("sequence"), F.lit(0).alias("missed_cleavages"))
     if missed:
@@ -35,6 +55,26 @@ def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "se
     return rows.where(F.length("sequence").between(least, most))
 
 
+def _with_starts(proteins: DataFrame, protein: str, sequence: str, missed: int, least: int, most: int, after: str, not_before: str) -> DataFrame:
+    whole = F.coalesce(F.col(sequence), F.lit(""))
+    rows = proteins.select(F.col(protein), cut(whole, after, not_before).alias("_p"), cut_starts(whole, after, not_before).alias("_s"))
+    rows = rows.select(protein, F.posexplode("_p").alias("_i", "_first"), "_p", "_s")
+    joined = F.array_join(F.slice("_p", F.col("_i") + 1, F.col("missed_cleavages") + 1), "") if missed else F.col("_first")
+    counts = F.explode(F.sequence(F.lit(0), F.least(F.lit(missed), F.size("_p") - 1 - F.col("_i")))) if missed else F.lit(0)
+    rows = rows.withColumn("missed_cleavages", counts)
+    return rows.select(protein, joined.alias("sequence"), "missed_cleavages", F.get("_s", F.col("_i")).alias("start")).where(F.length("sequence").between(least, most))
+
+
+def semi_places(peptides: DataFrame, sequence: str = "sequence", start: str = "start", least: int = 4) -> DataFrame:
+    """As `semi_peptides`, each prefix and suffix with its own start."""
+    s, n = F.col(sequence), F.length(sequence)
+    ends = F.when(n > least, F.sequence(F.lit(least), n - 1)).otherwise(F.array().cast("array<int>"))
+    one = lambda x, at: F.struct(x.alias("semi"), at.cast("int").alias("start"))
+    all_ = F.concat(F.array(one(s, F.col(start))), F.transform(ends, lambda k: one(F.substring(s, F.lit(1), k), F.col(start))), F.transform(ends, lambda k: one(F.substring(s, n - k + 1, k), F.col(start) + n - k)))
+    kept = [c for c in peptides.columns if c not in (sequence, start)]
+    return peptides.withColumn("_x", F.explode(F.array_distinct(all_))).select(*kept, F.col("_x.semi").alias(sequence), F.col("_x.start").alias(start))
+
+
 def semi_peptides(peptides: DataFrame, sequence: str = "sequence", least: int = 4) -> DataFrame:
     """Each peptide with all its prefixes and suffixes of at least `least` letters (column semi)."""
     s = F.col(sequence)
@@ -112,12 +152,74 @@ def modified_forms(sequence: str, mods: Sequence[Modification], most: int, fixed
                 yield "".join(c + (f"[{f[i]:.3f}]" if i in f else "") for i, c in enumerate(sequence)), sum(f.values()), n
 
 
-def modify(peptides: DataFrame, mods: Sequence[str], most: int = 3, sequence: str = "sequence", fixed: Sequence[str] = ()) -> DataFrame:
-    """Every variant of each row's peptide: modified (text form), mod_delta and n_mods; the form without potential ones is one of them."""
+def _at(m: Modification, letter: Column, i: Column, length: Column) -> Column:
+    """Whether a modification can be on the letter at i of a peptide."""
+    return i == 0 if m.site == "[" else i == length - 1 if m.site == "]" else letter == m.site
+
+
+def _sites(m: Modification, sequence: Column) -> Column:
+    """How many letters of a peptide a modification can be on."""
+    if m.site in "[]":
+        return F.when(F.length(sequence) > 0, 1).otherwise(0)
+    return F.length(sequence) - F.length(F.replace(sequence, F.lit(m.site), F.lit("")))
+
+
+def counted_forms(peptides: DataFrame, mods: Sequence[str], most: int = 3, sequence: str = "sequence", fixed: Sequence[str] = ()) -> DataFrame:
+    """How often each potential modification is on a peptide (mod_counts, at most `most` in all), and what that and the fixed ones add to its mass (mod_delta).
+
+    Every variant of a peptide with the same counts has the same mass, so masses can be matched before sites are placed.
+    """
     parsed, always = [Modification.parse(m) for m in mods], [Modification.parse(m) for m in fixed]
+    s = F.col(sequence)
+    delta = F.lit(0.0)
+    for m in always:
+        delta = delta + _sites(m, s) * F.lit(m.delta)
+    rows = peptides.where(s.isNotNull()).withColumn("mod_counts", F.array().cast("array<int>")).withColumn("mod_delta", delta)
+    for m in parsed:
+        free = F.lit(most) - F.aggregate("mod_counts", F.lit(0), lambda a, k: a + k)
+        rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.least(_sites(m, s), free))))
+        rows = rows.withColumn("mod_counts", F.array_append("mod_counts", F.col("_k"))).withColumn("mod_delta", F.col("mod_delta") + F.col("_k") * F.lit(m.delta)).drop("_k")
+    return rows
+
+
+def placed_forms(counted: DataFrame, mods: Sequence[str], most: int = 3, sequence: str = "sequence", fixed: Sequence[str] = ()) -> DataFrame:
+    """Every way to place a row's mod_counts on letters of its own: modified (text form, masses in brackets) and n_mods.
+
+    One step for each modification a peptide may have: the next one stands behind the last. Counts for which there is no
+    way (two that need the same letter) vanish.
+    """
+    parsed, always = [Modification.parse(m) for m in mods], [Modification.parse(m) for m in fixed]
+    names = [c for c in counted.columns if c != "mod_counts"]
+    letters = F.filter(F.split(sequence, ""), lambda c: c != "")
+    rows = counted.withColumn("_n", F.length(sequence)).withColumn("_c", letters)
+    total = F.aggregate("mod_counts", F.lit(0), lambda a, k: a + k)
+    place = "struct<at:int,mod:int>"
+
+    def sites(c: Column, i: Column) -> Column:
+        ways = [F.when(_at(m, c, i, F.col("_n")), F.struct(i.cast("int").alias("at"), F.lit(j).alias("mod"))) for j, m in enumerate(parsed)]
+        return F.filter(F.array(*ways).cast(f"array<{place}>"), lambda x: x.isNotNull()) if ways else F.array().cast(f"array<{place}>")
+
+    rows = rows.withColumn("_w", F.flatten(F.transform("_c", sites))).withColumn("n_mods", total).withColumn("_at", F.array().cast(f"array<{place}>"))
+    for step in range(most if parsed else 0):
+        last = F.coalesce(F.element_at("_at", -1)["at"] if step else F.lit(-1), F.lit(-1))
+        taken = lambda x: F.size(F.filter("_at", lambda y: y["mod"] == x["mod"]))
+        open_ = F.filter("_w", lambda x: (x["at"] > last) & (taken(x) < F.get("mod_counts", x["mod"])))
+        rows = rows.withColumn("_x", F.explode(F.when(F.col("n_mods") > step, open_).otherwise(F.array(F.lit(None).cast(place)))))
+        rows = rows.withColumn("_at", F.when(F.col("_x").isNull(), F.col("_at")).otherwise(F.array_append("_at", F.col("_x")))).drop("_x")
+    deltas = F.array(*[F.lit(m.delta) for m in parsed]) if parsed else F.array().cast("array<double>")
+
+    def shown(c: Column, i: Column) -> Column:
+        own = F.filter("_at", lambda x: x["at"] == i)
+        mass, has = F.aggregate(own, F.lit(0.0), lambda a, x: a + F.get(deltas, x["mod"])), F.size(own) > 0
+        for m in always:
+            there = _at(m, c, i, F.col("_n"))
+            mass, has = mass + F.when(there, m.delta).otherwise(0.0), has | there
+        return F.when(has, F.concat(c, F.format_string("[%.3f]", mass))).otherwise(c)
+
+    return rows.where(F.size("_at") == F.col("n_mods")).select(*names, F.array_join(F.transform("_c", shown), "").alias("modified"), "n_mods")
 
-    @F.pandas_udf("array<struct<modified:string,mod_delta:double,n_mods:int>>")
-    def forms(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: [] if x is None else [{"modified": a, "mod_delta": b, "n_mods": c} for a, b, c in modified_forms(x, parsed, most, always)])
 
-    return peptides.withColumn("_f", F.explode(forms(F.col(sequence)))).select(*peptides.columns, "_f.modified", "_f.mod_delta", "_f.n_mods")
+def modify(peptides: DataFrame, mods: Sequence[str], most: int = 3, sequence: str = "sequence", fixed: Sequence[str] = ()) -> DataFrame:
+    """Every variant of each row's peptide: modified (text form), mod_delta and n_mods; the form without potential ones is one of them."""
+    forms = placed_forms(counted_forms(peptides, mods, most, sequence, fixed), mods, most, sequence, fixed)
+    return forms.select(*peptides.columns, "modified", "mod_delta", "n_mods")

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the score fit.
 SCALE, ENOUGH, LEAST, SLOPE, INTERCEPT = 0.05, 200, 10, -0.18, 3.5
+#: Last score bin; higher scores fall into it (fixed value).
+MOST_BIN = 10_000
 FDR_LOW, FDR_DECADES, FDR_BINS = -8, 16, 3200
 
 
 def score_fit(df: DataFrame, key: str, score: str) -> DataFrame:
     """Per key: rows, slope and intercept of log10(survival count) over score bins; fixed values under 200 rows or without a fit."""
-    bins = df.where(F.col(score).isNotNull()).select(key, F.least(F.greatest((F.col(score) * SCALE + 0.5).cast("int"), F.lit(0)), F.lit(10_000)).alias("b"))
+    bins = df.where(F.col(score).isNotNull()).select(key, F.least(F.greatest((F.col(score) * SCALE + 0.5).cast("int"), F.lit(0)), F.lit(MOST_BIN)).alias("b"))
     counted = bins.groupBy(key, "b").agg(F.count("*").alias("n"))
     ends = counted.groupBy(key).agg(F.max("b").alias("last"), F.sum("n").alias("total"))
     dense = ends.select(key, "last", "total", F.explode(F.sequence(F.lit(0), "last")).alias("b")).join(counted, [key, "b"], "left")
@@ -36,41 +38,72 @@ def with_expectation(df: DataFrame, key: str, score: str) -> DataFrame:
     return df.join(score_fit(df, key, score).select(key, "slope", "intercept"), key).withColumn("expect", F.pow(F.lit(10.0), F.col("intercept") + F.col("slope") * SCALE * F.col(score))).drop("slope", "intercept")
 
 
-def tail_regression(histogram: np.ndarray, width: float = 0.1) -> tuple[float, float]:
-    """Slope and intercept of log10 survival over score: from the last bin of the bulk, stepping left until the slope falls."""
-    h = np.asarray(histogram, float)
-    filled = np.flatnonzero(h)
-    if len(filled) < 3:
-        return 0.0, 0.0
-    # the highest scores are likely true matches: the tail starts where one empty bin parts them from the bulk
-    gap = np.flatnonzero(h[: filled[-1]] == 0)
-    gap = gap[gap > filled[0]]
-    end = int(gap[0]) - 1 if len(gap) else int(filled[-1])
-    survival = np.cumsum(h[: end + 1][::-1])[::-1]
-    start = max(int(0.75 * end), 0)
-    while start >= 0:
-        x, v = np.arange(start, end + 1) * width, survival[start:]
-        good = v > 0
-        if good.sum() >= 2:
-            slope, intercept = np.polyfit(x[good], np.log10(v[good]), 1)
-            if slope < 0:
-                return float(slope), float(intercept)
-        start -= 1
-    return 0.0, 0.0
-
-
-def tail_expectation(df: DataFrame, key: str, score: str, width: float = 0.1) -> DataFrame:
-    """Per key slope and intercept by `tail_regression`, from a histogram made by partial aggregation; the iterative fit sees one key's bins only."""
-    binned = df.where(F.col(score) >= 0).groupBy(key, F.floor(F.col(score) / width).cast("int").alias("b")).agg(F.count("*").alias("n"))
-    kind = df.schema[key].dataType.simpleString()
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        h = np.zeros(int(rows["b"].max()) + 1)
-        h[rows["b"]] = rows["n"]
-        slope, intercept = tail_regression(h, width)
-        return pd.DataFrame({key: [rows[key].iloc[0]], "slope": [slope], "intercept": [intercept]})
-
-    return binned.groupBy(key).applyInPandas(fit, f"`{key}` {kind}, slope double, intercept double")
+def tail_bin(score: Column) -> Column:
+    """Score bin, a tenth wide; scores beyond MOST_BIN share the last bin."""
+    return F.least(F.greatest((score * 10 + 0.5).cast("int"), F.lit(0)), F.lit(MOST_BIN)).cast("int")
+
+
+def tail_regression(histogram: np.ndarray) -> tuple[float, float]:
+    """Slope (a bin) and intercept of log10 survival over score bins, where the highest scores, likely true matches, are left out.
+
+    The bulk ends before the first empty bin that another empty one or the second highest filled bin follows; without one it
+    ends at the latter, two lower if that is over 12. The line goes through the bulk's last quarter (from bin 30 on), half (from 15 on) or
+    all of it, and starts lower until it falls. Bins of survival 1 count for the means only.
+    """
+    h = np.asarray(histogram, np.int64)
+    filled = np.flatnonzero(h[:-1] > 0)
+    top = int(filled[-1]) if len(filled) else -1
+    empty = [i for i in range(max(top, 0)) if h[i] == 0 and (h[i + 1] == 0 or i + 1 == top)]
+    end = max(empty[0] - 1, 0) if empty else max(top - 2 if top > 12 else top, 0)
+    survival = np.cumsum(h[end::-1])[::-1].astype(float) if len(h) else np.zeros(1)
+    survival[1:][h[1 : end + 1] == 0] = 0  # empty bins but the first don't count
+    start = int(0.75 * end) if end >= 30 else int(0.5 * end) if end >= 15 else 0
+    slope = intercept = 0.0
+    for lo in range(start, -1, -1):
+        x, v = np.arange(lo, end + 1), survival[lo:]
+        some = v > 0
+        y = np.log10(v, where=some, out=np.zeros(len(v)))
+        mx, my = (x[some].mean(), y[some].mean()) if some.any() else (0.0, 0.0)
+        more = v > 1
+        sx, sxy = ((x - mx) ** 2)[more].sum(), ((x - mx) * (y - my))[more].sum()
+        slope = float(sxy / sx) if sx > 0 else 0.0
+        intercept = float(my - slope * mx)
+        if slope < 0:
+            break
+    return slope, intercept
+
+
+def tail_fit(histogram: Column) -> Column:
+    """slope and intercept of `tail_regression` from an array of (b, n) structs; at most MOST_BIN + 1 of them make a histogram."""
+
+    @F.pandas_udf("struct<slope:double,intercept:double>")
+    def fit(rows: pd.Series) -> pd.DataFrame:
+        out = []
+        for r in rows:
+            h = np.zeros(max((x["b"] for x in r), default=0) + 1, np.int64)
+            for x in r:
+                h[x["b"]] += x["n"]
+            out.append(tail_regression(h))
+        return pd.DataFrame(out, columns=["slope", "intercept"])
+
+    return fit(histogram)
+
+
+def tail_fits(histograms: DataFrame, key: str) -> DataFrame:
+    """Per key slope and intercept from its rows (key, b, n), which may be partial counts."""
+    counted = histograms.groupBy(key, "b").agg(F.sum("n").alias("n"))
+    listed = counted.groupBy(key).agg(F.collect_list(F.struct("b", "n")).alias("_h"))
+    return listed.withColumn("_f", tail_fit(F.col("_h"))).select(key, "_f.slope", "_f.intercept")
+
+
+def tail_value(score: Column, slope: Column, intercept: Column) -> Column:
+    """Expectation of a score by its spectrum's line; the slope is that of a bin, a tenth of a score."""
+    return F.pow(F.lit(10.0), intercept + 10 * slope * score)
+
+
+def tail_expectation(df: DataFrame, key: str, score: str) -> DataFrame:
+    """Per key slope and intercept by `tail_regression`, from a histogram made by partial aggregation; null scores don't count."""
+    return tail_fits(df.where(F.col(score).isNotNull()).groupBy(key, tail_bin(F.col(score)).alias("b")).agg(F.count("*").alias("n")), key)
 
 
 def fdr_curve(df: DataFrame, score: str, decoy: str, by: str | None = None, high_is_good: bool = True) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from spectraloom.functions.masses import C_TERMINUS, PROTON, RESIDUES, residue_array
 
+from .expectation import MOST_BIN
+
 BIN_WIDTH = 0.02
 REACH = 75
 WINDOWS, WINDOW_MOST = 10, 50.0
@@ -124,33 +126,39 @@ def xcorr_all(theory: list[list[tuple[np.ndarray, int]]], bins: np.ndarray, plai
     return np.where(used > 0, np.maximum(total * SCORE_UNIT, SCORE_FLOOR), 0.0), used
 
 
-def score_groups(ppm: float) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """Scorer for a co-group of peptides and spectra: pairs of one bin inside the tolerance only."""
+def score_groups(ppm: float, top: int, floor: float) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Scorer for a co-group of peptides and spectra: for every spectrum the `top` best pairs inside the tolerance, and how many of all its pairs fall into each score bin.
+
+    Both parts merge with those of the spectrum's other groups: the best are ranked anew, the counts added.
+    """
 
     def run(key: tuple, peptides: pd.DataFrame, spectra: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        peptides = peptides.sort_values(["bin", "matching_mass"], kind="stable")
-        bins, mass, sequences = (peptides[c].to_numpy() for c in ("bin", "matching_mass", "sequence"))
+        out: list[tuple] = []
+        peptides = peptides.sort_values(["matching_mass", "sequence"], kind="stable")
+        mass, sequences = (peptides[c].to_numpy() for c in ("matching_mass", "sequence"))
         theory: dict[int, list[tuple[np.ndarray, int]]] = {}  # of the group's peptides, made once
-        cells, last = None, None
-        for s in spectra.sort_values("spectrum_id", kind="stable").itertuples():
-            lo, hi = np.searchsorted(bins, s.bin, "left"), np.searchsorted(bins, s.bin, "right")
-            near = lo + np.flatnonzero(np.abs(mass[lo:hi] - s.precursor_mass) < s.precursor_mass * ppm / 1e6)
+        for s in spectra.drop_duplicates("row").sort_values("row").itertuples():
+            reach = s.precursor_mass * ppm / 1e6
+            lo, hi = np.searchsorted(mass, [s.precursor_mass - 2 * reach, s.precursor_mass + 2 * reach])
+            near = lo + np.flatnonzero(np.abs(mass[lo:hi] - s.precursor_mass) < reach)
             if not len(near):
-                continue  # a spectrum is conditioned only where it has a candidate, and once in a group
-            if s.spectrum_id != last:
-                cells, last = conditioned(np.asarray(s.mz, float), np.asarray(s.intensity, float)), s.spectrum_id
+                continue  # a spectrum is conditioned only where it has a candidate
             for i in near.tolist():
                 if i not in theory:
                     theory[i] = ion_bins(sequences[i])
+            cells = conditioned(np.asarray(s.mz, float), np.asarray(s.intensity, float))
             scores, used = xcorr_all([theory[i] for i in near.tolist()], *cells, s.precursor_charge)
-            out += zip([s.spectrum_id] * len(near), sequences[near].tolist(), scores.tolist(), used.tolist(), (mass[near] - s.precursor_mass).tolist(), strict=True)
-        return pd.DataFrame(out, columns=["spectrum_id", "sequence", "xcorr", "matched_ions", "mass_diff"])
+            order = np.lexsort((sequences[near], -scores))
+            best = order[scores[order] > floor][:top]
+            bins, counts = np.unique(np.minimum((scores * 10 + 0.5).astype(np.int64), MOST_BIN), return_counts=True)
+            matches = [{"sequence": q, "xcorr": x, "matched_ions": m, "mass_diff": d} for q, x, m, d in zip(sequences[near[best]].tolist(), scores[best].tolist(), used[best].tolist(), (mass[near[best]] - s.precursor_mass).tolist(), strict=True)]
+            out.append((s.row, matches, bins.tolist(), counts.tolist()))
+        return pd.DataFrame(out, columns=["row", "matches", "bins", "counts"])
 
     return run
 
 
-MATCH_SCHEMA = "spectrum_id string, sequence string, xcorr double, matched_ions int, mass_diff double"
+MATCH_SCHEMA = "row long, matches array<struct<sequence:string,xcorr:double,matched_ions:int,mass_diff:double>>, bins array<int>, counts array<long>"
 
 
 def xcorr_joined(pairs: DataFrame, conditioned_spectra: DataFrame, charges: int = 3) -> DataFrame:

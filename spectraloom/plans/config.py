@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from spectraloom.functions.text import attribute
+from spectraloom.operators.digest import cut_rule
 from spectraloom.sources.files import element_rows
 
 
@@ -21,13 +22,15 @@ class SearchConfig:
     fixed_modifications: tuple[str, ...] = ()
     max_modifications: int = 3
     decoys: bool = False
+    modified_decoys: bool = False
     semi: bool = False
     least_peaks: int = 5
     most_charge: int = 4
     score_floor: float = 0.01
     top: int = 4
     max_proteins: int | None = None
-    hot_bin: int = 30
+    #: Spectra and peptides that one scoring group is planned for; a bin of more is split.
+    group_spectra: int = 500
     group_rows: int = 5000
 
 
@@ -38,10 +41,15 @@ KEYS = {
     "scoring, include reverse": "decoys", "protein, cleavage semi": "semi", "spectrum, minimum peaks": "least_peaks", "spectrum, maximum parent charge": "most_charge",
 }
 
+#: Key of the cut rule, such as [RK]|{P} (fixed value).
+CUT_RULE = "protein, cleavage site"
+
 
 def from_keys(values: dict[str, str], base: SearchConfig | None = None) -> SearchConfig:
     """Unknown keys are ignored; yes and no are booleans; lists are comma-separated."""
     out = {}
+    if rule := values.get(CUT_RULE):
+        out["cut_after"], out["not_before"] = cut_rule(rule)
     types = {f.name: f.type for f in fields(SearchConfig)}
     for key, value in values.items():
         name = KEYS.get(key, key)

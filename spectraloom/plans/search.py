@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
@@ -10,31 +12,61 @@ from spectraloom.functions.masses import matching_mass, precursor_mass, sequence
 from spectraloom.functions.staging import staged
 from spectraloom.operators import aggregates as ag
 from spectraloom.operators import digest as dg
+from spectraloom.operators import expectation as ex
 from spectraloom.operators import scoring as sc
 from spectraloom.operators import windows as wn
 from spectraloom.operators.filters import scorable
+from spectraloom.operators.partitioning import planned_groups
+from spectraloom.sinks.reports import write_pepxml
 
 from .config import SearchConfig
 
-#: Keys that may be broadcast as hot.
-SENT = 100_000
+#: Keys that may be broadcast as hot; bins of a plan that may be broadcast whole.
+SENT, SENT_PLAN = 100_000, 200_000
 
 
-def peptide_table(proteins: DataFrame, config: SearchConfig) -> DataFrame:
-    """Distinct peptides (sequence, proteins, matching_mass) of proteins (protein_id, sequence); a modified residue is followed by its mass in brackets."""
+def peptide_places(proteins: DataFrame, config: SearchConfig) -> DataFrame:
+    """(sequence, protein_id, start) of every peptide of proteins (protein_id, sequence): a row a place, however many proteins hold it."""
     source = proteins.select(F.col("protein_id").cast("string").alias("protein_id"), "sequence")
     if config.max_proteins is not None:
         source = source.orderBy("protein_id").limit(config.max_proteins)
     if config.decoys:
         source = dg.decoys(source).drop("is_decoy")
-    found = dg.digest(source, missed=config.missed_cleavages, after=config.cut_after, not_before=config.not_before)
+    found = dg.digest(source, missed=config.missed_cleavages, after=config.cut_after, not_before=config.not_before, starts=True)
     if config.semi:
-        found = dg.semi_peptides(found).select("protein_id", F.col("semi").alias("sequence"))
-    merged = ag.merged_peptides(found, "sequence", "protein_id").withColumn("matching_mass", matching_mass(sequence_mass(F.col("sequence"))))
+        found = dg.semi_places(found)
+    return found.select("sequence", "protein_id", "start").distinct()
+
+
+def distinct_peptides(places: DataFrame) -> DataFrame:
+    """One row a peptide: its first protein and the start in it, how many proteins hold it, whether all are decoys, and its mass. No row grows with its proteins."""
+    first = F.min(F.struct("protein_id", "start"))
+    one = places.groupBy("sequence", "protein_id").agg(F.min("start").alias("start"))
+    kept = one.groupBy("sequence").agg(first.alias("_f"), F.count("*").alias("n_proteins"), F.min(F.startswith("protein_id", F.lit(dg.DECOY_PREFIX))).alias("is_decoy"))
+    return kept.select("sequence", F.col("_f.protein_id").alias("protein"), F.col("_f.start").alias("start"), "n_proteins", "is_decoy", matching_mass(sequence_mass(F.col("sequence"))).alias("matching_mass"))
+
+
+def peptide_masses(peptides: DataFrame, config: SearchConfig) -> DataFrame:
+    """Peptides with a row for each of their masses (matching_mass, mod_counts): one for each count of modifications, whatever their sites. Decoys have fixed ones only, unless modified_decoys."""
     if not config.modifications and not config.fixed_modifications:
-        return merged
-    forms = dg.modify(merged, config.modifications, config.max_modifications, fixed=config.fixed_modifications)
-    return forms.select(F.col("modified").alias("sequence"), "proteins", (F.col("matching_mass") + F.col("mod_delta")).alias("matching_mass"))
+        return peptides.withColumn("mod_counts", F.array().cast("array<int>"))
+    rows = dg.counted_forms(peptides, config.modifications, config.max_modifications, fixed=config.fixed_modifications)
+    if not config.modified_decoys:
+        rows = rows.where(~F.col("is_decoy") | ~F.exists("mod_counts", lambda k: k > 0))
+    return rows.withColumn("matching_mass", F.col("matching_mass") + F.col("mod_delta")).drop("mod_delta")
+
+
+def placed_sequences(masses: DataFrame, config: SearchConfig) -> DataFrame:
+    """Rows of peptide_masses with `plain` letters and, as sequence, each text form with the modifications on their sites."""
+    if not config.modifications and not config.fixed_modifications:
+        return masses.drop("mod_counts").withColumn("plain", F.col("sequence"))
+    forms = dg.placed_forms(masses, config.modifications, config.max_modifications, fixed=config.fixed_modifications)
+    return forms.withColumnRenamed("sequence", "plain").withColumnRenamed("modified", "sequence").drop("n_mods")
+
+
+def peptide_table(proteins: DataFrame, config: SearchConfig) -> DataFrame:
+    """Distinct peptides (sequence, plain, protein, start, n_proteins, is_decoy, matching_mass) of proteins (protein_id, sequence); a modified residue is followed by its mass in brackets."""
+    return placed_sequences(peptide_masses(distinct_peptides(peptide_places(proteins, config)), config), config)
 
 
 def scorable_spectra(spectra: DataFrame, config: SearchConfig) -> DataFrame:
@@ -44,48 +76,105 @@ def scorable_spectra(spectra: DataFrame, config: SearchConfig) -> DataFrame:
     return own.where(scorable(F.size("peaks"), F.col("precursor_charge"), F.col("precursor_mass"), config.least_peaks, config.most_charge))
 
 
-def binned(peptides: DataFrame, spectra: DataFrame, config: SearchConfig) -> tuple[DataFrame, DataFrame]:
-    """Both sides keyed by (lane, salt, section) with their mass bin: a peptide in one bin, a spectrum in three.
+def with_plan(rows: DataFrame, plan: DataFrame, hot: Column) -> DataFrame:
+    """Rows joined to their bin's plan. A plan of few bins is sent whole; of a larger one only the bins that are hot, of which there are fewer than SENT, so that no task gets a hot bin's rows."""
+    if plan.count() <= SENT_PLAN:
+        return rows.join(F.broadcast(plan), "bin")
+    sent = F.broadcast(plan.where(hot))
+    return rows.join(sent, "bin").unionByName(rows.join(sent.select("bin"), "bin", "left_anti").join(plan.where(~hot), "bin"))
+
+
+@dataclass
+class Groups:
+    """Where peptides and spectra meet: both sides with the columns `part` and `piece` of their scoring group."""
+
+    peptides: DataFrame
+    spectra: DataFrame
+    plan: DataFrame
+
+
+def scoring_groups(peptides: DataFrame, spectra: DataFrame, config: SearchConfig) -> Groups:
+    """Groups of the peptides (sequence, matching_mass, bin) and of the bins of spectra (row, bin).
 
-    Bins hash to lanes, as many as hold about `group_rows` peptides each, so that a Python group is worth its overhead.
-    A bin of many spectra is split by salt and its peptides copied; a bin of many peptides is split by section and its
-    spectra copied. So no group grows with a hot bin, nor with the table. Peptides of unused bins go here.
+    A bin of more spectra or peptides than a group is planned for is cut into pieces of salts x sections: its spectra are
+    dealt to the salts and copied to the sections, its peptides the other way round. Other bins are packed together. So
+    no group holds more than twice the planned rows of either side, whatever the tables or bins hold.
     """
-    own = ratio_bin(F.col("precursor_mass"), config.ppm)
-    right = spectra.withColumn("bin", F.explode(F.sequence(own - 1, own + 1)))
-    left = peptides.withColumn("bin", ratio_bin(F.col("matching_mass"), config.ppm))
-    sizes = staged(ag.counts_by(right, "bin", out="n_s").join(ag.counts_by(left, "bin", out="n_p"), "bin"), "bins")
+    sizes = staged(ag.counts_by(spectra, "bin", out="n_s").join(ag.counts_by(peptides, "bin", out="n_p"), "bin"), "bins")
     total_s, total_p = sizes.agg(F.coalesce(F.sum("n_s"), F.lit(0)), F.coalesce(F.sum("n_p"), F.lit(0))).first()
-    lane = F.pmod(F.xxhash64("bin"), F.lit(max(8, -(-total_p // config.group_rows)))).cast("int")
-    # fewer than SENT bins can each hold over a SENT-th of a side, so the hot ones fit in a broadcast; others are not split
-    hot = (F.col("n_s") > max(config.hot_bin, total_s // SENT)) | (F.col("n_p") > max(config.group_rows, total_p // SENT))
-    splits = sizes.where(hot).select("bin", (1 + F.floor(F.col("n_s") / config.hot_bin)).cast("int").alias("_n"), (1 + F.floor(F.col("n_p") / config.group_rows)).cast("int").alias("_m"))
-    one = lambda c: F.coalesce(c, F.lit(1))
-    # a bin is of use if both sides have it; the other side's bins are no more than its rows
-    right = right.join(sizes.select("bin"), "bin", "left_semi").join(F.broadcast(splits), "bin", "left").withColumn("salt", F.pmod(F.xxhash64("spectrum_id"), one(F.col("_n"))).cast("int"))
-    left = left.join(sizes.select("bin"), "bin", "left_semi").join(F.broadcast(splits), "bin", "left").withColumn("section", F.pmod(F.xxhash64("sequence"), one(F.col("_m"))).cast("int"))
-    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0), one(F.col("_n")) - 1)))
-    right = right.withColumn("section", F.explode(F.sequence(F.lit(0), one(F.col("_m")) - 1)))
-    return left.withColumn("lane", lane).drop("_n", "_m"), right.withColumn("lane", lane).drop("_n", "_m")
-
-
-def search(proteins: DataFrame, spectra: DataFrame, config: SearchConfig | None = None) -> DataFrame:
-    """Ranked matches: spectrum_id, sequence, xcorr, matched_ions, mass_diff, rank, delta_cn, delta_cn_star and proteins.
-
-    Candidates meet by mass bin; only bins that spectra use keep their peptides; pairs outside the tolerance are never
-    scored. Scores up to the floor are dropped; the best `top` of each spectrum are ranked, ties by sequence.
+    least = 2 * spectra.sparkSession.sparkContext.defaultParallelism
+    plan = staged(planned_groups(sizes, "bin", "n_s", "n_p", config.group_spectra, config.group_rows, least), "groups")
+    hot = (F.col("n_s") > total_s // SENT) | (F.col("n_p") > total_p // SENT)
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    piece = (F.col("_salt") * F.col("sections") + F.col("_section")).alias("piece")
+    left = with_plan(peptides, plan, hot).withColumn("_section", dealt("sequence", "sections")).withColumn("_salt", every("salts"))
+    right = with_plan(spectra, plan, hot).withColumn("_salt", dealt("row", "salts")).withColumn("_section", every("sections"))
+    return Groups(left.select(*peptides.columns, "part", piece), right.select("row", "part", piece).distinct(), plan)
+
+
+def search(proteins: DataFrame, spectra: DataFrame, config: SearchConfig | None = None, with_proteins: bool = True) -> DataFrame:
+    """Ranked matches of every spectrum.
+
+    Returns spectrum_id, precursor_mass, precursor_charge, sequence (modified residues with their mass), plain, xcorr, matched_ions,
+    mass_diff, rank, delta_cn, delta_cn_star, expect, protein and start (the first place), n_proteins and is_decoy; with
+    `with_proteins` also the sorted ids of all its proteins, for kept matches only (`match_places` gives them as rows).
+    Candidates meet by mass bin; only bins that spectra use keep their peptides, and modifications are placed on sites after
+    that. Scores up to the floor are dropped; the best `top` of each spectrum are ranked, ties by sequence. Expectations are fitted
+    to the scores of all of a spectrum's candidates, which are counted while they are scored. A spectrum id that stands in
+    several rows is several spectra.
     """
     config = config or SearchConfig()
-    peptides = staged(peptide_table(proteins, config), "peptides")
+    places = staged(peptide_places(proteins, config), "places")
+    peptides = staged(distinct_peptides(places), "peptides")
+    found = matches(peptides, spectra, config)
+    if not with_proteins:
+        return found
+    all_ = match_places(found, places).groupBy("plain").agg(F.sort_array(F.collect_set("protein_id")).alias("proteins"))
+    return found.join(all_, "plain")
+
+
+def matches(peptides: DataFrame, spectra: DataFrame, config: SearchConfig) -> DataFrame:
+    """The matches of `search` from a table of distinct peptides, without the lists of proteins."""
     measured = scorable_spectra(spectra, config).select("spectrum_id", "precursor_mass", "precursor_charge", F.col("peaks.mz").alias("mz"), F.col("peaks.intensity").alias("intensity"))
-    left, right = binned(peptides.select("sequence", "matching_mass"), measured, config)
-    keys = ["lane", "salt", "section"]
-    grouped = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    scored = grouped.applyInPandas(sc.score_groups(config.ppm), sc.MATCH_SCHEMA).where(F.col("xcorr") > config.score_floor)
-    # a pair meets in one bin, salt and section only, so its row is the pair's only one
-    order = Window.partitionBy("spectrum_id").orderBy(F.desc("xcorr"), "sequence")
-    kept = scored.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= config.top).drop("_r")
-    return wn.hit_ranks(kept, "spectrum_id", "xcorr", "sequence").join(peptides.select("sequence", "proteins"), "sequence")
+    measured = staged(measured.withColumn("row", F.monotonically_increasing_id()), "spectra")
+    own = ratio_bin(F.col("precursor_mass"), config.ppm)
+    bins = measured.select("row", F.explode(F.sequence(own - 1, own + 1)).alias("bin"))
+    used = staged(bins.select("bin").distinct(), "used-bins")
+    masses = peptide_masses(peptides, config).withColumn("bin", ratio_bin(F.col("matching_mass"), config.ppm))
+    forms = staged(placed_sequences(masses.join(used, "bin", "left_semi"), config), "forms")
+    groups = scoring_groups(forms.select("sequence", "matching_mass", "bin"), bins, config)
+    # peaks are joined to their groups by row, so they are dealt evenly, and shuffled once more to the groups themselves
+    asked = groups.spectra.groupBy("row").agg(F.collect_list(F.struct("part", "piece")).alias("_g"))
+    asked = measured.drop("spectrum_id").join(asked, "row").withColumn("_g", F.explode("_g")).select("*", "_g.part", "_g.piece").drop("_g")
+    keys = ["part", "piece"]
+    scored = groups.peptides.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(sc.score_groups(config.ppm, config.top, config.score_floor), sc.MATCH_SCHEMA)
+    scored = staged(scored, "scored")
+    # a pair meets in one group only, so its row is the pair's only one
+    order = Window.partitionBy("row").orderBy(F.desc("xcorr"), "sequence")
+    best = scored.select("row", F.explode("matches").alias("m")).select("row", "m.*").withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= config.top).drop("_r")
+    histogram = scored.select("row", F.explode(F.arrays_zip("bins", "counts")).alias("h")).select("row", F.col("h.bins").alias("b"), F.col("h.counts").alias("n"))
+    fits = ex.tail_fits(histogram, "row")
+    ranked = wn.hit_ranks(best, "row", "xcorr", "sequence").join(fits, "row")
+    ranked = ranked.withColumn("expect", ex.tail_value(F.col("xcorr"), F.col("slope"), F.col("intercept"))).drop("slope", "intercept")
+    named = ranked.join(measured.select("row", "spectrum_id", "precursor_mass", "precursor_charge"), "row")
+    return named.join(forms.drop("matching_mass", "bin"), "sequence").select(
+        "spectrum_id", "precursor_mass", "precursor_charge", "sequence", "plain", "xcorr", "matched_ions", "mass_diff", "rank", "delta_cn", "delta_cn_star", "expect", "protein", "start", "n_proteins", "is_decoy",
+    )
+
+
+def match_places(found: DataFrame, places: DataFrame) -> DataFrame:
+    """(plain, protein_id, start) of the peptides of kept matches: a row for each place, so that a peptide of many proteins is many rows."""
+    return places.withColumnRenamed("sequence", "plain").join(found.select("plain").distinct(), "plain", "left_semi")
+
+
+def search_to_pepxml(proteins: DataFrame, spectra: DataFrame, path: str, config: SearchConfig | None = None, parameters: dict[str, str] | None = None) -> DataFrame:
+    """The search written as one pepXML report, with expectations, alternative proteins and masses of modified residues; returns the matches."""
+    config = config or SearchConfig()
+    places = staged(peptide_places(proteins, config), "places")
+    found = staged(matches(staged(distinct_peptides(places), "peptides"), spectra, config), "matches")
+    write_pepxml(found, path, {"ppm": str(config.ppm)} | (parameters or {}), match_places(found, places))
+    return found
 
 
 def spectra_of(peptides: DataFrame, sequence: str = "sequence", charge: int = 2) -> DataFrame:

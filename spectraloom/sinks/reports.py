@@ -9,6 +9,8 @@ from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spectraloom.functions.masses import PROTON, RESIDUES
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -84,25 +86,46 @@ def escaped(c: Column) -> Column:
 SCORES = [("xcorr", "xcorr"), ("deltacn", "delta_cn"), ("deltacnstar", "delta_cn_star"), ("spscore", "sp_score"), ("hyperscore", "hyperscore"), ("expect", "expect")]
 
 
-def pepxml_rows(hits: DataFrame) -> DataFrame:
-    """One spectrum_query element per spectrum (columns spectrum_id, element) from ranked hits."""
+def residue_mass_lines(sequence: Column) -> Column:
+    """mod_aminoacid_mass elements of a text form: position (from 1) and mass of every residue that carries a modification."""
+    table = F.create_map(*[F.lit(v) for pair in RESIDUES.items() for v in pair])
+    letters = F.regexp_extract_all(sequence, F.lit(r"[A-Z](\[[^\]]*\])?"), 0)
+    total = lambda x: F.coalesce(F.element_at(table, F.substring(x, 1, 1)), F.lit(0.0)) + F.substring(x, 3, 99).substr(F.lit(1), F.length(x) - 3).cast("double")
+    rows = F.transform(letters, lambda x, i: F.when(F.length(x) > 1, F.format_string('<mod_aminoacid_mass position="%d" mass="%.3f"/>', i + 1, total(x))))
+    return F.array_join(F.filter(rows, lambda x: x.isNotNull()), "")
+
+
+def pepxml_lines(hits: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """Lines of the spectrum_query elements of ranked hits (spectrum_id, line) with the columns that order them (rank, part, id).
+
+    Each element is several lines, and each alternative protein one: no row grows with a spectrum's hits or a peptide's
+    proteins. places (plain, protein_id): the proteins of plain sequences; those other than a hit's own are its alternatives.
+    """
     plain = F.regexp_replace("sequence", r"\[[^\]]*\]", "")
-    modified = F.when(plain != F.col("sequence"), F.format_string('<modification_info modified_peptide="%s"/>', escaped(F.col("sequence")))).otherwise("")
+    modified = F.when(plain != F.col("sequence"), F.concat(F.format_string('<modification_info modified_peptide="%s">', escaped(F.col("sequence"))), residue_mass_lines(F.col("sequence")), F.lit("</modification_info>"))).otherwise("")
     score = lambda name, c: F.format_string(f'<search_score name="{name}" value="%.6g"/>', F.col(c).cast("double"))
     scores = [score(name, c) for name, c in SCORES if c in hits.columns]
-    head = F.format_string('<search_hit hit_rank="%d" peptide="%s" protein="%s" massdiff="%.6f">', F.col("rank"), escaped(plain), escaped(F.col("protein")), F.col("mass_diff"))
-    hit = F.concat(head, modified, *scores, F.lit("</search_hit>"))
-    rows = hits.select("spectrum_id", "precursor_mass", "precursor_charge", "rank", hit.alias("h"))
-    q = rows.groupBy("spectrum_id").agg(F.first("precursor_mass").alias("m"), F.first("precursor_charge").alias("z"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "h"))), lambda x: x["h"]), "").alias("hits"))
-    element = F.concat(F.format_string('<spectrum_query spectrum="%s" start_scan="%s" precursor_neutral_mass="%.6f" assumed_charge="%d"><search_result>', escaped(F.col("spectrum_id")), escaped(F.col("spectrum_id")), F.col("m") - 1.00727646688, F.col("z")), "hits", F.lit("</search_result></spectrum_query>"))
-    return q.select("spectrum_id", element.alias("element"))
-
-
-def write_pepxml(hits: DataFrame, path: str, parameters: dict[str, str] | None = None) -> None:
-    """Ranked hits as one pepXML file with a search summary, spectra in text order of their ids."""
+    n_proteins = F.format_string(' num_tot_proteins="%d"', F.col("n_proteins").cast("long")) if "n_proteins" in hits.columns else F.lit("")
+    head = F.concat(F.format_string('<search_hit hit_rank="%d" peptide="%s" protein="%s"', F.col("rank"), escaped(plain), escaped(F.col("protein"))), n_proteins, F.format_string(' massdiff="%.6f">', F.col("mass_diff")))
+    tail = F.concat(modified, *scores, F.lit("</search_hit>"))
+    id_ = escaped(F.col("spectrum_id"))
+    query = F.format_string('<spectrum_query spectrum="%s" start_scan="%s" precursor_neutral_mass="%.6f" assumed_charge="%d"><search_result>', id_, id_, F.col("m") - PROTON, F.col("z"))
+    none = F.lit("").alias("id")
+    spectra = hits.groupBy("spectrum_id").agg(F.first("precursor_mass").alias("m"), F.first("precursor_charge").alias("z"))
+    lines = hits.select("spectrum_id", "rank", F.explode(F.array(F.struct(F.lit(0).alias("part"), head.alias("line")), F.struct(F.lit(2).alias("part"), tail.alias("line")))).alias("_l")).select("spectrum_id", "rank", "_l.part", none, "_l.line")
+    ends = spectra.select("spectrum_id", F.explode(F.array(F.struct(F.lit(0).alias("rank"), query.alias("line")), F.struct(F.lit((1 << 31) - 1).alias("rank"), F.lit("</search_result></spectrum_query>").alias("line")))).alias("_l"))
+    lines = lines.unionByName(ends.select("spectrum_id", "_l.rank", F.lit(0).alias("part"), none, "_l.line"))
+    if places is not None:
+        other = hits.select("spectrum_id", "rank", plain.alias("plain"), F.col("protein").alias("_own")).join(places.select("plain", "protein_id").distinct(), "plain").where(F.col("protein_id") != F.col("_own"))
+        lines = lines.unionByName(other.select("spectrum_id", "rank", F.lit(1).alias("part"), F.col("protein_id").alias("id"), F.format_string('<alternative_protein protein="%s"/>', escaped(F.col("protein_id"))).alias("line")))
+    return lines
+
+
+def write_pepxml(hits: DataFrame, path: str, parameters: dict[str, str] | None = None, places: DataFrame | None = None) -> None:
+    """Ranked hits as one pepXML file with a search summary, spectra in text order of their ids; places as in `pepxml_lines`."""
     named = "".join(f'<parameter name="{k}" value="{v}"/>' for k, v in (parameters or {}).items())
     header = f'<?xml version="1.0" encoding="UTF-8"?>\n<msms_pipeline_analysis><msms_run_summary>\n<search_summary precursor_mass_type="monoisotopic" fragment_mass_type="monoisotopic">{named}</search_summary>\n'
-    write_one_file(pepxml_rows(hits).orderBy("spectrum_id"), "element", path, header, "</msms_run_summary></msms_pipeline_analysis>\n")
+    write_one_file(pepxml_lines(hits, places).orderBy("spectrum_id", "rank", "part", "id"), "line", path, header, "</msms_run_summary></msms_pipeline_analysis>\n")
 
 
 def write_bioml(hits: DataFrame, path: str) -> None:

@@ -121,7 +121,7 @@ def test_search_finds_its_own_peptides(spark):
     proteins = spark.createDataFrame([(1, "MPEPTIDEKACDEFGHIKLMNPQR"), (2, "PEPTIDEKWWYYVVK")], "protein_id long, sequence string")
     wanted = spark.createDataFrame([("MPEPTIDEK",), ("ACDEFGHIK",), ("WWYYVVK",)], "sequence string")
     for hot, rows in ((1, 1), (30, 5000)):
-        got = search(proteins, spectra_of(wanted), SearchConfig(ppm=20, hot_bin=hot, group_rows=rows)).collect()
+        got = search(proteins, spectra_of(wanted), SearchConfig(ppm=20, group_spectra=hot, group_rows=rows)).collect()
         assert {r.spectrum_id: r.sequence for r in got if r["rank"] == 1} == {s: s for s in ("MPEPTIDEK", "ACDEFGHIK", "WWYYVVK")}
         assert len(got) == 3 and all(abs(r.mass_diff) < 1e-6 for r in got)
 
