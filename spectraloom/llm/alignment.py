@@ -59,9 +59,9 @@ class TokenPair:
         for i in range(len(self.bytes_b)):
             piece = self.b.id_to_piece(i)
             self.bytes_b[i] = bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
-        # chunks hold for a model without pieces of white space after other letters
-        inner = re.compile(f"[^{SPACE[1:-1]}]{SPACE}")
-        self.cut = not any(inner.search(p.replace(MARK, " ")) or "\n" in p for p in map(self.b.id_to_piece, range(len(self.bytes_b))))
+        # white space that stands behind other letters in some piece: texts with it are not cut into chunks
+        inner = re.compile(f"(?<=[^{SPACE[1:-1]}]){SPACE}")
+        self.joining = {c for i in range(len(self.bytes_b)) for c in inner.findall(self.b.id_to_piece(i).replace(MARK, " "))}
         if len(self.bytes_a) * len(self.bytes_b) > 1 << 32:
             raise ValueError("a pair of ids must fit in 32 bits")
         self.digits = digit_table(max(len(self.bytes_a), len(self.bytes_b)))
@@ -95,14 +95,14 @@ class TokenPair:
         """Ids of each text as 32-bit integers, None where the bytes of one side differ from those of space and text."""
         if len(self.young) > CACHE_CHUNKS:
             self.old, self.young = self.young, {}
-        parts = [CHUNK.findall(" " + t) if self.cut else [] for t in texts]
+        parts = [[] if any(c in t for c in self.joining) else CHUNK.findall(" " + t) for t in texts]
         missing: set[str] = set()
         for p in parts:
             missing.update(p)
         self.learn(missing.difference(self.young))
         out: list[tuple[bytes, bytes] | None] = []
         for text, part in zip(texts, parts, strict=True):
-            if self.cut and len(part) > 0:
+            if part:
                 known = list(map(self.young.__getitem__, part))
                 a, b = b"".join([k[0] for k in known]), b"".join([k[1] for k in known])
                 good = all([k[2] for k in known])
