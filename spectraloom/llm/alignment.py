@@ -17,6 +17,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,46 +67,50 @@ class TokenPair:
             raise ValueError("a pair of ids must fit in 32 bits")
         self.digits = digit_table(max(len(self.bytes_a), len(self.bytes_b)))
         self.lengths_a, self.lengths_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.young: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.old: dict[str, tuple[bytes, bytes, bool]] = {}
+        # ids of chunks by side, in two generations; bytes only, which the collector of cycles needn't visit
+        self.young: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.old: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.misspelt: set[str] = set()
 
     def spelt(self, chunk: str, a: np.ndarray, b: np.ndarray) -> bool:
         raw = chunk.encode()
         return b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
 
     def learn(self, chunks: set[str]) -> None:
-        unknown = []
-        for c in chunks:
-            if (known := self.old.get(c)) is None:
-                unknown.append(c)
-            else:
-                self.young[c] = known
+        unknown = list(chunks.difference(self.old[0]))
+        for c in chunks.intersection(self.old[0]):
+            for young, old in zip(self.young, self.old, strict=True):
+                young[c] = old[c]
         for lo in range(0, len(unknown), 4096):
             some = unknown[lo : lo + 4096]
             ids_a = [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
             # a first space is the one the model adds; other chunks stand behind a line end, which is a space and a byte
-            ids_b = self.b.encode([c[1:] if c[0] == " " else "\n" + c for c in some])
-            for c, a, b in zip(some, ids_a, ids_b, strict=True):
-                b = b if c[0] == " " else b[2:]
-                if c == " ":  # nothing behind the space: the model gives no token, so the space stands behind another one
-                    b = self.b.encode("\n ")[2:]
-                self.young[c] = (np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes(), self.spelt(c, a, b))
+            ids_b = self.b.encode([c[1:] if c[0] == " " and len(c) > 1 else "\n" + c for c in some])
+            ids_b = [b if c[0] == " " and len(c) > 1 else b[2:] for c, b in zip(some, ids_b, strict=True)]
+            raw = [c.encode() for c in some]
+            for young, ids, table, lengths in ((self.young[0], ids_a, self.bytes_a, self.lengths_a), (self.young[1], ids_b, self.bytes_b, self.lengths_b)):
+                joined, ends = np.fromiter(chain.from_iterable(ids), "<i4"), np.cumsum([0, *map(len, ids)])
+                spans = np.diff(np.r_[0, np.cumsum(lengths[joined])][ends])
+                if (spans != np.fromiter(map(len, raw), np.int64)).any() or b"".join(map(table.__getitem__, joined.tolist())) != b"".join(raw):
+                    self.misspelt.update(c for c, i, r in zip(some, ids, raw, strict=True) if b"".join(map(table.__getitem__, i)) != r)
+                all_, at = joined.tobytes(), (4 * ends).tolist()
+                young.update(zip(some, [all_[x:y] for x, y in zip(at[:-1], at[1:], strict=True)], strict=True))
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Ids of each text as 32-bit integers, None where the bytes of one side differ from those of space and text."""
-        if len(self.young) > CACHE_CHUNKS:
-            self.old, self.young = self.young, {}
+        if len(self.young[0]) > CACHE_CHUNKS:
+            self.old, self.young = self.young, ({}, {})
+            self.misspelt.intersection_update(self.old[0])
         parts = [[] if any(c in t for c in self.joining) else CHUNK.findall(" " + t) for t in texts]
         missing: set[str] = set()
         for p in parts:
             missing.update(p)
-        self.learn(missing.difference(self.young))
+        self.learn(missing.difference(self.young[0]))
         out: list[tuple[bytes, bytes] | None] = []
         for text, part in zip(texts, parts, strict=True):
             if part:
-                known = list(map(self.young.__getitem__, part))
-                a, b = b"".join([k[0] for k in known]), b"".join([k[1] for k in known])
-                good = all([k[2] for k in known])
+                a, b = (b"".join(map(young.__getitem__, part)) for young in self.young)
+                good = not self.misspelt or self.misspelt.isdisjoint(part)
             else:
                 a, b = (np.array(x, "<i4").tobytes() for x in (self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)))
                 good = False
