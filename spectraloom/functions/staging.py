@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import os
+import pickle
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _open: list[list[str]] = []
 
@@ -76,3 +79,47 @@ def ship_package(spark: SparkSession) -> None:
         archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="spectraloom-"), "spectraloom"), "zip", os.path.dirname(root), "spectraloom")
         context.addPyFile(os.path.realpath(archive))
     context._spectraloom_shipped = True
+
+
+#: Bytes that a named object may have.
+MOST_OBJECT = 64 << 20
+
+
+def share(spark: SparkSession, name: str, value: object, most: int = MOST_OBJECT):
+    """Sends a small object to all workers under a name; a later one of that name takes its place. Objects over `most` bytes are refused."""
+    n = len(pickle.dumps(value, pickle.HIGHEST_PROTOCOL))
+    if n > most:
+        raise ValueError(f"{name} has {n} bytes, more than {most}")
+    held = spark.sparkContext.__dict__.setdefault("_spectraloom_objects", {})
+    if name in held:
+        held[name].unpersist()
+    held[name] = spark.sparkContext.broadcast(value)
+    return held[name]
+
+
+def share_map(spark: SparkSession, name: str, df: DataFrame, key: str, value: str, most_rows: int = 1_000_000):
+    """A table's key to value map under a name: its rows are counted before any is fetched, and over `most_rows` are refused. The largest value of equal keys counts."""
+    small = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
+    n = small.count()
+    if n > most_rows:
+        raise ValueError(f"{name} has {n} rows, more than {most_rows}")
+    return share(spark, name, {r[0]: r[1] for r in small.collect()})
+
+
+def shared_object(spark: SparkSession, name: str):
+    """The broadcast handle of a named object; tasks take .value of it."""
+    held = spark.sparkContext.__dict__.get("_spectraloom_objects", {})
+    if name not in held:
+        raise KeyError(f"no object is shared as {name}")
+    return held[name]
+
+
+def looked_up(df: DataFrame, name: str, key: str, out: str, kind: str) -> DataFrame:
+    """Adds out: what the shared map `name` has for each key, null without an entry."""
+    handle = shared_object(df.sparkSession, name)
+
+    @F.pandas_udf(kind)
+    def look(k: pd.Series) -> pd.Series:
+        return k.map(handle.value.get)
+
+    return df.withColumn(out, look(F.col(key)))

@@ -107,7 +107,8 @@ def tail_expectation(df: DataFrame, key: str, score: str) -> DataFrame:
 
 
 def fdr_curve(df: DataFrame, score: str, decoy: str, by: str | None = None, high_is_good: bool = True) -> DataFrame:
-    """Per log10 score bin the cumulative targets and decoys from the good end, fdr = decoys / all, their ratio and q (least fdr at this bin or a worse one).
+    """Per log10 score bin the cumulative targets and decoys from the good end, fdr = decoys / all, their ratio, q (least fdr at this bin or a worse one),
+    and tpr and fpr: the share of all targets, and of all decoys, that are this good or better (null where there are none).
 
     Windows run over at most 3200 bins (for each value of `by`), not over hits.
     """
@@ -122,4 +123,5 @@ def fdr_curve(df: DataFrame, score: str, decoy: str, by: str | None = None, high
     sums = n.select(*keys, "bin", F.sum("t").over(run).alias("targets"), F.sum("f").over(run).alias("decoys"))
     fdr = F.col("decoys") / (F.col("targets") + F.col("decoys"))
     out = sums.withColumn("fdr", fdr).withColumn("ratio", F.when(F.col("targets") > 0, F.col("decoys") / F.col("targets")))
-    return out.withColumn("q", F.min("fdr").over(part.orderBy(back).rowsBetween(Window.unboundedPreceding, 0)))
+    share = lambda c: F.col(c) / F.nullif(F.max(c).over(part), F.lit(0))
+    return out.withColumn("q", F.min("fdr").over(part.orderBy(back).rowsBetween(Window.unboundedPreceding, 0))).withColumn("tpr", share("targets")).withColumn("fpr", share("decoys"))

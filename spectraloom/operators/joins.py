@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
-from spectraloom.functions.staging import staged
+from spectraloom.functions.staging import ship_package, staged
+
+from .filters import with_index
 
 
 def ppm_join(peptides: DataFrame, spectra: DataFrame, mass: str, precursor: str, ppm: float) -> DataFrame:
@@ -132,6 +135,48 @@ def compare_results(a: DataFrame, b: DataFrame, key: str, item: str, score: str)
     return both.withColumn("side", side).withColumn("same", F.coalesce(F.col("item_a") == F.col("item_b"), F.lit(False)))
 
 
+def decile_agreement(a: DataFrame, b: DataFrame, key: str, item: str, score: str, tiles: int = 10) -> DataFrame:
+    """Per tenth of the ids that both result sets have, best first: rows, how many agree on the item, and the scores between which they lie.
+
+    An id's score is the larger of its two, each as a share of its set's mean over these ids; ties by id. Tenths are those of
+    `ntile`, exact, but no task sorts the whole table: ranges of scores are numbered and their sizes added up.
+    """
+    x = a.select(key, F.col(item).alias("_i"), F.col(score).alias("_x"))
+    y = b.select(key, F.col(item).alias("_j"), F.col(score).alias("_y"))
+    both = staged(x.join(y, key), "both-results")
+    n, mean_x, mean_y = both.agg(F.count("*"), F.avg("_x"), F.avg("_y")).first()
+    if not n:
+        return both.select(F.lit(1).alias("decile"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("n_same"), F.lit(0.0).alias("least"), F.lit(0.0).alias("most")).limit(0)
+    scored = both.withColumn("_s", F.greatest(F.col("_x") / mean_x, F.col("_y") / mean_y)).withColumn("_d", -F.col("_s"))
+    placed = tiled(scored, ["_d", key], tiles, n)
+    return placed.groupBy(F.col("tile").alias("decile")).agg(F.count("*").alias("n"), F.count_if(F.col("_i") == F.col("_j")).alias("n_same"), F.min("_s").alias("least"), F.max("_s").alias("most"))
+
+
+def tiled(df: DataFrame, order: Sequence[str], tiles: int, n: int) -> DataFrame:
+    """Adds tile, 1 to `tiles`, of n rows in order, as `ntile` deals them: the first n % tiles hold one row more."""
+    each, more = divmod(n, tiles)
+    r = F.col("_idx")
+    early = F.floor(r / (each + 1))
+    late = F.lit(more) + F.floor((r - more * (each + 1)) / each) if each else F.lit(0)
+    return with_index(df, order, "_idx").withColumn("tile", (F.when(r < more * (each + 1), early).otherwise(late) + 1).cast("int")).drop("_idx")
+
+
+def write_mass_sections(peptides: DataFrame, path: str, mass: str, width: float = 1.0) -> None:
+    """Peptides in one folder for every `width` of mass (mass_section)."""
+    peptides.withColumn("mass_section", F.floor(F.col(mass) / width)).repartition("mass_section").write.mode("overwrite").partitionBy("mass_section").parquet(path)
+
+
+def pruned_mass_join(stored: DataFrame, spectra: DataFrame, precursor: str, minus: float, plus: float, width: float = 1.0) -> DataFrame:
+    """Spectra (few enough to be broadcast, as a filter leaves them) with the stored peptides of every mass section in their range.
+
+    The join key is the stored table's partition column, so that the sections the spectra ask for, known only when they
+    have been read, choose the folders (dynamic partition pruning).
+    """
+    low, high = (F.floor((F.col(precursor) + d) / width) for d in (-minus, plus))
+    asked = spectra.withColumn("mass_section", F.explode(F.sequence(low, high)))
+    return stored.join(F.broadcast(asked), "mass_section")
+
+
 def check_expected(scored: DataFrame, expected: DataFrame, keys: Sequence[str], score: str, wanted: str, tolerance: float = 0.1) -> DataFrame:
     """Counts of expected pairs that were found, missed, and found with a score within the tolerance."""
     j = expected.join(scored, list(keys), "left")
@@ -141,16 +186,51 @@ def check_expected(scored: DataFrame, expected: DataFrame, keys: Sequence[str],
     )
 
 
-def containing(proteins: DataFrame, peptides: DataFrame, protein: str, sequence: str, peptide: str, k: int = 4) -> DataFrame:
-    """(protein, peptide) of every wanted peptide (of at least k letters) that a protein's sequence contains.
+#: Letters of wanted peptides that may be sent to workers as an automaton.
+SENT_LETTERS = 16 << 20
+
+
+def found_words(words: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: every (key, word) of the words that a row's text contains, by one pass of an automaton of all words over each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, w in enumerate(words):
+            automaton.add_word(w, i)
+        automaton.make_automaton()
+        table = pa.array(words, pa.string())
+        for batch in batches:
+            rows, hits = [], []
+            for r, text in enumerate(batch.column(1).to_pylist()):
+                own = {i for _, i in automaton.iter(text)} if text else ()
+                rows += [r] * len(own)
+                hits += own
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), table.take(pa.array(hits, pa.int64()))], names=["_key", "_word"])
+
+    return run
+
+
+def containing(proteins: DataFrame, peptides: DataFrame, protein: str, sequence: str, peptide: str, k: int = 4, sent: int = SENT_LETTERS) -> DataFrame:
+    """(protein, peptide) of every wanted peptide (of at least k letters) that a protein's sequence contains, once a protein row.
 
-    Ids and seeds of k letters meet first, and a sequence is fetched once for each peptide that its protein may hold, then
-    verified: no row carries a sequence for each of its letters.
+    Wanted peptides of up to `sent` letters in all go to the workers as one automaton (goto and failure links), and every text is
+    read once, without a shuffle. More of them meet by seeds of k letters: ids and seeds first, then a sequence is fetched once for each
+    peptide that its protein may hold, and verified. Both give the same rows if protein ids are distinct.
     """
+    wanted = peptides.where(F.length(peptide) >= k).select(F.col(peptide)).distinct()
+    n, letters = wanted.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(peptide)), F.lit(0))).first()
+    if n and letters <= sent:
+        words = tuple(sorted(r[0] for r in wanted.collect()))
+        kinds = {f.name: f.dataType.simpleString() for f in (proteins.schema[protein], peptides.schema[peptide])}
+        ship_package(proteins.sparkSession)
+        met = proteins.select(protein, sequence).mapInArrow(found_words(words), f"_key {kinds[protein]}, _word {kinds[peptide]}")
+        return met.select(F.col("_key").alias(protein), F.col("_word").alias(peptide))
     seeds = F.array_distinct(F.regexp_extract_all(F.col(sequence), F.lit(f"(?=(.{{{k}}}))"), 1))  # one pass, where substrings by position would start anew each time
-    wanted = peptides.where(F.length(peptide) >= k).select(F.col(peptide), F.substring(peptide, 1, k).alias("_seed")).distinct()
+    keyed = wanted.withColumn("_seed", F.substring(peptide, 1, k))
     left = proteins.where(F.length(sequence) >= k).select(protein, F.explode(seeds).alias("_seed"))
-    maybe = left.join(wanted, "_seed").select(protein, peptide).distinct()
+    maybe = left.join(keyed, "_seed").select(protein, peptide).distinct()
     return maybe.join(proteins.select(protein, sequence), protein).where(F.contains(F.col(sequence), F.col(peptide))).select(protein, peptide)
 
 

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spectraloom.functions.staging import ship_package, staged
+
 
 def packed_bins(bins: DataFrame, bin_col: str, weight: str, most_weight: int = 50, most_keys: int = 20, lanes: int = 64, deal: Column | None = None) -> DataFrame:
     """Bin to part: heaviest bins first, packed until a part holds over most_weight or most_keys bins.
@@ -50,6 +52,19 @@ def by_part(df: DataFrame, parts: DataFrame, bin_col: str, n: int) -> DataFrame:
     return df.join(parts.select(bin_col, "part"), bin_col).repartition(n, "part")
 
 
+def placed(df: DataFrame, part: str, n: int) -> DataFrame:
+    """df with the rows of part i in partition i of n (rows of parts outside 0..n-1 go to part modulo n, those without one to 0).
+
+    The plan's numbers are the partitions' own; a shuffle by hash of the part would put several parts into one partition and leave others empty.
+    """
+    return df.repartitionById(n, F.coalesce(F.pmod(F.col(part), F.lit(n)), F.lit(0)).cast("int"))
+
+
+def placement(df: DataFrame, part: str) -> DataFrame:
+    """Per part its rows, how many of them lie in the partition of that number, and in how many partitions they lie."""
+    return df.withColumn("_p", F.spark_partition_id()).groupBy(part).agg(F.count("*").alias("n"), F.count_if(F.col("_p") == F.col(part)).alias("n_placed"), F.count_distinct("_p").alias("n_partitions"))
+
+
 def by_modulo(df: DataFrame, key: Column, n: int) -> DataFrame:
     return df.withColumn("part", F.pmod(key, F.lit(n)).cast("int"))
 
@@ -73,19 +88,44 @@ def persisted(df: DataFrame, on: bool = True) -> tuple[DataFrame, int]:
     return kept, kept.count()
 
 
-def map_reduce(df: DataFrame, mapper: Callable[[pd.DataFrame], pd.DataFrame], mapped: str, reducer: Callable[[tuple, pd.DataFrame], pd.DataFrame], reduced: str, key: str, parts: int | None = None) -> DataFrame:
+def map_reduce(
+    df: DataFrame, mapper: Callable[[pd.DataFrame], pd.DataFrame], mapped: str, reducer: Callable[[tuple, pd.DataFrame], pd.DataFrame], reduced: str, key: str, parts: int | None = None,
+    partition: Column | None = None, consumers: Sequence[Callable[[DataFrame], object]] = (),
+) -> DataFrame:
     """A job of two Python functions: mapper on batches of rows, reducer on all rows of a key.
 
-    A key's rows must fit in one task; jobs chain by feeding one's result to the next.
+    A key's rows must fit in one task; jobs chain by feeding one's result to the next. With `partition`, a column of the mapped
+    rows that depends on the key only, rows go to the partition of that number (modulo parts). The result is staged and given to each of the
+    consumers before it is returned, if there are any.
     """
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield mapper(b)
 
     rows = df.mapInPandas(run, mapped)
-    rows = rows.repartition(parts, key) if parts else rows
-    return rows.groupBy(key).applyInPandas(reducer, reduced)
+    if partition is not None:
+        # all rows of a key are in one partition already: they are grouped there, without another shuffle
+        n = parts or df.sparkSession.sparkContext.defaultParallelism
+        own = rows.withColumn("_part", F.pmod(partition, F.lit(n)).cast("int"))
+        kind = rows.schema
+
+        def group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held = [b.drop(columns="_part") for b in batches]
+            whole = pd.concat(held) if held else pd.DataFrame(columns=kind.names)
+            for k, some in whole.groupby(key, dropna=False, sort=True):
+                yield reducer((k,), some)
+
+        out = own.repartitionById(n, F.col("_part")).mapInPandas(group, reduced)
+    else:
+        rows = rows.repartition(parts, key) if parts else rows
+        out = rows.groupBy(key).applyInPandas(reducer, reduced)
+    if consumers:
+        out = staged(out, "job")
+        for c in consumers:
+            c(out)
+    return out
 
 
 def join_stress(spark, keys: int, rows: int) -> DataFrame:

@@ -61,9 +61,18 @@ def top_peaks(df: DataFrame, key: str, position: str, value: str, n: int) -> Dat
     return df.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).drop("_r")
 
 
-def centroids(df: DataFrame, key: str, position: str, value: str) -> DataFrame:
-    """Runs of neighbouring positions with a value above 0 as one peak each: value-weighted position and summed value."""
+def centroids(df: DataFrame, key: str, position: str, value: str, least: float | None = None, most: int | None = None) -> DataFrame:
+    """Runs of neighbouring positions with a value above 0 as one peak each: value-weighted position (centre), summed value (total) and width.
+
+    With `least`, only peaks centred there or above; with `most`, only the `most` of a key with the largest total (ties by position).
+    """
     order = Window.partitionBy(key).orderBy(position)
     starts = df.where(F.col(value) > 0).withColumn("_s", (F.col(position) - F.lag(position).over(order) == 1).cast("int"))
     runs = starts.withColumn("_run", F.sum(1 - F.coalesce("_s", F.lit(0))).over(order))
-    return runs.groupBy(key, "_run").agg((F.sum(F.col(position) * F.col(value)) / F.sum(value)).alias("centre"), F.sum(value).alias("total"), F.count("*").alias("width"))
+    out = runs.groupBy(key, "_run").agg((F.sum(F.col(position) * F.col(value)) / F.sum(value)).alias("centre"), F.sum(value).alias("total"), F.count("*").alias("width"))
+    if least is not None:
+        out = out.where(F.col("centre") >= least)
+    if most is not None:
+        best = Window.partitionBy(key).orderBy(F.desc("total"), "centre")
+        out = out.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= most).drop("_r")
+    return out

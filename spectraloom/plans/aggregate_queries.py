@@ -133,27 +133,45 @@ def a15_expectation(spark, d):
     return ex.with_expectation(hits(spark, d), "lang", "score").select("doc_id", "lang", "score", "expect")
 
 
-@query()
+#: The end of the bulk and the first of the lines that fall, each start of a line tried by itself.
+TAIL = """WITH b AS (SELECT event_type, least(greatest(floor(value / 10 * 10 + 0.5::DOUBLE)::BIGINT, 0), 10000) AS b FROM events), c AS (SELECT event_type, b, count(*) AS n FROM b GROUP BY ALL),
+ m AS (SELECT event_type, max(b) AS last FROM c GROUP BY event_type), t AS (SELECT m.event_type, coalesce(max(b) FILTER (b < last), -1) AS top FROM m JOIN c USING (event_type) GROUP BY m.event_type),
+ d AS (SELECT x.event_type, top, i AS b, coalesce(n, 0) AS n FROM (SELECT event_type, top, unnest(range(0, last + 1)) AS i FROM m JOIN t USING (event_type)) x LEFT JOIN c ON c.event_type = x.event_type AND c.b = i),
+ e AS (SELECT *, lead(n) OVER (PARTITION BY event_type ORDER BY b) AS nxt FROM d),
+ g AS (SELECT event_type, top, min(b) FILTER (b < top AND n = 0 AND (nxt = 0 OR b + 1 = top)) AS gap FROM e GROUP BY ALL),
+ f AS (SELECT event_type, CASE WHEN gap IS NOT NULL THEN greatest(gap - 1, 0) WHEN top > 12 THEN top - 2 ELSE greatest(top, 0) END AS stop FROM g),
+ s AS (SELECT event_type, b, stop, CASE WHEN b > 0 AND n = 0 THEN 0 ELSE sum(n) OVER (PARTITION BY event_type ORDER BY b DESC) END AS v FROM d JOIN f USING (event_type) WHERE b <= stop),
+ l AS (SELECT s.event_type, lo, b, v, log10(CASE WHEN v > 0 THEN v END) AS y FROM s JOIN (SELECT event_type, unnest(range(0, CASE WHEN stop >= 30 THEN floor(0.75::DOUBLE * stop) WHEN stop >= 15 THEN floor(0.5::DOUBLE * stop) ELSE 0 END::BIGINT + 1)) AS lo FROM f) z ON z.event_type = s.event_type AND b >= lo),
+ a AS (SELECT *, avg(b) FILTER (v > 0) OVER w AS mx, avg(y) FILTER (v > 0) OVER w AS my FROM l WINDOW w AS (PARTITION BY event_type, lo)),
+ r AS (SELECT event_type, lo, coalesce(max(mx), 0) AS mx, coalesce(max(my), 0) AS my, coalesce(sum((b - mx) * (b - mx)) FILTER (v > 1), 0) AS sx, coalesce(sum((b - mx) * (y - my)) FILTER (v > 1), 0) AS sxy FROM a GROUP BY ALL),
+ k AS (SELECT *, CASE WHEN sx > 0 THEN sxy / sx ELSE 0 END AS slope FROM r),
+ q AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY CASE WHEN slope < 0 THEN lo ELSE -1 - lo END DESC, lo) AS pick, bool_or(slope < 0) OVER (PARTITION BY event_type) AS falls FROM k)
+ SELECT event_type, round(slope, 6) AS slope, round(my - slope * mx, 6) AS intercept FROM q WHERE CASE WHEN falls THEN pick = 1 ELSE lo = 0 END"""
+
+
+@query(TAIL)
 def a16_tail_expectation(spark, d):
-    return ex.tail_expectation(events(spark, d).withColumn("score", F.col("value") / 10), "event_type", "score")
+    fits = ex.tail_expectation(events(spark, d).withColumn("score", F.col("value") / 10), "event_type", "score")
+    return fits.select("event_type", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
 
 
 FDR = f"""WITH n AS (SELECT {{by}}least(greatest(floor((log10(score) + 8) * 200.0::DOUBLE), 0), 3199)::INTEGER AS bin, count(*) FILTER (NOT decoy) AS t, count(*) FILTER (decoy) AS f FROM ({HITS}) WHERE score > 0 GROUP BY ALL),
  s AS (SELECT {{by}}bin, (sum(t) OVER ({{part}}ORDER BY bin DESC))::BIGINT AS targets, (sum(f) OVER ({{part}}ORDER BY bin DESC))::BIGINT AS decoys FROM n),
  r AS (SELECT *, decoys / (targets + decoys)::DOUBLE AS fdr FROM s)
- SELECT {{by}}bin, targets, decoys, round(fdr, 9) AS fdr, round(CASE WHEN targets > 0 THEN decoys / targets::DOUBLE END, 9) AS ratio, round(min(fdr) OVER ({{part}}ORDER BY bin), 9) AS q FROM r"""
+ SELECT {{by}}bin, targets, decoys, round(fdr, 9) AS fdr, round(CASE WHEN targets > 0 THEN decoys / targets::DOUBLE END, 9) AS ratio, round(min(fdr) OVER ({{part}}ORDER BY bin), 9) AS q,
+ round(targets / nullif(max(targets) OVER ({{whole}}), 0)::DOUBLE, 9) AS tpr, round(decoys / nullif(max(decoys) OVER ({{whole}}), 0)::DOUBLE, 9) AS fpr FROM r"""
 
 
 def rounded(df, *keys):
-    return df.select(*keys, "bin", "targets", "decoys", *[F.round(c, 9).alias(c) for c in ("fdr", "ratio", "q")])
+    return df.select(*keys, "bin", "targets", "decoys", *[F.round(c, 9).alias(c) for c in ("fdr", "ratio", "q", "tpr", "fpr")])
 
 
-@query(FDR.format(by="", part=""))
+@query(FDR.format(by="", part="", whole=""))
 def a17_fdr_curve(spark, d):
     return rounded(ex.fdr_curve(hits(spark, d), "score", "decoy"))
 
 
-@query(FDR.format(by="lang, ", part="PARTITION BY lang "))
+@query(FDR.format(by="lang, ", part="PARTITION BY lang ", whole="PARTITION BY lang"))
 def a17_fdr_by_kind(spark, d):
     return rounded(ex.fdr_curve(hits(spark, d), "score", "decoy", "lang"), "lang")
 
@@ -195,9 +213,22 @@ def a23_rows_per_mass_bin(spark, d):
     return spark.sql("SELECT mass_bin, count(*) AS n FROM peptide_bins GROUP BY mass_bin")
 
 
-@query()
+@query("SELECT 16::BIGINT AS n_parts, count(*)::BIGINT AS n_rows, count(DISTINCT o_custkey)::BIGINT AS n_keys, true AS even FROM orders")
 def a24_hash_spread(spark, d):
-    return ag.hash_spread(table(spark, d, "orders"), "o_custkey", 16)
+    """The spread over 16 parts summed up: no row or key is lost or in two parts, and no part has twice its share of keys."""
+    parts = ag.hash_spread(table(spark, d, "orders"), "o_custkey", 16)
+    return parts.agg(F.count("*").alias("n_parts"), F.sum("n_rows").alias("n_rows"), F.sum("n_keys").alias("n_keys"), (F.max("n_keys") < 2 * F.avg("n_keys")).alias("even"))
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (value > 50) AS n_high, count(*) FILTER (event_type = 'click') AS n_click, sum(value > 50)::BIGINT AS n_kept FROM events")
+def a25_observed_counters(spark, d):
+    """Counters that come from the observation of a query while it writes its high values, with the rows it wrote."""
+    from spectraloom.functions.staging import staged
+
+    watched, seen = ag.observed(events(spark, d), "run", n_high=F.col("value") > 50, n_click=F.col("event_type") == "click")
+    kept = staged(watched.where("value > 50"), "kept-events")
+    counts = seen.get
+    return kept.agg(F.count("*").alias("n_kept")).select(*[F.lit(counts[c]).cast("long").alias(c) for c in ("n_rows", "n_high", "n_click")], "n_kept")
 
 
 @query("SELECT count(*) AS n_rows, count(*) FILTER (value > 50) AS n_high, count(*) FILTER (event_type = 'click') AS n_click FROM events")
@@ -300,12 +331,37 @@ def d14_centroids(spark, d):
     return wn.centroids(p, "vec_id", "pos", "value").select("vec_id", F.round("centre", 5).alias("centre"), F.round("total", 5).alias("total"), "width")
 
 
+@query(f"SELECT vec_id, centre, total, width FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY total DESC, centre) AS k FROM ({CENTRES}) WHERE centre >= 20) WHERE k <= 5")
+def d14_best_centroids(spark, d):
+    """The five largest centroids from position 20 on."""
+    p = peaks(spark, d).withColumn("value", F.col("value") - 10)
+    return wn.centroids(p, "vec_id", "pos", "value", 20, 5).select("vec_id", F.round("centre", 5).alias("centre"), F.round("total", 5).alias("total"), "width")
+
+
 @query("SELECT l_suppkey, weight, (greatest(floor(coalesce(sum(weight) OVER w, 0) / 2000)::BIGINT, floor((row_number() OVER (PARTITION BY lane ORDER BY weight DESC, l_suppkey) - 1) / 20)::BIGINT) * 8 + lane)::BIGINT AS part FROM (SELECT l_suppkey, count(*) AS weight, l_suppkey % 8 AS lane FROM lineitem GROUP BY l_suppkey) WINDOW w AS (PARTITION BY lane ORDER BY weight DESC, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
 def p1_packed_bins(spark, d):
     bins_ = ag.counts_by(table(spark, d, "lineitem"), "l_suppkey", out="weight")
     return pt.packed_bins(bins_, "l_suppkey", "weight", 2000, 20, 8, F.col("l_suppkey")).select("l_suppkey", "weight", "part")
 
 
+PLACED = "SELECT part, count(*) AS n, count(*) AS n_placed, 1::BIGINT AS n_partitions FROM ({}) GROUP BY part"
+
+
+@query(PLACED.format("SELECT (o_custkey % 8)::INTEGER AS part FROM orders"))
+def p2_placed_rows(spark, d):
+    """Orders dealt by key modulo 8, each part in the partition of its number."""
+    return pt.placement(pt.placed(pt.by_modulo(table(spark, d, "orders").select("o_custkey", "o_orderkey"), F.col("o_custkey"), 8), "part", 8), "part")
+
+
+@query(f"WITH p AS (SELECT l_suppkey, weight, (greatest(floor(coalesce(sum(weight) OVER w, 0) / 2000)::BIGINT, floor((row_number() OVER (PARTITION BY lane ORDER BY weight DESC, l_suppkey) - 1) / 20)::BIGINT) * 8 + lane)::BIGINT AS part FROM (SELECT l_suppkey, count(*) AS weight, l_suppkey % 8 AS lane FROM lineitem GROUP BY l_suppkey) WINDOW w AS (PARTITION BY lane ORDER BY weight DESC, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) {PLACED.format('SELECT part FROM lineitem JOIN p USING (l_suppkey)')}")
+def p1_packed_rows(spark, d):
+    """Line items in the partitions that the packing of their suppliers plans, as many as the plan has."""
+    items = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey")
+    plan = pt.packed_bins(ag.counts_by(items, "l_suppkey", out="weight"), "l_suppkey", "weight", 2000, 20, 8, F.col("l_suppkey"))
+    n = plan.agg(F.coalesce(F.max("part"), F.lit(0))).first()[0] + 1
+    return pt.placement(pt.placed(items.join(plan.select("l_suppkey", "part"), "l_suppkey"), "part", n), "part")
+
+
 @query("SELECT part, count(*) AS n FROM (SELECT (o_custkey % 8)::INTEGER AS part FROM orders) GROUP BY part")
 def p2_modulo_parts(spark, d):
     return ag.counts_by(pt.by_modulo(table(spark, d, "orders"), F.col("o_custkey"), 8), "part")
@@ -336,6 +392,22 @@ def p5_map_reduce(spark, d):
     return pt.map_reduce(table(spark, d, "conversations").select("role", "text"), mapper, schema, reducer, schema, "key")
 
 
+@query("SELECT o_custkey % 13 AS key, count(*) AS n, round(sum(o_totalprice), 2) AS total, 13 AS parts FROM orders GROUP BY 1")
+def p5_partitioned_job(spark, d):
+    """A job whose keys go to the partitions that their own function names; a consumer counts the keys of the result."""
+    seen: list[int] = []
+
+    def mapper(b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"key": b["o_custkey"] % 13, "n": 1, "total": b["o_totalprice"].astype(float)}).groupby("key", as_index=False).sum()
+
+    def reducer(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"key": [key[0]], "n": [b["n"].sum()], "total": [b["total"].sum()]})
+
+    schema = "key long, n long, total double"
+    out = pt.map_reduce(table(spark, d, "orders").select("o_custkey", "o_totalprice"), mapper, schema, reducer, schema, "key", parts=4, partition=F.col("key"), consumers=[lambda df: seen.append(df.count())])
+    return out.select("key", "n", F.round("total", 2).alias("total"), F.lit(seen[0]).alias("parts"))
+
+
 @query("SELECT o_orderkey // 128 AS key, count(*) * count(*) AS n FROM orders GROUP BY 1")
 def p6_join_stress(spark, d):
     """Orders in groups by key range, each joined with itself: the square of a group's rows."""

@@ -52,9 +52,14 @@ def f6_first_n(spark, d):
     return fl.first_n(o, 100, ["down", "o_orderkey"]).drop("down")
 
 
-@query()
+@query("SELECT count(*) AS n_rows, true AS near_share, true AS repeatable, 0::BIGINT AS n_foreign FROM orders")
 def f7_fraction(spark, d):
-    return fl.hashed_fraction(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 0.25)
+    """A quarter of the orders by hashed key: how near to a quarter (six standard deviations), the same when drawn again, and no other rows."""
+    o = table(spark, d, "orders").select("o_orderkey")
+    drawn, again = (fl.hashed_fraction(o, "o_orderkey", 0.25).withColumn(c, F.lit(1)) for c in ("a", "b"))
+    both = o.withColumn("own", F.lit(1)).join(drawn, "o_orderkey", "full_outer").join(again, "o_orderkey", "full_outer")
+    near = F.abs(F.count("a") - 0.25 * F.count("own")) <= 6 * F.sqrt(0.25 * 0.75 * F.count("own"))
+    return both.agg(F.count("own").alias("n_rows"), near.alias("near_share"), (F.count_if(~F.col("a").eqNullSafe(F.col("b"))) == 0).alias("repeatable"), F.count_if(F.col("own").isNull()).alias("n_foreign"))
 
 
 @query(f"SELECT * FROM ({INDEXED}) WHERE idx % 100 < (SELECT greatest(1, 100 * 1000 // count(*)) FROM orders)")
@@ -119,9 +124,14 @@ def f18_small_expectation(spark, d):
     return table(spark, d, "events").where(F.col("value") < 0.5).select("event_id", "value")
 
 
-@query()
+@query("SELECT count(*) AS n_rows, true AS near_share, true AS some_twice, 0::BIGINT AS n_foreign FROM orders")
 def f19_sample_with_replacement(spark, d):
-    return fl.random_fraction(table(spark, d, "orders").select("o_orderkey"), 0.1, replace=True)
+    """Half as many draws as there are orders, with replacement: their number (six standard deviations), that some order comes twice, and no other rows."""
+    o = table(spark, d, "orders").select("o_orderkey")
+    drawn = fl.random_fraction(o, 0.5, replace=True).groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    both = o.withColumn("own", F.lit(1)).join(drawn, "o_orderkey", "full_outer")
+    near = F.abs(F.sum("n") - 0.5 * F.count("own")) <= 6 * F.sqrt(0.5 * F.count("own"))
+    return both.agg(F.count("own").alias("n_rows"), near.alias("near_share"), (F.max("n") > 1).alias("some_twice"), F.count_if(F.col("own").isNull()).alias("n_foreign"))
 
 
 @query("SELECT o_custkey AS o_orderkey, o_orderkey AS o_custkey FROM orders")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spectraloom.functions.masses import sequence_mass
-from spectraloom.functions.staging import shared_path
+from spectraloom.functions.staging import looked_up, share_map, shared_path
 from spectraloom.functions.text import similarity
 from spectraloom.operators import filters as fl
 from spectraloom.operators import joins as jn
@@ -92,6 +92,16 @@ def j8_integer_mass_join(spark, d):
     return jn.integer_mass_join(c, s, "c_acctbal", "s_acctbal", 2, 4).select("s_suppkey", "c_custkey", "mass_int")
 
 
+@query("SELECT s_suppkey, p_partkey, floor(p_retailprice / 10)::BIGINT AS mass_section FROM supplier JOIN part ON floor(p_retailprice / 10) BETWEEN floor((s_acctbal - 2) / 10) AND floor((s_acctbal + 4) / 10) WHERE s_acctbal BETWEEN 900 AND 1100")
+def j8_pruned_sections(spark, d):
+    """Suppliers of some balances as precursors against parts stored in one folder for every ten of price: only folders they ask for are read."""
+    path = shared_path(spark, "mass-sections")
+    jn.write_mass_sections(table(spark, d, "part").select("p_partkey", "p_retailprice"), path, "p_retailprice", 10.0)
+    stored = spark.read.schema("p_partkey long, p_retailprice double, mass_section long").parquet(path)
+    s = table(spark, d, "supplier").select("s_suppkey", "s_acctbal").where("s_acctbal between 900 and 1100")
+    return jn.pruned_mass_join(stored, s, "s_acctbal", 2, 4, 10.0).select("s_suppkey", "p_partkey", "mass_section")
+
+
 SECTIONS = "SELECT l_orderkey, l_linenumber, l_suppkey, floor((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) - 1) / 100)::INTEGER AS section FROM lineitem"
 
 
@@ -154,6 +164,14 @@ def j12_compare_results(spark, d):
     return jn.compare_results(*result_sets(spark, d), "user_id", "item", "score")
 
 
+@query(f"""WITH j AS (SELECT user_id, a.item AS x, b.item AS y, a.score AS s, b.score AS t FROM ({A}) a JOIN ({B}) b USING (user_id)),
+ n AS (SELECT *, greatest(s / (SELECT avg(s) FROM j), t / (SELECT avg(t) FROM j)) AS v FROM j), k AS (SELECT *, ntile(10) OVER (ORDER BY v DESC, user_id) AS decile FROM n)
+ SELECT decile::INTEGER AS decile, count(*) AS n, count(*) FILTER (x = y) AS n_same, round(min(v), 6) AS least, round(max(v), 6) AS most FROM k GROUP BY 1""")
+def j12_decile_agreement(spark, d):
+    out = jn.decile_agreement(*result_sets(spark, d), "user_id", "item", "score")
+    return out.select("decile", "n", "n_same", F.round("least", 6).alias("least"), F.round("most", 6).alias("most"))
+
+
 @query(f"SELECT count(*) AS n_expected, count(a.score) AS n_found, count(*) - count(a.score) AS n_missing, count(*) FILTER (abs(a.score - b.wanted) <= 40) AS n_close FROM (SELECT user_id, item, score AS wanted FROM ({B})) b LEFT JOIN ({A}) a USING (user_id, item)")
 def j12b_check_expected(spark, d):
     a, b = result_sets(spark, d)
@@ -169,10 +187,8 @@ def wanted(spark, d):
 
 @query(f"SELECT protein_id, peptide FROM ({PROTEINS}) JOIN ({WANTED}) ON contains(sequence, peptide)")
 def j13_containing(spark, d):
-    """Texts that hold a benchmark peptide: short ones meet by four letters, others by eight."""
-    p, w = proteins(spark, d), wanted(spark, d)
-    short = jn.containing(p, w.where(F.length("peptide") < 8), "protein_id", "sequence", "peptide", 4)
-    return short.union(jn.containing(p, w.where(F.length("peptide") >= 8), "protein_id", "sequence", "peptide", 8)).distinct()
+    """Texts that hold a benchmark peptide."""
+    return jn.containing(proteins(spark, d), wanted(spark, d), "protein_id", "sequence", "peptide")
 
 
 @query()
@@ -189,6 +205,15 @@ def j15_broadcast(spark, d):
     return c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
 
 
+@query("SELECT c_custkey, n_name AS nation, r_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def j15_named_objects(spark, d):
+    """Two maps made of tables and shared by name, looked up by tasks."""
+    share_map(spark, "nation-name", table(spark, d, "nation"), "n_nationkey", "n_name")
+    share_map(spark, "nation-region", table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")), "n_nationkey", "r_name")
+    c = looked_up(table(spark, d, "customer").select("c_custkey", "c_nationkey"), "nation-name", "c_nationkey", "nation", "string")
+    return looked_up(c, "nation-region", "c_nationkey", "region", "string").select("c_custkey", "nation", "region")
+
+
 TOP = "SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 50"
 
 

@@ -6,18 +6,19 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spectraloom.functions.masses import C_TERMINUS, PROTON, RESIDUES
-from spectraloom.functions.staging import shared_path
+from spectraloom.functions.staging import shared_path, staged
 from spectraloom.operators import digest as dg
 from spectraloom.operators import filters as fl
 from spectraloom.operators import joins as jn
 from spectraloom.operators import scoring as sc
 from spectraloom.sinks import reports as rp
+from spectraloom.sinks.peptide_store import manifest, read_store, update_store
 from spectraloom.sources import files as fs
 
-from .config import SearchConfig, from_xml
-from .derived import HITS, PEPTIDES, PROTEINS, hits, peptides, proteins, vector_spectra
+from .config import SearchConfig, from_keys, from_xml
+from .derived import HITS, MASS, NOT_LETTERS, PARTS, PEPTIDES, PROTEINS, hits, peptides, proteins, vector_spectra
 from .registry import query, table
-from .search import peptide_table, scorable_spectra, search, spectra_of
+from .search import distinct_peptides, peptide_places, peptide_table, scorable_spectra, search, search_to_pepxml, spectra_of
 
 CONFIG = SearchConfig(ppm=10.0, decoys=False)
 
@@ -33,6 +34,89 @@ def search_flagship(spark, d):
     return found.select("spectrum_id", "sequence", F.round("xcorr", 6).alias("xcorr"), "matched_ions", "rank", F.round("delta_cn", 6).alias("delta_cn"), "expect", "protein", "start", F.col("n_proteins").cast("int").alias("n_proteins"))
 
 
+OWN = """WITH b AS (SELECT DISTINCT p AS sequence FROM (SELECT unnest(PARTS) AS p FROM (SELECT upper(regexp_replace(coalesce(text, ''), 'NOT_LETTERS', '', 'g')) AS sequence FROM benchmark)) WHERE length(p) BETWEEN 4 AND 40),
+ h AS (SELECT sequence, min(protein_id::VARCHAR) AS protein, count(DISTINCT protein_id) - 1 AS n_others FROM (PEPTIDES) GROUP BY sequence)
+ SELECT sequence AS spectrum, protein, n_others, round(MASS + 19.0178::DOUBLE - 1.00727646688::DOUBLE, 3) AS neutral_mass, true AS fitted FROM b JOIN h USING (sequence)""".replace("PARTS", PARTS).replace("NOT_LETTERS", NOT_LETTERS).replace("PEPTIDES", PEPTIDES).replace("MASS", MASS)
+
+
+@query(OWN)
+def search_report(spark, d):
+    """The search written as a pepXML report and read back: every spectrum's own peptide, with the proteins that hold it."""
+    path = shared_path(spark, "search") + ".pep.xml"
+    search_to_pepxml(proteins(spark, d), spectra_of(benchmark_peptides(spark, d)), path, CONFIG)
+    own = fs.read_pepxml(spark, path).where(F.col("peptide") == F.col("spectrum"))
+    return own.select("spectrum", "protein", F.size("alt_proteins").cast("long").alias("n_others"), F.round("neutral_mass", 3).alias("neutral_mass"), (F.col("expect").isNotNull() & (F.col("xcorr") > 0)).alias("fitted"))
+
+
+PLACES = f"""WITH p AS (SELECT protein_id::VARCHAR AS protein_id, unnest(k) AS sequence, generate_subscripts(k, 1) AS i FROM (SELECT protein_id, {PARTS} AS k FROM ({PROTEINS}))),
+ q AS (SELECT protein_id, sequence, coalesce(sum(length(sequence)) OVER (PARTITION BY protein_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INTEGER AS start FROM p),
+ r AS (SELECT sequence, protein_id, min(start) AS start, count(*) AS n FROM q WHERE length(sequence) BETWEEN 4 AND 40 GROUP BY 1, 2)"""
+
+
+@query(f"{PLACES} SELECT sequence, sum(n)::BIGINT AS n_places, count(*) AS n_proteins, min(protein_id) AS protein, arg_min(start, protein_id) AS start FROM r GROUP BY sequence")
+def a3_peptide_places(spark, d):
+    """Every peptide with the places where proteins hold it: how many, and the first."""
+    places = staged(peptide_places(proteins(spark, d), CONFIG), "places")
+    counts = places.groupBy("sequence").agg(F.count("*").alias("n_places"))
+    return distinct_peptides(places).join(counts, "sequence").select("sequence", "n_places", "n_proteins", "protein", "start")
+
+
+COUNTED = f"SELECT sequence, k AS n_mods, round((length(sequence) - length(replace(sequence, 'C', ''))) * 57.021::DOUBLE + k * 15.995::DOUBLE, 3) AS mod_delta FROM (SELECT sequence, unnest(range(0, least(3, length(sequence) - length(replace(sequence, 'M', ''))) + 1))::INTEGER AS k FROM (SELECT DISTINCT sequence FROM ({PEPTIDES})))"
+
+
+@query(COUNTED)
+def d4_mass_counts(spark, d):
+    """The masses that modifications give every peptide, before any site is placed."""
+    rows = dg.counted_forms(peptides(spark, d).select("sequence").distinct(), ["15.995@M"], 3, fixed=["57.021@C"])
+    return rows.select("sequence", F.get("mod_counts", F.lit(0)).alias("n_mods"), F.round("mod_delta", 3).alias("mod_delta"))
+
+
+LYSC = f"SELECT protein_id, p AS sequence FROM (SELECT protein_id, unnest(str_split(regexp_replace(sequence, '(K)', '\\1|', 'g'), '|')) AS p FROM ({PROTEINS})) WHERE length(p) BETWEEN 4 AND 40"
+
+
+@query(LYSC)
+def d1_rule_string(spark, d):
+    """Texts cut by the rule lysC of a parameter file."""
+    c = from_keys({"protein, cleavage site": "lysC"})
+    return dg.digest(proteins(spark, d), after=c.cut_after, not_before=c.not_before).select("protein_id", "sequence")
+
+
+@query("SELECT count(*) AS n_spectra, sum(CASE WHEN vec_id % 10 = 0 THEN 2 ELSE 0 END)::BIGINT AS n_bad, sum(len(list_filter(embedding, lambda v: round(abs(v * 100), 3) > 0)))::BIGINT AS n_peaks, true AS over_budget_fails FROM embeddings")
+def s3_bad_lines(spark, d):
+    """Spectra written as MGF, a tenth with two unreadable lines; the counts are those observed while the file was read, and a budget of one bad line less fails."""
+    path = shared_path(spark, "mgf")
+    block = rp.mgf_text(vector_spectra(spark, d)).withColumn("block", F.when(F.col("spectrum_id").cast("long") % 10 == 0, F.replace("block", F.lit("\nEND IONS"), F.lit("\n12.5 ?\nnoise\nEND IONS"))).otherwise(F.col("block")))
+    block.select("block").write.text(path)
+    _, counts = fs.read_mgf_within(spark, path, most_bad=1 << 40)
+    try:
+        fs.read_mgf_within(spark, path, most_bad=counts["n_bad"] - 1)
+        fails = False
+    except ValueError:
+        fails = True
+    stored, _ = fs.read_mgf_within(spark, path, most_bad=counts["n_bad"])
+    return stored.agg(F.count("*").alias("n_spectra")).select("n_spectra", F.lit(counts["n_bad"]).cast("long").alias("n_bad"), F.lit(counts["n_peaks"]).cast("long").alias("n_peaks"), F.lit(fails).alias("over_budget_fails"))
+
+
+EDITED = PROTEINS.replace("FROM documents", "FROM documents WHERE doc_id % 7 <> 3 OR length(coalesce(text, '')) >= 200")
+BINS = f"floor((({MASS}) + 19.0178::DOUBLE) / 20)::BIGINT"
+CUT = "SELECT protein_id, p AS sequence FROM (SELECT protein_id, unnest({parts}) AS p FROM ({source})) WHERE length(p) BETWEEN 4 AND 40"
+
+
+@query(f"""WITH now AS ({CUT.format(parts=PARTS, source=EDITED)}), gone AS (SELECT * FROM ({CUT.format(parts=PARTS, source=PROTEINS)}) WHERE protein_id NOT IN (SELECT protein_id FROM ({EDITED}))),
+ n AS (SELECT {BINS} AS bin, count(*) AS n, round(sum(({MASS}) + 19.0178::DOUBLE), 2) AS total FROM now GROUP BY 1)
+ SELECT bin, n, total, bin IN (SELECT {BINS} FROM gone) AS rewritten FROM n""")
+def k5_incremental_table(spark, d):
+    """A peptide table of all texts, then of all but some short ones: only the bins these had peptides in are written anew."""
+    path = shared_path(spark, "store")
+    all_ = proteins(spark, d)
+    update_store(all_, path)
+    short = table(spark, d, "documents").where("doc_id % 7 = 3 and length(coalesce(text, '')) < 200").select(F.col("doc_id").alias("protein_id"))
+    second = update_store(all_.join(short, "protein_id", "left_anti"), path)
+    entries = manifest(spark, path).select("bin", (F.col("v") == second.version).alias("rewritten"))
+    rows = read_store(spark, path)
+    return rows.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.sum("matching_mass"), 2).alias("total")).join(entries, "bin").select("bin", "n", "total", "rewritten")
+
+
 @query()
 def d9_conditioned_spectra(spark, d):
     c = sc.condition(vector_spectra(spark, d))

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import os
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spectraloom.functions.masses import PROTON, RESIDUES
+from spectraloom.functions.staging import ship_package
 
 
 def _fs(spark: SparkSession, path: str):
@@ -23,6 +26,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    _, fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
 def drop(spark: SparkSession, path: str) -> None:
     _, fs, p = _fs(spark, path)
     fs.delete(p, True)
@@ -41,21 +50,63 @@ def _concatenated(spark: SparkSession, path: str, parts: list[str]) -> bool:
     return True
 
 
+def put_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Writes pieces (target, at, source, text) at their own places of local files: bytes of text, or of a whole source file, block by block."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            out = os.open(r["target"], os.O_CREAT | os.O_WRONLY, 0o644)
+            at = r["at"]
+            try:
+                if r["source"] is None:
+                    at += os.pwrite(out, r["text"], at)
+                else:
+                    with open(r["source"], "rb") as part:
+                        while block := part.read(1 << 20):
+                            at += os.pwrite(out, block, at)
+            finally:
+                os.close(out)
+            yield pa.RecordBatch.from_arrays([pa.array([at - r["at"]], pa.int64())], names=["written"])
+
+
+def _local(fs, p) -> str | None:
+    """Plain name of a path on a file: system, None on another."""
+    uri = fs.makeQualified(p).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def write_one_file(df: DataFrame, text: str, path: str, header: str = "", footer: str = "") -> None:
-    """The text column in row order as one file. Partitions are written in parallel; the file system appends them to the header
-    in order where it can, and else their bytes pass through one stream."""
+    """The text column in row order as one file, whose partitions are written in parallel first.
+
+    Where the file system appends files to a file (HDFS), it appends them. On file systems that are mounted on driver and executors
+    (file:), the parts' lengths give their places, and tasks copy each part to its own place of the target, a retry to the same
+    place; the driver reads no part. Elsewhere (object stores) one stream on the driver joins them.
+    """
     spark = df.sparkSession
     folder = f"{path}.parts"
     df.select(F.col(text)).write.mode("overwrite").option("lineSep", "\n").text(folder)
     jvm, fs, target = _fs(spark, path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     whole = jvm.org.apache.hadoop.fs.Path(folder)
-    found = [s for s in fs.listStatus(whole) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
-    parts = sorted(f"{folder}/{s.getPath().getName()}" for s in found)
+    found = sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(whole) if s.getPath().getName().startswith("part-") and s.getLen() > 0)
+    parts = [f"{folder}/{name}" for name, _ in found]
 
     def put(out, data: str) -> None:
         out.write(bytearray(data.encode()))
 
+    own = _local(fs, target)
+    if own is not None:
+        fs.delete(target, True)  # with its checksum file, which would not fit any more
+        sizes = [len(header.encode()), *(n for _, n in found), len(footer.encode())]
+        starts = [sum(sizes[:i]) for i in range(len(sizes))]
+        sources = [None, *(_local(fs, jvm.org.apache.hadoop.fs.Path(p)) for p in parts), None]
+        texts = [header.encode(), *[None] * len(parts), footer.encode()]
+        pieces = spark.createDataFrame([(own, at, source, t) for at, source, t in zip(starts, sources, texts, strict=True)], "target string, at long, source string, text binary")
+        ship_package(spark)
+        done = pieces.repartition(len(sizes)).mapInArrow(put_pieces, "written long").agg(F.sum("written")).first()[0]
+        if done != sum(sizes):
+            raise OSError(f"{done} of {sum(sizes)} bytes of {path} were written")
+        fs.delete(whole, True)
+        return
     out = fs.create(target, True)
     try:
         put(out, header)

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spectraloom.functions.staging import delete, shared_path
+
 PEAKS = "array<struct<mz:double,intensity:float>>"
 
 
@@ -60,6 +62,28 @@ def read_mgf(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     return out.drop("_u")
 
 
+#: Unreadable lines that a read of MGF files puts up with (fixed value).
+MOST_BAD_LINES = 2000
+
+
+def read_mgf_within(spark: SparkSession, path: str, most_bad: int = MOST_BAD_LINES, strict: bool = True) -> tuple[DataFrame, dict[str, int]]:
+    """`read_mgf` into a stored table, and what was counted while it was read: n_spectra, n_peaks and n_bad (unreadable lines).
+
+    The counts are observed in the one pass that parses and stores; a read with over `most_bad` bad lines in all fails and leaves no table.
+    """
+    from pyspark.sql import Observation
+
+    seen = Observation("mgf")
+    parsed = read_mgf(spark, path, strict).observe(seen, F.count(F.lit(1)).alias("n_spectra"), F.coalesce(F.sum(F.size("peaks")), F.lit(0)).alias("n_peaks"), F.coalesce(F.sum("bad_lines"), F.lit(0)).alias("n_bad"))
+    stored = shared_path(spark, "mgf-read")
+    parsed.write.parquet(stored)
+    counts = {k: int(v) for k, v in seen.get.items()}
+    if counts["n_bad"] > most_bad:
+        delete(spark, stored)
+        raise ValueError(f"{counts['n_bad']} lines can't be read, more than {most_bad}")
+    return spark.read.schema(parsed.schema).parquet(stored), counts
+
+
 def count_mgf(spark: SparkSession, path: str) -> DataFrame:
     """How many spectra MGF files hold (n), without reading any."""
     return spark.read.text(path).where(F.trim("value") == "BEGIN IONS").agg(F.count("*").alias("n"))
