@@ -31,26 +31,57 @@ SPANS = "array<struct<start:int,stop:int,kind:int>>"
 LEDGER = f"blob string, versions array<int>, spans {SPANS}"
 
 
+#: Matches of a text that are walked one by one with what came before carried along; longer lists go block by block.
+BLOCK = 256
+
+
+def block_starts(sizes: Column) -> Column:
+    """From the blocks' sizes the sum of those before each, one entry a block."""
+    grow = lambda a, n: F.array_append(a, F.element_at(a, -1) + n)
+    return F.aggregate(sizes, F.array(F.lit(0).cast("long")), grow)
+
+
+def block_numbers(items: Column) -> Column:
+    """0 to the last block of an array that is not empty."""
+    return F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+
+
 def found(text: Column, number: int) -> Column:
-    """Leftmost matches of one rule that do not overlap, as (start, stop, rule number) in code points; short ones dropped."""
+    """Leftmost matches of one rule that do not overlap, as (start, stop, rule number) in code points; short ones dropped.
+
+    Where a match stands follows from the lengths before it. Blocks of matches are added up first, so that the work and the
+    copies made along the way grow with the number of matches, not with its square.
+    """
     _, pattern, group, least, _ = RULES[number]
     regex = F.lit(pattern)
 
     def placed(x: Column) -> Column:
-        empty = F.array().cast(SPANS)
-        start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+        n = F.size(x["matches"])
+        total = lambda b: F.aggregate(F.slice(x["steps"], b * BLOCK + 1, BLOCK), F.lit(0).cast("long"), lambda a, v: a + v)
+
+        def walked(starts: Column) -> Column:
+            def step(a: Column, i: Column) -> Column:
+                s = a["at"] + F.length(F.get(x["pieces"], i))
+                e = s + F.length(F.get(x["matches"], i))
+                span = F.struct(s.cast("int").alias("start"), e.cast("int").alias("stop"), F.lit(number).alias("kind"))
+                return F.struct(e.alias("at"), F.when(F.length(F.get(x["parts"], i)) >= least, F.array_append(a["out"], span)).otherwise(a["out"]).alias("out"))
+
+            def block(b: Column) -> Column:
+                begin = F.struct(F.get(starts, b).alias("at"), F.array().cast(SPANS).alias("out"))
+                return F.aggregate(F.sequence(b * BLOCK, F.least((b + 1) * BLOCK, n) - 1), begin, step, lambda a: a["out"])
 
-        def step(a: Column, i: Column) -> Column:
-            s = a["at"] + F.length(F.get(x["pieces"], i))
-            e = s + F.length(F.get(x["matches"], i))
-            span = F.struct(s.cast("int").alias("start"), e.cast("int").alias("stop"), F.lit(number).alias("kind"))
-            return F.struct(e.cast("int").alias("at"), F.when(F.length(F.get(x["parts"], i)) >= least, F.array_append(a["out"], span)).otherwise(a["out"]).alias("out"))
+            return F.flatten(F.transform(block_numbers(x["matches"]), block))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["matches"]) - 1), start, step, lambda a: a["out"])
+        return let(block_starts(F.transform(block_numbers(x["matches"]), total)), walked)
 
     whole = F.regexp_extract_all(text, regex, 0)
     parts = F.regexp_extract_all(text, regex, group) if group else whole
-    work = let(F.struct(F.split(text, pattern, -1).alias("pieces"), whole.alias("matches"), parts.alias("parts")), placed)
+
+    def stepped(x: Column) -> Column:
+        steps = F.zip_with(x["matches"], x["pieces"], lambda m, p: (F.coalesce(F.length(m), F.lit(0)) + F.length(p)).cast("long"))
+        return let(F.struct(x["pieces"].alias("pieces"), x["matches"].alias("matches"), x["parts"].alias("parts"), steps.alias("steps")), placed)
+
+    work = let(F.struct(F.split(text, pattern, -1).alias("pieces"), whole.alias("matches"), parts.alias("parts")), stepped)
     return F.when(F.rlike(text, regex), work).otherwise(F.array().cast(SPANS))
 
 
@@ -87,16 +118,20 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, text: str = "
     """
     versions = docs.select(F.col(id_col), row_id(id_col).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
     paths = staged(versions.select(id_col, "_row", "blob"), "secret-paths")
-    unseen = paths.groupBy("blob").agg(F.min("_row").alias("_row"))
+    # a blob is scanned in the row of its smallest id; where several rows have that id and text, in one of them
+    alike = paths.groupBy("blob", "_row").agg(F.count("*").alias("_alike"))
+    unseen = alike.groupBy("blob").agg(F.min(F.struct("_row", "_alike")).alias("_m")).select("blob", "_m._row", "_m._alike")
     if ledger is None:
         known = None
-        unseen = unseen.select("blob", "_row", F.lit(None).cast("array<int>").alias("versions"), F.lit(None).cast(SPANS).alias("known"))
+        unseen = unseen.select("blob", "_row", "_alike", F.lit(None).cast("array<int>").alias("versions"), F.lit(None).cast(SPANS).alias("known"))
     else:
         known = latest(ledger)
         unseen = unseen.join(known.withColumnRenamed("spans", "known"), "blob", "left").where(~F.coalesce(F.col("versions") == versions_now(), F.lit(False)))
         known = known.where(F.col("versions") == versions_now())
-    texts = versions.select("_row", "blob", "text").join(unseen, ["_row", "blob"]).select("blob", "text", "versions", "known")
-    added = staged(scan(texts).dropDuplicates(["blob"]), "secret-ledger")
+    texts = versions.select("_row", "blob", "text").join(unseen, ["_row", "blob"])
+    names = ["blob", "text", "versions", "known"]
+    once = texts.where("_alike = 1").select(names).unionByName(texts.where("_alike > 1").select(names).dropDuplicates(["blob"]))
+    added = staged(scan(once), "secret-ledger")
     ledger_now = added if known is None else known.unionByName(added)
     return paths.join(ledger_now.select("blob", "spans"), "blob").select(id_col, "blob", "spans"), added
 
@@ -128,15 +163,36 @@ def count_kind(spans: Column, number: int) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """text with every found span, overlaps as one, replaced by mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """text with every found span, overlaps as one, replaced by mark. Spans are sorted by start.
 
-    def step(a: Column, s: Column) -> Column:
-        fresh = s["start"] >= a["at"]
-        out = F.when(fresh, F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).otherwise(a["out"])
-        return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), out.alias("out"))
+    The text between spans is cut out of the piece of text that a block of spans lies in, so that a text of many spans isn't
+    read from its start for each.
+    """
 
-    whole = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    def furthest(b: Column) -> Column:
+        return F.array_max(F.transform(F.slice(spans, b * BLOCK + 1, BLOCK), lambda s: s["stop"]))
+
+    def reached(stops: Column) -> Column:
+        """How far the spans before each block reach, and all of them at the end."""
+        grow = lambda a, n: F.array_append(a, F.greatest(F.element_at(a, -1), n))
+        return F.aggregate(stops, F.array(F.lit(0)), grow)
 
+    def cut(ends: Column) -> Column:
+        def block(b: Column) -> Column:
+            own, begin = F.slice(spans, b * BLOCK + 1, BLOCK), F.get(ends, b)
 
+            def inside(piece: Column) -> Column:
+                def step(a: Column, s: Column) -> Column:
+                    fresh = s["start"] >= a["at"]
+                    out = F.concat(a["out"], F.substring(piece, a["at"] - begin + 1, s["start"] - a["at"]), F.lit(mark))
+                    return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), F.when(fresh, out).otherwise(a["out"]).alias("out"))
+
+                return F.aggregate(own, F.struct(begin.alias("at"), F.lit("").alias("out")), step, lambda a: a["out"])
+
+            return let(F.substring(text, begin + 1, F.greatest(F.element_at(own, -1)["start"] - begin, F.lit(0))), inside)
+
+        tail = F.substring(text, F.element_at(ends, -1) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(block_numbers(spans), block), ""), tail)
+
+    whole = let(F.transform(block_numbers(spans), furthest), lambda stops: let(reached(stops), cut))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)

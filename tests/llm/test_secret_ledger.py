@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
+from spectraloom.llm import secret_ledger
 from spectraloom.llm.secret_ledger import BASE_KINDS, RULES, count_kind, redact, scan_secrets, span_text
 
 
@@ -84,3 +86,35 @@ def test_key_bodies_are_redacted(spark):
     found, _ = scan_secrets(docs)
     out = docs.join(found, "doc_id").select("doc_id", redact(F.col("text"), F.col("spans")).alias("r"))
     assert {r.doc_id: r.r for r in out.collect()} == {1: "a [secret] b", 2: "[secret] no, end. here"}
+
+
+def test_many_matches_in_a_text(spark):
+    """A hundred thousand matches in one text: linear work, spans and redaction as those of the pattern."""
+    text = "".join(f"password=abcd{i % 90:02d}{'é' if i % 3 else ''} " for i in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, "0a" * 12 + " token=0a0a0a0a0a0a0a0a0a0a0a0a " * 700)], "doc_id long, text string")
+    began = time.time()
+    found, _ = scan_secrets(docs)
+    joined = docs.join(found.select("doc_id", "spans"), "doc_id")
+    rows = {r.doc_id: r for r in joined.select("doc_id", "text", "spans", redact(F.col("text"), F.col("spans")).alias("r")).collect()}
+    took = time.time() - began
+    for i in (1, 2):
+        want = slow(rows[i].text)
+        assert [tuple(s) for s in rows[i].spans] == want
+        out, at = [], 0
+        for s, e, _ in want:
+            if s >= at:
+                out += [rows[i].text[at:s], "[secret]"]
+            at = max(at, e)
+        assert rows[i].r == "".join(out) + rows[i].text[at:]
+    assert len(rows[1].spans) == 100_000 and took < 30
+
+
+def test_equal_rows_are_scanned_once(spark, monkeypatch):
+    """Thousands of equal rows, without an id or with one: the scan sees one row of each text."""
+    seen = []
+    plain = secret_ledger.scan
+    monkeypatch.setattr(secret_ledger, "scan", lambda blobs: seen.append(blobs.count()) or plain(blobs))
+    rows = [(None, "token = abcdef1")] * 3000 + [(7, "token = abcdef2")] * 2000 + [(i, "token = abcdef3") for i in range(500)] + [(None, None)] * 5
+    found, added = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    assert seen == [4] and added.count() == 4 and found.count() == len(rows)
+    assert found.where(F.size("spans") == 1).count() == 5500
