@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spectraloom.functions.staging import delete, scratch, staged  # noqa: F401
+from spectraloom.functions.staging import delete, scratch, ship_package, staged  # noqa: F401
 
 #: Stands for a null id in join keys.
 NULL_ID = -(1 << 63)
@@ -85,6 +85,7 @@ def tidy(run: Callable[[Batches], Batches], cached: bool = False) -> Callable[[B
 
 def arrow_map(df: DataFrame, run: Callable[[Batches], Batches], schema: str, cached: bool = False) -> DataFrame:
     """df through run, tidied. Unless the session sets a size of its own, batches are of about 8 MB: those of 64 MB fill executors and workers."""
+    ship_package(df.sparkSession)
     conf = df.sparkSession.conf
     if conf.get(BATCH_SETTING) == BATCH_DEFAULT:
         conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
@@ -132,18 +133,26 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     return flat.union(flat.select(F.col("component").alias("node"), "component").distinct())
 
 
-def ranked(df: DataFrame, group: list[str], order: list[str], out: str, spread: Column, buckets: int) -> DataFrame:
-    """Adds `out`: a gapless rank from 0 within `group`, without one task per group.
+#: Rows that one task numbers, about.
+PART_ROWS = 1 << 18
 
-    Each group is dealt to `buckets` parts by `spread`; rows are numbered inside a part, and the parts'
-    sizes (groups x buckets rows) are summed up to offsets that are joined back.
+
+def ranked(df: DataFrame, group: str, order: list[str], out: str, spread: Column, counts: dict[int, int], rows: int = PART_ROWS) -> DataFrame:
+    """Adds `out`: a gapless rank from 0 within each whole number of `group`, without one task per group.
+
+    `counts` has the rows of every group, of which there are few. Each is dealt by `spread` to as many parts as it has times
+    `rows`; rows are numbered inside a part, and the parts' sizes are summed up to offsets that are joined back.
     """
     from pyspark.sql import Window
 
-    dealt = df.withColumn("_part", F.pmod(spread, F.lit(buckets)).cast("int"))
-    sizes = dealt.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*group, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*group, "_part").orderBy(*order)
+    split = {g: -(-n // rows) for g, n in counts.items() if n > rows}
+    parts = F.lit(1)
+    if split:
+        parts = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for pair in split.items() for v in pair]), F.col(group)), parts)
+    dealt = df.withColumn("_part", F.pmod(spread, parts).cast("int"))
+    sizes = dealt.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(group, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(group, "_part").orderBy(*order)
     numbered = dealt.withColumn("_rn", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, [*group, "_part"]).withColumn(out, (F.col("_before") + F.col("_rn")).cast("long")).drop("_part", "_rn", "_before")
+    return numbered.join(offsets, [group, "_part"]).withColumn(out, (F.col("_before") + F.col("_rn")).cast("long")).drop("_part", "_rn", "_before")

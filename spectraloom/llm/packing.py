@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, arrow_map, ranked, row_id, slices, staged, text_buffers, worker_cache
+from .common import NULL_ID, PART_ROWS, arrow_map, ranked, row_id, slices, staged, text_buffers, worker_cache
 
 PIECE_SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words whose ids a worker keeps, in each of two generations.
@@ -194,18 +194,18 @@ def place_pieces(slots: list[tuple[int, int, int, int, int]]) -> Callable:
     return run
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", id_col: str = "doc_id", size: int = 2048, grain: int = 256, end_id: int = 1, buckets: int = 64) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", id_col: str = "doc_id", size: int = 2048, grain: int = 256, end_id: int = 1, part_rows: int = PART_ROWS) -> DataFrame:
     """Packs all tokens of docs into sequences of at most `size` ids.
 
     `tokenizer` is the path of a tokenizer file as `WordEncoder` describes. Returns per piece: the id,
     start (its document's ids before it), length, ids_crc32, doc_tokens, sequence_id (from 0) and offset in it.
     A null or empty text is its end id alone. Null ids keep null; repeated ids and repeated rows are packed each
-    for itself. An empty table gives no piece.
+    for itself. An empty table gives no piece. Pieces of one length are numbered in parts of about `part_rows`.
     """
     keyed = docs.select(row_id(id_col).alias("id"), F.col(text).alias("text"))
     pieces = staged(arrow_map(keyed, cut_pieces(tokenizer, end_id, size, grain), PIECE_SCHEMA, cached=True), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    numbered = ranked(pieces, ["length"], ["id", "start", "doc_tokens", "ids_crc32"], "rank", F.xxhash64("id", "start"), buckets)
+    numbered = ranked(pieces, "length", ["id", "start", "doc_tokens", "ids_crc32"], "rank", F.xxhash64("id", "start", "ids_crc32"), histogram, part_rows)
     placed = arrow_map(numbered, place_pieces(slots_of(shortest_pack_first(histogram, size))), f"{PIECE_SCHEMA}, sequence_id long, offset long")
     return placed.select(
         F.when(F.col("id") != F.lit(NULL_ID), F.col("id")).alias(id_col), "start", "length", "ids_crc32", "doc_tokens",

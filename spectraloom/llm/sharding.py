@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked
+from .common import PART_ROWS, ranked, staged
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,7 @@ def _chosen(won: Column, key: Column, live: list[Node]) -> Column:
     return out
 
 
-def shard_rows(docs: DataFrame, shards: int = BASE_SHARDS, text: str = "text", id_col: str = "doc_id", weights: dict[int, float] | None = None, buckets: int = 64) -> DataFrame:
+def shard_rows(docs: DataFrame, shards: int = BASE_SHARDS, text: str = "text", id_col: str = "doc_id", weights: dict[int, float] | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Places every row by its id and the shard count.
 
     Returns the id, size (UTF-8 bytes of the text, null as none, plus 8), text_crc32 (of the text's bytes, null
@@ -90,5 +90,7 @@ def shard_rows(docs: DataFrame, shards: int = BASE_SHARDS, text: str = "text", i
     )
     # repeated rows are dealt by crc too; rows alike in all columns may take each other's slots, which changes nothing
     spread = F.xxhash64(F.col(id_col), F.lit(3), F.col("text_crc32"))
-    out = ranked(placed, ["shard"], [id_col, "text_crc32", "size"], "slot", spread, buckets)
+    placed = staged(placed, "sharded")
+    counts = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # one a shard
+    out = ranked(placed, "shard", [id_col, "text_crc32", "size"], "slot", spread, counts, part_rows)
     return out.select(id_col, "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -28,7 +28,7 @@ def test_ids_and_layout(spark):
 
     texts = samples()
     docs = spark.createDataFrame([(i if i else None, t, 9) for i, t in enumerate(texts)] + [(5, texts[5], 9)], "doc_id long, text string, length int")
-    rows = pack_documents(docs, PATH, buckets=4).collect()
+    rows = pack_documents(docs, PATH, part_rows=20).collect()
     tokenizer = Tokenizer.from_file(PATH)
     ids = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
     pieces = defaultdict(list)

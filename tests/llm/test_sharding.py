@@ -25,7 +25,7 @@ def walk(id_: int | None, node: Node) -> int:
 def test_placement(spark):
     rows = [(i * 7 - 50, f"text é {i % 40}" if i % 9 else None, i) for i in range(3000)] + [(None, "a", 1), (None, "", 2), (6, "again", 3), (6, "again", 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
-    got = shard_rows(docs, buckets=8).collect()
+    got = shard_rows(docs, part_rows=10).collect()
     assert len(got) == len(rows)
     slots = defaultdict(list)
     for r in got:
