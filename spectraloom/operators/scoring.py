@@ -20,6 +20,7 @@ REACH = 75
 WINDOWS, WINDOW_MOST = 10, 50.0
 WATER, AMMONIA = 18.010565, 17.026549
 SCORE_UNIT, SCORE_FLOOR = 0.005, 1e-8
+SCORE_DIGITS = 9
 K_WIDTH = 1.0005
 MODIFIED = re.compile(r"([A-Z])(?:\[([^\]]*)\])?")
 
@@ -129,7 +130,8 @@ def xcorr_all(theory: list[list[tuple[np.ndarray, int]]], bins: np.ndarray, plai
 def score_groups(ppm: float, top: int, floor: float) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     """Scorer for a co-group of peptides and spectra: for every spectrum the `top` best pairs inside the tolerance, and how many of all its pairs fall into each score bin.
 
-    Both parts merge with those of the spectrum's other groups: the best are ranked anew, the counts added.
+    Both parts merge with those of the spectrum's other groups: the best are ranked anew, the counts added. Scores are rounded
+    to SCORE_DIGITS, so that sums of the same ions in another order are ties, on every layout.
     """
 
     def run(key: tuple, peptides: pd.DataFrame, spectra: pd.DataFrame) -> pd.DataFrame:
@@ -148,6 +150,7 @@ def score_groups(ppm: float, top: int, floor: float) -> Callable[[tuple, pd.Data
                     theory[i] = ion_bins(sequences[i])
             cells = conditioned(np.asarray(s.mz, float), np.asarray(s.intensity, float))
             scores, used = xcorr_all([theory[i] for i in near.tolist()], *cells, s.precursor_charge)
+            scores = np.round(scores, SCORE_DIGITS)
             order = np.lexsort((sequences[near], -scores))
             best = order[scores[order] > floor][:top]
             bins, counts = np.unique(np.minimum((scores * 10 + 0.5).astype(np.int64), MOST_BIN), return_counts=True)

@@ -11,7 +11,7 @@ from spectraloom.operators import expectation as ex
 from spectraloom.operators import partitioning as pt
 from spectraloom.operators import windows as wn
 
-from .derived import HITS, MASS, PEAKS, PEPTIDES, WORDS, hits, peaks, peptides, words
+from .derived import HITS, MASS, PEAKS, PEPTIDES, WORDS, hits, peaks, peptides, tail_sql, words
 from .registry import query, table
 
 
@@ -111,45 +111,29 @@ def a14_regression(spark, d):
     return r.select("l_returnflag", "n", F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept"), F.round("correlation", 6).alias("correlation"), F.round("x_intercept", 5).alias("x_intercept"))
 
 
-FIT = """WITH b AS (SELECT lang, least(greatest((score * 0.05::DOUBLE + 0.5::DOUBLE - 0.0000000001::DOUBLE)::BIGINT, 0), 10000) AS b0, score FROM (HITS)),
- c AS (SELECT lang, least(greatest(floor(score * 0.05::DOUBLE + 0.5::DOUBLE)::BIGINT, 0), 10000) AS b, count(*) AS n FROM (HITS) GROUP BY 1, 2),
+FITS = f"""WITH c AS (SELECT lang, least(greatest(floor(score * 0.05::DOUBLE + 0.5::DOUBLE)::BIGINT, 0), 10000) AS b, count(*) AS n FROM ({HITS}) GROUP BY 1, 2),
  e AS (SELECT lang, max(b) AS last, sum(n) AS total FROM c GROUP BY lang),
  x AS (SELECT lang, last, total, unnest(range(0, last + 1)) AS b FROM e),
  s AS (SELECT x.lang, x.b, last, total, sum(coalesce(n, 0)) OVER (PARTITION BY x.lang ORDER BY x.b DESC) AS s FROM x LEFT JOIN c ON c.lang = x.lang AND c.b = x.b),
  v AS (SELECT lang, b, total, CASE WHEN b = last THEN min(s) OVER (PARTITION BY lang) ELSE s - min(s) OVER (PARTITION BY lang) END AS v FROM s),
  f AS (SELECT *, max(v) FILTER (b = 0) OVER (PARTITION BY lang) AS first FROM v),
  g AS (SELECT lang, max(total)::BIGINT AS n, regr_slope(log10(v), b) FILTER (v >= 10 AND v <= floor(0.5 + first / 2)) AS s, regr_intercept(log10(v), b) FILTER (v >= 10 AND v <= floor(0.5 + first / 2)) AS i FROM f GROUP BY lang)
- SELECT lang, n, round(CASE WHEN n >= 200 AND s IS NOT NULL THEN s ELSE -0.18::DOUBLE END, 5) AS slope, round(CASE WHEN n >= 200 AND s IS NOT NULL THEN i ELSE 3.5::DOUBLE END, 5) AS intercept FROM g""".replace("HITS", HITS).replace("WITH b AS (SELECT lang, least(greatest((score * 0.05::DOUBLE + 0.5::DOUBLE - 0.0000000001::DOUBLE)::BIGINT, 0), 10000) AS b0, score FROM (" + HITS + ")),\n c AS", "WITH c AS")
+ SELECT lang, n, CASE WHEN n >= 200 AND s IS NOT NULL THEN s ELSE -0.18::DOUBLE END AS s, CASE WHEN n >= 200 AND s IS NOT NULL THEN i ELSE 3.5::DOUBLE END AS i FROM g"""
 
 
-@query(FIT)
+@query(f"SELECT lang, n, round(s, 5) AS slope, round(i, 5) AS intercept FROM ({FITS})")
 def a15_score_fit(spark, d):
     f = ex.score_fit(hits(spark, d), "lang", "score")
     return f.select("lang", "n", F.round("slope", 5).alias("slope"), F.round("intercept", 5).alias("intercept"))
 
 
-@query()
+@query(f"SELECT doc_id, lang, score, round(i + s * 0.05::DOUBLE * score, 6) AS log_expect FROM ({HITS}) JOIN ({FITS}) USING (lang)")
 def a15_expectation(spark, d):
-    return ex.with_expectation(hits(spark, d), "lang", "score").select("doc_id", "lang", "score", "expect")
-
-
-#: The end of the bulk and the first of the lines that fall, each start of a line tried by itself.
-TAIL = """WITH b AS (SELECT event_type, least(greatest(floor(value / 10 * 10 + 0.5::DOUBLE)::BIGINT, 0), 10000) AS b FROM events), c AS (SELECT event_type, b, count(*) AS n FROM b GROUP BY ALL),
- m AS (SELECT event_type, max(b) AS last FROM c GROUP BY event_type), t AS (SELECT m.event_type, coalesce(max(b) FILTER (b < last), -1) AS top FROM m JOIN c USING (event_type) GROUP BY m.event_type),
- d AS (SELECT x.event_type, top, i AS b, coalesce(n, 0) AS n FROM (SELECT event_type, top, unnest(range(0, last + 1)) AS i FROM m JOIN t USING (event_type)) x LEFT JOIN c ON c.event_type = x.event_type AND c.b = i),
- e AS (SELECT *, lead(n) OVER (PARTITION BY event_type ORDER BY b) AS nxt FROM d),
- g AS (SELECT event_type, top, min(b) FILTER (b < top AND n = 0 AND (nxt = 0 OR b + 1 = top)) AS gap FROM e GROUP BY ALL),
- f AS (SELECT event_type, CASE WHEN gap IS NOT NULL THEN greatest(gap - 1, 0) WHEN top > 12 THEN top - 2 ELSE greatest(top, 0) END AS stop FROM g),
- s AS (SELECT event_type, b, stop, CASE WHEN b > 0 AND n = 0 THEN 0 ELSE sum(n) OVER (PARTITION BY event_type ORDER BY b DESC) END AS v FROM d JOIN f USING (event_type) WHERE b <= stop),
- l AS (SELECT s.event_type, lo, b, v, log10(CASE WHEN v > 0 THEN v END) AS y FROM s JOIN (SELECT event_type, unnest(range(0, CASE WHEN stop >= 30 THEN floor(0.75::DOUBLE * stop) WHEN stop >= 15 THEN floor(0.5::DOUBLE * stop) ELSE 0 END::BIGINT + 1)) AS lo FROM f) z ON z.event_type = s.event_type AND b >= lo),
- a AS (SELECT *, avg(b) FILTER (v > 0) OVER w AS mx, avg(y) FILTER (v > 0) OVER w AS my FROM l WINDOW w AS (PARTITION BY event_type, lo)),
- r AS (SELECT event_type, lo, coalesce(max(mx), 0) AS mx, coalesce(max(my), 0) AS my, coalesce(sum((b - mx) * (b - mx)) FILTER (v > 1), 0) AS sx, coalesce(sum((b - mx) * (y - my)) FILTER (v > 1), 0) AS sxy FROM a GROUP BY ALL),
- k AS (SELECT *, CASE WHEN sx > 0 THEN sxy / sx ELSE 0 END AS slope FROM r),
- q AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY CASE WHEN slope < 0 THEN lo ELSE -1 - lo END DESC, lo) AS pick, bool_or(slope < 0) OVER (PARTITION BY event_type) AS falls FROM k)
- SELECT event_type, round(slope, 6) AS slope, round(my - slope * mx, 6) AS intercept FROM q WHERE CASE WHEN falls THEN pick = 1 ELSE lo = 0 END"""
-
-
-@query(TAIL)
+    out = ex.with_expectation(hits(spark, d), "lang", "score")
+    return out.select("doc_id", "lang", "score", F.round(F.log10("expect"), 6).alias("log_expect"))
+
+
+@query(f"SELECT key AS event_type, round(slope, 6) AS slope, round(intercept, 6) AS intercept FROM ({tail_sql('SELECT event_type AS key, value / 10 AS score FROM events')})")
 def a16_tail_expectation(spark, d):
     fits = ex.tail_expectation(events(spark, d).withColumn("score", F.col("value") / 10), "event_type", "score")
     return fits.select("event_type", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))

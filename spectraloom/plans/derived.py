@@ -29,6 +29,23 @@ WORDS = "SELECT doc_id, w FROM (SELECT doc_id, unnest(list_transform(regexp_spli
 PEAKS = "SELECT vec_id, pos, abs(v) * 100 AS value FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS v, (generate_subscripts(embedding, 1) - 1)::BIGINT AS pos FROM embeddings)"
 
 
+def tail_sql(scores: str) -> str:
+    """(key, slope, intercept) of rows (key, score): the end of the bulk, and the first of the lines that fall, each start of a line tried by itself."""
+    return f"""WITH c AS (SELECT key, least(greatest(floor(score * 10 + 0.5::DOUBLE)::BIGINT, 0), 10000) AS b, count(*) AS n FROM ({scores}) GROUP BY ALL),
+ m AS (SELECT key, max(b) AS last FROM c GROUP BY key), t AS (SELECT m.key, coalesce(max(b) FILTER (b < last), -1) AS top FROM m JOIN c USING (key) GROUP BY m.key),
+ d AS (SELECT x.key, top, i AS b, coalesce(n, 0) AS n FROM (SELECT key, top, unnest(range(0, last + 1)) AS i FROM m JOIN t USING (key)) x LEFT JOIN c ON c.key = x.key AND c.b = i),
+ e AS (SELECT *, lead(n) OVER (PARTITION BY key ORDER BY b) AS nxt FROM d),
+ g AS (SELECT key, top, min(b) FILTER (b < top AND n = 0 AND (nxt = 0 OR b + 1 = top)) AS gap FROM e GROUP BY ALL),
+ f AS (SELECT key, CASE WHEN gap IS NOT NULL THEN greatest(gap - 1, 0) WHEN top > 12 THEN top - 2 ELSE greatest(top, 0) END AS stop FROM g),
+ s AS (SELECT key, b, stop, CASE WHEN b > 0 AND n = 0 THEN 0 ELSE sum(n) OVER (PARTITION BY key ORDER BY b DESC) END AS v FROM d JOIN f USING (key) WHERE b <= stop),
+ l AS (SELECT s.key, lo, b, v, log10(CASE WHEN v > 0 THEN v END) AS y FROM s JOIN (SELECT key, unnest(range(0, CASE WHEN stop >= 30 THEN floor(0.75::DOUBLE * stop) WHEN stop >= 15 THEN floor(0.5::DOUBLE * stop) ELSE 0 END::BIGINT + 1)) AS lo FROM f) z ON z.key = s.key AND b >= lo),
+ a AS (SELECT *, avg(b) FILTER (v > 0) OVER w AS mx, avg(y) FILTER (v > 0) OVER w AS my FROM l WINDOW w AS (PARTITION BY key, lo)),
+ r AS (SELECT key, lo, coalesce(max(mx), 0) AS mx, coalesce(max(my), 0) AS my, coalesce(sum((b - mx) * (b - mx)) FILTER (v > 1), 0) AS sx, coalesce(sum((b - mx) * (y - my)) FILTER (v > 1), 0) AS sxy FROM a GROUP BY ALL),
+ k AS (SELECT *, CASE WHEN sx > 0 THEN sxy / sx ELSE 0 END AS slope FROM r),
+ q AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY CASE WHEN slope < 0 THEN lo ELSE -1 - lo END DESC, lo) AS pick, bool_or(slope < 0) OVER (PARTITION BY key) AS falls FROM k)
+ SELECT key, slope, my - slope * mx AS intercept FROM q WHERE CASE WHEN falls THEN pick = 1 ELSE lo = 0 END"""
+
+
 def peptides(spark: SparkSession, sf_dir: str, missed: int = 0) -> DataFrame:
     return digest(proteins(spark, sf_dir), missed=missed)
 

@@ -16,7 +16,7 @@ from spectraloom.sinks.peptide_store import manifest, read_store, update_store
 from spectraloom.sources import files as fs
 
 from .config import SearchConfig, from_keys, from_xml
-from .derived import HITS, MASS, NOT_LETTERS, PARTS, PEPTIDES, PROTEINS, hits, peptides, proteins, vector_spectra
+from .derived import HITS, MASS, NOT_LETTERS, PARTS, PEPTIDES, PROTEINS, hits, peptides, proteins, tail_sql, vector_spectra
 from .registry import query, table
 from .search import distinct_peptides, peptide_places, peptide_table, scorable_spectra, search, search_to_pepxml, spectra_of
 
@@ -27,13 +27,6 @@ def benchmark_peptides(spark, d):
     return dg.digest(proteins(spark, d, "benchmark", "item_id")).select("sequence").distinct()
 
 
-@query()
-def search_flagship(spark, d):
-    """Spectra of the benchmark's peptides against the peptides of all texts."""
-    found = search(proteins(spark, d), spectra_of(benchmark_peptides(spark, d)), CONFIG, with_proteins=False)
-    return found.select("spectrum_id", "sequence", F.round("xcorr", 6).alias("xcorr"), "matched_ions", "rank", F.round("delta_cn", 6).alias("delta_cn"), "expect", "protein", "start", F.col("n_proteins").cast("int").alias("n_proteins"))
-
-
 OWN = """WITH b AS (SELECT DISTINCT p AS sequence FROM (SELECT unnest(PARTS) AS p FROM (SELECT upper(regexp_replace(coalesce(text, ''), 'NOT_LETTERS', '', 'g')) AS sequence FROM benchmark)) WHERE length(p) BETWEEN 4 AND 40),
  h AS (SELECT sequence, min(protein_id::VARCHAR) AS protein, count(DISTINCT protein_id) - 1 AS n_others FROM (PEPTIDES) GROUP BY sequence)
  SELECT sequence AS spectrum, protein, n_others, round(MASS + 19.0178::DOUBLE - 1.00727646688::DOUBLE, 3) AS neutral_mass, true AS fitted FROM b JOIN h USING (sequence)""".replace("PARTS", PARTS).replace("NOT_LETTERS", NOT_LETTERS).replace("PEPTIDES", PEPTIDES).replace("MASS", MASS)
@@ -117,10 +110,25 @@ def k5_incremental_table(spark, d):
     return rows.groupBy("bin").agg(F.count("*").alias("n"), F.round(F.sum("matching_mass"), 2).alias("total")).join(entries, "bin").select("bin", "n", "total", "rewritten")
 
 
-@query()
+def conditioned_sql(peaks: str) -> str:
+    """(id, bin, plain, loss) of peaks (id, mz, value): what a peak adds to the bins within reach, and their neutral losses."""
+    return f"""WITH e AS (SELECT id, (floor(mz / {sc.BIN_WIDTH}::DOUBLE + 1))::BIGINT AS bin, max(sqrt(value)) AS v FROM ({peaks}) WHERE value > 0 GROUP BY ALL),
+ r AS (SELECT id, bin, v * (100 / max(v) OVER (PARTITION BY id)) AS r, max(bin) OVER (PARTITION BY id) AS last FROM e),
+ w AS (SELECT id, bin, last, r, max(r) OVER (PARTITION BY id, bin // (last // {sc.WINDOWS} + 1)) AS top FROM r),
+ k AS (SELECT id, bin, last, r * ({sc.WINDOW_MOST}::DOUBLE / top) AS p FROM w WHERE r > 5),
+ n AS (SELECT id, last, bin + d AS bin, sum(CASE WHEN d = 0 THEN p ELSE -p / {2 * sc.REACH} END) AS plain FROM k, (SELECT unnest(range(-{sc.REACH}, {sc.REACH + 1})) AS d) GROUP BY ALL),
+ u AS (SELECT id, last, bin, plain, plain AS loss FROM n UNION ALL SELECT id, last, bin + d, 0, 0.2::DOUBLE * plain FROM n, (SELECT unnest([{int(sc.WATER / sc.BIN_WIDTH + 1)}, {int(sc.AMMONIA / sc.BIN_WIDTH + 1)}]) AS d))
+ SELECT id, bin, sum(plain) AS plain, sum(loss) AS loss FROM u WHERE bin <= last + {sc.REACH} GROUP BY id, bin HAVING abs(sum(plain)) > 1e-3::DOUBLE OR abs(sum(loss)) > 1e-3::DOUBLE"""
+
+
+VECTOR_PEAKS = "SELECT vec_id AS id, (200 + 10 * pos)::DOUBLE AS mz, (abs(x * 100)::FLOAT)::DOUBLE AS value FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)"
+
+
+@query(f"SELECT id::VARCHAR AS spectrum_id, count(*)::INTEGER AS n_bins, round(sum(plain * plain), 3) AS plain_squares, round(sum(loss * loss), 3) AS loss_squares, round(max(loss), 6) AS most FROM ({conditioned_sql(VECTOR_PEAKS)}) GROUP BY id")
 def d9_conditioned_spectra(spark, d):
     c = sc.condition(vector_spectra(spark, d))
-    return c.select("spectrum_id", F.size("bins").alias("n_bins"), F.round(F.aggregate("plain", F.lit(0.0), lambda a, x: a + x), 4).alias("sum_plain"), F.round(F.aggregate("loss", F.lit(0.0), lambda a, x: a + x), 4).alias("sum_loss"))
+    squares = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x), 3)
+    return c.select("spectrum_id", F.size("bins").alias("n_bins"), squares("plain").alias("plain_squares"), squares("loss").alias("loss_squares"), F.round(F.array_max("loss"), 6).alias("most"))
 
 
 def candidate_pairs(spark, d, spectra):
@@ -129,7 +137,27 @@ def candidate_pairs(spark, d, spectra):
     return jn.ppm_join(found, spectra.select("spectrum_id", "precursor_mass", "precursor_charge"), "matching_mass", "precursor_mass", CONFIG.ppm).select("spectrum_id", "sequence", "precursor_charge")
 
 
-@query()
+MASS_MAP = "MAP {" + ", ".join(f"'{r}': {m!r}::DOUBLE" for r, m in RESIDUES.items()) + "}"
+DISTINCT = f"SELECT DISTINCT sequence FROM ({PEPTIDES})"
+OF_BENCHMARK = f"SELECT DISTINCT p AS sequence FROM (SELECT unnest({PARTS}) AS p FROM (SELECT upper(regexp_replace(coalesce(text, ''), '{NOT_LETTERS}', '', 'g')) AS sequence FROM benchmark)) WHERE length(p) BETWEEN 4 AND 40"
+
+
+def single_ions(peptides_sql: str) -> str:
+    """(sequence, ion, position, mz): the singly charged b and y ions of peptides."""
+    return f"""SELECT sequence, ion, position, mass AS mz FROM (SELECT sequence, unnest(['b', 'y']) AS ion, position, unnest([list_sum(m[1:position]) + {PROTON}::DOUBLE, list_sum(m) - list_sum(m[1:len(m) - position]) + {C_TERMINUS}::DOUBLE]) AS mass
+ FROM (SELECT sequence, m, unnest(range(1, length(sequence)))::INTEGER AS position FROM (SELECT sequence, list_transform(range(1, length(sequence) + 1), lambda i: {MASS_MAP}[substr(sequence, i::INT, 1)]) AS m FROM ({peptides_sql}))))"""
+
+
+#: Benchmark peptides as spectra, the texts' peptides within their tolerance, ions of those, and peaks of these.
+PAIRS = f"""s AS MATERIALIZED (SELECT sequence AS id, ({MASS}) + {C_TERMINUS}::DOUBLE AS m FROM ({OF_BENCHMARK})), q AS MATERIALIZED (SELECT id, m FROM s WHERE m <= 5000),
+ c AS MATERIALIZED (SELECT sequence, ({MASS}) + {C_TERMINUS}::DOUBLE AS m FROM ({DISTINCT})), pairs AS MATERIALIZED (SELECT id, sequence FROM c JOIN q ON c.m BETWEEN q.m * 0.9999::DOUBLE AND q.m * 1.0001::DOUBLE WHERE abs(c.m - q.m) < q.m * {CONFIG.ppm}::DOUBLE / 1e6::DOUBLE),
+ t AS MATERIALIZED ({single_ions("SELECT DISTINCT sequence FROM pairs")}), k AS MATERIALIZED (SELECT sequence AS id, mz, 100.0::DOUBLE AS value FROM ({single_ions("SELECT id AS sequence FROM q")}))"""
+XCORR = f"""WITH {PAIRS}, cells AS MATERIALIZED ({conditioned_sql("SELECT * FROM k")})
+ SELECT p.id AS spectrum_id, p.sequence, round(greatest(sum(loss) * {sc.SCORE_UNIT}::DOUBLE, {sc.SCORE_FLOOR}::DOUBLE), 6) AS xcorr, count(*)::INTEGER AS matched_ions
+ FROM pairs p JOIN t USING (sequence) JOIN cells x ON x.id = p.id AND x.bin = floor(t.mz / {sc.BIN_WIDTH}::DOUBLE + 1)::BIGINT WHERE abs(loss) > 1e-4::DOUBLE GROUP BY ALL"""
+
+
+@query(XCORR)
 def d10_xcorr_joined(spark, d):
     """Benchmark spectra scored against all of their candidates by joins and sums."""
     s = scorable_spectra(spectra_of(benchmark_peptides(spark, d)), CONFIG)
@@ -142,10 +170,6 @@ def theory_and_peaks(spark, d):
     return sc.ions(candidate_pairs(spark, d, s), "sequence", 1), peaks
 
 
-MASS_MAP = "MAP {" + ", ".join(f"'{r}': {m!r}::DOUBLE" for r, m in RESIDUES.items()) + "}"
-DISTINCT = f"SELECT DISTINCT sequence FROM ({PEPTIDES})"
-
-
 @query(f"""WITH r AS (SELECT sequence, list_transform(range(1, length(sequence) + 1), lambda i: {MASS_MAP}[substr(sequence, i::INT, 1)]) AS m FROM ({DISTINCT})),
  b AS (SELECT sequence, m, unnest(range(1, length(sequence)))::INTEGER AS position FROM r),
  i AS (SELECT sequence, position, 'b' AS ion, list_sum(m[1:position]) + {PROTON}::DOUBLE AS mass FROM b UNION ALL SELECT sequence, position, 'y', list_sum(m) - list_sum(m[1:len(m) - position]) + {C_TERMINUS}::DOUBLE FROM b)
@@ -157,16 +181,48 @@ def d8_ions(spark, d):
     return i.select("sequence", "ion", "ion_charge", "n", F.round("lo", 3).alias("least_mz"), F.round("hi", 3).alias("most_mz"), F.round("w", 1).alias("weighted"))
 
 
-@query()
+K_BIN = f"(CASE WHEN mz = floor(mz) THEN mz ELSE floor(mz / {sc.K_WIDTH}::DOUBLE + 0.5::DOUBLE) END)::BIGINT"
+K_SCORE = f"""WITH {PAIRS}, h AS (SELECT p.id, sequence, {K_BIN} + d AS bin, max(CASE WHEN d = 0 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END) AS w FROM pairs p JOIN t USING (sequence), (SELECT unnest([-1, 0, 1]) AS d) GROUP BY ALL),
+ v AS (SELECT id, {K_BIN} AS bin, max(value) AS v FROM k GROUP BY ALL)
+ SELECT spectrum_id, sequence, round(dot * 1000 * ln(length(sequence)) / (3 * sqrt(length(sequence))), 4) AS k_score FROM (SELECT h.id AS spectrum_id, sequence, sum(w * v) AS dot FROM h JOIN v ON v.id = h.id AND v.bin = h.bin GROUP BY ALL)"""
+
+
+@query(K_SCORE)
 def d11_k_score(spark, d):
     return sc.k_score(*theory_and_peaks(spark, d)).select("spectrum_id", "sequence", F.round("k_score", 4).alias("k_score"))
 
 
-@query()
+LETTER = "CASE WHEN ion = 'b' THEN substr(sequence, position, 1) ELSE substr(sequence, (length(sequence) - position + 1)::INTEGER, 1) END"
+WEIGHT = "CASE WHEN ion = 'y' THEN CASE WHEN l = 'P' THEN 5.0 ELSE 1.0 END ELSE (CASE WHEN l = 'D' THEN 5.0 WHEN l IN ('N', 'Q') THEN 2.0 WHEN l IN ('V', 'E', 'I', 'L') THEN 3.0 ELSE 1.0 END) * (CASE WHEN position <> 1 THEN 1.0 WHEN l = 'P' THEN 10.0 ELSE 3.0 END) END"
+DOT = f"""WITH {PAIRS}, g AS (SELECT sequence, ion, cell, w::DOUBLE AS w FROM (SELECT sequence, ion, floor(mz / 0.4::DOUBLE + 0.5::DOUBLE)::BIGINT AS cell, {WEIGHT} AS w FROM (SELECT *, {LETTER} AS l FROM t))),
+ v AS (SELECT id, floor(mz / 0.4::DOUBLE + 0.5::DOUBLE)::BIGINT AS cell, max(value) AS v FROM k GROUP BY ALL),
+ m AS (SELECT p.id AS spectrum_id, sequence, sum(w * v) AS dot, count(*) FILTER (ion = 'b') AS n_b, count(*) FILTER (ion = 'y') AS n_y FROM pairs p JOIN g USING (sequence) JOIN v ON v.id = p.id AND v.cell = g.cell GROUP BY ALL)
+ SELECT *, CASE WHEN dot > 0 THEN dot * factorial(least(n_b, 10)::INTEGER)::DOUBLE * factorial(least(n_y, 10)::INTEGER)::DOUBLE ELSE 0 END AS hyperscore FROM m"""
+
+
+@query(DOT)
 def d12_dot_product(spark, d):
     return sc.dot_product(*theory_and_peaks(spark, d)).select("spectrum_id", "sequence", "dot", "n_b", "n_y", "hyperscore")
 
 
+FOUND = f"""WITH {PAIRS}, cells AS MATERIALIZED ({conditioned_sql("SELECT * FROM k")}), places AS MATERIALIZED ({PLACES} SELECT sequence, count(*) AS n_proteins, min(protein_id) AS protein, arg_min(start, protein_id) AS start FROM r GROUP BY sequence),
+ x AS MATERIALIZED (SELECT p.id, p.sequence, count(*) FILTER (abs(loss) > 1e-4::DOUBLE) AS n, round(coalesce(greatest(sum(loss) FILTER (abs(loss) > 1e-4::DOUBLE) * {sc.SCORE_UNIT}::DOUBLE, {sc.SCORE_FLOOR}::DOUBLE), 0), {sc.SCORE_DIGITS}) * (CASE WHEN count(*) FILTER (abs(loss) > 1e-4::DOUBLE) > 0 THEN 1 ELSE 0 END) AS xcorr
+  FROM pairs p JOIN t USING (sequence) LEFT JOIN cells y ON y.id = p.id AND y.bin = floor(t.mz / {sc.BIN_WIDTH}::DOUBLE + 1)::BIGINT GROUP BY ALL),
+ fits AS MATERIALIZED ({tail_sql("SELECT id AS key, xcorr AS score FROM x")}),
+ best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY xcorr DESC, sequence) AS rank FROM x WHERE xcorr > {CONFIG.score_floor}), top AS (SELECT * FROM best WHERE rank <= {CONFIG.top}),
+ nxt AS (SELECT *, lead(xcorr) OVER (PARTITION BY id ORDER BY rank) AS after FROM top)
+ SELECT id AS spectrum_id, sequence, n::INTEGER AS matched_ions, rank::INTEGER AS rank, round(xcorr, 6) AS xcorr, round(coalesce(1 - after / xcorr, 0), 6) AS delta_cn, round(intercept + 10 * slope * xcorr, 4) AS log_expect, protein, start, n_proteins
+ FROM nxt JOIN fits ON key = id JOIN places USING (sequence)"""
+
+
+@query(FOUND)
+def search_flagship(spark, d):
+    """Spectra of the benchmark's peptides against the peptides of all texts."""
+    found = search(proteins(spark, d), spectra_of(benchmark_peptides(spark, d)), CONFIG, with_proteins=False)
+    rounded = [F.round("xcorr", 6).alias("xcorr"), F.round("delta_cn", 6).alias("delta_cn"), F.round(F.log10("expect"), 4).alias("log_expect")]
+    return found.select("spectrum_id", "sequence", "matched_ions", "rank", *rounded, "protein", "start", "n_proteins")
+
+
 @query(f"SELECT sequence, length(sequence) - 1 AS n_b, length(sequence) - 1 AS n_y, 100.0::DOUBLE * (length(sequence) - 1) AS sum_b FROM (SELECT DISTINCT p AS sequence FROM (SELECT unnest(str_split(replace(regexp_replace(s, '([KR])', '\\1|', 'g'), '|P', 'P'), '|')) AS p FROM (SELECT upper(regexp_replace(coalesce(text, ''), '[^ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]', '', 'g')) AS s FROM benchmark)) WHERE length(p) BETWEEN 4 AND 40)")
 def a27_ion_use(spark, d):
     t = sc.ions(benchmark_peptides(spark, d), "sequence", 1).withColumn("v", F.lit(100.0))

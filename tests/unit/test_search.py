@@ -174,7 +174,7 @@ def test_expectations_are_those_of_all_candidates(spark, proteins, spectra_most,
     for s in measured:
         cells = sc.conditioned(np.array([p.mz for p in s.peaks]), np.array([p.intensity for p in s.peaks]))
         near = [p.sequence for p in peptides if abs(p.matching_mass - s.precursor_mass) < s.precursor_mass * config.ppm / 1e6]
-        scores = {q: sc.xcorr(q, *cells, s.precursor_charge)[0] for q in near}
+        scores = {q: round(sc.xcorr(q, *cells, s.precursor_charge)[0], 9) for q in near}
         h = np.bincount([int(10 * x + 0.5) for x in scores.values()])
         slope, intercept = slow_line(h.tolist())
         best = sorted((q for q in near if scores[q] > config.score_floor), key=lambda q: (-scores[q], q))[:3]
