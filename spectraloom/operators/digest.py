@@ -9,6 +9,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spectraloom.functions.arrays import running_starts
+
 DECOY_PREFIX = "DECOY_"
 #: Label prefixes of other programs' decoys (fixed values).
 DECOY_LABELS = ["DECOY_", "REV_", "REV1_", "RND_", "###REV###", "###RND###"]
@@ -31,14 +33,6 @@ def cut(sequence: Column, after: str = "KR", not_before: str = "P") -> Column:
     return F.filter(F.split(sequence, rule), lambda p: p != "")
 
 
-def cut_starts(sequence: Column, after: str = "KR", not_before: str = "P") -> Column:
-    """Where the fragments of `cut` start (from 0), from each letter and the one that follows it, in one pass."""
-    at = lambda c, letters: F.rlike(c, F.lit(f"^[{letters}]$")) if letters else F.lit(False)
-    following = F.split(F.substring(sequence, 2, (1 << 31) - 1), "")
-    cuts = F.zip_with(F.split(sequence, ""), following, lambda a, b: F.coalesce(at(a, after) & (b != "") & ~at(b, not_before), F.lit(False)))
-    return F.concat(F.array(F.lit(0)), F.filter(F.transform(cuts, lambda c, i: F.when(c, i + 1)), lambda i: i.isNotNull()))
-
-
 def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "sequence", missed: int = 0, least: int = 4, most: int = 40, after: str = "KR", not_before: str = "P", starts: bool = False) -> DataFrame:
     """Peptides with up to `missed` missed cleavages: protein, sequence and missed_cleavages, and where they start in it (start, from 0) if asked for.
 
@@ -57,12 +51,13 @@ def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "se
 
 def _with_starts(proteins: DataFrame, protein: str, sequence: str, missed: int, least: int, most: int, after: str, not_before: str) -> DataFrame:
     whole = F.coalesce(F.col(sequence), F.lit(""))
-    rows = proteins.select(F.col(protein), cut(whole, after, not_before).alias("_p"), cut_starts(whole, after, not_before).alias("_s"))
-    rows = rows.select(protein, F.posexplode("_p").alias("_i", "_first"), "_p", "_s")
+    rows = proteins.select(F.col(protein), cut(whole, after, not_before).alias("_p"))
+    rows = rows.withColumn("_s", running_starts(F.transform("_p", F.length)))
+    rows = rows.select(protein, F.posexplode("_p").alias("_i", "_first"), *(["_p"] if missed else []), "_s")
     joined = F.array_join(F.slice("_p", F.col("_i") + 1, F.col("missed_cleavages") + 1), "") if missed else F.col("_first")
     counts = F.explode(F.sequence(F.lit(0), F.least(F.lit(missed), F.size("_p") - 1 - F.col("_i")))) if missed else F.lit(0)
     rows = rows.withColumn("missed_cleavages", counts)
-    return rows.select(protein, joined.alias("sequence"), "missed_cleavages", F.get("_s", F.col("_i")).alias("start")).where(F.length("sequence").between(least, most))
+    return rows.select(protein, joined.alias("sequence"), "missed_cleavages", F.get("_s", F.col("_i")).cast("int").alias("start")).where(F.length("sequence").between(least, most))
 
 
 def semi_places(peptides: DataFrame, sequence: str = "sequence", start: str = "start", least: int = 4) -> DataFrame:

@@ -29,19 +29,21 @@ def planned_groups(bins: DataFrame, bin_col: str, left: str, right: str, most_le
     """Adds to bins with row counts of two sides where their rows meet: salts, sections and part.
 
     A bin of more rows than most_left or most_right is cut into salts x sections pieces, each a group of its own (part -1 - n of the bin's
-    number). Other bins have a load, their rows or pairs as a share of what a group may hold, and are packed longest first: a group is
-    as many bins of a lane as their running load fills once. So a group holds at most twice most_left and most_right rows. Loads are
-    stretched so that there are about `least` groups. Lanes of about lane_bins bins are packed each for itself.
+    number). Other bins have a load, their rows or pairs as a share of what a group may hold, and are packed in their order: a group is
+    as many neighbouring bins as their running load fills once, and holds at most twice most_left and most_right rows. Rows
+    that look into several neighbouring bins are so copied to one group, or two; packing the heaviest first would scatter them. Loads
+    are stretched so that there are about `least` groups. Ranges of about lane_bins bins are packed each for itself.
     """
     cut = lambda c, most: F.greatest(F.lit(1), F.ceil(F.col(c) / most)).cast("int")
     sized = bins.withColumn("salts", cut(left, most_left)).withColumn("sections", cut(right, most_right))
     load = F.greatest(F.col(left) / most_left, F.col(right) / most_right, F.col(left) * F.col(right) / (float(most_left) * most_right))
     whole = (F.col("salts") == 1) & (F.col("sections") == 1)
-    n, total = sized.where(whole).agg(F.count("*"), F.coalesce(F.sum(load), F.lit(0.0))).first()
+    n, total, low, high = sized.where(whole).agg(F.count("*"), F.coalesce(F.sum(load), F.lit(0.0)), F.coalesce(F.min(bin_col), F.lit(0)), F.coalesce(F.max(bin_col), F.lit(0))).first()
     lanes = max(1, -(-n // lane_bins))
+    wide = max(1, -(-(high - low + 1) // lanes))
     stretch = max(1.0, least / total) if total else 1.0
-    packed = sized.where(whole).withColumn("_lane", F.pmod(F.xxhash64(bin_col), F.lit(lanes))).withColumn("_load", load)
-    before = Window.partitionBy("_lane").orderBy(F.desc("_load"), bin_col).rowsBetween(Window.unboundedPreceding, -1)
+    packed = sized.where(whole).withColumn("_lane", F.floor((F.col(bin_col) - low) / wide)).withColumn("_load", load)
+    before = Window.partitionBy("_lane").orderBy(bin_col).rowsBetween(Window.unboundedPreceding, -1)
     slot = F.floor(F.coalesce(F.sum("_load").over(before), F.lit(0.0)) * stretch)
     packed = packed.withColumn("part", (slot * lanes + F.col("_lane")).cast("long")).drop("_lane", "_load")
     return packed.unionByName(sized.where(~whole).withColumn("part", -1 - F.abs(F.col(bin_col) * 2 + F.when(F.col(bin_col) < 0, 1).otherwise(0)).cast("long")))

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spectraloom.functions.arrays import once
 from spectraloom.functions.masses import C_TERMINUS, PROTON, RESIDUES, residue_array
 
 from .expectation import MOST_BIN
@@ -213,11 +214,6 @@ def ion_use(met: DataFrame, keys: list[str], ion: str, value: str) -> DataFrame:
     return met.groupBy(*keys).agg(*[a for k in ("b", "y") for a in (F.count_if(F.col(ion) == k).alias(f"n_{k}"), F.sum(F.when(F.col(ion) == k, F.col(value)).otherwise(0.0)).alias(f"sum_{k}"))])
 
 
-def once(c: Column, use: Callable[[Column], Column]) -> Column:
-    """use(c), where c is computed once a row however often it is used."""
-    return F.get(F.transform(F.array(c), use), F.lit(0))
-
-
 def normalised_peaks(
     peaks: Column, precursor_mz: Column, charge: Column, dynamic: float = 100.0, least_mz: float = 150.0, n: int = 50, isotope: float = 0.95, carbon: float = 1.5,
     most_mz: float = 6000.0, masses: tuple[float, float] = (150.0, 6000.0), most_charge: int = 4, least_peaks: int = 5, noise: bool = True,

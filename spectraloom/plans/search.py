@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
 from spectraloom.functions.masses import matching_mass, precursor_mass, sequence_mass
-from spectraloom.functions.staging import staged
+from spectraloom.functions.staging import ship_package, staged
 from spectraloom.operators import aggregates as ag
 from spectraloom.operators import digest as dg
 from spectraloom.operators import expectation as ex
@@ -35,7 +35,17 @@ def peptide_places(proteins: DataFrame, config: SearchConfig) -> DataFrame:
     found = dg.digest(source, missed=config.missed_cleavages, after=config.cut_after, not_before=config.not_before, starts=True)
     if config.semi:
         found = dg.semi_places(found)
-    return found.select("sequence", "protein_id", "start").distinct()
+        return found.select("sequence", "protein_id", "start").distinct()
+    return found.select("sequence", "protein_id", "start")
+
+
+def candidate_places(proteins: DataFrame, used: DataFrame, config: SearchConfig) -> DataFrame:
+    """peptide_places without those whose mass no spectrum asks for, where that can be told before modifications: few used bins are sent to where proteins are cut, so that other peptides are never stored."""
+    places = peptide_places(proteins, config)
+    if config.modifications or config.fixed_modifications or used.count() > SENT_PLAN:
+        return places
+    own = ratio_bin(matching_mass(sequence_mass(F.col("sequence"))), config.ppm)
+    return places.withColumn("bin", own).join(F.broadcast(used), "bin", "left_semi").drop("bin")
 
 
 def distinct_peptides(places: DataFrame) -> DataFrame:
@@ -125,29 +135,34 @@ def search(proteins: DataFrame, spectra: DataFrame, config: SearchConfig | None
     several rows is several spectra.
     """
     config = config or SearchConfig()
-    places = staged(peptide_places(proteins, config), "places")
-    peptides = staged(distinct_peptides(places), "peptides")
-    found = matches(peptides, spectra, config)
+    measured, used = measured_spectra(spectra, config)
+    places = staged(candidate_places(proteins, used, config), "places")
+    found = matches(staged(distinct_peptides(places), "peptides"), measured, used, config)
     if not with_proteins:
         return found
     all_ = match_places(found, places).groupBy("plain").agg(F.sort_array(F.collect_set("protein_id")).alias("proteins"))
     return found.join(all_, "plain")
 
 
-def matches(peptides: DataFrame, spectra: DataFrame, config: SearchConfig) -> DataFrame:
-    """The matches of `search` from a table of distinct peptides, without the lists of proteins."""
-    measured = scorable_spectra(spectra, config).select("spectrum_id", "precursor_mass", "precursor_charge", F.col("peaks.mz").alias("mz"), F.col("peaks.intensity").alias("intensity"))
-    measured = staged(measured.withColumn("row", F.monotonically_increasing_id()), "spectra")
+def measured_spectra(spectra: DataFrame, config: SearchConfig) -> tuple[DataFrame, DataFrame]:
+    """Stored spectra fit to be scored, with a row number each and their mass bins, and the distinct bins."""
     own = ratio_bin(F.col("precursor_mass"), config.ppm)
-    bins = measured.select("row", F.explode(F.sequence(own - 1, own + 1)).alias("bin"))
-    used = staged(bins.select("bin").distinct(), "used-bins")
+    measured = scorable_spectra(spectra, config).select("spectrum_id", "precursor_mass", "precursor_charge", F.col("peaks.mz").alias("mz"), F.col("peaks.intensity").alias("intensity"), F.sequence(own - 1, own + 1).alias("bins"))
+    measured = staged(measured.withColumn("row", F.monotonically_increasing_id()), "spectra")
+    return measured, staged(measured.select(F.explode("bins").alias("bin")).distinct(), "used-bins")
+
+
+def matches(peptides: DataFrame, measured: DataFrame, used: DataFrame, config: SearchConfig) -> DataFrame:
+    """The matches of `search` between distinct peptides and measured spectra, without the lists of proteins."""
+    bins = measured.select("row", F.explode("bins").alias("bin"))
     masses = peptide_masses(peptides, config).withColumn("bin", ratio_bin(F.col("matching_mass"), config.ppm))
     forms = staged(placed_sequences(masses.join(used, "bin", "left_semi"), config), "forms")
     groups = scoring_groups(forms.select("sequence", "matching_mass", "bin"), bins, config)
     # peaks are joined to their groups by row, so they are dealt evenly, and shuffled once more to the groups themselves
     asked = groups.spectra.groupBy("row").agg(F.collect_list(F.struct("part", "piece")).alias("_g"))
-    asked = measured.drop("spectrum_id").join(asked, "row").withColumn("_g", F.explode("_g")).select("*", "_g.part", "_g.piece").drop("_g")
+    asked = measured.drop("spectrum_id", "bins").join(asked, "row").withColumn("_g", F.explode("_g")).select("*", "_g.part", "_g.piece").drop("_g")
     keys = ["part", "piece"]
+    ship_package(measured.sparkSession)
     scored = groups.peptides.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(sc.score_groups(config.ppm, config.top, config.score_floor), sc.MATCH_SCHEMA)
     scored = staged(scored, "scored")
     # a pair meets in one group only, so its row is the pair's only one
@@ -171,8 +186,9 @@ def match_places(found: DataFrame, places: DataFrame) -> DataFrame:
 def search_to_pepxml(proteins: DataFrame, spectra: DataFrame, path: str, config: SearchConfig | None = None, parameters: dict[str, str] | None = None) -> DataFrame:
     """The search written as one pepXML report, with expectations, alternative proteins and masses of modified residues; returns the matches."""
     config = config or SearchConfig()
-    places = staged(peptide_places(proteins, config), "places")
-    found = staged(matches(staged(distinct_peptides(places), "peptides"), spectra, config), "matches")
+    measured, used = measured_spectra(spectra, config)
+    places = staged(candidate_places(proteins, used, config), "places")
+    found = staged(matches(staged(distinct_peptides(places), "peptides"), measured, used, config), "matches")
     write_pepxml(found, path, {"ppm": str(config.ppm)} | (parameters or {}), match_places(found, places))
     return found
 

@@ -452,7 +452,11 @@ def p7_search_config(spark, d):
     return spark.createDataFrame(rows, "k int, ppm double")
 
 
-@query()
+BOTH_WAYS = f"SELECT protein_id::VARCHAR AS id, sequence FROM ({PROTEINS}) UNION ALL SELECT 'DECOY_' || protein_id, reverse(sequence) FROM ({PROTEINS})"
+MISSED_ONE = f"SELECT id, sequence FROM (SELECT id, unnest(list_concat(p, list_transform(list_zip(p[:-2], p[2:]), lambda x: x[1] || x[2]))) AS sequence FROM (SELECT id, {PARTS} AS p FROM ({BOTH_WAYS}))) WHERE length(sequence) BETWEEN 4 AND 40"
+
+
+@query(f"SELECT floor(({MASS}) + {C_TERMINUS}::DOUBLE)::BIGINT AS mass, count(*) AS n, sum(n)::BIGINT AS n_proteins FROM (SELECT sequence, count(DISTINCT id) AS n FROM ({MISSED_ONE}) GROUP BY sequence) GROUP BY 1")
 def a2_search_peptides(spark, d):
     """The search's peptide table with decoys and a missed cleavage."""
     t = peptide_table(proteins(spark, d), SearchConfig(decoys=True, missed_cleavages=1))
