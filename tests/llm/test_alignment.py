@@ -9,7 +9,7 @@ import pytest
 
 from spectraloom.llm import alignment
 from spectraloom.llm.alignment import Groups, align_tokenizers, byte_letters, narrow, shared_groups, widened
-from spectraloom.llm.queries import tokenizer_path
+from spectraloom.llm.queries import queries, tokenizer_path
 
 A, B = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
 
@@ -112,3 +112,11 @@ def test_long_text_without_a_space_and_empty_table(spark):
     got = sorted(map(tuple, align_tokenizers(df, A, B).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()))
     assert [r[1:] for r in got] == brute([long_, "=" * 300_001, "x"])
     assert align_tokenizers(df.limit(0), A, B).count() == 0
+
+
+def test_registered_query(spark, tmp_path):
+    rows = [(i, t, None, "s", 0) for i, t in enumerate(texts())]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries()["op11_cross_tokenizer_alignment"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted(map(tuple, got.collect())) == [(i, *v) for i, v in enumerate(brute([t for _, t, *_ in rows]))]

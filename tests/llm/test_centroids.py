@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from spectraloom.llm.centroids import assign, cluster_vectors, pivot_distances, spread_pivots
+from spectraloom.llm.queries import queries
 
 
 def brute(rows: list[tuple[int | None, list[float]]], k: int, rounds: int, scale: int = 64) -> list[tuple]:
@@ -61,3 +62,13 @@ def test_equal_rows_empty_table_and_refused_components(spark):
     assert cluster_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).columns[0] == "vec_id"
     with pytest.raises(Exception, match="reaches"):
         cluster_vectors(spark.createDataFrame([(1, [1e9] * 64)], "vec_id long, embedding array<double>")).collect()
+
+
+def test_registered_query(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(90, 64)).astype(np.float32)
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(x)] + [(200, None, 1), (201, [1.0] * 3, 1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = queries()["op13_centroid_clustering"](spark, str(tmp_path))
+    assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute([r[:2] for r in rows[:90]], 16, 3)

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from spectraloom.llm.license_scan import COVERED, GAP, LEAST_MATCH, PHRASES, TEMPLATES, LicenseScanner, scan_licenses, words_of
+from spectraloom.llm.queries import queries
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -116,3 +117,10 @@ def test_many_notices_in_one_text_are_linear(spark):
     text = "\n".join(f"{TEMPLATES[3][1]} {i}" for i in range(3000))
     r = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert len(r.spans) == 3000 and r.labels == "apache" and r.score == pytest.approx(1)
+
+
+def test_registered_query(spark, tmp_path):
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries()["op12_license_scan"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    assert sorted((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got.collect()) == [(i, *base(t)) for i, t in enumerate(TEXTS)]
