@@ -24,7 +24,7 @@ from .common import NULL_ID, PART_ROWS, arrow_map, ranked, row_id, slices, stage
 
 PIECE_SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words whose ids a worker keeps, in each of two generations.
-CACHE_WORDS = 100_000
+CACHE_WORDS = 250_000
 #: Texts of these characters only (ASCII and Latin letters) are split here as the tokenizer's own pattern splits them; others go to it whole.
 PLAIN = re.compile(r"[\t\n\r !-~À-ÖØ-öø-įı-ſ]*")
 #: The tokenizer's split pattern for such characters in lower case (fixed values).
