@@ -22,7 +22,7 @@ def largest_bins(work: DataFrame, bin_col: str, n: int = 200) -> DataFrame:
 
 
 def merged_peptides(df: DataFrame, key: str, protein: str) -> DataFrame:
-    """One row per peptide with the sorted union of its proteins."""
+    """One row per peptide with the sorted union of its proteins, for tables where no peptide is in very many: the search keeps places as rows instead."""
     return df.groupBy(key).agg(F.sort_array(F.collect_set(protein)).alias("proteins"))
 
 

@@ -432,12 +432,15 @@ def a30_count_spectra(spark, d):
     return fs.count_mgf(spark, path)
 
 
-@query("SELECT o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1")
+@query("SELECT o_orderpriority AS priority, count(*) AS n, (SELECT count(*) FROM orders) AS total FROM orders GROUP BY 1")
 def p4_persist_and_count(spark, d):
+    """Orders kept and counted once, then grouped; what was kept is given back when the result is stored."""
     from spectraloom.operators.partitioning import persisted
 
-    kept, _ = persisted(table(spark, d, "orders").select("o_orderpriority"))
-    return kept.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
+    kept, total = persisted(table(spark, d, "orders").select("o_orderpriority"))
+    out = staged(kept.groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"), F.lit(total).cast("long").alias("total")), "persisted")
+    kept.unpersist()
+    return out
 
 
 @query("SELECT label AS k, (label * 2 + 1)::DOUBLE AS ppm FROM (SELECT DISTINCT label FROM embeddings)")
