@@ -133,19 +133,20 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     return flat.union(flat.select(F.col("component").alias("node"), "component").distinct())
 
 
-#: Rows that one task numbers, about.
-PART_ROWS = 1 << 18
+#: Rows that one task numbers, about; groups of more than FEW rows are dealt to LEAST_PARTS parts at least.
+PART_ROWS, FEW, LEAST_PARTS = 1 << 18, 1024, 64
 
 
 def ranked(df: DataFrame, group: str, order: list[str], out: str, spread: Column, counts: dict[int, int], rows: int = PART_ROWS) -> DataFrame:
     """Adds `out`: a gapless rank from 0 within each whole number of `group`, without one task per group.
 
     `counts` has the rows of every group, of which there are few. Each is dealt by `spread` to as many parts as it has times
-    `rows`; rows are numbered inside a part, and the parts' sizes are summed up to offsets that are joined back.
+    `rows` (a group of many rows to LEAST_PARTS at least); rows are numbered inside a part, and the parts' sizes are summed up to
+    offsets that are joined back.
     """
     from pyspark.sql import Window
 
-    split = {g: -(-n // rows) for g, n in counts.items() if n > rows}
+    split = {g: max(LEAST_PARTS, -(-n // rows)) for g, n in counts.items() if n > min(FEW, rows)}
     parts = F.lit(1)
     if split:
         parts = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for pair in split.items() for v in pair]), F.col(group)), parts)
