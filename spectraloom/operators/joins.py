@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
+from spectraloom.functions.masses import matching_mass, sequence_mass
 from spectraloom.functions.staging import ship_package, staged
 
 from .filters import with_index
@@ -27,6 +28,17 @@ def ppm_join(peptides: DataFrame, spectra: DataFrame, mass: str, precursor: str,
     return left.join(right, "_bin").where(F.abs(F.col(mass) - F.col(precursor)) < F.col(precursor) * F.lit(ppm) / F.lit(1e6)).drop("_bin")
 
 
+def asked_peptides(peptides: DataFrame, spectra: DataFrame, precursor: str, ppm: float, sent: int = 200_000) -> DataFrame:
+    """(sequence, matching_mass) of the distinct peptides of which ppm_join may find a pair. At most `sent` bins go to the workers, so that other peptides are never shuffled; more bins are joined after that."""
+    own = ratio_bin(F.col(precursor), ppm)
+    used = staged(spectra.where(F.col(precursor) > 0).select(F.explode(F.sequence(own - 1, own + 1)).alias("_bin")).distinct(), "asked-bins")
+    few = used.count() <= sent
+    rows = peptides.select("sequence") if few else peptides.select("sequence").distinct()
+    rows = rows.withColumn("matching_mass", matching_mass(sequence_mass(F.col("sequence")))).withColumn("_bin", ratio_bin(F.col("matching_mass"), ppm))
+    rows = rows.join(F.broadcast(used) if few else used, "_bin", "left_semi").drop("_bin")
+    return rows.distinct() if few else rows
+
+
 def window_join(left: DataFrame, right: DataFrame, mass: str, target: str, minus: float, plus: float, charge: str | None = None) -> DataFrame:
     """Pairs with -minus <= (mass - target) / charge <= plus, in absolute units; without a charge it tries 1, 2 and 3 (column z)."""
     tries = F.array(F.lit(1), F.lit(2), F.lit(3)) if charge is None else F.when(F.col(charge).isNull(), F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.col(charge)))

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spectraloom.functions.arrays import once
-from spectraloom.functions.masses import C_TERMINUS, PROTON, RESIDUES, residue_array
+from spectraloom.functions.masses import C_TERMINUS, PROTON, RESIDUES
+from spectraloom.functions.staging import ship_package
 
 from .expectation import MOST_BIN
 
@@ -23,6 +26,10 @@ WATER, AMMONIA = 18.010565, 17.026549
 SCORE_UNIT, SCORE_FLOOR = 0.005, 1e-8
 SCORE_DIGITS = 9
 K_WIDTH = 1.0005
+#: Spectra that are handed on at a time with their bins; letters of peptides whose ions are made at a time.
+CONDITIONED, ION_CELLS = 64, 1 << 16
+#: Masses by letter, the last entry for letters that have none.
+RESIDUE_TABLE = np.array([RESIDUES.get(chr(i), np.nan) for i in range(128)] + [np.nan])
 MODIFIED = re.compile(r"([A-Z])(?:\[([^\]]*)\])?")
 
 
@@ -30,17 +37,77 @@ def mz_bin(mz: Column, width: float = BIN_WIDTH) -> Column:
     return (mz / width + 1).cast("int")
 
 
+def ion_masses(sequences: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Singly charged ions of peptides of two letters and more, some peptides at a time: their places in the list and lengths, and b and y masses by place and position (from 1).
+
+    Masses are added up letter by letter along each peptide; behind a letter without a mass they are not numbers.
+    """
+    texts = [s or "" for s in sequences]
+    lengths = np.array([len(s) for s in texts], np.int64)
+    rows = np.argsort(lengths, kind="stable")
+    rows = rows[lengths[rows] > 1]
+    while len(rows):
+        n = min(len(rows), max(1, ION_CELLS // int(lengths[rows[0]])))
+        n = max(1, min(n, ION_CELLS // int(lengths[rows[n - 1]])))
+        at, rows = rows[:n], rows[n:]
+        own, most = lengths[at], int(lengths[at[-1]])
+        letters = np.frombuffer("".join(texts[i].ljust(most, "\0") for i in at.tolist()).encode("utf-32-le", "surrogatepass"), "<u4")
+        run = np.cumsum(RESIDUE_TABLE[np.minimum(letters, 128)].reshape(n, most), axis=1)
+        total = run[np.arange(n), own - 1]
+        back = np.clip(own[:, None] - np.arange(2, most + 1), 0, None)
+        yield at, own, run[:, :-1] + PROTON, total[:, None] - np.take_along_axis(run, back, axis=1) + C_TERMINUS
+
+
+def charged(mass: np.ndarray, z: int) -> np.ndarray:
+    return (mass + (z - 1) * PROTON) / z
+
+
+def numbers(x: np.ndarray) -> pa.Array:
+    """Doubles, null where they are not numbers."""
+    return pa.array(x, pa.float64(), mask=np.isnan(x))
+
+
 def ions(peptides: DataFrame, sequence: str = "sequence", charges: int = 3) -> DataFrame:
     """b and y ions of every bond and charge: ion, position, ion_charge, mz."""
-    masses = peptides.withColumn("_r", residue_array(F.col(sequence))).where(F.size("_r") > 1)
-    run = masses.withColumn("_s", F.aggregate("_r", F.array(F.lit(0.0)), lambda a, x: F.array_append(a, F.element_at(a, -1) + x)))
-    total = F.element_at("_s", -1)
-    bonds = F.sequence(F.lit(1), F.size("_r") - 1)
-    b = F.transform(bonds, lambda i: F.struct(F.lit("b").alias("ion"), i.alias("position"), (F.get("_s", i) + PROTON).alias("m")))
-    y = F.transform(bonds, lambda i: F.struct(F.lit("y").alias("ion"), i.alias("position"), (total - F.get("_s", F.size("_r") - i) + C_TERMINUS).alias("m")))
-    out = run.select(*peptides.columns, F.explode(F.concat(b, y)).alias("_i"))
-    out = out.withColumn("ion_charge", F.explode(F.sequence(F.lit(1), F.lit(charges))))
-    return out.select(*peptides.columns, "_i.ion", "_i.position", "ion_charge", ((F.col("_i.m") + (F.col("ion_charge") - 1) * PROTON) / F.col("ion_charge")).alias("mz"))
+    column = peptides.columns.index(sequence)
+    ship_package(peptides.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n, *kinds in ion_masses(batch.column(column).to_pylist()):
+                row, bond = np.nonzero(np.arange(1, int(n[-1])) < n[:, None])
+                own = batch.take(pa.array(at[row]))
+                for ion, mass in zip("by", kinds, strict=True):
+                    for z in range(1, charges + 1):
+                        added = [pa.array([ion] * len(row), pa.string()), pa.array((bond + 1).astype(np.int32)), pa.array(np.full(len(row), z, np.int32)), numbers(charged(mass[row, bond], z))]
+                        yield pa.RecordBatch.from_arrays([*own.columns, *added], names=[*batch.schema.names, "ion", "position", "ion_charge", "mz"])
+
+    kind = StructType([*peptides.schema.fields, *StructType.fromDDL("ion string, position int, ion_charge int, mz double").fields])
+    return peptides.mapInArrow(run, kind)
+
+
+def ion_sums(peptides: DataFrame, sequence: str = "sequence", charges: int = 3) -> DataFrame:
+    """Per row of peptides, ion and charge what `ions` has: n ions, the least and most mz, and the sum of mz times position. Nothing is grouped: a peptide's ions are summed up where they are made."""
+    column = peptides.columns.index(sequence)
+    ship_package(peptides.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, n, *kinds in ion_masses(batch.column(column).to_pylist()):
+                position = np.arange(1, int(n[-1]))
+                there = position < n[:, None]
+                own = batch.take(pa.array(at))
+                for ion, mass in zip("by", kinds, strict=True):
+                    for z in range(1, charges + 1):
+                        mz = charged(mass, z)
+                        known = there & ~np.isnan(mz)
+                        none = ~known.any(axis=1)
+                        sums = [np.where(known, mz, np.inf).min(axis=1), np.where(known, mz, -np.inf).max(axis=1), np.where(known, mz * position, 0.0).sum(axis=1)]
+                        added = [pa.array([ion] * len(at), pa.string()), pa.array(np.full(len(at), z, np.int32)), pa.array(n - 1), *[numbers(np.where(none, np.nan, x)) for x in sums]]
+                        yield pa.RecordBatch.from_arrays([*own.columns, *added], names=[*batch.schema.names, "ion", "ion_charge", "n", "lo", "hi", "w"])
+
+    kind = StructType([*peptides.schema.fields, *StructType.fromDDL("ion string, ion_charge int, n long, lo double, hi double, w double").fields])
+    return peptides.mapInArrow(run, kind)
 
 
 def conditioned(mz: np.ndarray, intensity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,14 +140,28 @@ def conditioned(mz: np.ndarray, intensity: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def condition(spectra: DataFrame, peaks: str = "peaks") -> DataFrame:
-    """Adds sparse arrays bins, plain and loss to spectra whose peaks are array<struct<mz,intensity>>."""
+    """Adds sparse arrays bins, plain and loss to spectra whose peaks are array<struct<mz,intensity>>.
 
-    @F.pandas_udf("struct<bins:array<int>,plain:array<double>,loss:array<double>>")
-    def run(mz: pd.Series, intensity: pd.Series) -> pd.DataFrame:
-        out = [conditioned(np.asarray(m, float), np.asarray(i, float)) for m, i in zip(mz, intensity, strict=True)]
-        return pd.DataFrame({"bins": [o[0].astype(np.int32) for o in out], "plain": [o[1] for o in out], "loss": [o[2] for o in out]})
-
-    return spectra.withColumn("_c", run(F.col(f"{peaks}.mz"), F.col(f"{peaks}.intensity"))).select(*spectra.columns, "_c.bins", "_c.plain", "_c.loss")
+    A spectrum may have some ten thousand bins, so tasks hand on CONDITIONED spectra at a time, however many they were given.
+    """
+    column = spectra.columns.index(peaks)
+    ship_package(spectra.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, CONDITIONED):
+                some = batch.slice(start, CONDITIONED)
+                out = []
+                for row in some.column(column):
+                    own = row.values
+                    mz, intensity = ([], []) if own is None else (own.field("mz").to_numpy(zero_copy_only=False), own.field("intensity").to_numpy(zero_copy_only=False))
+                    out.append(conditioned(np.asarray(mz, float), np.asarray(intensity, float)))
+                kinds = (pa.int32(), pa.float64(), pa.float64())
+                added = [pa.array([o[i] for o in out], pa.list_(k)) for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*some.columns, *added], names=[*batch.schema.names, "bins", "plain", "loss"])
+
+    kind = StructType([*spectra.schema.fields, *StructType.fromDDL("bins array<int>, plain array<double>, loss array<double>").fields])
+    return spectra.mapInArrow(run, kind)
 
 
 def residue_masses(sequence: str) -> list[float]:
@@ -172,7 +253,8 @@ def xcorr_joined(pairs: DataFrame, conditioned_spectra: DataFrame, charges: int
     theory = theory.where(F.col("ion_charge") <= F.greatest(F.lit(1), top)).withColumn("bin", mz_bin(F.col("mz")))
     cells = conditioned_spectra.select("spectrum_id", F.explode(F.arrays_zip("bins", "plain", "loss")).alias("c")).select("spectrum_id", F.col("c.bins").alias("bin"), "c.plain", "c.loss")
     value = F.when(F.col("ion_charge") == 1, F.col("loss")).otherwise(F.col("plain"))
-    met = theory.join(cells, ["spectrum_id", "bin"]).withColumn("v", value).where(F.abs("v") > 1e-4)
+    # cells are thousands for each row they come from, so what Spark takes their size for says nothing: they are never sent whole
+    met = theory.join(cells.hint("merge"), ["spectrum_id", "bin"]).withColumn("v", value).where(F.abs("v") > 1e-4)
     return met.groupBy("spectrum_id", "sequence").agg(F.greatest(F.sum("v") * SCORE_UNIT, F.lit(SCORE_FLOOR)).alias("xcorr"), F.count("*").cast("int").alias("matched_ions"))
 
 
