@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 _open: list[list[str]] = []
 
 
@@ -81,6 +82,13 @@ def ship_package(spark: SparkSession) -> None:
     context._spectraloom_shipped = True
 
 
+def small_batches(spark: SparkSession) -> None:
+    """For functions on Arrow batches: workers have the package, and batches end at about 8 MB unless the session sets a size of its own."""
+    ship_package(spark)
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, f"{8 << 20}b")
+
+
 #: Bytes that a named object may have.
 MOST_OBJECT = 64 << 20
 

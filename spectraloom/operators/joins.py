@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spectraloom.functions.bins import ratio_bin
 from spectraloom.functions.masses import matching_mass, sequence_mass
-from spectraloom.functions.staging import ship_package, staged
+from spectraloom.functions.staging import ship_package, small_batches, staged
 
 from .filters import with_index
 
@@ -48,7 +48,8 @@ def window_join(left: DataFrame, right: DataFrame, mass: str, target: str, minus
     lo, hi = F.floor((F.col(target) - minus * F.col("z")) / width), F.floor((F.col(target) + plus * F.col("z")) / width)
     r = r.withColumn("_bin", F.explode(F.sequence(lo, hi)))
     d = (F.col(mass) - F.col(target)) / F.col("z")
-    return l.join(r, "_bin").where((d >= -minus) & (d <= plus)).drop("_bin")
+    met = dealt_join(l, r, ["_bin"], F.xxhash64(*left.columns), F.xxhash64(*right.columns))
+    return met.where((d >= -minus) & (d <= plus)).drop("_bin")
 
 
 def integer_mass_join(peptides: DataFrame, spectra: DataFrame, mass: str, precursor: str, minus: float, plus: float) -> DataFrame:
@@ -99,17 +100,46 @@ def hot_splits(df: DataFrame, key: str, most: int, sent: int = 100_000) -> DataF
     return sizes.where(F.col("_c") > total // sent).select(key, (1 + F.floor(F.col("_c") / most)).cast("int").alias("_n"))
 
 
-def salted_join(hot: DataFrame, other: DataFrame, key: str, deal: Column, most: int = 30) -> DataFrame:
-    """Inner join on key where a key with many rows on the hot side is split into 1 + n / most salted keys.
+#: Rows of either side that meet in one piece of a hot key.
+PIECE = 3000
 
-    Only the hot keys are told to the workers, so neither side is shuffled by the unsalted key. The hot side's rows
-    are dealt by a hash, the other side's copied to every salt of their key. The result is that of the plain join.
+
+def dealt_join(left: DataFrame, right: DataFrame, keys: Sequence[str], deal_left: Column, deal_right: Column, most: int = PIECE, sent: int = 100_000) -> DataFrame:
+    """Inner join whose tasks follow from the pairs, not from the bytes of its sides, which say little where every row meets many.
+
+    A key of over most * most pairs is cut into salts x sections of `most` rows a side: its left rows are dealt to the salts and copied to the
+    sections, its right rows the other way round, so copies are a `most`-th of the pairs. There is a task for as many pairs as
+    a piece holds. Cut keys hold over a `sent`-th of a side, so they are few enough to be told to the workers.
+    """
+    counted = lambda df, n: df.groupBy(*keys).agg(F.count("*").alias(n))
+    sizes = staged(counted(left, "_l").join(counted(right, "_r"), list(keys)), "join-sizes")
+    n_l, n_r, pairs = sizes.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("_l", "_r")], F.coalesce(F.sum(F.col("_l").cast("double") * F.col("_r")), F.lit(0.0))).first()
+    spark = left.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, int(pairs // (most * most)) + 1))
+    hot = sizes.where((F.col("_l").cast("double") * F.col("_r") > most * most) & ((F.col("_l") > n_l // sent) | (F.col("_r") > n_r // sent)))
+    cut = lambda c: F.ceil(F.col(c) / most).cast("int")
+    hot = F.broadcast(hot.select(*keys, cut("_l").alias("_salts"), cut("_r").alias("_sections")))
+
+    def pieces(df: DataFrame, own: str, deal: Column, other: str) -> DataFrame:
+        known = lambda c: F.coalesce(F.col(c), F.lit(1))
+        rows = df.join(hot, list(keys), "left").withColumn("_own", F.pmod(deal, known(own)).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), known(other) - 1)))
+        salt, section = ("_own", "_other") if own == "_salts" else ("_other", "_own")
+        rows = rows.withColumn("_piece", F.col(salt).cast("long") * known("_sections") + F.col(section))
+        return rows.select(*df.columns, "_piece").repartition(parts, *keys, "_piece")
+
+    return pieces(left, "_salts", deal_left, "_sections").join(pieces(right, "_sections", deal_right, "_salts").hint("merge"), [*keys, "_piece"]).drop("_piece")
+
+
+#: Tasks of one join at most.
+MOST_PARTS = 20_000
+
+
+def salted_join(hot: DataFrame, other: DataFrame, key: str, deal: Column, most: int = PIECE) -> DataFrame:
+    """Inner join on key where a key of many pairs is split on both sides, so that neither is shuffled by the unsalted key.
+
+    The hot side's rows are dealt by `deal`, the other side's by a hash of all of a row. The result is that of the plain join.
     """
-    splits = F.broadcast(hot_splits(hot, key, most))
-    salts = F.coalesce(F.col("_n"), F.lit(1))
-    dealt = hot.join(splits, key, "left").withColumn("_salt", F.pmod(deal, salts).cast("int")).drop("_n")
-    copied = other.join(splits, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_n")
-    return dealt.join(copied, [key, "_salt"]).drop("_salt")
+    return dealt_join(hot, other, [key], deal, F.xxhash64(*other.columns), most)
 
 
 def cogrouped(left: DataFrame, right: DataFrame, keys: Sequence[str], score: Callable, schema: str) -> DataFrame:
@@ -133,9 +163,16 @@ def chunk_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.crossJoin(right)
 
 
-def join_then_max(left: DataFrame, right: DataFrame, key: str, value: Column, keep: Column) -> DataFrame:
-    """Per left row the largest `value` of its pairs that meet `keep` (null if none does)."""
-    return left.join(right, key).groupBy(*left.columns).agg(F.max(F.when(keep, value)).alias("best"))
+def join_then_max(left: DataFrame, right: DataFrame, key: str, value: Column, met: tuple[Column, Column]) -> DataFrame:
+    """Per left row the largest `value` of its pairs for which `met`, a column of each side, is equal (null if none is).
+
+    The right side comes down to one row for each key and value of its `met` before the two meet: no pair is ever made.
+    """
+    own, other = met
+    best = right.groupBy(key, other.alias("_met")).agg(F.max(value).alias("best"))
+    keys = right.select(key).distinct()
+    rows = left.distinct().join(keys, key, "left_semi").withColumn("_met", own)
+    return rows.join(best, [key, "_met"], "left").select(*left.columns, "best")
 
 
 def compare_results(a: DataFrame, b: DataFrame, key: str, item: str, score: str) -> DataFrame:
@@ -247,10 +284,16 @@ def containing(proteins: DataFrame, peptides: DataFrame, protein: str, sequence:
 
 
 def nearest_line(lines: DataFrame, chapter: str, line: str, text: str, similarity: Callable[[Column, Column], Column], reach: int = 200) -> DataFrame:
-    """Per line the most similar other line of its chapter within `reach` lines (best_line, best_score; smallest line of equals)."""
+    """Per line the most similar other line of its chapter within `reach` lines (best_line, best_score; smallest line of equals).
+
+    The similarity must be the same both ways: a pair is compared once, from its earlier line, and counts for both.
+    """
     a = lines.select(F.col(chapter), F.col(line).alias("line"), F.col(text).alias("_a"), F.floor(F.col(line) / reach).alias("_b"))
-    b = lines.select(F.col(chapter), F.col(line).alias("other"), F.col(text).alias("_t"), F.explode(F.sequence(F.floor(F.col(line) / reach) - 1, F.floor(F.col(line) / reach) + 1)).alias("_b"))
-    near = a.join(b, [chapter, "_b"]).where((F.col("line") != F.col("other")) & (F.abs(F.col("line") - F.col("other")) <= reach))
-    scored = near.withColumn("score", similarity(F.col("_a"), F.col("_t")))
+    b = lines.select(F.col(chapter), F.col(line).alias("other"), F.col(text).alias("_t"), F.explode(F.sequence(F.floor(F.col(line) / reach) - 1, F.floor(F.col(line) / reach))).alias("_b"))
+    near = a.join(b, [chapter, "_b"]).where((F.col("line") < F.col("other")) & (F.col("other") - F.col("line") <= reach))
+    small_batches(lines.sparkSession)
+    once = near.withColumn("score", similarity(F.col("_a"), F.col("_t"))).select(chapter, "line", "other", "score")
+    both = F.array(F.struct("line", "other"), F.struct(F.col("other").alias("line"), F.col("line").alias("other")))
+    scored = once.withColumn("_w", F.explode(both)).select(chapter, "_w.line", "_w.other", "score")
     best = F.max(F.struct("score", (-F.col("other")).alias("o")))
     return scored.groupBy(chapter, "line").agg(best.alias("m")).select(chapter, "line", (-F.col("m.o")).alias("best_line"), F.col("m.score").alias("best_score"))

@@ -128,7 +128,8 @@ def j9_stored_table(spark, d):
     path = shared_path(spark, "peptides")
     write_peptide_table(p, path)
     c = table(spark, d, "customer").select("c_custkey", F.floor("c_acctbal").alias("mass_bin"))
-    return fl.in_used_bins(read_peptide_bin(spark, path, 400, 5000), c, "mass_bin").join(c, "mass_bin").select("c_custkey", "sequence")
+    found = fl.in_used_bins(read_peptide_bin(spark, path, 400, 5000), c, "mass_bin")
+    return jn.dealt_join(found, c, ["mass_bin"], F.xxhash64("sequence"), F.xxhash64("c_custkey")).select("c_custkey", "sequence")
 
 
 CHUNKS = "SELECT (s_suppkey % 16)::INTEGER AS a, count(*) AS n, min(s_acctbal) AS low FROM supplier GROUP BY 1"
@@ -146,7 +147,7 @@ def j10_chunk_pairs(spark, d):
 def j11_join_then_max(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
     c = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
-    return jn.join_then_max(s, c, "nation", F.col("c_custkey"), (F.col("s_suppkey") + F.col("c_custkey")) % 3 == 0)
+    return jn.join_then_max(s, c, "nation", F.col("c_custkey"), (F.pmod("s_suppkey", F.lit(3)), F.pmod(-F.col("c_custkey"), F.lit(3))))
 
 
 A = "SELECT user_id, min(event_type) AS item, max(value) AS score FROM events WHERE value > 30 GROUP BY user_id"
