@@ -1,4 +1,4 @@
-"""Corpus pipeline: language ID, near-dedup by shingles, suffix-array dedup, secret scans, packing.
+"""Corpus pipeline: language ID, near-dedup by SimHash and shingles, suffix-array dedup, secret scans, packing.
 
 Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns a DataFrame; all but the last
 return the columns of `documents`. Null ids, null texts, repeated rows and empty tables are allowed: see each stage.
@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from spectraloom.functions.staging import scratch, ship_package
 from spectraloom.llm import language_id, secret_ledger
-from spectraloom.llm.common import load
+from spectraloom.llm.common import connected_components, load, staged
 from spectraloom.llm.near_sets import similar_components
 from spectraloom.llm.packing import pack_documents
 from spectraloom.llm.queries import tokenizer_path
+from spectraloom.llm.simhash import simhash_components
 from spectraloom.llm.substrings import PASSAGE_WORDS, remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,14 +35,35 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select("doc_id", F.col("body").alias("text"), F.coalesce("lang", F.when(~F.col("ambiguous"), F.col("lang_pred"))).alias("lang"), "source", "n_chars")
 
 
-def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row of smallest id of every component of texts whose five-word shingles are 4/5 the same.
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the row of smallest id of every group of near copies: what links of operator 10 (SimHash fingerprints of two differing bits at most) and of five-word shingle sets that are 4/5 the same connect.
 
-    Rows without an id stay; rows of one id are told apart by their texts, and equal rows are one.
+    The shingle sets find what fingerprints, by design, can't: at a similarity of 4/5 two differ in some ten bits. Rows without an id stay; rows
+    of one id are told apart by their texts, and equal rows are one.
     """
     docs = docs.select(*COLUMNS)
+    own = docs.where("doc_id is not null")
+    with scratch(spark) as keep:
+        # a text is one node however many rows hold it, so what connects are at most as many links of each kind as there are texts
+        prints = staged(simhash_components(own.select(F.xxhash64("text").alias("h"), "text"), id_col="h").where("h <> component_id").select(F.col("h").alias("u"), F.col("component_id").alias("v")).distinct(), "near-prints")
+        near = staged(similar_components(own), "near-rows")
+        first = near.groupBy("component").agg(F.min("h").alias("v"), F.max("h").alias("most")).where("v < most").select("component", "v")
+        links = near.select("component", F.col("h").alias("u")).distinct().join(first, "component").select("u", "v").where("u <> v").unionByName(prints)
+        joined = connected_components(links, "near-all").select(F.col("node").alias("h"), F.col("component").alias("joined"))
+        found = keep(near.select("id", "h").join(joined, "h", "left").select("id", "h", F.coalesce("joined", "h").alias("component")), "near-components")
+    return first_rows(docs, found)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As `simhash_stage`, by links of shingle sets alone; not a stage of the pipeline."""
+    docs = docs.select(*COLUMNS)
     with scratch(spark) as keep:
         found = keep(similar_components(docs.where("doc_id is not null")), "near-components")
+    return first_rows(docs, found)
+
+
+def first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The row of smallest id of every component of (id, h, component), and rows without an id."""
     first = found.groupBy("component").agg(F.min(F.struct("id", "h")).alias("m")).select(F.col("m.id").alias("doc_id"), F.col("m.h").alias("h"))
     named = docs.withColumn("h", F.xxhash64("text")).join(first, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
     return named.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
@@ -74,7 +96,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("language_id", language_stage),
-    ("near_copy_dedup", near_copy_stage),
+    ("simhash_near_dedup", simhash_stage),
     ("suffix_array_dedup", repeated_text_stage),
     ("secret_scan", secret_stage),
     ("packing", packing_stage),
