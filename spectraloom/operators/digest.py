@@ -6,10 +6,13 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from spectraloom.functions.arrays import running_starts
+from spectraloom.functions.staging import small_batches
 
 DECOY_PREFIX = "DECOY_"
 #: Label prefixes of other programs' decoys (fixed values).
@@ -27,37 +30,49 @@ def cut_rule(text: str) -> tuple[str, str]:
     return after, not_before
 
 
-def cut(sequence: Column, after: str = "KR", not_before: str = "P") -> Column:
-    """Fragments of a sequence cut after each letter of `after` unless one of `not_before` follows."""
-    rule = f"(?<=[{after}])(?![{not_before}])" if not_before else f"(?<=[{after}])"
-    return F.filter(F.split(sequence, rule), lambda p: p != "")
+def cut(batch: pa.RecordBatch, after: np.ndarray, before: np.ndarray, missed: int, least: int, most: int) -> tuple[np.ndarray, ...]:
+    """Peptides of a batch whose second column is the sequence: their row, text, missed cleavages and start. All sequences are cut at once, in the batch's own bytes."""
+    column = batch.column(1)
+    _, ends, held = column.buffers()
+    off = np.frombuffer(ends, np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
+    body = np.frombuffer(held, np.uint8)[off[0] : off[-1]] if held is not None else np.zeros(0, np.uint8)
+    off = off - off[0]
+    sites = np.flatnonzero(after[body[:-1]]) + 1
+    cuts = np.union1d(sites[~before[body[sites]]], off)
+    row = np.searchsorted(off, cuts[:-1], "right") - 1
+    letters = np.r_[0, np.cumsum((body & 0xC0) != 0x80)]  # before each byte
+    found = []
+    for m in range(missed + 1):
+        i = np.flatnonzero(row[: max(0, len(row) - m)] == row[m:])
+        n = letters[cuts[i + m + 1]] - letters[cuts[i]]
+        i = i[(n >= least) & (n <= most)]
+        found.append((row[i], cuts[i], cuts[i + m + 1], np.full(len(i), m, np.int32)))
+    own, start, stop, joined = (np.concatenate(x) for x in zip(*found, strict=True))
+    places = np.r_[0, np.cumsum(stop - start)]
+    data = body[np.repeat(start - places[:-1], stop - start) + np.arange(places[-1])]
+    text = pa.Array.from_buffers(pa.string(), len(own), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(data)])
+    return own, text, joined, (letters[start] - letters[off[own]]).astype(np.int32)
 
 
 def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "sequence", missed: int = 0, least: int = 4, most: int = 40, after: str = "KR", not_before: str = "P", starts: bool = False) -> DataFrame:
     """Peptides with up to `missed` missed cleavages: protein, sequence and missed_cleavages, and where they start in it (start, from 0) if asked for.
 
-    Neighbouring fragments are joined in the protein's own row; a null sequence has none.
+    Sequences are cut after each letter of `after` unless one of `not_before` follows, and neighbouring fragments are joined; a null sequence has none.
     """
-    if starts:
-        return _with_starts(proteins, protein, sequence, missed, least, most, after, not_before)
-    parts = proteins.select(F.col(protein), cut(F.coalesce(F.col(sequence), F.lit("")), after, not_before).alias("_p"))
-    rows = parts.select(protein, F.posexplode("_p").alias("_i", "_first"), "_p") if missed else parts.select(protein, F.explode("_p").alias("sequence"), F.lit(0).alias("missed_cleavages"))
-    if missed:
-        last = F.least(F.lit(missed), F.size("_p") - 1 - F.col("_i"))
-        rows = rows.withColumn("missed_cleavages", F.explode(F.sequence(F.lit(0), last)))
-        rows = rows.select(protein, F.array_join(F.slice("_p", F.col("_i") + 1, F.col("missed_cleavages") + 1), "").alias("sequence"), "missed_cleavages")
-    return rows.where(F.length("sequence").between(least, most))
-
-
-def _with_starts(proteins: DataFrame, protein: str, sequence: str, missed: int, least: int, most: int, after: str, not_before: str) -> DataFrame:
-    whole = F.coalesce(F.col(sequence), F.lit(""))
-    rows = proteins.select(F.col(protein), cut(whole, after, not_before).alias("_p"))
-    rows = rows.withColumn("_s", running_starts(F.transform("_p", F.length)))
-    rows = rows.select(protein, F.posexplode("_p").alias("_i", "_first"), *(["_p"] if missed else []), "_s")
-    joined = F.array_join(F.slice("_p", F.col("_i") + 1, F.col("missed_cleavages") + 1), "") if missed else F.col("_first")
-    counts = F.explode(F.sequence(F.lit(0), F.least(F.lit(missed), F.size("_p") - 1 - F.col("_i")))) if missed else F.lit(0)
-    rows = rows.withColumn("missed_cleavages", counts)
-    return rows.select(protein, joined.alias("sequence"), "missed_cleavages", F.get("_s", F.col("_i")).cast("int").alias("start")).where(F.length("sequence").between(least, most))
+    if not (after + not_before).isascii():
+        raise ValueError(f"cut letters must be ASCII: {after} {not_before}")
+    sets = [np.isin(np.arange(256), [ord(c) for c in letters]) for letters in (after, not_before)]
+    names = [protein, "sequence", "missed_cleavages", *["start"] * starts]
+    small_batches(proteins.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, text, joined, start = cut(batch, *sets, missed, max(least, 1), most)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), text, pa.array(joined), *[pa.array(start)] * starts], names=names)
+
+    rows = proteins.select(F.col(protein), F.coalesce(F.col(sequence), F.lit("")).alias("sequence"))
+    kind = StructType([rows.schema[protein], *StructType.fromDDL("sequence string, missed_cleavages int, start int" if starts else "sequence string, missed_cleavages int").fields])
+    return rows.mapInArrow(run, kind)
 
 
 def semi_places(peptides: DataFrame, sequence: str = "sequence", start: str = "start", least: int = 4) -> DataFrame:

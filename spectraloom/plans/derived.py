@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spectraloom.functions.masses import sequence_mass_sql
+from spectraloom.functions.staging import small_batches
 from spectraloom.functions.text import words_of
 from spectraloom.operators.digest import digest
 
@@ -15,9 +20,26 @@ LETTERS = "ACDEFGHIKLMNPQRSTVWY"
 NOT_LETTERS = f"[^{LETTERS}{LETTERS.lower()}]"
 
 
+def residue_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts (second column) without all but residue letters, in upper case: a batch's texts at once."""
+    byte = np.arange(256)
+    kept = np.isin(byte, [ord(c) for c in LETTERS + LETTERS.lower()])
+    upper = np.where(byte >= ord("a"), byte & ~0x20, byte).astype(np.uint8)
+    for batch in batches:
+        _, ends, held = batch.column(1).buffers()
+        off = np.frombuffer(ends, np.int32, batch.num_rows + 1, 4 * batch.column(1).offset)
+        body = np.frombuffer(held, np.uint8)[off[0] : off[-1]] if held is not None else np.zeros(0, np.uint8)
+        some = kept[body]
+        places = np.r_[0, np.cumsum(some)][off - off[0]].astype(np.int32)
+        text = pa.Array.from_buffers(pa.string(), batch.num_rows, [None, pa.py_buffer(places), pa.py_buffer(upper[body[some]])])
+        yield pa.RecordBatch.from_arrays([batch.column(0), text], names=["protein_id", "sequence"])
+
+
 def proteins(spark: SparkSession, sf_dir: str, name: str = "documents", id_col: str = "doc_id") -> DataFrame:
     """Every text as a protein: its residue letters, in upper case."""
-    return table(spark, sf_dir, name).select(F.col(id_col).alias("protein_id"), F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), NOT_LETTERS, "")).alias("sequence"))
+    small_batches(spark)
+    rows = table(spark, sf_dir, name).select(F.col(id_col).alias("protein_id"), F.coalesce("text", F.lit("")).alias("sequence"))
+    return rows.mapInArrow(residue_letters, rows.schema)
 
 
 PROTEINS = f"SELECT doc_id AS protein_id, upper(regexp_replace(coalesce(text, ''), '{NOT_LETTERS}', '', 'g')) AS sequence FROM documents"
