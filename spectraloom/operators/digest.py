@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from spectraloom.functions.masses import C_TERMINUS, RESIDUES
 from spectraloom.functions.staging import small_batches
 
 DECOY_PREFIX = "DECOY_"
@@ -54,10 +56,53 @@ def cut(batch: pa.RecordBatch, after: np.ndarray, before: np.ndarray, missed: in
     return own, text, joined, (letters[start] - letters[off[own]]).astype(np.int32)
 
 
-def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "sequence", missed: int = 0, least: int = 4, most: int = 40, after: str = "KR", not_before: str = "P", starts: bool = False) -> DataFrame:
+#: Residue masses by byte, 0 for other bytes.
+BYTE_MASS = np.array([RESIDUES.get(chr(i), 0.0) for i in range(256)])
+#: Share of a mass by which sums of residues may differ with their order, for up to thousands of letters (40 differ by some 1e-14).
+SUM_ERROR = 1e-12
+
+
+def near_bins(bins: np.ndarray, ppm: float) -> Callable[[pa.Array], np.ndarray]:
+    """Tells which peptides of an Arrow column lie in mass bins (of `ratio_bin`) among `bins`.
+
+    Masses are added up letter by letter here, so one that stands at a border of bins counts for both: all that `ratio_bin` of
+    `sequence_mass` puts there are found, and now and then one beside them.
+    """
+    bins, step = np.unique(bins), math.log1p(2 * ppm / 1e6)
+
+    def found(mass: np.ndarray) -> np.ndarray:
+        own = np.floor(np.log(mass) / step).astype(np.int64)
+        return bins[np.minimum(np.searchsorted(bins, own), len(bins) - 1)] == own
+
+    def near(texts: pa.Array) -> np.ndarray:
+        _, ends, held = texts.buffers()
+        off = np.frombuffer(ends, np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+        if not len(bins) or held is None or off[0] == off[-1]:
+            return np.zeros(len(texts), bool)
+        # a last entry keeps the sum of an empty text at the end in range; an empty text has no residue
+        run = np.r_[BYTE_MASS[np.frombuffer(held, np.uint8)[off[0] : off[-1]]], 0.0]
+        mass = np.where(np.diff(off) > 0, np.add.reduceat(run, off[:-1] - off[0]), 0.0) + C_TERMINUS
+        return found(mass * (1 - SUM_ERROR)) | found(mass * (1 + SUM_ERROR))
+
+    return near
+
+
+def kept_peptides(peptides: DataFrame, keep: Callable[[pa.Array], np.ndarray], sequence: str = "sequence") -> DataFrame:
+    """Rows whose sequence `keep` tells to keep, a batch at a time."""
+    small_batches(peptides.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(sequence)), pa.bool_()))
+
+    return peptides.mapInArrow(run, peptides.schema)
+
+
+def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "sequence", missed: int = 0, least: int = 4, most: int = 40, after: str = "KR", not_before: str = "P", starts: bool = False, keep: Callable[[pa.Array], np.ndarray] | None = None) -> DataFrame:
     """Peptides with up to `missed` missed cleavages: protein, sequence and missed_cleavages, and where they start in it (start, from 0) if asked for.
 
     Sequences are cut after each letter of `after` unless one of `not_before` follows, and neighbouring fragments are joined; a null sequence has none.
+    With `keep` (of an Arrow column of peptides) others don't leave the task.
     """
     if not (after + not_before).isascii():
         raise ValueError(f"cut letters must be ASCII: {after} {not_before}")
@@ -68,6 +113,9 @@ def digest(proteins: DataFrame, protein: str = "protein_id", sequence: str = "se
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, text, joined, start = cut(batch, *sets, missed, max(least, 1), most)
+            if keep is not None:
+                some = np.flatnonzero(keep(text))
+                own, text, joined, start = own[some], text.take(pa.array(some)), joined[some], start[some]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), text, pa.array(joined), *[pa.array(start)] * starts], names=names)
 
     rows = proteins.select(F.col(protein), F.coalesce(F.col(sequence), F.lit("")).alias("sequence"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,27 +28,27 @@ from .config import SearchConfig
 SENT, SENT_PLAN = 100_000, 200_000
 
 
-def peptide_places(proteins: DataFrame, config: SearchConfig) -> DataFrame:
-    """(sequence, protein_id, start) of every peptide of proteins (protein_id, sequence): a row a place, however many proteins hold it."""
+def peptide_places(proteins: DataFrame, config: SearchConfig, keep: Callable[[pa.Array], np.ndarray] | None = None) -> DataFrame:
+    """(sequence, protein_id, start) of every peptide of proteins (protein_id, sequence): a row a place, however many proteins hold it. With `keep` only of those it tells to keep."""
     source = proteins.select(F.col("protein_id").cast("string").alias("protein_id"), "sequence")
     if config.max_proteins is not None:
         source = source.orderBy("protein_id").limit(config.max_proteins)
     if config.decoys:
         source = dg.decoys(source).drop("is_decoy")
-    found = dg.digest(source, missed=config.missed_cleavages, after=config.cut_after, not_before=config.not_before, starts=True)
+    found = dg.digest(source, missed=config.missed_cleavages, after=config.cut_after, not_before=config.not_before, starts=True, keep=None if config.semi else keep)
     if config.semi:
         found = dg.semi_places(found)
+        found = found if keep is None else dg.kept_peptides(found, keep)
         return found.select("sequence", "protein_id", "start").distinct()
     return found.select("sequence", "protein_id", "start")
 
 
 def candidate_places(proteins: DataFrame, used: DataFrame, config: SearchConfig) -> DataFrame:
-    """peptide_places without those whose mass no spectrum asks for, where that can be told before modifications: few used bins are sent to where proteins are cut, so that other peptides are never stored."""
-    places = peptide_places(proteins, config)
+    """peptide_places without those whose mass no spectrum asks for, where that can be told before modifications: few used bins are sent to where proteins are cut, so that other peptides never leave those tasks. A peptide at the border of a used bin may stay."""
     if config.modifications or config.fixed_modifications or used.count() > SENT_PLAN:
-        return places
-    own = ratio_bin(matching_mass(sequence_mass(F.col("sequence"))), config.ppm)
-    return places.withColumn("bin", own).join(F.broadcast(used), "bin", "left_semi").drop("bin")
+        return peptide_places(proteins, config)
+    bins = np.array([r.bin for r in used.select("bin").collect()], np.int64)
+    return peptide_places(proteins, config, dg.near_bins(bins, config.ppm))
 
 
 def distinct_peptides(places: DataFrame) -> DataFrame:
