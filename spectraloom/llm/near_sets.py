@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, connected_components, row_id, scratch, staged, text_buffers
-from .simhash import shingle_hashes
+from .shingles import by_text, rotated
 
 #: Fewest reference sets; a longer text has twice as many for each doubling.
 CLASSES = 16
@@ -35,8 +35,23 @@ MOST = 2048
 SET_SCHEMA = "id long, h long, k long, n int, classes binary, prefix array<long>"
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    return np.unique(shingle_hashes(text, words))
+def shingle_sets_of(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """The sorted set of shingle hashes of each text."""
+    for h in by_text(*text_buffers(texts), words):
+        s = np.sort(h)
+        yield s[np.r_[True, s[1:] != s[:-1]]] if len(s) else s
+
+
+def prefix_of(s: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The first n - ceil(4n/5) + 1 elements of a sorted set. The top bits name the class, so the order is by the lower ones, then by the top ones; common shingles come last."""
+    often = np.zeros(len(s), bool)
+    if len(common):
+        often = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+    turned = rotated(s, 20)
+    need = len(s) - -(-4 * len(s) // 5) + 1
+    rare = np.sort(turned[~often])[:need]
+    first = np.r_[rare, np.sort(turned[often])[: need - len(rare)]] if len(rare) < need else rare
+    return rotated(first, 44)
 
 
 def class_counts(s: np.ndarray) -> bytes:
@@ -59,21 +74,16 @@ def described(words: int, common: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_buffers(batch.column("text"))
             keys, sizes, classes, prefixes, seen = [], [], [], [], set()
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                s = shingle_set(raw[a:b].tobytes(), words)
-                n = len(s)
+            for s in shingle_sets_of(batch.column("text"), words):
                 keys.append(xxhash.xxh64_intdigest(s.tobytes(), 7))
-                sizes.append(n)
+                sizes.append(len(s))
                 classes.append(class_counts(s))
                 if keys[-1] in seen:  # a copy keys nothing that its first does not
                     prefixes.append(s[:0].view(np.int64))
                     continue
                 seen.add(keys[-1])
-                # the top bits name the class, so the order is by the lower ones; common shingles come last
-                order = s[np.lexsort((s << np.uint64(20), np.isin(s, common)))]
-                prefixes.append(order[: n - -(-4 * n // 5) + 1].view(np.int64) if n else s.view(np.int64))
+                prefixes.append((prefix_of(s, common) if len(s) else s).view(np.int64))
             columns = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(classes, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *columns], names=["id", "h", "k", "n", "classes", "prefix"])
 
@@ -83,9 +93,15 @@ def described(words: int, common: np.ndarray):
 def all_shingles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_buffers(batch.column("text"))
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(raw[a:b].tobytes(), words).view(np.int64))], names=["s"])
+            held, n = [], 0
+            for s in shingle_sets_of(batch.column("text"), words):
+                held.append(s)
+                n += len(s)
+                if n >= 1 << 17:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], names=["s"])
+                    held, n = [], 0
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64))], names=["s"])
 
     return run
 
@@ -93,8 +109,7 @@ def all_shingles(words: int):
 def shingle_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_buffers(batch.column("text"))
-            sets = [shingle_set(raw[a:b].tobytes(), words).tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            sets = [s.tobytes() for s in shingle_sets_of(batch.column("text"), words)]
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(sets, pa.binary())], names=["k", "shingles"])
 
     return run

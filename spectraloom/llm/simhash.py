@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, connected_components, row_id, staged, text_buffers
+from .shingles import by_text, xxh64_shingles
 
 QUARTERS = list(combinations(range(4), 2))
 FINGERPRINT_SCHEMA = "id long, fp long"
@@ -35,36 +36,32 @@ MOST = 4096
 PIVOTS = 32
 
 
-def shingle_hashes(text: bytes, words: int) -> np.ndarray:
-    """XXH64 (seed 42) of each run of `words` words, space-joined; all words if fewer; none for no word. Only ASCII letters are lowered."""
-    parts = text.lower().split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    h = xxhash.xxh64_intdigest
-    if len(parts) <= words:
-        return np.array([h(b" ".join(parts), 42)], np.uint64)
-    joined = b" ".join(parts)
-    ends = np.cumsum([len(p) + 1 for p in parts])
-    starts = [0, *ends[:-words].tolist()]
-    return np.array([h(joined[a : b - 1], 42) for a, b in zip(starts, ends[words - 1 :].tolist(), strict=True)], np.uint64)
+#: The bits of every byte, highest first.
+BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def fingerprint(text: bytes, words: int) -> int:
-    h = shingle_hashes(text, words)
+def majority(h: np.ndarray) -> int:
+    """Each bit that is set in over half of the hashes: how often each byte value stands at each of eight places tells how often its bits are set."""
     n = len(h)
     if not n:
         return 0
-    ones = np.zeros(64, np.int64)
+    count = np.zeros(2048, np.int64)
     for a in range(0, n, 1 << 16):
-        ones += np.unpackbits(h[a : a + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        # places from the highest byte on
+        count += np.bincount((h[a : a + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)).ravel(), minlength=2048)
+    ones = (count.reshape(8, 256) @ BITS).ravel()
     return int(np.packbits(2 * ones > n).view(">u8")[0])
 
 
+def fingerprint(text: bytes, words: int) -> int:
+    return majority(xxh64_shingles(np.frombuffer(text, np.uint8), np.array([0, len(text)]), words)[0])
+
+
 def fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = text_buffers(batch.column("text"))
-            fps = np.array([fingerprint(raw[a:b].tobytes(), words) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.uint64)
+            hashes = by_text(*text_buffers(batch.column("text")), words, xxh64_shingles)
+            fps = np.fromiter((majority(h) for h in hashes), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], names=["id", "fp"])
 
     return run
